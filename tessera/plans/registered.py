@@ -12,7 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import values as V
+from tessera.operators import fields as FL
 from tessera.operators import profile as P
+from tessera.operators import reshape as R
+from tessera.operators.common import union_all
+from tessera.sources import derived as D
+from tessera.sources import documents as S
 from tessera.sources.documents import TEST_TABLES, read_table_files
 
 KEY_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -81,7 +87,6 @@ def q_row_counts(spark, sf_dir):
     _distinct_sql(t, TABLE_COLUMNS[t]) for t in COUNT_TABLES))
 def q_distinct_counts(spark, sf_dir):
     t = _tables(spark, sf_dir, COUNT_TABLES)
-    from tessera.operators.common import union_all
     return union_all([P.distinct_counts(t[n], table_name=n) for n in COUNT_TABLES])
 
 
@@ -120,3 +125,152 @@ def q_unique_columns_null_group(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The smoke query: unique columns of nation and customer."""
     return P.unique_columns_of(_tables(spark, sf_dir, ["nation", "customer"]))
+
+
+# --- documents derived from the tables --------------------------------------
+
+def order_docs(spark, sf_dir) -> DataFrame:
+    t = _tables(spark, sf_dir, ["orders", "lineitem"])
+    return D.order_documents(t["orders"], t["lineitem"])
+
+
+def customer_docs(spark, sf_dir) -> DataFrame:
+    return D.customer_documents(_tables(spark, sf_dir, ["customer"])["customer"])
+
+
+_LINE_TYPES = {"l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint",
+               "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
+               "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+               "l_shipdate": "timestamp_ntz"}
+_ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+                "o_totalprice": "double", "o_orderdate": "timestamp_ntz",
+                "o_orderpriority": "string"}
+_LINES_OF_ORDERS = "(SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"
+
+
+def _profile_sql(table, path, relation, parent, types, src):
+    parent_sql = "CAST(NULL AS VARCHAR)" if parent is None else f"'{parent}'"
+    out = []
+    for c, ty in types.items():
+        ln = (f"CAST(min(length({c})) AS BIGINT), CAST(max(length({c})) AS BIGINT)"
+              if ty == "string" else "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
+        lo, hi = ln.split("), ")[0] + ")", ln.split("), ")[1]
+        out.append(f"SELECT '{table}' AS table_name, '{path}' AS path, '{relation}' AS relation, "
+                   f"{parent_sql} AS parent, '{c}' AS field_name, '{ty}' AS field_type, "
+                   f"true AS nullable, count(*) AS n_rows, (count(*) - count({c})) AS n_null, "
+                   f"{lo} AS len_min, {hi} AS len_max FROM {src}")
+    return "\nUNION ALL\n".join(out)
+
+
+# --- N1 -----------------------------------------------------------------------
+
+@register("field_profile",
+          _profile_sql("orders", "", "root", None, _ORDER_TYPES, "orders")
+          + "\nUNION ALL\n"
+          + _profile_sql("lines", "lines", "1_n", "orders", _LINE_TYPES, _LINES_OF_ORDERS))
+def q_field_profile(spark, sf_dir):
+    return FL.field_profile(order_docs(spark, sf_dir), "orders")
+
+
+# --- N2, N3, N4/N5/F4 ---------------------------------------------------------
+
+@register("split_struct",
+          "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def q_split_struct(spark, sf_dir):
+    return R.split_struct(customer_docs(spark, sf_dir), "profile", "c_custkey")
+
+
+@register("split_array", f"""
+SELECT l_orderkey AS o_orderkey,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY
+            {', '.join(D.LINE_FIELDS)}) - 1 AS INTEGER) AS lines_pos,
+       {', '.join(D.LINE_FIELDS)}
+FROM {_LINES_OF_ORDERS}""")
+def q_split_array(spark, sf_dir):
+    return R.split_array(order_docs(spark, sf_dir), "lines", "o_orderkey")
+
+
+@register("split_array_scalars", """
+SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS embedding_pos,
+       unnest(embedding) AS value
+FROM embeddings""")
+def q_split_array_scalars(spark, sf_dir):
+    emb = _tables(spark, sf_dir, ["embeddings"])["embeddings"]
+    return R.split_array(emb, "embedding", "vec_id")
+
+
+@register("root_table", """
+SELECT hex(o_orderkey) AS _id, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority
+FROM orders""")
+def q_root_table(spark, sf_dir):
+    docs = D.with_object_id(order_docs(spark, sf_dir), "o_orderkey")
+    return R.root_table(R.collapse_ids(docs))
+
+
+@register("array_text", """
+SELECT page_id, string_split(url, '/') AS parts,
+       list_filter(string_split(url, '/'), lambda x, i: i != 2) AS parts_but_second
+FROM pages""")
+def q_array_text(spark, sf_dir):
+    pages = _tables(spark, sf_dir, ["pages"])["pages"]
+    ids = pages.select("page_id", F.transform(F.split("url", "/"),
+                                              lambda x: F.struct(x.alias("oid"))).alias("ids"))
+    dt = ids.schema["ids"].dataType
+    parts = V.array_text(F.col("ids"), dt)
+    return ids.select("page_id", parts.alias("parts"),
+                      V.drop_element(parts, 1).alias("parts_but_second"))
+
+
+# --- S2 -----------------------------------------------------------------------
+
+@register("projected_paths", """
+SELECT c_custkey, c_name AS profile_c_name, c_acctbal AS profile_c_acctbal FROM customer""")
+def q_projected_paths(spark, sf_dir):
+    return S.read_paths(customer_docs(spark, sf_dir),
+                        ["c_custkey", "profile.c_name", "profile.c_acctbal"])
+
+
+# --- A4/A5, A6, A7 --------------------------------------------------------------
+
+@register("nested_unique_columns", """
+WITH top AS (
+  SELECT 'c_custkey' AS column_name, count(DISTINCT c_custkey) = count(*) AS u FROM customer
+  UNION ALL SELECT 'c_nationkey', count(DISTINCT c_nationkey) = count(*) FROM customer
+  UNION ALL SELECT 'profile', count(DISTINCT struct_pack(c_name, c_acctbal, c_mktsegment))
+                               = count(*) FROM customer),
+sub AS (
+  SELECT 'profile.c_name' AS column_name, count(DISTINCT c_name) = count(*) AS u FROM customer
+  UNION ALL SELECT 'profile.c_acctbal', count(DISTINCT c_acctbal) = count(*) FROM customer
+  UNION ALL SELECT 'profile.c_mktsegment', count(DISTINCT c_mktsegment) = count(*) FROM customer),
+keys AS (
+  SELECT column_name FROM top WHERE u
+  UNION ALL
+  SELECT column_name FROM sub WHERE u AND (SELECT u FROM top WHERE column_name = 'profile'))
+SELECT 'customer' AS table_name, column_name FROM keys
+WHERE column_name NOT IN (SELECT split_part(column_name, '.', 1) FROM keys
+                          WHERE column_name LIKE '%.%')""")
+def q_nested_unique_columns(spark, sf_dir):
+    return P.nested_unique_columns(customer_docs(spark, sf_dir), "customer")
+
+
+_TEXT_COLUMNS = {"part": ["p_name", "p_brand", "p_type"],
+                 "customer": ["c_name", "c_mktsegment"],
+                 "documents": ["text", "lang", "source"]}
+
+
+@register("length_stats", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+    f"CAST(coalesce(min(length({c})), 0) AS BIGINT) AS len_min, "
+    f"CAST(coalesce(max(length({c})), 0) AS BIGINT) AS len_max FROM {t}"
+    for t, cs in _TEXT_COLUMNS.items() for c in cs))
+def q_length_stats(spark, sf_dir):
+    t = _tables(spark, sf_dir, list(_TEXT_COLUMNS))
+    # Text columns only: doubles print differently in each engine.
+    return union_all([P.length_stats(t[n], n, include_double=False) for n in _TEXT_COLUMNS])
+
+
+@register("sample_values", """
+SELECT c_custkey, c_name AS value FROM customer ORDER BY c_custkey LIMIT 10""")
+def q_sample_values(spark, sf_dir):
+    return P.sample_values(customer_docs(spark, sf_dir), "profile.c_name", "c_custkey", 10)
