@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions import values as V
 from tessera.operators import fields as FL
 from tessera.operators import profile as P
+from tessera.operators import relations as RL
 from tessera.operators import reshape as R
 from tessera.operators.common import union_all
 from tessera.sources import derived as D
@@ -274,3 +275,215 @@ def q_length_stats(spark, sf_dir):
 SELECT c_custkey, c_name AS value FROM customer ORDER BY c_custkey LIMIT 10""")
 def q_sample_values(spark, sf_dir):
     return P.sample_values(customer_docs(spark, sf_dir), "profile.c_name", "c_custkey", 10)
+
+
+# --- R1-R10: value matching and keys -------------------------------------------
+
+def link_collections(spark, sf_dir) -> dict[str, DataFrame]:
+    """nation, customer (with its nation's name as text) and supplier, with
+    integer keys cast to text so the reference's text-only rule can link
+    them."""
+    t = _tables(spark, sf_dir, ["nation", "customer", "supplier"])
+    s = lambda c: F.col(c).cast("string").alias(c)
+    names = t["nation"].select(F.col("n_nationkey").alias("c_nationkey"),
+                               F.col("n_name").alias("c_nation"))
+    return {
+        "nation": t["nation"].select(s("n_nationkey"), "n_name", s("n_regionkey")),
+        "customer": t["customer"].join(names, "c_nationkey", "left").select(
+            s("c_custkey"), "c_name", "c_nation", s("c_nationkey"), "c_acctbal", "c_mktsegment"),
+        "supplier": t["supplier"].select(s("s_suppkey"), "s_name", s("s_nationkey"), "s_acctbal"),
+    }
+
+
+LINK_SPEC = [
+    ("nation", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
+               "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation",
+     [("n_nationkey", "text"), ("n_name", "text"), ("n_regionkey", "text")]),
+    ("customer", "SELECT CAST(c.c_custkey AS VARCHAR) AS c_custkey, c.c_name, n.n_name AS c_nation, "
+                 "CAST(c.c_nationkey AS VARCHAR) AS c_nationkey, c.c_acctbal, c.c_mktsegment "
+                 "FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey",
+     [("c_custkey", "text"), ("c_name", "text"), ("c_nation", "text"), ("c_nationkey", "text"),
+      ("c_acctbal", "other"), ("c_mktsegment", "text")]),
+    ("supplier", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, "
+                 "CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_acctbal FROM supplier",
+     [("s_suppkey", "text"), ("s_name", "text"), ("s_nationkey", "text"), ("s_acctbal", "other")]),
+]
+
+ARRAY_SPEC = [
+    ("orders", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) "
+               "AS o_custkey, o_orderstatus, o_orderpriority FROM orders",
+     [("o_orderkey", "text"), ("o_custkey", "text"), ("o_orderstatus", "text"),
+      ("o_orderpriority", "text")]),
+    ("cust_orders", "SELECT CAST(o_custkey AS VARCHAR) AS c_custkey, "
+                    "list(CAST(o_orderkey AS VARCHAR)) AS order_keys FROM orders GROUP BY o_custkey",
+     [("c_custkey", "text"), ("order_keys", "array")]),
+]
+
+
+def array_collections(spark, sf_dir) -> dict[str, DataFrame]:
+    """orders and customers holding the array of their order keys (text)."""
+    orders = _tables(spark, sf_dir, ["orders"])["orders"]
+    s = lambda c: F.col(c).cast("string").alias(c)
+    co = D.customer_order_keys(orders)
+    return {
+        "orders": orders.select(s("o_orderkey"), s("o_custkey"), "o_orderstatus", "o_orderpriority"),
+        "cust_orders": co.select(s("c_custkey"),
+                                 F.col("order_keys").cast("array<string>").alias("order_keys")),
+    }
+
+
+def _match_ctes(spec, n=10) -> str:
+    """DuckDB CTEs ``vals``, ``uniq``, ``samples`` and ``matches`` for the
+    sample-mode matching of ``spec`` (text rule)."""
+    ctes = [f"{t}_c AS ({sql})" for t, sql, _ in spec]
+    vals, uniq, samples = [], [], []
+    for tp, (t, _, cols) in enumerate(spec):
+        for cp, (c, kind) in enumerate(cols):
+            if kind == "text":
+                vals.append(f"SELECT '{t}' AS t, {tp} AS t_pos, '{c}' AS f, {c} AS v FROM {t}_c")
+                uniq.append(f"SELECT '{t}' AS t, '{c}' AS f FROM {t}_c "
+                            f"HAVING count(DISTINCT {c}) = count(*)")
+            elif kind == "array":
+                vals.append(f"SELECT '{t}' AS t, {tp} AS t_pos, '{c}' AS f, unnest({c}) AS v "
+                            f"FROM {t}_c")
+        key = cols[0][0]
+        texts = [(cp, c) for cp, (c, kind) in enumerate(cols) if kind == "text"]
+        top = (f"(SELECT *, row_number() OVER (ORDER BY {key}) - 1 AS doc FROM {t}_c "
+               f"ORDER BY {key} LIMIT {n})")
+        for cp, c in texts:
+            samples.append(
+                f"SELECT '{t}' AS to_table, {tp} AS to_pos, CAST(doc AS INTEGER) AS doc, "
+                f"'{c}' AS to_field, {-cp} AS u_rank, {c} AS value FROM {top} "
+                f"WHERE EXISTS (SELECT 1 FROM uniq WHERE t = '{t}' AND f = '{c}')")
+    ctes.append("vals AS (" + " UNION ALL ".join(vals) + ")")
+    ctes.append("uniq AS (" + " UNION ALL ".join(uniq) + ")")
+    ctes.append("samples AS (" + " UNION ALL ".join(samples) + ")")
+    ctes.append("matches AS (SELECT DISTINCT v.t AS from_table, v.f AS from_field, s.to_table, "
+                "s.to_field, s.doc, v.t_pos AS from_pos, s.to_pos, s.u_rank FROM vals v "
+                "JOIN samples s ON v.v = s.value AND v.t <> s.to_table WHERE v.v IS NOT NULL)")
+    ctes.append("fks AS (SELECT from_table, from_field, "
+                "arg_max(to_table, CAST(to_pos AS BIGINT) * 1000000000 + doc * 1000000 + u_rank + 500000) AS to_table, "
+                "arg_max(to_field, CAST(to_pos AS BIGINT) * 1000000000 + doc * 1000000 + u_rank + 500000) AS to_field "
+                "FROM matches GROUP BY from_table, from_field)")
+    return "WITH " + ",\n".join(ctes)
+
+
+def _summary_sql(spec):
+    return (_match_ctes(spec) + "\nSELECT from_table, from_field, to_table, to_field, "
+            "count(DISTINCT doc) AS matched_samples FROM matches "
+            "GROUP BY from_table, from_field, to_table, to_field")
+
+
+def _pk_sql(spec):
+    names = " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t, _, _ in spec)
+    return (_match_ctes(spec) + f""",
+tabs AS ({names}),
+chosen AS (SELECT to_table AS table_name,
+                  arg_max(to_field, CAST(doc AS BIGINT) * 1000000000 + from_pos * 1000000 + u_rank + 500000) AS pk
+           FROM matches GROUP BY to_table)
+SELECT t.table_name,
+       CASE WHEN coalesce(c.pk, '_id') IN (SELECT to_field FROM fks) THEN '_id'
+            ELSE coalesce(c.pk, '_id') END AS primary_key
+FROM tabs t LEFT JOIN chosen c ON t.table_name = c.table_name""")
+
+
+@register("match_scalar_sample", _summary_sql(LINK_SPEC))
+def q_match_scalar_sample(spark, sf_dir):
+    return RL.match_summary(RL.match_sample(link_collections(spark, sf_dir)))
+
+
+@register("match_array", _summary_sql(ARRAY_SPEC))
+def q_match_array(spark, sf_dir):
+    return RL.match_summary(RL.match_sample(array_collections(spark, sf_dir)))
+
+
+@register("assign_foreign_keys", _match_ctes(LINK_SPEC) + "\nSELECT * FROM fks")
+def q_assign_foreign_keys(spark, sf_dir):
+    return RL.assign_foreign_keys(RL.match_sample(link_collections(spark, sf_dir)))
+
+
+@register("primary_keys", _pk_sql(LINK_SPEC))
+def q_primary_keys(spark, sf_dir):
+    cols = link_collections(spark, sf_dir)
+    matches = RL.match_sample(cols)
+    return RL.assign_primary_keys(matches, list(cols))
+
+
+INCLUSION_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+_INT_COLUMNS = {"r_regionkey", "n_nationkey", "n_regionkey", "c_custkey", "c_nationkey",
+                "s_suppkey", "s_nationkey", "p_partkey", "p_size", "o_orderkey", "o_custkey",
+                "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"}
+_TEXT_KEYS = {"r_name", "n_name", "c_name", "c_mktsegment", "s_name", "p_name", "p_brand",
+              "p_type", "o_orderstatus", "o_orderpriority", "l_returnflag", "l_linestatus"}
+
+
+def _inclusion_sql():
+    vals, uniq = [], []
+    for t in INCLUSION_TABLES:
+        for c in TABLE_COLUMNS[t]:
+            if c in _INT_COLUMNS:
+                fam, v = "int", f"CAST(CAST({c} AS BIGINT) AS VARCHAR)"
+            elif c in _TEXT_KEYS:
+                fam, v = "text", c
+            else:
+                continue
+            vals.append(f"SELECT DISTINCT '{t}' AS t, '{c}' AS f, '{fam}' AS fam, {v} AS v "
+                        f"FROM {t} WHERE {c} IS NOT NULL")
+            uniq.append(f"SELECT '{t}' AS t, '{c}' AS f FROM {t} "
+                        f"HAVING count(DISTINCT {c}) = count(*)")
+    return f"""WITH vals AS ({' UNION ALL '.join(vals)}),
+uniq AS ({' UNION ALL '.join(uniq)}),
+ref AS (SELECT v.* FROM vals v JOIN uniq u ON v.t = u.t AND v.f = u.f),
+pairs AS (SELECT d.t AS from_table, d.f AS from_field, r.t AS to_table, r.f AS to_field,
+                 count(*) AS matched_values
+          FROM vals d JOIN ref r ON d.fam = r.fam AND d.v = r.v AND d.t <> r.t
+          GROUP BY d.t, d.f, r.t, r.f),
+totals AS (SELECT t AS from_table, f AS from_field, count(*) AS distinct_values
+           FROM vals GROUP BY t, f)
+SELECT p.from_table, p.from_field, p.to_table, p.to_field, p.matched_values,
+       t.distinct_values, p.matched_values / t.distinct_values AS coverage
+FROM pairs p JOIN totals t ON p.from_table = t.from_table AND p.from_field = t.from_field"""
+
+
+@register("match_inclusion", _inclusion_sql())
+def q_match_inclusion(spark, sf_dir):
+    return RL.match_inclusion(_tables(spark, sf_dir, INCLUSION_TABLES))
+
+
+@register("orphans", """
+SELECT 'orders.o_orderkey -> lineitem.l_orderkey' AS check_name, o_orderkey AS child_key
+FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+UNION ALL
+SELECT 'orders.o_custkey -> customer.c_custkey', o_custkey
+FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""")
+def q_orphans(spark, sf_dir):
+    t = _tables(spark, sf_dir, ["orders", "lineitem", "customer"])
+    a = RL.check_foreign_keys(t["orders"], t["lineitem"], "o_orderkey", "l_orderkey").select(
+        F.lit("orders.o_orderkey -> lineitem.l_orderkey").alias("check_name"),
+        F.col("o_orderkey").alias("child_key"))
+    b = RL.check_foreign_keys(t["orders"], t["customer"], "o_custkey", "c_custkey").select(
+        F.lit("orders.o_custkey -> customer.c_custkey").alias("check_name"),
+        F.col("o_custkey").alias("child_key"))
+    return a.unionByName(b)
+
+
+@register("rename_columns", """
+SELECT n_nationkey AS nation_id, n_name, n_regionkey AS region_ref, 0 AS n_orphans
+FROM nation n WHERE EXISTS (SELECT 1 FROM region r WHERE r.r_regionkey = n.n_regionkey)""")
+def q_rename_columns(spark, sf_dir):
+    t = _tables(spark, sf_dir, ["nation", "region"])
+    edges = spark.createDataFrame(
+        [("nation", "n_regionkey", "region", "r_regionkey")],
+        "from_table string, from_field string, to_table string, to_field string")
+    renames = {"nation": {"n_nationkey": "nation_id", "n_regionkey": "region_ref"},
+               "region": {"r_regionkey": "region_id"}}
+    tabs, pks, new_edges = R.rename_cascade(t, renames, {"nation": "n_nationkey",
+                                                        "region": "r_regionkey"}, edges)
+    # The edge list is the schema graph: one row per foreign key.
+    e = new_edges.collect()[0]
+    child, parent = tabs[e["from_table"]], tabs[e["to_table"]]
+    orphans = RL.check_foreign_keys(child, parent, e["from_field"], e["to_field"])
+    kept = child.join(parent.select(F.col(e["to_field"]).alias("__k")),
+                      F.col(e["from_field"]) == F.col("__k"), "left_semi")
+    n_orph = orphans.agg(F.count(F.lit(1)).cast("int").alias("n_orphans"))
+    return kept.crossJoin(n_orph).select(pks["nation"], "n_name", e["from_field"], "n_orphans")
