@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import jsonops as J
 from tessera.functions import values as V
 from tessera.operators import fields as FL
 from tessera.operators import profile as P
@@ -487,3 +488,83 @@ def q_rename_columns(spark, sf_dir):
                       F.col(e["from_field"]) == F.col("__k"), "left_semi")
     n_orph = orphans.agg(F.count(F.lit(1)).cast("int").alias("n_orphans"))
     return kept.crossJoin(n_orph).select(pks["nation"], "n_name", e["from_field"], "n_orphans")
+
+
+# --- J1-J6: JSON text ---------------------------------------------------------
+
+def customer_json(spark, sf_dir) -> DataFrame:
+    return D.as_json_text(customer_docs(spark, sf_dir), keep=["c_custkey"])
+
+
+def order_json(spark, sf_dir) -> DataFrame:
+    return D.as_json_text(order_docs(spark, sf_dir), keep=["o_orderkey"])
+
+
+@register("json_find", "SELECT c_custkey, c_name AS value FROM customer")
+def q_json_find(spark, sf_dir):
+    return J.json_find(customer_json(spark, sf_dir), "json", "c_name", keep=["c_custkey"])
+
+
+@register("json_strings", """
+SELECT c_custkey, 'c_name' AS key, c_name AS value FROM customer
+UNION ALL SELECT c_custkey, 'c_mktsegment', c_mktsegment FROM customer""")
+def q_json_strings(spark, sf_dir):
+    return J.json_strings(customer_json(spark, sf_dir), "json", keep=["c_custkey"])
+
+
+@register("json_count", """
+SELECT o.o_orderkey, count(l.l_orderkey) AS n_lines
+FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey""")
+def q_json_count(spark, sf_dir):
+    docs = order_json(spark, sf_dir)
+    return docs.select("o_orderkey", J.json_count(F.col("json"), "lines", "l_tax")
+                       .cast("bigint").alias("n_lines"))
+
+
+@register("json_field", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def q_json_field(spark, sf_dir):
+    ev = _tables(spark, sf_dir, ["events"])["events"]
+    return ev.select("event_id", J.json_field(F.col("props"), "$.k").alias("k"))
+
+
+_LINE_ORDER = ", ".join(f"l.{c}" for c in D.LINE_FIELDS)
+
+
+@register("json_field_nested", f"""
+WITH first_line AS (
+  SELECT l.l_orderkey, first(l.l_returnflag ORDER BY {_LINE_ORDER}) AS first_flag
+  FROM lineitem l GROUP BY l.l_orderkey)
+SELECT o.o_orderkey, f.first_flag,
+       CASE WHEN f.l_orderkey IS NULL THEN NULL ELSE 'struct' END AS first_kind,
+       CASE WHEN f.l_orderkey IS NULL THEN NULL ELSE 'array' END AS lines_kind
+FROM orders o LEFT JOIN first_line f ON f.l_orderkey = o.o_orderkey""")
+def q_json_field_nested(spark, sf_dir):
+    docs = order_json(spark, sf_dir)
+    j = F.col("json")
+    return docs.select("o_orderkey",
+                       J.json_field(j, "$.lines[0].l_returnflag").alias("first_flag"),
+                       J.json_field(j, "$.lines[0]").alias("first_kind"),
+                       J.json_field(j, "$.lines").alias("lines_kind"))
+
+
+@register("json_children", f"""
+WITH first_order AS (SELECT o_custkey, min(o_orderkey) AS ok FROM orders GROUP BY o_custkey),
+vals AS (
+  SELECT f.o_custkey, list(l.l_returnflag ORDER BY {_LINE_ORDER}) AS v, count(*) AS n
+  FROM first_order f JOIN lineitem l ON l.l_orderkey = f.ok GROUP BY f.o_custkey)
+SELECT c.c_custkey, CASE WHEN v.n >= 2 THEN v.v END AS member_values
+FROM customer c LEFT JOIN vals v ON v.o_custkey = c.c_custkey""")
+def q_json_children(spark, sf_dir):
+    t = _tables(spark, sf_dir, ["customer", "orders", "lineitem"])
+    docs = D.customer_order_documents(t["customer"], t["orders"], t["lineitem"])
+    text = D.as_json_text(docs, keep=["c_custkey"])
+    return J.json_children(text, "json", "orders", 0, "l_returnflag", keep=["c_custkey"])
+
+
+@register("json_array_rows", f"""
+SELECT l_orderkey AS o_orderkey, {', '.join(D.LINE_FIELDS)} FROM {_LINES_OF_ORDERS}""")
+def q_json_array_rows(spark, sf_dir):
+    docs = order_docs(spark, sf_dir)
+    elem = docs.schema["lines"].dataType.elementType
+    text = D.as_json_text(docs, keep=["o_orderkey"])
+    return J.json_array_rows(text, "json", "$.lines", elem, keep=["o_orderkey"])

@@ -56,3 +56,13 @@ def as_json_text(df: DataFrame, keep: list[str] | None = None, name: str = "json
     keep = keep or []
     return df.select(*[qcol(k) for k in keep],
                      F.to_json(F.struct(*[qcol(c) for c in df.columns])).alias(name))
+
+
+def customer_order_documents(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """customer + ``orders: array<struct<order columns, lines>>`` sorted by
+    order key: three levels of nesting (customer, order, line)."""
+    docs = order_documents(orders, lineitem)
+    per_cust = (docs.groupBy(F.col("o_custkey").alias("c_custkey"))
+                .agg(F.array_sort(F.collect_list(F.struct(
+                    *[c for c in docs.columns if c != "o_custkey"]))).alias("orders")))
+    return customer.join(per_cust, "c_custkey", "left")
