@@ -19,7 +19,11 @@ from tessera.operators import profile as P
 from tessera.operators import relations as RL
 from tessera.operators import reshape as R
 from tessera.operators.common import union_all
+from tessera.plans import migration as MG
+from tessera.plans import profiling as PR
+from tessera.session import scratch_path
 from tessera.sources import derived as D
+from tessera.sources import sinks as SK
 from tessera.sources import documents as S
 from tessera.sources.documents import TEST_TABLES, read_table_files
 
@@ -124,9 +128,6 @@ def q_unique_columns_null_group(spark, sf_dir):
     return P.unique_columns(nulled_orders(orders), "orders", nulls="group")
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The smoke query: unique columns of nation and customer."""
-    return P.unique_columns_of(_tables(spark, sf_dir, ["nation", "customer"]))
 
 
 # --- documents derived from the tables --------------------------------------
@@ -375,17 +376,22 @@ def _summary_sql(spec):
             "GROUP BY from_table, from_field, to_table, to_field")
 
 
-def _pk_sql(spec):
+def _pks_cte(spec) -> str:
     names = " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t, _, _ in spec)
-    return (_match_ctes(spec) + f""",
+    return f""",
 tabs AS ({names}),
 chosen AS (SELECT to_table AS table_name,
-                  arg_max(to_field, CAST(doc AS BIGINT) * 1000000000 + from_pos * 1000000 + u_rank + 500000) AS pk
-           FROM matches GROUP BY to_table)
-SELECT t.table_name,
-       CASE WHEN coalesce(c.pk, '_id') IN (SELECT to_field FROM fks) THEN '_id'
-            ELSE coalesce(c.pk, '_id') END AS primary_key
-FROM tabs t LEFT JOIN chosen c ON t.table_name = c.table_name""")
+                  arg_max(to_field, CAST(doc AS BIGINT) * 1000000000 + from_pos * 1000000
+                                    + u_rank + 500000) AS pk
+           FROM matches GROUP BY to_table),
+pks AS (SELECT t.table_name,
+               CASE WHEN coalesce(c.pk, '_id') IN (SELECT to_field FROM fks) THEN '_id'
+                    ELSE coalesce(c.pk, '_id') END AS primary_key
+        FROM tabs t LEFT JOIN chosen c ON t.table_name = c.table_name)"""
+
+
+def _pk_sql(spec):
+    return _match_ctes(spec) + _pks_cte(spec) + "\nSELECT table_name, primary_key FROM pks"
 
 
 @register("match_scalar_sample", _summary_sql(LINK_SPEC))
@@ -568,3 +574,112 @@ def q_json_array_rows(spark, sf_dir):
     elem = docs.schema["lines"].dataType.elementType
     text = D.as_json_text(docs, keep=["o_orderkey"])
     return J.json_array_rows(text, "json", "$.lines", elem, keep=["o_orderkey"])
+
+
+# --- M1: profile a document database -----------------------------------------
+
+def profile_collections(spark, sf_dir) -> dict[str, DataFrame]:
+    """customer documents (with an embedded profile and the nation's name)
+    and nation documents, keys as text."""
+    t = _tables(spark, sf_dir, ["customer", "nation"])
+    s = lambda c: F.col(c).cast("string").alias(c)
+    names = t["nation"].select(F.col("n_nationkey").alias("c_nationkey"),
+                               F.col("n_name").alias("c_nation"))
+    cust = t["customer"].join(names, "c_nationkey", "left").select(
+        s("c_custkey"), "c_nation", s("c_nationkey"),
+        F.struct("c_name", "c_acctbal", "c_mktsegment").alias("profile"))
+    nation = t["nation"].select(s("n_nationkey"), "n_name", s("n_regionkey"))
+    return {"customer": cust, "nation": nation}
+
+
+PROFILE_SPEC = [
+    ("customer", "SELECT CAST(c.c_custkey AS VARCHAR) AS c_custkey, n.n_name AS c_nation, "
+                 "CAST(c.c_nationkey AS VARCHAR) AS c_nationkey "
+                 "FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey",
+     [("c_custkey", "text"), ("c_nation", "text"), ("c_nationkey", "text"), ("profile", "other")]),
+    ("nation", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, "
+               "CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation",
+     [("n_nationkey", "text"), ("n_name", "text"), ("n_regionkey", "text")]),
+]
+_PROFILE_FIELDS = [("customer", "c_custkey", "string", True), ("customer", "c_nation", "string", True),
+                   ("customer", "c_nationkey", "string", True), ("profile", "c_name", "string", False),
+                   ("profile", "c_acctbal", "double", False), ("profile", "c_mktsegment", "string", False),
+                   ("nation", "n_nationkey", "string", True), ("nation", "n_name", "string", True),
+                   ("nation", "n_regionkey", "string", True)]
+
+
+def _profile_documents_sql() -> str:
+    vals = ", ".join(f"('{t}', '{f}', '{ty}', {str(r).lower()})" for t, f, ty, r in _PROFILE_FIELDS)
+    return (_match_ctes(PROFILE_SPEC) + _pks_cte(PROFILE_SPEC) + f""",
+flds AS (SELECT * FROM (VALUES {vals}) AS v(table_name, field_name, field_type, is_root))
+SELECT f.table_name, f.field_name, f.field_type,
+       CASE WHEN f.is_root THEN k.to_table END AS ref_table,
+       CASE WHEN f.is_root THEN k.to_field END AS ref_field,
+       CASE WHEN f.is_root THEN p.primary_key ELSE '_id' END AS primary_key
+FROM flds f
+LEFT JOIN fks k ON f.is_root AND k.from_table = f.table_name AND k.from_field = f.field_name
+LEFT JOIN pks p ON f.is_root AND p.table_name = f.table_name""")
+
+
+@register("profile_documents", _profile_documents_sql())
+def q_profile_documents(spark, sf_dir):
+    prof = PR.profile_documents(profile_collections(spark, sf_dir))
+    return prof.fields.select("table_name", "field_name", "field_type", "ref_table", "ref_field",
+                              "primary_key")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smoke query: M1 over customer and nation documents."""
+    return q_profile_documents(spark, sf_dir)
+
+
+# --- S1, N7/S9, M2, M4: writes and read-backs under the checkpoint folder -------
+
+@register("read_documents", """
+SELECT c_custkey, c_name, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer""")
+def q_read_documents(spark, sf_dir):
+    out = scratch_path(spark, "customer-docs")
+    SK.write_documents(customer_docs(spark, sf_dir), out, fmt="json")
+    back = S.read_documents(spark, out, fmt="json")
+    return back.select("c_custkey", F.col("profile.c_name").alias("c_name"),
+                       F.col("profile.c_acctbal").alias("c_acctbal"), "c_nationkey")
+
+
+@register("table_to_documents", "SELECT * FROM nation")
+def q_table_to_documents(spark, sf_dir):
+    nation = _tables(spark, sf_dir, ["nation"])["nation"]
+    out = scratch_path(spark, "nation-json")
+    R.table_to_documents(nation, as_json=True).write.text(out)
+    return S.read_documents(spark, out, fmt="json", schema=nation.schema)
+
+
+@register("migrate_tables", """
+SELECT 'region' AS table_name, CAST(r_regionkey AS BIGINT) AS id, r_name AS name FROM region
+UNION ALL SELECT 'nation', CAST(n_nationkey AS BIGINT), n_name FROM nation""")
+def q_migrate_tables(spark, sf_dir):
+    src = _tables(spark, sf_dir, ["region", "nation"])
+    paths = MG.migrate_tables(src, scratch_path(spark, "tables-to-docs"))
+    r = S.read_documents(spark, paths["region"])
+    n = S.read_documents(spark, paths["nation"])
+    return (r.select(F.lit("region").alias("table_name"), F.col("r_regionkey").alias("id"),
+                     F.col("r_name").alias("name"))
+            .unionByName(n.select(F.lit("nation").alias("table_name"),
+                                  F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))))
+
+
+_RENAMED_LINE_FIELDS = [("tax" if c == "l_tax" else c) for c in D.LINE_FIELDS]
+
+
+@register("migrate_documents", f"""
+SELECT hex(l_orderkey) AS _id,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY
+            {', '.join(D.LINE_FIELDS)}) - 1 AS INTEGER) AS lines_pos,
+       {', '.join(c if c != 'l_tax' else 'l_tax AS tax' for c in D.LINE_FIELDS)}
+FROM {_LINES_OF_ORDERS}""")
+def q_migrate_documents(spark, sf_dir):
+    docs = D.with_object_id(order_docs(spark, sf_dir), "o_orderkey")
+    out = scratch_path(spark, "docs-to-tables")
+    MG.migrate_documents(docs, "orders", MG.PathTarget(out), primary_keys={"orders": "_id"},
+                         edges=[("lines", "_id", "orders", "_id")],
+                         renames={"lines": {"l_tax": "tax"}})
+    return spark.read.parquet(f"{out}/lines")
