@@ -34,9 +34,28 @@ def json_text(df: DataFrame, col: str) -> Column:
     return F.to_json(qcol(col))
 
 
+def schema_depth(dt: T.DataType) -> int:
+    """Nesting depth of a typed value: the walk levels its JSON text needs."""
+    if isinstance(dt, T.StructType):
+        return 1 + max([schema_depth(f.dataType) for f in dt.fields] or [0])
+    if isinstance(dt, T.ArrayType):
+        return 1 + schema_depth(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return 1 + schema_depth(dt.valueType)
+    return 0
+
+
 def max_depth(df: DataFrame, col: str) -> int:
-    """Deepest nesting of objects/arrays over all documents (one aggregate;
-    the result is a single number)."""
+    """Deepest nesting of objects/arrays over all documents.
+
+    For a typed column (struct, array, map) the schema gives it with no data
+    pass. For JSON text it is one aggregate over the text (the result is a
+    single number): string literals are removed, then the running bracket
+    depth is folded over what remains.
+    """
+    dt = df.schema[col].dataType
+    if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
+        return schema_depth(dt)
     brackets = F.regexp_replace(F.regexp_replace(json_text(df, col), _STRING_LITERAL, ""),
                                 r"[^\[\]{}]", "")
     depth = F.aggregate(
@@ -67,21 +86,42 @@ def _children(v: Column, order: Column, key: Column) -> Column:
 
 
 def json_nodes(df: DataFrame, col: str, keep: Iterable[str] = (), depth: int | None = None,
-               root: Column | None = None) -> DataFrame:
+               root: Column | None = None, leaf_filter=None, marker: bool = False) -> DataFrame:
     """Every leaf of every document: ``<keep...>, k, v, o`` where ``k`` is the
     field name (NULL for array elements and the root), ``v`` the leaf as
-    variant and ``o`` its position path (document order)."""
+    variant and ``o`` its position path (document order).
+
+    ``leaf_filter(k, v)`` (a Column predicate) drops unwanted leaves as soon
+    as they are found, so they are not carried through deeper levels. With
+    ``marker`` every document also yields one row with ``mk = true`` (and
+    NULL ``v``), so callers can keep documents that have no matching leaf
+    without a second pass over the input.
+    """
     keep = list(keep)
     if depth is None:
         depth = max_depth(df, col)
     v = root if root is not None else F.parse_json(json_text(df, col))
-    cur = df.select(*[qcol(k) for k in keep], F.lit(None).cast("string").alias("k"),
-                    v.alias("v"), F.array().cast("array<int>").alias("o"))
+    ks = [qcol(k) for k in keep]
+    start = F.struct(F.lit(None).cast("string").alias("k"), v.alias("v"),
+                     F.array().cast("array<int>").alias("o"), F.lit(False).alias("mk"))
+    if marker:
+        mark = F.struct(F.lit(None).cast("string").alias("k"), F.lit(None).cast("variant").alias("v"),
+                        F.array().cast("array<int>").alias("o"), F.lit(True).alias("mk"))
+        cur = df.select(*ks, F.explode(F.array(start, mark)).alias("s")).select(*ks, "s.*")
+    else:
+        cur = df.select(*ks, start.alias("s")).select(*ks, "s.*")
     for _ in range(depth):
-        cur = cur.select(*[qcol(k) for k in keep],
-                         F.explode(_children(F.col("v"), F.col("o"), F.col("k"))).alias("n")
-                         ).select(*[qcol(k) for k in keep], "n.k", "n.v", "n.o")
-    return cur.where(F.col("v").isNotNull())
+        cur = (cur.select(*ks, "mk", F.explode(_children(F.col("v"), F.col("o"), F.col("k"))).alias("n"))
+               .select(*ks, "n.k", "n.v", "n.o", "mk", "n.leaf"))
+        if leaf_filter is not None:
+            cur = cur.where(~F.col("leaf") | F.col("mk") | leaf_filter(F.col("k"), F.col("v")))
+        cur = cur.drop("leaf")
+    out = cur.where(F.col("v").isNotNull() | F.col("mk"))
+    if leaf_filter is not None:
+        out = out.where(F.col("mk") | leaf_filter(F.col("k"), F.col("v")))
+    if not marker:
+        out = out.drop("mk")
+    return out
 
 
 def _is_string(v: Column) -> Column:
@@ -94,8 +134,9 @@ def json_find(df: DataFrame, col: str, key: str, keep: Iterable[str] = (),
     ``<keep...>, value`` (one row per occurrence, in document order within a
     document). Values of other types and array elements are skipped."""
     keep = list(keep)
-    nodes = json_nodes(df, col, keep, depth)
-    return (nodes.where((F.col("k") == F.lit(key)) & _is_string(F.col("v")))
+    nodes = json_nodes(df, col, keep, depth,
+                       leaf_filter=lambda k, v: (k == F.lit(key)) & _is_string(v))
+    return (nodes
             .select(*[qcol(k) for k in keep], F.variant_get("v", "$", "string").alias("value")))
 
 
@@ -104,8 +145,9 @@ def json_strings(df: DataFrame, col: str, keep: Iterable[str] = (),
     """Every string value of an object field at any depth:
     ``<keep...>, key, value``."""
     keep = list(keep)
-    nodes = json_nodes(df, col, keep, depth)
-    return (nodes.where(F.col("k").isNotNull() & _is_string(F.col("v")))
+    nodes = json_nodes(df, col, keep, depth,
+                       leaf_filter=lambda k, v: k.isNotNull() & _is_string(v))
+    return (nodes
             .select(*[qcol(k) for k in keep], F.col("k").alias("key"),
                     F.variant_get("v", "$", "string").alias("value")))
 
@@ -149,15 +191,14 @@ def json_children(df: DataFrame, col: str, array_key: str, index: int, member: s
     sub = F.try_variant_get(F.parse_json(json_text(df, col)), f"$.{array_key}[{index}]", "variant")
     if depth is None:
         depth = max_depth(df, col)
-    nodes = json_nodes(df, col, keep, depth, root=sub)
-    hits = (nodes.where(F.col("k") == F.lit(member))
-            .select(*[qcol(k) for k in keep], F.struct("o", variant_text(F.col("v")).alias("t")).alias("h")))
-    grouped = hits.groupBy(*[qcol(k) for k in keep]).agg(
-        F.transform(F.array_sort(F.collect_list("h")), lambda h: h["t"]).alias("member_values"))
-    out = df.select(*[qcol(k) for k in keep]).join(grouped, keep, "left")
-    return out.select(*[qcol(k) for k in keep],
-                      F.when(F.size("member_values") >= 2, F.col("member_values"))
-                      .alias("member_values"))
+    nodes = json_nodes(df, col, keep, depth, root=sub,
+                       leaf_filter=lambda k, v: k == F.lit(member), marker=True)
+    hit = F.when(~F.col("mk"), F.struct("o", variant_text(F.col("v")).alias("t")))
+    grouped = nodes.groupBy(*[qcol(k) for k in keep]).agg(
+        F.transform(F.array_sort(F.collect_list(hit)), lambda h: h["t"]).alias("member_values"))
+    return grouped.select(*[qcol(k) for k in keep],
+                          F.when(F.size("member_values") >= 2, F.col("member_values"))
+                          .alias("member_values"))
 
 
 def json_array_rows(df: DataFrame, col: str, path: str, element_schema: T.DataType | str,

@@ -1,12 +1,10 @@
 """Key profiling: row counts, distinct counts, unique columns.
 
 Every statistic is a plain aggregate, so Spark computes it with a partial
-(map-side) aggregate per task and a small final merge. Distinct counts of
-many columns run in one pass; Spark rewrites several ``count(DISTINCT)``
-into one Expand + two-level hash aggregate, so each task ships at most one
-row per (column, distinct value) it saw, never its raw rows. Hot values are
-folded before the shuffle, so a value holding a third of the rows costs one
-row per task.
+(map-side) aggregate per task and a small final merge. A distinct count is
+a two-level hash aggregate: each task ships at most one row per distinct
+value it saw, never its raw rows, so a value holding a third of the rows
+costs one row per task before the shuffle.
 """
 
 from __future__ import annotations
@@ -58,35 +56,54 @@ def _as_exprs(df: DataFrame, columns) -> dict[str, Column]:
 
 
 def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] | None = None,
-                    table_name: str | None = None, batch: int = DEFAULT_BATCH) -> DataFrame:
+                    table_name: str | None = None, batch: int = DEFAULT_BATCH,
+                    strategy: str = "per_column") -> DataFrame:
     """A2: ``[table_name,] column_name, n_rows, n_distinct, n_null`` per column.
 
     ``n_distinct`` skips NULL (SQL ``count(DISTINCT)``); ``n_null`` lets the
     caller apply either null rule. ``columns`` may map output names to
-    expressions (nested paths). One aggregation pass per ``batch`` columns.
+    expressions (nested paths).
+
+    ``strategy="per_column"`` (default) gives every column its own
+    single-distinct aggregate and unions them: each branch scans only its
+    column (Parquet/ORC column pruning) and hashes one narrow key, and the
+    branches run as parallel stages of one job. ``"expand"`` computes all
+    columns in one pass per ``batch`` columns (Spark's Expand rewrite of
+    several ``count(DISTINCT)``): one scan instead of one per column, which
+    suits row-format sources (JSON, JDBC) where every scan reads everything.
     """
     exprs = _as_exprs(df, columns)
     names = list(exprs)
-    parts = []
-    for group in chunks(names, batch):
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        for i, name in enumerate(group):
-            e = exprs[name]
-            aggs.append(F.count_distinct(e).alias(f"__d{i}"))
-            aggs.append(F.sum(F.when(e.isNull(), 1).otherwise(0)).cast("bigint").alias(f"__z{i}"))
-        one = df.agg(*aggs)
-        if not group:
-            continue
-        rows = F.explode(F.array(*[
-            F.struct(F.lit(name).alias("column_name"),
-                     F.col(f"__d{i}").alias("n_distinct"),
-                     F.col(f"__z{i}").alias("n_null"))
-            for i, name in enumerate(group)])).alias("r")
-        parts.append(one.select(F.col("__n").alias("n_rows"), rows)
-                     .select("r.column_name", "n_rows", "r.n_distinct", "r.n_null"))
-    if not parts:
+    if not names:
         raise ValueError("no column to count")
-    out = union_all(parts)
+    if strategy == "per_column":
+        parts = []
+        for name in names:
+            e = exprs[name]
+            parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"),
+                                F.count_distinct(e).alias("n_distinct"),
+                                (F.count(F.lit(1)) - F.count(e)).alias("n_null"))
+                         .select(F.lit(name).alias("column_name"), "n_rows", "n_distinct", "n_null"))
+        out = union_all(parts)
+    elif strategy == "expand":
+        parts = []
+        for group in chunks(names, batch):
+            aggs = [F.count(F.lit(1)).alias("__n")]
+            for i, name in enumerate(group):
+                e = exprs[name]
+                aggs.append(F.count_distinct(e).alias(f"__d{i}"))
+                aggs.append((F.count(F.lit(1)) - F.count(e)).alias(f"__z{i}"))
+            one = df.agg(*aggs)
+            rows = F.explode(F.array(*[
+                F.struct(F.lit(name).alias("column_name"),
+                         F.col(f"__d{i}").alias("n_distinct"),
+                         F.col(f"__z{i}").alias("n_null"))
+                for i, name in enumerate(group)])).alias("r")
+            parts.append(one.select(F.col("__n").alias("n_rows"), rows)
+                         .select("r.column_name", "n_rows", "r.n_distinct", "r.n_null"))
+        out = union_all(parts)
+    else:
+        raise ValueError("strategy must be 'per_column' or 'expand'")
     if table_name is not None:
         out = out.select(F.lit(table_name).alias("table_name"), *out.columns)
     return out

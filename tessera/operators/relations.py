@@ -9,10 +9,11 @@ other collection in nested loops. Here both sides become long-form
   unique columns x collections`` rows, a bound fixed by the schema, so it is
   broadcast and the searched side is never shuffled; matches are folded by
   a partial aggregate before the only shuffle;
-* inclusion mode: both sides are first reduced to distinct values per
-  column (partial aggregation folds hot values inside each task), then
-  joined on the value. After the distinct, one value has at most one row
-  per column on each side, so a hot value costs at most columns^2 rows.
+* inclusion mode: values are grouped once on ``(family, value)`` into a
+  bitmask of the columns holding each (a plain aggregate folded map-side,
+  so hot values collapse inside each task); column pairs are emitted per
+  value, so a hot value costs at most columns^2 rows whatever its
+  frequency.
 
 ``family`` keeps integers from matching strings that happen to spell them.
 """
@@ -202,6 +203,9 @@ def match_summary(matches: DataFrame) -> DataFrame:
             .agg(F.count_distinct("doc").alias("matched_samples")))
 
 
+_BITS = 62  # columns per bitmask word (keeps 1 << i positive in a bigint)
+
+
 def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]] | None = None,
                     arrays: bool = True, id_column: str = ID) -> DataFrame:
     """R1 ``mode="inclusion"``: for every column S.c and unique column C.u of
@@ -210,29 +214,75 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
     ``coverage = matched / distinct``. All values, not a sample. Even
     coverage 1 can be a coincidence, so every candidate is returned with its
     score rather than one guess.
+
+    Plan: every comparable column gets an index (the column list is schema
+    metadata). One scan of each collection in long form feeds a single hash
+    aggregation on ``(family, value)`` that ORs ``1 << index`` into a few
+    bigint words: a plain aggregate with map-side combine, so each task
+    ships one row per distinct value whatever its frequency, and a value
+    shared by many columns is one row, not many. Each value then emits its
+    (column, unique column) pairs plus one total per column - at most
+    columns^2 small rows for the hottest value - and a final small count
+    and window give the scores.
     """
     if keys is None:
         keys = unique_key_lists(collections, id_column=id_column)
-    dep = union_all([long_values(df, name, pos, "inclusion", arrays)
-                     for pos, (name, df) in enumerate(collections.items())]
-                    ).select("table", "field", "family", "value").distinct()
-    ref = dep.join(
-        dep.sparkSession.createDataFrame(
-            [(t, u) for t, us in keys.items() for u in us], "table string, field string"),
-        ["table", "field"], "left_semi")
-    r = ref.select(F.col("table").alias("to_table"), F.col("field").alias("to_field"),
-                   F.col("family").alias("r_family"), F.col("value").alias("r_value"))
-    pairs = (dep.join(r, (dep["family"] == r["r_family"]) & (dep["value"] == r["r_value"])
-                      & (dep["table"] != r["to_table"]))
-             .groupBy(F.col("table").alias("from_table"), F.col("field").alias("from_field"),
-                      "to_table", "to_field")
-             .agg(F.count(F.lit(1)).alias("matched_values")))
-    totals = (dep.groupBy(F.col("table").alias("from_table"), F.col("field").alias("from_field"))
-              .agg(F.count(F.lit(1)).alias("distinct_values")))
-    return (pairs.join(totals, ["from_table", "from_field"])
-            .select("from_table", "from_field", "to_table", "to_field", "matched_values",
-                    "distinct_values",
-                    (F.col("matched_values") / F.col("distinct_values")).alias("coverage")))
+    longs = [long_values(df, name, pos, "inclusion", arrays)
+             for pos, (name, df) in enumerate(collections.items())]
+    # Comparable columns, in a fixed order: (table, field).
+    columns: list[tuple[str, str]] = []
+    index: dict[tuple[str, str], int] = {}
+    for name, df in collections.items():
+        for f in df.schema.fields:
+            dt = f.dataType
+            ok = _family(dt, "inclusion") is not None or (
+                arrays and isinstance(dt, T.ArrayType)
+                and _family(dt.elementType, "inclusion") is not None)
+            if ok:
+                index[(name, f.name)] = len(columns)
+                columns.append((name, f.name))
+    spark = next(iter(collections.values())).sparkSession
+    out_schema = ("from_table string, from_field string, to_table string, to_field string, "
+                  "matched_values bigint, distinct_values bigint, coverage double")
+    if not columns:
+        return spark.createDataFrame([], out_schema)
+    n = len(columns)
+    words = (n + _BITS - 1) // _BITS
+    idx_map = F.create_map(*[x for (t, f), i in index.items()
+                             for x in (F.lit(f"{t}\u0001{f}"), F.lit(i))])
+    vals = union_all(longs).select(
+        "family", "value",
+        idx_map[F.concat_ws("\u0001", "table", "field")].alias("ci"))
+    aggs = [F.expr(f"bit_or(CASE WHEN floor(ci / {_BITS}) = {w} "
+                   f"THEN shiftleft(1L, CAST(ci % {_BITS} AS INT)) END)").alias(f"w{w}")
+            for w in range(words)]
+    masks = (vals.groupBy("family", "value").agg(*aggs)
+             .select(F.array(*[F.coalesce(F.col(f"w{w}"), F.lit(0).cast("bigint"))
+                               for w in range(words)]).alias("words")))
+    present = F.expr(f"filter(sequence(0, {n - 1}), i -> (shiftright(element_at(words, "
+                     f"CAST(floor(i / {_BITS}) + 1 AS INT)), CAST(i % {_BITS} AS INT)) & 1) = 1)")
+    tables = F.array(*[F.lit(t) for t, _ in columns])
+    ref = set()
+    for t, us in keys.items():
+        for u in us:
+            if (t, u) in index:
+                ref.add(index[(t, u)])
+    is_ref = F.array(*[F.lit(i in ref) for i in range(n)])
+    at = lambda arr, i: F.element_at(arr, i + 1)
+    pairs = F.flatten(F.transform(present, lambda i: F.concat(
+        F.array(F.struct(i.alias("i"), F.lit(-1).alias("j"))),
+        F.transform(F.filter(present, lambda j: at(is_ref, j) & (at(tables, j) != at(tables, i))),
+                    lambda j: F.struct(i.alias("i"), j.alias("j"))))))
+    counts = (masks.select(F.explode(pairs).alias("p"))
+              .groupBy("p.i", "p.j").agg(F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy("i")
+    fields = F.array(*[F.lit(f) for _, f in columns])
+    scored = (counts.withColumn("distinct_values", F.max(F.when(F.col("j") < 0, F.col("n"))).over(w))
+              .where(F.col("j") >= 0))
+    return scored.select(at(tables, F.col("i")).alias("from_table"), at(fields, F.col("i")).alias("from_field"),
+                         at(tables, F.col("j")).alias("to_table"), at(fields, F.col("j")).alias("to_field"),
+                         F.col("n").alias("matched_values"), "distinct_values",
+                         (F.col("n") / F.col("distinct_values")).alias("coverage"))
 
 
 def assign_foreign_keys(matches: DataFrame) -> DataFrame:

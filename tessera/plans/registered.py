@@ -502,6 +502,11 @@ def customer_json(spark, sf_dir) -> DataFrame:
     return D.as_json_text(customer_docs(spark, sf_dir), keep=["c_custkey"])
 
 
+def as_document(df: DataFrame, keep: list[str]) -> DataFrame:
+    """The whole row as one typed document column ``doc`` next to ``keep``."""
+    return df.select(*keep, F.struct(*df.columns).alias("doc"))
+
+
 def order_json(spark, sf_dir) -> DataFrame:
     return D.as_json_text(order_docs(spark, sf_dir), keep=["o_orderkey"])
 
@@ -511,6 +516,13 @@ def q_json_find(spark, sf_dir):
     return J.json_find(customer_json(spark, sf_dir), "json", "c_name", keep=["c_custkey"])
 
 
+@register("json_find_typed", "SELECT c_custkey, c_name AS value FROM customer")
+def q_json_find_typed(spark, sf_dir):
+    # Same search on the typed document: the walk depth comes from the schema.
+    docs = as_document(customer_docs(spark, sf_dir), ["c_custkey"])
+    return J.json_find(docs, "doc", "c_name", keep=["c_custkey"])
+
+
 @register("json_strings", """
 SELECT c_custkey, 'c_name' AS key, c_name AS value FROM customer
 UNION ALL SELECT c_custkey, 'c_mktsegment', c_mktsegment FROM customer""")
@@ -562,9 +574,9 @@ SELECT c.c_custkey, CASE WHEN v.n >= 2 THEN v.v END AS member_values
 FROM customer c LEFT JOIN vals v ON v.o_custkey = c.c_custkey""")
 def q_json_children(spark, sf_dir):
     t = _tables(spark, sf_dir, ["customer", "orders", "lineitem"])
-    docs = D.customer_order_documents(t["customer"], t["orders"], t["lineitem"])
-    text = D.as_json_text(docs, keep=["c_custkey"])
-    return J.json_children(text, "json", "orders", 0, "l_returnflag", keep=["c_custkey"])
+    docs = as_document(D.customer_order_documents(t["customer"], t["orders"], t["lineitem"]),
+                       ["c_custkey"])
+    return J.json_children(docs, "doc", "orders", 0, "l_returnflag", keep=["c_custkey"])
 
 
 @register("json_array_rows", f"""

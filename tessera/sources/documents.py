@@ -15,13 +15,29 @@ TEST_TABLES = ("region nation customer supplier part orders lineitem events "
                "documents embeddings pages benchmark labels conversations").split()
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over the cluster when it yields fewer partitions
+    than there are cores (a file with one row group is one task however
+    large the work after it). Scans that already have enough splits - any
+    large input - are returned unchanged, so this never adds a shuffle at
+    scale. Filters and column pruning still reach the scan below it."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table_files(spark: SparkSession, base_dir: str,
                      names: Iterable[str] | None = None,
-                     fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Load only the named tables (all test tables when ``names`` is None)."""
+                     fmt: str = "parquet", spread_small: bool = False) -> dict[str, DataFrame]:
+    """Load only the named tables (all test tables when ``names`` is None).
+    ``spread_small`` applies ``spread`` to scans narrower than the cluster."""
     wanted = list(names) if names is not None else list(TEST_TABLES)
-    return {n: spark.read.format(fmt).load(f"{base_dir.rstrip('/')}/{n}.{fmt}")
-            for n in wanted}
+    out = {}
+    for n in wanted:
+        df = spark.read.format(fmt).load(f"{base_dir.rstrip('/')}/{n}.{fmt}")
+        out[n] = spread(df) if spread_small else df
+    return out
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "json",
