@@ -192,13 +192,17 @@ def unique_columns_of(tables: dict[str, DataFrame], **kw) -> DataFrame:
 
 # --- nested keys (A4, A5) ---------------------------------------------------
 
+def _field_of(name: str):
+    return lambda x: x.getField(name)
+
+
 def _sub_exprs(df: DataFrame, column: str) -> dict[str, Column]:
     """Sub-fields ``column.sub`` of a struct, or of an array of structs (then
     the expression is the array of that sub-field per row)."""
     dt = df.schema[column].dataType
     if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
         fields = dt.elementType.fields
-        return {f"{column}.{f.name}": F.transform(qcol(column), lambda x, n=f.name: x.getField(n))
+        return {f"{column}.{f.name}": F.transform(qcol(column), _field_of(f.name))
                 for f in fields if is_groupable(f.dataType)}
     if isinstance(dt, T.StructType):
         return {f"{column}.{f.name}": qcol(column).getField(f.name)

@@ -345,10 +345,13 @@ def check_foreign_keys(child: DataFrame, parent: DataFrame, child_cols: list[str
     """
     cc = [child_cols] if isinstance(child_cols, str) else list(child_cols)
     pc = [parent_cols] if isinstance(parent_cols, str) else list(parent_cols)
-    p = parent.select(*[qcol(a).alias(f"__p{i}") for i, a in enumerate(pc)])
+    # Keys of different types are compared as text (ANSI casts would fail).
+    same = [child.schema[a].dataType == parent.schema[b].dataType for a, b in zip(cc, pc)]
+    p = parent.select(*[(qcol(b) if ok else qcol(b).cast("string")).alias(f"__p{i}")
+                        for i, (b, ok) in enumerate(zip(pc, same))])
     cond = None
-    for i, a in enumerate(cc):
-        c = child[a] == p[f"__p{i}"]
+    for i, (a, ok) in enumerate(zip(cc, same)):
+        c = (child[a] if ok else child[a].cast("string")) == p[f"__p{i}"]
         cond = c if cond is None else cond & c
     notnull = None
     for a in cc:
