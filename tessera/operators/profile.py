@@ -149,9 +149,70 @@ def approx_candidates(df: DataFrame, columns: list[str], nulls: str = "ignore",
     return keep
 
 
+_RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
+
+
+def _range_stats(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """``table, column_name, n, n_nonnull, lo, hi`` for each column, from one
+    global aggregate (lo/hi only for integer, date and boolean columns)."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(columns):
+        aggs.append(F.count(qcol(c)).alias(f"__c{i}"))
+        dt = df.schema[c].dataType
+        if isinstance(dt, _RANGED):
+            v = qcol(c)
+            if isinstance(dt, T.DateType):
+                v = F.unix_date(v)
+            elif isinstance(dt, T.BooleanType):
+                v = v.cast("int")
+            aggs += [F.min(v).cast("decimal(38,0)").alias(f"__lo{i}"),
+                     F.max(v).cast("decimal(38,0)").alias(f"__hi{i}")]
+        else:
+            aggs += [F.lit(None).cast("decimal(38,0)").alias(f"__lo{i}"),
+                     F.lit(None).cast("decimal(38,0)").alias(f"__hi{i}")]
+    one = df.agg(*aggs)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"__c{i}").alias("n_nonnull"),
+                 F.col(f"__lo{i}").alias("lo"), F.col(f"__hi{i}").alias("hi"))
+        for i, c in enumerate(columns)])).alias("r")
+    return one.select(F.lit(table).alias("table_name"), F.col("__n").alias("n"), rows).select(
+        "table_name", "r.column_name", "n", "r.n_nonnull", "r.lo", "r.hi")
+
+
+def exact_candidates_of(tables: dict[str, tuple[DataFrame, list[str]]],
+                        nulls: str = "ignore") -> dict[str, list[str]]:
+    """Rule columns out exactly, for many tables in one job with no shuffle
+    of values: a column with more NULLs than the rule allows cannot be
+    unique, and neither can an integer, date or boolean column whose value
+    range holds fewer values than there are rows (pigeonhole). Typical
+    foreign keys are dropped here, before their costly distinct count. The
+    result has one row per column (bounded by the schema)."""
+    parts = [_range_stats(df, t, cols) for t, (df, cols) in tables.items() if cols]
+    keep: dict[str, list[str]] = {t: [] for t in tables}
+    if not parts:
+        return keep
+    for r in union_all(parts).collect():
+        n, nn = r["n"], r["n"] - r["n_nonnull"]
+        if n > 0:
+            if (nulls == "ignore" and nn > 0) or (nulls == "group" and nn > 1):
+                continue
+            if r["lo"] is not None and int(r["hi"]) - int(r["lo"]) + 1 + (1 if nn > 0 else 0) < n:
+                continue
+        keep[r["table_name"]].append(r["column_name"])
+    for t, (df, cols) in tables.items():
+        order = {c: i for i, c in enumerate(cols)}
+        keep[t].sort(key=lambda c: order[c])
+    return keep
+
+
+def exact_candidates(df: DataFrame, columns: list[str], nulls: str = "ignore") -> list[str]:
+    """``exact_candidates_of`` for one table."""
+    return exact_candidates_of({"t": (df, list(columns))}, nulls)["t"]
+
+
 def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
                    prefilter: bool = False, id_column: str = "_id",
-                   columns: Iterable[str] | None = None) -> DataFrame:
+                   columns: Iterable[str] | None = None, prune: bool = True) -> DataFrame:
     """A3: ``table_name, column_name, n_rows, n_distinct`` for every column
     whose values are all different.
 
@@ -159,6 +220,8 @@ def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
     so a NULL disqualifies. ``nulls="group"``: NULL is one more value (the
     ``SELECT DISTINCT`` rule). ``id_column`` is reported without a test, as
     the reference does for ``_id``; its ``n_distinct`` is then NULL.
+    ``prune`` (default) first drops, exactly, the columns that cannot be
+    unique by their NULL count or value range (``exact_candidates``).
     ``prefilter=True`` adds one HyperLogLog pass that skips the exact count
     for columns that clearly repeat; it pays off on wide tables with many
     high-cardinality non-key columns, not on narrow ones.
@@ -167,6 +230,8 @@ def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
     cand = list(columns) if columns is not None else key_eligible_columns(df)
     has_id = id_column in df.columns and id_column in cand
     cand = [c for c in cand if c != id_column]
+    if prune:
+        cand = exact_candidates(df, cand, nulls)
     if prefilter:
         cand = approx_candidates(df, cand, nulls)
     spark = df.sparkSession
@@ -185,9 +250,21 @@ def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
     return union_all(parts)
 
 
-def unique_columns_of(tables: dict[str, DataFrame], **kw) -> DataFrame:
-    """A3 over several tables."""
-    return union_all([unique_columns(df, name, **kw) for name, df in tables.items()])
+def unique_columns_of(tables: dict[str, DataFrame], nulls: str = "ignore", prune: bool = True,
+                      id_column: str = "_id", **kw) -> DataFrame:
+    """A3 over several tables: one pruning job for all of them, then one
+    job with the exact distinct counts of the remaining columns."""
+    cols = {}
+    for name, df in tables.items():
+        cols[name] = [c for c in key_eligible_columns(df) if c != id_column]
+    if prune:
+        cand = exact_candidates_of({n: (tables[n], cols[n]) for n in tables}, nulls)
+    else:
+        cand = cols
+    return union_all([
+        unique_columns(df, name, nulls=nulls, prune=False, id_column=id_column,
+                       columns=cand[name] + ([id_column] if id_column in df.columns else []), **kw)
+        for name, df in tables.items()])
 
 
 # --- nested keys (A4, A5) ---------------------------------------------------

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
-from tessera.operators.profile import distinct_counts, key_eligible_columns
+from tessera.operators.profile import unique_columns_of
 
 ID = "_id"
 ID_RANK = 1_000_000
@@ -62,68 +62,74 @@ def _text(c: Column, dt: T.DataType) -> Column:
 
 
 def long_values(df: DataFrame, table: str, pos: int, mode: str = "text",
-                arrays: bool = True) -> DataFrame:
+                arrays: bool = True, index: Mapping[tuple[str, str], int] | None = None) -> DataFrame:
     """Every comparable value of a collection in long form:
-    ``table, t_pos, field, f_pos, family, value``.
+    ``table, t_pos, field, f_pos, family, value, ival, ci``.
 
-    Scalars (F1) give one row; arrays (F2) one row per string/ObjectId
-    element (F5), or per integer element in inclusion mode. A narrow
-    explode: no shuffle, and nothing is held per row beyond its values.
+    Text values (strings, ObjectIds) are in ``value``; integers and dates
+    (inclusion mode) stay numbers in ``ival``, so they are hashed as bigints
+    and never turned into text. ``ci`` is the column's number in ``index``
+    (when given). Scalars (F1) give one row; arrays (F2) one row per
+    element (F5 for text). A narrow explode: no shuffle.
     """
     parts = []
     for i, f in enumerate(df.schema.fields):
         dt, c = f.dataType, qcol(f.name)
+        ci = (index or {}).get((table, f.name), -1)
         fam = _family(dt, mode)
         if fam is not None:
-            parts.append(F.array(F.struct(F.lit(f.name).alias("field"), F.lit(i).alias("f_pos"),
-                                          F.lit(fam).alias("family"), _text(c, dt).alias("value"))))
+            parts.append(F.array(_element_struct(f.name, i, fam, ci)(_value_of(c, dt))))
         elif arrays and isinstance(dt, T.ArrayType):
             efam = _family(dt.elementType, mode)
             if efam is None:
                 continue
             if efam == "text":
-                vals = array_text(c, dt)
+                vals = F.transform(array_text(c, dt), lambda x: F.struct(
+                    x.alias("value"), F.lit(None).cast("bigint").alias("ival")))
             else:
-                vals = F.transform(c, lambda x: x.cast("bigint").cast("string"))
-            parts.append(F.transform(vals, _element_struct(f.name, i, efam)))
+                vals = F.transform(c, lambda x: _value_of(x, dt.elementType))
+            parts.append(F.transform(vals, _element_struct(f.name, i, efam, ci)))
     if not parts:
         return df.sparkSession.createDataFrame(
-            [], "table string, t_pos int, field string, f_pos int, family string, value string")
+            [], "table string, t_pos int, field string, f_pos int, family string, value string, "
+                "ival bigint, ci int")
     allv = F.concat(*[F.coalesce(p, F.array().cast(p_type())) for p in parts])
     return (df.select(F.explode(allv).alias("v"))
-            .where(F.col("v.value").isNotNull())
+            .where(F.col("v.value").isNotNull() | F.col("v.ival").isNotNull())
             .select(F.lit(table).alias("table"), F.lit(pos).alias("t_pos"),
-                    "v.field", "v.f_pos", "v.family", "v.value"))
+                    "v.field", "v.f_pos", "v.family", "v.value", "v.ival", "v.ci"))
 
 
-def _element_struct(name: str, pos: int, fam: str):
+def _value_of(c: Column, dt: T.DataType) -> Column:
+    """``struct<value string, ival bigint>`` for one comparable value."""
+    if isinstance(dt, _INTEGRAL):
+        return F.struct(F.lit(None).cast("string").alias("value"), c.cast("bigint").alias("ival"))
+    if isinstance(dt, T.DateType):
+        return F.struct(F.lit(None).cast("string").alias("value"), F.unix_date(c).cast("bigint").alias("ival"))
+    return F.struct(_text(c, dt).alias("value"), F.lit(None).cast("bigint").alias("ival"))
+
+
+def _element_struct(name: str, pos: int, fam: str, ci: int = -1):
     def build(x: Column) -> Column:
         return F.struct(F.lit(name).alias("field"), F.lit(pos).alias("f_pos"),
-                        F.lit(fam).alias("family"), x.alias("value"))
+                        F.lit(fam).alias("family"), x["value"].alias("value"),
+                        x["ival"].alias("ival"), F.lit(ci).alias("ci"))
     return build
 
 
 def p_type() -> str:
-    return "array<struct<field:string,f_pos:int,family:string,value:string>>"
+    return ("array<struct<field:string,f_pos:int,family:string,value:string,ival:bigint,"
+            "ci:int>>")
 
 
 def unique_key_lists(collections: Mapping[str, DataFrame], nulls: str = "ignore",
                      id_column: str = ID) -> dict[str, list[str]]:
-    """A3 for each collection, returned as small lists (one entry per unique
-    column: bounded by the schema width, not by the data)."""
-    out: dict[str, list[str]] = {}
-    frames = []
-    for name, df in collections.items():
-        cols = [c for c in key_eligible_columns(df) if c != id_column]
-        if cols:
-            frames.append(distinct_counts(df, cols, name))
-        out[name] = [id_column] if id_column in df.columns else []
-    if frames:
-        stats = union_all(frames)
-        cond = (F.col("n_distinct") == F.col("n_rows")) if nulls == "ignore" else (
-            (F.col("n_distinct") + F.when(F.col("n_null") > 0, 1).otherwise(0)) == F.col("n_rows"))
-        for r in stats.where(cond).select("table_name", "column_name").collect():
-            out[r["table_name"]].append(r["column_name"])
+    """A3 for each collection, returned as small lists in schema order (one
+    entry per unique column: bounded by the schema width, not the data)."""
+    out: dict[str, list[str]] = {n: [] for n in collections}
+    for r in unique_columns_of(dict(collections), nulls=nulls, id_column=id_column).select(
+            "table_name", "column_name").collect():
+        out[r["table_name"]].append(r["column_name"])
     for name, df in collections.items():
         order = {c: i for i, c in enumerate(df.columns)}
         out[name].sort(key=lambda c: order[c])
@@ -227,8 +233,6 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
     """
     if keys is None:
         keys = unique_key_lists(collections, id_column=id_column)
-    longs = [long_values(df, name, pos, "inclusion", arrays)
-             for pos, (name, df) in enumerate(collections.items())]
     # Comparable columns, in a fixed order: (table, field).
     columns: list[tuple[str, str]] = []
     index: dict[tuple[str, str], int] = {}
@@ -248,15 +252,13 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
         return spark.createDataFrame([], out_schema)
     n = len(columns)
     words = (n + _BITS - 1) // _BITS
-    idx_map = F.create_map(*[x for (t, f), i in index.items()
-                             for x in (F.lit(f"{t}\u0001{f}"), F.lit(i))])
-    vals = union_all(longs).select(
-        "family", "value",
-        idx_map[F.concat_ws("\u0001", "table", "field")].alias("ci"))
+    vals = union_all([long_values(df, name, pos, "inclusion", arrays, index)
+                      for pos, (name, df) in enumerate(collections.items())]
+                     ).select("family", "value", "ival", "ci")
     aggs = [F.expr(f"bit_or(CASE WHEN floor(ci / {_BITS}) = {w} "
                    f"THEN shiftleft(1L, CAST(ci % {_BITS} AS INT)) END)").alias(f"w{w}")
             for w in range(words)]
-    masks = (vals.groupBy("family", "value").agg(*aggs)
+    masks = (vals.groupBy("family", "ival", "value").agg(*aggs)
              .select(F.array(*[F.coalesce(F.col(f"w{w}"), F.lit(0).cast("bigint"))
                                for w in range(words)]).alias("words")))
     present = F.expr(f"filter(sequence(0, {n - 1}), i -> (shiftright(element_at(words, "
