@@ -492,8 +492,9 @@ def q_rename_columns(spark, sf_dir):
     orphans = RL.check_foreign_keys(child, parent, e["from_field"], e["to_field"])
     kept = child.join(parent.select(F.col(e["to_field"]).alias("__k")),
                       F.col(e["from_field"]) == F.col("__k"), "left_semi")
-    n_orph = orphans.agg(F.count(F.lit(1)).cast("int").alias("n_orphans"))
-    return kept.crossJoin(n_orph).select(pks["nation"], "n_name", e["from_field"], "n_orphans")
+    # One number, attached as a scalar subquery (no join).
+    n_orph = orphans.agg(F.count(F.lit(1)).cast("int")).scalar()
+    return kept.select(pks["nation"], "n_name", e["from_field"], n_orph.alias("n_orphans"))
 
 
 # --- J1-J6: JSON text ---------------------------------------------------------
