@@ -55,9 +55,23 @@ def _as_exprs(df: DataFrame, columns) -> dict[str, Column]:
     return {c: qcol(c) for c in columns}
 
 
+# Below this estimated size one pass for all columns beats one stage per
+# column: per-stage overhead dominates the per-row hashing.
+SMALL_TABLE_BYTES = 1 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (what it uses for broadcast
+    decisions); None when it is not available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] | None = None,
                     table_name: str | None = None, batch: int = DEFAULT_BATCH,
-                    strategy: str = "per_column") -> DataFrame:
+                    strategy: str = "auto") -> DataFrame:
     """A2: ``[table_name,] column_name, n_rows, n_distinct, n_null`` per column.
 
     ``n_distinct`` skips NULL (SQL ``count(DISTINCT)``); ``n_null`` lets the
@@ -71,11 +85,17 @@ def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] |
     columns in one pass per ``batch`` columns (Spark's Expand rewrite of
     several ``count(DISTINCT)``): one scan instead of one per column, which
     suits row-format sources (JSON, JDBC) where every scan reads everything.
+    ``"auto"`` (default) uses ``expand`` for inputs estimated below
+    ``SMALL_TABLE_BYTES`` and ``per_column`` otherwise, so at scale every
+    table takes the per-column path.
     """
     exprs = _as_exprs(df, columns)
     names = list(exprs)
     if not names:
         raise ValueError("no column to count")
+    if strategy == "auto":
+        size = estimated_bytes(df)
+        strategy = "expand" if size is not None and size < SMALL_TABLE_BYTES else "per_column"
     if strategy == "per_column":
         parts = []
         for name in names:

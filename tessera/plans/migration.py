@@ -30,6 +30,19 @@ class JdbcTarget:
     batchsize: int = 1000
     num_partitions: int | None = None
     add_foreign_keys: bool = True
+    schema: str | None = None        # existing schema to write into
+    new_schema: str | None = None    # S11: create a fresh schema named after this
+    schema_keyword: str = "SCHEMA"   # "DATABASE" for MySQL
+
+
+@dataclass
+class CatalogTarget:
+    """Tables in a fresh Spark-catalog database named after ``database``
+    (S11: ``database``, else ``database_0``, ``database_1``, ...). The
+    primary key is kept as the table property ``primary_key``."""
+    database: str
+    fmt: str = "parquet"
+    location: str | None = None
 
 
 @dataclass
@@ -56,7 +69,7 @@ def orphan_counts(tables: Mapping[str, DataFrame], edges: Iterable[tuple[str, st
     return union_all(parts)
 
 
-def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarget,
+def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarget | CatalogTarget,
                       key: str | None = None, tables: Iterable[str] | None = None,
                       renames: Mapping[str, Mapping[str, str]] | None = None,
                       primary_keys: Mapping[str, str] | None = None,
@@ -85,6 +98,19 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
         for t, df in tabs.items():
             df.write.format(target.fmt).mode(target.mode).save(f"{target.path.rstrip('/')}/{t}")
         return tabs
+    if isinstance(target, CatalogTarget):
+        db = JD.create_target_database(spark, target.database, target.location)
+        for t, df in tabs.items():
+            w = df.writeTo(f"`{db}`.`{t}`").using(target.fmt)
+            pk = (pks or {}).get(t)
+            if pk:
+                w = w.tableProperty("primary_key", pk)
+            w.create()
+        return {t: spark.table(f"`{db}`.`{t}`") for t in tabs}
+    schema = target.schema
+    if target.new_schema:
+        schema = JD.create_schema(spark, target.url, target.new_schema, target.schema_keyword,
+                                  target.properties)
     fk_sources: dict[str, set[str]] = {}
     for ft, ff, _, _ in links:
         fk_sources.setdefault(ft, set()).add(ff)
@@ -93,9 +119,11 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
         types = JD.target_column_types(JD.to_writable(df), pk, fk_sources.get(t, ()),
                                        target.text_type, target.key_type)
         JD.write_table(df, target.url, t, pk, types, batchsize=target.batchsize,
-                       num_partitions=target.num_partitions, properties=target.properties)
+                       num_partitions=target.num_partitions, properties=target.properties,
+                       schema=schema)
     if target.add_foreign_keys and links:
-        JD.execute_ddl(spark, target.url, [JD.foreign_key_sql(*e) for e in links], target.properties)
+        JD.execute_ddl(spark, target.url, [JD.foreign_key_sql(*e, schema=schema) for e in links],
+                       target.properties)
     return tabs
 
 

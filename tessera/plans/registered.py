@@ -96,6 +96,18 @@ def q_distinct_counts(spark, sf_dir):
     return union_all([P.distinct_counts(t[n], table_name=n) for n in COUNT_TABLES])
 
 
+_ALL_COMPARABLE = {t: [c for c in cols if not (t == "embeddings" and c == "embedding")]
+                   for t, cols in TABLE_COLUMNS.items()}
+
+
+@register("distinct_counts_all", "\nUNION ALL\n".join(
+    _distinct_sql(t, _ALL_COMPARABLE[t]) for t in TEST_TABLES))
+def q_distinct_counts_all(spark, sf_dir):
+    # A2 over every key-eligible column of all 14 tables (arrays excluded, F3).
+    t = _tables(spark, sf_dir, TEST_TABLES)
+    return union_all([P.distinct_counts(t[n], table_name=n) for n in TEST_TABLES])
+
+
 # --- A3 ---------------------------------------------------------------------
 
 @register("unique_columns", f"""

@@ -30,6 +30,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tessera-warehouse-"))
+        .config("spark.driver.extraJavaOptions",
+                f"-Dderby.stream.error.file={tempfile.gettempdir()}/tessera-derby.log")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

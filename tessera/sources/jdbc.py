@@ -25,6 +25,11 @@ def quote(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def qualified(table: str, schema: str | None = None) -> str:
+    """``"schema"."table"`` (or just ``"table"``)."""
+    return f"{quote(schema)}.{quote(table)}" if schema else quote(table)
+
+
 @contextmanager
 def connection(spark: SparkSession, url: str, properties: Mapping[str, str] | None = None):
     """A driver-side JDBC connection for metadata and DDL only."""
@@ -57,7 +62,7 @@ def execute_ddl(spark: SparkSession, url: str, statements: Iterable[str],
 def read_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
                num_partitions: int | None = None, lower_bound: int | None = None,
                upper_bound: int | None = None, properties: Mapping[str, str] | None = None,
-               quoted: bool = True, fetchsize: int = 10000) -> DataFrame:
+               quoted: bool = True, fetchsize: int = 10000, schema: str | None = None) -> DataFrame:
     """S3: a whole table as a DataFrame.
 
     With ``partition_column`` the read is split into ``num_partitions``
@@ -67,7 +72,7 @@ def read_table(spark: SparkSession, url: str, table: str, partition_column: str
     """
     props = dict(properties or {})
     props.setdefault("fetchsize", str(fetchsize))
-    name = quote(table) if quoted else table
+    name = qualified(table, schema) if quoted else table
     if partition_column is None:
         return spark.read.jdbc(url, name, properties=props)
     pc = quote(partition_column) if quoted else partition_column
@@ -216,20 +221,21 @@ def target_column_types(df: DataFrame, primary_key: str | None = None,
 
 
 def create_table_sql(table: str, columns: Mapping[str, str], primary_key: str | Iterable[str] | None = None,
-                     not_null: Iterable[str] = ()) -> str:
+                     not_null: Iterable[str] = (), schema: str | None = None) -> str:
     """``CREATE TABLE t (col type, ..., PRIMARY KEY (...))``."""
     pk = [primary_key] if isinstance(primary_key, str) else list(primary_key or [])
     nn = set(not_null) | set(pk)
     cols = [f"{quote(c)} {t}{' NOT NULL' if c in nn else ''}" for c, t in columns.items()]
     if pk:
         cols.append(f"PRIMARY KEY ({', '.join(quote(c) for c in pk)})")
-    return f"CREATE TABLE {quote(table)} ({', '.join(cols)})"
+    return f"CREATE TABLE {qualified(table, schema)} ({', '.join(cols)})"
 
 
-def foreign_key_sql(from_table: str, from_field: str, to_table: str, to_field: str) -> str:
+def foreign_key_sql(from_table: str, from_field: str, to_table: str, to_field: str,
+                    schema: str | None = None) -> str:
     """R8 as DDL: ``ALTER TABLE ... ADD FOREIGN KEY ... REFERENCES ...``."""
-    return (f"ALTER TABLE {quote(from_table)} ADD FOREIGN KEY ({quote(from_field)}) "
-            f"REFERENCES {quote(to_table)} ({quote(to_field)})")
+    return (f"ALTER TABLE {qualified(from_table, schema)} ADD FOREIGN KEY ({quote(from_field)}) "
+            f"REFERENCES {qualified(to_table, schema)} ({quote(to_field)})")
 
 
 def to_writable(df: DataFrame) -> DataFrame:
@@ -246,7 +252,8 @@ def to_writable(df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, url: str, table: str, primary_key: str | Iterable[str] | None = None,
                 column_types: Mapping[str, str] | None = None, create: bool = True,
                 batchsize: int = 1000, num_partitions: int | None = None,
-                properties: Mapping[str, str] | None = None, isolation: str = "READ_COMMITTED") -> None:
+                properties: Mapping[str, str] | None = None, isolation: str = "READ_COMMITTED",
+                schema: str | None = None) -> None:
     """S8 (+S14, F12): create the table with its primary key, then insert
     every row from the executors in ``batchsize`` batches.
 
@@ -256,13 +263,14 @@ def write_table(df: DataFrame, url: str, table: str, primary_key: str | Iterable
     out = to_writable(df)
     if create:
         types = dict(column_types or target_column_types(out, primary_key if isinstance(primary_key, str) else None))
-        execute_ddl(df.sparkSession, url, [create_table_sql(table, types, primary_key)], properties)
+        execute_ddl(df.sparkSession, url, [create_table_sql(table, types, primary_key, schema=schema)],
+                    properties)
     if num_partitions is not None and out.rdd.getNumPartitions() > num_partitions:
         out = out.coalesce(num_partitions)
     props = dict(properties or {})
     props["batchsize"] = str(batchsize)
     props["isolationLevel"] = isolation
-    out.write.jdbc(url, quote(table), mode="append", properties=props)
+    out.write.jdbc(url, qualified(table, schema), mode="append", properties=props)
 
 
 def free_database_name(spark: SparkSession, base: str) -> str:
@@ -282,3 +290,29 @@ def create_target_database(spark: SparkSession, base: str, location: str | None
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE `{name}`{loc}")
     return name
+
+
+def free_schema_name(spark: SparkSession, url: str, base: str,
+                     properties: Mapping[str, str] | None = None) -> str:
+    """S11 for JDBC targets: ``base`` if the database has no schema (or
+    catalog, as MySQL calls databases) of that name, else the first free
+    ``base_0``, ``base_1``, ... Case-insensitive, from catalog metadata."""
+    with connection(spark, url, properties) as conn:
+        md = conn.getMetaData()
+        taken = {r[0].lower() for r in _rows(md.getSchemas(), [("TABLE_SCHEM", "s")]) if r[0]}
+        taken |= {r[0].lower() for r in _rows(md.getCatalogs(), [("TABLE_CAT", "s")]) if r[0]}
+    if base.lower() not in taken:
+        return base
+    i = 0
+    while f"{base}_{i}".lower() in taken:
+        i += 1
+    return f"{base}_{i}"
+
+
+def create_schema(spark: SparkSession, url: str, base: str, keyword: str = "SCHEMA",
+                  properties: Mapping[str, str] | None = None) -> str:
+    """Create a fresh schema (``keyword="DATABASE"`` for MySQL) and
+    return its name."""
+    name = free_schema_name(spark, url, base, properties)
+    execute_ddl(spark, url, [f"CREATE {keyword} {quote(name)}"], properties)
+    return name

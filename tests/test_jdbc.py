@@ -71,3 +71,20 @@ def test_free_database_name(spark):
     name = JD.create_target_database(spark, "tessera_target")
     assert JD.free_database_name(spark, "tessera_target") != "tessera_target" or name != "tessera_target"
     spark.sql(f"DROP DATABASE IF EXISTS `{name}`")
+
+
+def test_fresh_schema_and_catalog_target(spark, tables, derby):
+    docs = D.customer_documents(tables["customer"])
+    MG.migrate_documents(docs, "customer", MG.JdbcTarget(derby, new_schema="shop"), key="c_custkey",
+                         primary_keys={"customer": "c_custkey"})
+    MG.migrate_documents(docs, "customer", MG.JdbcTarget(derby, new_schema="shop"), key="c_custkey")
+    assert JD.free_schema_name(spark, derby, "shop") == "shop_1"
+    back = JD.read_table(spark, derby, "profile", schema="shop_0")
+    assert back.count() == tables["customer"].count()
+    out = MG.migrate_documents(docs, "customer", MG.CatalogTarget("tessera_mig"), key="c_custkey",
+                               primary_keys={"customer": "c_custkey"})
+    assert bag(out["profile"]) == bag(tables["customer"].select("c_custkey", "c_name", "c_acctbal",
+                                                                "c_mktsegment"))
+    props = {r.key: r.value for r in spark.sql(
+        "SHOW TBLPROPERTIES tessera_mig.customer").collect()}
+    assert props.get("primary_key") == "c_custkey"
