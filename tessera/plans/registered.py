@@ -421,6 +421,13 @@ def q_assign_foreign_keys(spark, sf_dir):
     return RL.assign_foreign_keys(RL.match_sample(link_collections(spark, sf_dir)))
 
 
+@register("link_edges", _match_ctes(LINK_SPEC) + """
+SELECT from_table AS "from", from_field AS "fromPort", to_table AS "to", to_field AS "toPort"
+FROM fks""")
+def q_link_edges(spark, sf_dir):
+    return RL.link_edges(RL.assign_foreign_keys(RL.match_sample(link_collections(spark, sf_dir))))
+
+
 @register("primary_keys", _pk_sql(LINK_SPEC))
 def q_primary_keys(spark, sf_dir):
     cols = link_collections(spark, sf_dir)
