@@ -157,7 +157,9 @@ def sample_values(collections: Mapping[str, DataFrame], keys: Mapping[str, list[
         us = [u for u in keys.get(name, []) if _family(df.schema[u].dataType, mode) is not None]
         if not us:
             continue
-        key = (order_by or {}).get(name) or df.columns[0]
+        # Natural order in a document store is insertion order, which
+        # ObjectId ids follow; default to the id, else the first column.
+        key = (order_by or {}).get(name) or (id_column if id_column in df.columns else df.columns[0])
         top = df.orderBy(qcol(key).asc_nulls_last()).limit(n)
         top = top.withColumn("__doc", F.row_number().over(Window.orderBy(qcol(key).asc_nulls_last())) - 1)
         vals = F.array(*[F.struct(F.lit(u).alias("to_field"),
