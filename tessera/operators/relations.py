@@ -334,6 +334,31 @@ def assign_primary_keys(matches: DataFrame, tables: list[str],
     return pks
 
 
+def count_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str] | str,
+                  parent_cols: list[str] | str) -> DataFrame:
+    """R8 as one number, ``n_orphans``: child rows whose non-NULL key has no
+    parent. Child rows are first counted per key (partial aggregation folds
+    a hot key to one row per task), the parent is reduced to its distinct
+    keys, and only these two key sets meet in the anti join - no child row
+    is shuffled, however skewed the key."""
+    cc = [child_cols] if isinstance(child_cols, str) else list(child_cols)
+    pc = [parent_cols] if isinstance(parent_cols, str) else list(parent_cols)
+    notnull = qcol(cc[0]).isNotNull()
+    for a in cc[1:]:
+        notnull = notnull & qcol(a).isNotNull()
+    per_key = child.where(notnull).groupBy(*[qcol(a).alias(f"__c{i}") for i, a in enumerate(cc)]).agg(
+        F.count(F.lit(1)).alias("__n"))
+    keys = parent.select(*[qcol(b).alias(f"__k{i}") for i, b in enumerate(pc)]).distinct()
+    same = [child.schema[a].dataType == parent.schema[b].dataType for a, b in zip(cc, pc)]
+    cond = None
+    for i, ok in enumerate(same):
+        l, r = per_key[f"__c{i}"], keys[f"__k{i}"]
+        c = (l == r) if ok else (l.cast("string") == r.cast("string"))
+        cond = c if cond is None else cond & c
+    return (per_key.join(keys, cond, "left_anti")
+            .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_orphans")))
+
+
 def link_edges(foreign_keys: DataFrame) -> DataFrame:
     """One schema-graph link per foreign key: ``from, fromPort, to, toPort``."""
     return foreign_keys.select(F.col("from_table").alias("from"), F.col("from_field").alias("fromPort"),

@@ -58,8 +58,8 @@ def orphan_counts(tables: Mapping[str, DataFrame], edges: Iterable[tuple[str, st
     n_orphans`` (child rows whose key has no parent)."""
     parts = []
     for ft, ff, tt, tf in edges:
-        orph = RL.check_foreign_keys(tables[ft], tables[tt], ff, tf)
-        parts.append(orph.agg(F.count(F.lit(1)).alias("n_orphans")).select(
+        orph = RL.count_orphans(tables[ft], tables[tt], ff, tf)
+        parts.append(orph.select(
             F.lit(ft).alias("from_table"), F.lit(ff).alias("from_field"),
             F.lit(tt).alias("to_table"), F.lit(tf).alias("to_field"), "n_orphans"))
     if not parts:

@@ -63,3 +63,13 @@ def test_orphans_equal_anti_join(spark, tables):
     expected = o.join(li, o.o_orderkey == li.l_orderkey, "left_anti").count()
     assert got == expected > 0
     assert RL.check_foreign_keys(o, tables["customer"], "o_custkey", "c_custkey").count() == 0
+
+
+def test_count_orphans_equals_anti_join_rows(spark, tables):
+    o, li = tables["orders"], tables["lineitem"]
+    n = RL.count_orphans(o, li, "o_orderkey", "l_orderkey").first().n_orphans
+    assert n == RL.check_foreign_keys(o, li, "o_orderkey", "l_orderkey").count()
+    # A hot child key: every row points at one missing parent.
+    hot = spark.range(1000).select(F.lit(7).alias("k"))
+    par = spark.createDataFrame([(1,), (2,)], "k int")
+    assert RL.count_orphans(hot, par, "k", "k").first().n_orphans == 1000
