@@ -163,7 +163,7 @@ _ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus":
 _LINES_OF_ORDERS = "(SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))"
 
 
-def _profile_sql(table, path, relation, parent, types, src):
+def _profile_sql(table, path, relation, parent, types, src, nullable=True):
     parent_sql = "CAST(NULL AS VARCHAR)" if parent is None else f"'{parent}'"
     out = []
     for c, ty in types.items():
@@ -172,7 +172,8 @@ def _profile_sql(table, path, relation, parent, types, src):
         lo, hi = ln.split("), ")[0] + ")", ln.split("), ")[1]
         out.append(f"SELECT '{table}' AS table_name, '{path}' AS path, '{relation}' AS relation, "
                    f"{parent_sql} AS parent, '{c}' AS field_name, '{ty}' AS field_type, "
-                   f"true AS nullable, count(*) AS n_rows, (count(*) - count({c})) AS n_null, "
+                   f"{str(nullable).lower()} AS nullable, count(*) AS n_rows, "
+                   f"(count(*) - count({c})) AS n_null, "
                    f"{lo} AS len_min, {hi} AS len_max FROM {src}")
     return "\nUNION ALL\n".join(out)
 
@@ -715,3 +716,41 @@ def q_migrate_documents(spark, sf_dir):
                          edges=[("lines", "_id", "orders", "_id")],
                          renames={"lines": {"l_tax": "tax"}})
     return spark.read.parquet(f"{out}/lines")
+
+
+# --- more shapes: struct + scalar-array children, maps ---------------------------
+
+def customer_order_key_docs(spark, sf_dir) -> DataFrame:
+    """customer documents with their sorted order keys (NULL when none)."""
+    t = _tables(spark, sf_dir, ["customer", "orders"])
+    return D.customer_documents(t["customer"]).join(D.customer_order_keys(t["orders"]),
+                                                     "c_custkey", "left")
+
+
+_CUSTOMER_ROOT_TYPES = {"c_custkey": "bigint", "c_nationkey": "int"}
+_PROFILE_TYPES = {"c_name": "string", "c_acctbal": "double", "c_mktsegment": "string"}
+_ORDER_KEYS_OF_CUSTOMERS = ("(SELECT o_orderkey AS value FROM orders "
+                            "WHERE o_custkey IN (SELECT c_custkey FROM customer))")
+
+
+@register("field_profile_nested",
+          _profile_sql("customer", "", "root", None, _CUSTOMER_ROOT_TYPES, "customer")
+          + "\nUNION ALL\n"
+          + _profile_sql("profile", "profile", "1_1", "customer", _PROFILE_TYPES, "customer")
+          + "\nUNION ALL\n"
+          # collect_list never holds NULL, so the element is declared non-null.
+          + _profile_sql("order_keys", "order_keys", "1_n", "customer", {"value": "bigint"},
+                         _ORDER_KEYS_OF_CUSTOMERS, nullable=False))
+def q_field_profile_nested(spark, sf_dir):
+    return FL.field_profile(customer_order_key_docs(spark, sf_dir), "customer")
+
+
+@register("split_map", """
+SELECT e.event_id, CAST(0 AS INTEGER) AS props_pos, k.key AS key,
+       CAST(json_extract(e.props, '$.' || k.key) AS INTEGER) AS value
+FROM events e, (SELECT unnest(json_keys(props)) AS key, event_id FROM events) k
+WHERE k.event_id = e.event_id""")
+def q_split_map(spark, sf_dir):
+    ev = _tables(spark, sf_dir, ["events"])["events"]
+    m = ev.select("event_id", F.from_json("props", "map<string,int>").alias("props"))
+    return R.split_array(m, "props", "event_id")
