@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
 from tessera.operators.profile import unique_columns_of
+from tessera.sources.documents import spread
 
 ID = "_id"
 ID_RANK = 1_000_000
@@ -190,7 +191,8 @@ def match_sample(collections: Mapping[str, DataFrame], keys: Mapping[str, list[s
     if keys is None:
         keys = unique_key_lists(collections, id_column=id_column)
     samples = sample_values(collections, keys, order_by, n, mode, id_column)
-    searched = union_all([long_values(df, name, pos, mode, arrays)
+    # Explode work per row is several times the scan; spread narrow scans.
+    searched = union_all([long_values(spread(df), name, pos, mode, arrays)
                           for pos, (name, df) in enumerate(collections.items())])
     # The sample side is bounded by n x unique columns x collections.
     joined = searched.join(
@@ -254,7 +256,7 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
         return spark.createDataFrame([], out_schema)
     n = len(columns)
     words = (n + _BITS - 1) // _BITS
-    vals = union_all([long_values(df, name, pos, "inclusion", arrays, index)
+    vals = union_all([long_values(spread(df), name, pos, "inclusion", arrays, index)
                       for pos, (name, df) in enumerate(collections.items())]
                      ).select("family", "value", "ival", "ci")
     aggs = [F.expr(f"bit_or(CASE WHEN floor(ci / {_BITS}) = {w} "
