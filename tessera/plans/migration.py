@@ -38,8 +38,10 @@ class JdbcTarget:
 @dataclass
 class CatalogTarget:
     """Tables in a fresh Spark-catalog database named after ``database``
-    (S11: ``database``, else ``database_0``, ``database_1``, ...). The
-    primary key is kept as the table property ``primary_key``."""
+    (S11: ``database``, else ``database_0``, ``database_1``, ...). Spark
+    tables hold no constraints, so the primary key is kept as the table
+    property ``primary_key`` and each link as ``foreign_key.<field>`` =
+    ``<table>.<field>`` (read back by ``profile_catalog_tables``)."""
     database: str
     fmt: str = "parquet"
     location: str | None = None
@@ -105,6 +107,9 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
             pk = (pks or {}).get(t)
             if pk:
                 w = w.tableProperty("primary_key", pk)
+            for ft, ff, tt, tf in links:
+                if ft == t:
+                    w = w.tableProperty(f"foreign_key.{ff}", f"{tt}.{tf}")
             w.create()
         return {t: spark.table(f"`{db}`.`{t}`") for t in tabs}
     schema = target.schema

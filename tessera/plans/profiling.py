@@ -117,3 +117,26 @@ def profile_tables(spark: SparkSession, url: str, tables: list[str] | None = Non
     return out.select("table_name", "position", "field_name", "field_type", "size", "nullable",
                       "primary_key", F.col("last_key").alias("primary_key_last"),
                       F.col("to_table").alias("ref_table"), F.col("to_field").alias("ref_field"))
+
+
+def profile_catalog_tables(spark: SparkSession, database: str,
+                           tables: list[str] | None = None) -> DataFrame:
+    """M3 for a Spark-catalog database: one row per column with its key and
+    link, as ``profile_tables`` gives for JDBC. Keys and links come from
+    the ``primary_key`` / ``foreign_key.<field>`` table properties that
+    ``CatalogTarget`` writes. Catalog metadata only; no row is read."""
+    names = tables or [t.name for t in spark.catalog.listTables(database)]
+    rows = []
+    for t in names:
+        props = {r["key"]: r["value"] for r in
+                 spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{t}`").collect()}
+        pk = props.get("primary_key")
+        for i, f in enumerate(spark.table(f"`{database}`.`{t}`").schema.fields):
+            ref = props.get(f"foreign_key.{f.name}")
+            rt, rf = ref.split(".", 1) if ref else (None, None)
+            rows.append((t, i + 1, f.name, f.dataType.simpleString(), "1" if f.nullable else "0",
+                         [pk] if pk else None, pk, rt, rf))
+    return spark.createDataFrame(
+        rows, "table_name string, position int, field_name string, field_type string, "
+              "nullable string, primary_key array<string>, primary_key_last string, "
+              "ref_table string, ref_field string")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import bag
 from tessera.plans import migration as MG
-from tessera.plans.profiling import profile_tables
+from tessera.plans.profiling import profile_catalog_tables, profile_tables
 from tessera.sources import derived as D
 from tessera.sources import jdbc as JD
 
@@ -88,3 +88,14 @@ def test_fresh_schema_and_catalog_target(spark, tables, derby):
     props = {r.key: r.value for r in spark.sql(
         "SHOW TBLPROPERTIES tessera_mig.customer").collect()}
     assert props.get("primary_key") == "c_custkey"
+
+
+def test_catalog_round_trip_keeps_keys_and_links(spark, tables):
+    docs = D.with_object_id(D.order_documents(tables["orders"], tables["lineitem"]), "o_orderkey")
+    MG.migrate_documents(docs, "orders", MG.CatalogTarget("tessera_links"),
+                         primary_keys={"orders": "_id"}, edges=[("lines", "_id", "orders", "_id")])
+    db = [d.name for d in spark.catalog.listDatabases() if d.name.startswith("tessera_links")][-1]
+    prof = {(r.table_name, r.field_name): r for r in profile_catalog_tables(spark, db).collect()}
+    assert prof[("orders", "_id")].primary_key_last == "_id"
+    assert (prof[("lines", "_id")].ref_table, prof[("lines", "_id")].ref_field) == ("orders", "_id")
+    assert prof[("lines", "l_tax")].field_type == "double"
