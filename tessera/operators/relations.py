@@ -177,6 +177,31 @@ def sample_values(collections: Mapping[str, DataFrame], keys: Mapping[str, list[
     return union_all(frames)
 
 
+# Above this many distinct sampled values the IN-list pushdown is skipped
+# (the join alone stays exact); the sample is bounded by n x unique columns.
+MAX_PUSHDOWN_VALUES = 10_000
+
+
+def _could_match(df: DataFrame, values: list[str], mode: str, arrays: bool) -> Column | None:
+    """A row filter that keeps every row with at least one comparable value
+    among ``values``: ``col IN (...)`` per text column (pushed into the
+    Parquet/ORC scan, where row groups whose statistics or dictionaries
+    exclude all values are skipped), ``exists`` for text arrays."""
+    preds = []
+    for f in df.schema.fields:
+        dt, c = f.dataType, qcol(f.name)
+        if _family(dt, mode) == "text":
+            preds.append(_text(c, dt).isin(values))
+        elif arrays and isinstance(dt, T.ArrayType) and _family(dt.elementType, mode) == "text":
+            preds.append(F.exists(array_text(c, dt), lambda x: x.isin(values)))
+    if not preds:
+        return None
+    out = preds[0]
+    for p in preds[1:]:
+        out = out | p
+    return out
+
+
 def match_sample(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]] | None = None,
                  order_by: Mapping[str, str] | None = None, n: int = 10, mode: str = "text",
                  arrays: bool = True, id_column: str = ID) -> DataFrame:
@@ -187,14 +212,33 @@ def match_sample(collections: Mapping[str, DataFrame], keys: Mapping[str, list[s
     Columns ``MATCH_SCHEMA``; ``doc`` is the sample position, ``from_pos`` and
     ``to_pos`` the collection positions and ``u_rank`` the unique column's
     loop rank, which R5/R6 use to pick the last match.
+
+    The sampled values (at most ``n x unique columns x collections`` rows, a
+    bound set by the schema) are fetched once; they become an ``IN`` filter
+    pushed into every searched scan and the broadcast side of one hash join,
+    so the searched collections are read with row-group skipping, only
+    candidate rows are exploded, and nothing large is shuffled.
     """
     if keys is None:
         keys = unique_key_lists(collections, id_column=id_column)
-    samples = sample_values(collections, keys, order_by, n, mode, id_column)
-    # Explode work per row is several times the scan; spread narrow scans.
-    searched = union_all([long_values(spread(df), name, pos, mode, arrays)
-                          for pos, (name, df) in enumerate(collections.items())])
-    # The sample side is bounded by n x unique columns x collections.
+    spark = next(iter(collections.values())).sparkSession
+    sample_rows = sample_values(collections, keys, order_by, n, mode, id_column).collect()
+    samples = spark.createDataFrame(
+        sample_rows, "to_table string, to_pos int, to_field string, u_rank int, doc int, "
+                     "family string, value string")
+    values = sorted({r["value"] for r in sample_rows})
+    searched_parts = []
+    for pos, (name, df) in enumerate(collections.items()):
+        if len(values) <= MAX_PUSHDOWN_VALUES:
+            pred = _could_match(df, values, mode, arrays)
+            if pred is None:
+                continue
+            df = df.where(pred)
+        # Explode work per row is several times the scan; spread narrow scans.
+        searched_parts.append(long_values(spread(df), name, pos, mode, arrays))
+    if not searched_parts or not sample_rows:
+        return spark.createDataFrame([], MATCH_SCHEMA)
+    searched = union_all(searched_parts)
     joined = searched.join(
         F.broadcast(samples),
         (searched["family"] == samples["family"]) & (searched["value"] == samples["value"])
