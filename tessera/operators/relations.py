@@ -11,9 +11,9 @@ other collection in nested loops. Here both sides become long-form
   a partial aggregate before the only shuffle;
 * inclusion mode: values are grouped once on ``(family, value)`` into a
   bitmask of the columns holding each (a plain aggregate folded map-side,
-  so hot values collapse inside each task); column pairs are emitted per
-  value, so a hot value costs at most columns^2 rows whatever its
-  frequency.
+  so hot values collapse inside each task); a second, small aggregation
+  sums those bitmasks per referenced column, so no column pairs are ever
+  emitted per value.
 
 ``family`` keeps integers from matching strings that happen to spell them.
 """
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
-from tessera.operators.profile import unique_columns_of
+from tessera.operators.profile import _range_stats, unique_columns_of
 from tessera.sources.documents import spread
 
 ID = "_id"
@@ -261,7 +261,7 @@ _BITS = 62  # columns per bitmask word (keeps 1 << i positive in a bigint)
 
 
 def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]] | None = None,
-                    arrays: bool = True, id_column: str = ID) -> DataFrame:
+                    arrays: bool = True, id_column: str = ID, nulls: str = "ignore") -> DataFrame:
     """R1 ``mode="inclusion"``: for every column S.c and unique column C.u of
     another collection sharing at least one value, ``matched_values`` (distinct
     values of S.c found in C.u), ``distinct_values`` of S.c and
@@ -269,29 +269,32 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
     coverage 1 can be a coincidence, so every candidate is returned with its
     score rather than one guess.
 
-    Plan: every comparable column gets an index (the column list is schema
-    metadata). One scan of each collection in long form feeds a single hash
+    Plan (one data shuffle): every comparable column gets an index (schema
+    metadata). One scan of each collection in long form feeds a hash
     aggregation on ``(family, value)`` that ORs ``1 << index`` into a few
-    bigint words: a plain aggregate with map-side combine, so each task
-    ships one row per distinct value whatever its frequency, and a value
-    shared by many columns is one row, not many. Each value then emits its
-    (column, unique column) pairs plus one total per column - at most
-    columns^2 small rows for the hottest value - and a final small count
-    and window give the scores.
+    bigint words - folded map-side, so each task ships one row per distinct
+    value whatever its frequency. Each value then emits one row per
+    candidate referenced column it contains (never pairs) plus one totals
+    row, and ``groupBy`` on that column sums the value's bits: the sums are
+    ``matched(S.c, C.u)`` for every S.c at once, and the totals row gives
+    ``distinct_values``. When ``keys`` is not given, uniqueness of each
+    scalar column follows from the same totals and one cheap row/NULL count
+    pass (``nulls`` rule as in A3), so no separate distinct count runs.
     """
-    if keys is None:
-        keys = unique_key_lists(collections, id_column=id_column)
-    # Comparable columns, in a fixed order: (table, field).
+    # Comparable columns, in a fixed order: (table, field); scalars can be keys.
     columns: list[tuple[str, str]] = []
     index: dict[tuple[str, str], int] = {}
+    scalar: set[int] = set()
     for name, df in collections.items():
         for f in df.schema.fields:
             dt = f.dataType
-            ok = _family(dt, "inclusion") is not None or (
-                arrays and isinstance(dt, T.ArrayType)
-                and _family(dt.elementType, "inclusion") is not None)
+            is_scalar = _family(dt, "inclusion") is not None
+            ok = is_scalar or (arrays and isinstance(dt, T.ArrayType)
+                               and _family(dt.elementType, "inclusion") is not None)
             if ok:
                 index[(name, f.name)] = len(columns)
+                if is_scalar:
+                    scalar.add(len(columns))
                 columns.append((name, f.name))
     spark = next(iter(collections.values())).sparkSession
     out_schema = ("from_table string, from_field string, to_table string, to_field string, "
@@ -306,33 +309,59 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
     aggs = [F.expr(f"bit_or(CASE WHEN floor(ci / {_BITS}) = {w} "
                    f"THEN shiftleft(1L, CAST(ci % {_BITS} AS INT)) END)").alias(f"w{w}")
             for w in range(words)]
-    masks = (vals.groupBy("family", "ival", "value").agg(*aggs)
-             .select(F.array(*[F.coalesce(F.col(f"w{w}"), F.lit(0).cast("bigint"))
-                               for w in range(words)]).alias("words")))
-    present = F.expr(f"filter(sequence(0, {n - 1}), i -> (shiftright(element_at(words, "
-                     f"CAST(floor(i / {_BITS}) + 1 AS INT)), CAST(i % {_BITS} AS INT)) & 1) = 1)")
-    tables = F.array(*[F.lit(t) for t, _ in columns])
-    ref = set()
-    for t, us in keys.items():
-        for u in us:
-            if (t, u) in index:
-                ref.add(index[(t, u)])
-    is_ref = F.array(*[F.lit(i in ref) for i in range(n)])
-    at = lambda arr, i: F.element_at(arr, i + 1)
-    pairs = F.flatten(F.transform(present, lambda i: F.concat(
-        F.array(F.struct(i.alias("i"), F.lit(-1).alias("j"))),
-        F.transform(F.filter(present, lambda j: at(is_ref, j) & (at(tables, j) != at(tables, i))),
-                    lambda j: F.struct(i.alias("i"), j.alias("j"))))))
-    counts = (masks.select(F.explode(pairs).alias("p"))
-              .groupBy("p.i", "p.j").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("i")
-    fields = F.array(*[F.lit(f) for _, f in columns])
-    scored = (counts.withColumn("distinct_values", F.max(F.when(F.col("j") < 0, F.col("n"))).over(w))
-              .where(F.col("j") >= 0))
-    return scored.select(at(tables, F.col("i")).alias("from_table"), at(fields, F.col("i")).alias("from_field"),
-                         at(tables, F.col("j")).alias("to_table"), at(fields, F.col("j")).alias("to_field"),
-                         F.col("n").alias("matched_values"), "distinct_values",
-                         (F.col("n") / F.col("distinct_values")).alias("coverage"))
+    masks = vals.groupBy("family", "ival", "value").agg(*aggs).select(
+        *[F.coalesce(F.col(f"w{w}"), F.lit(0).cast("bigint")).alias(f"w{w}") for w in range(words)])
+
+    def bit(i: int) -> Column:
+        return F.shiftright(F.col(f"w{i // _BITS}"), i % _BITS).bitwiseAND(F.lit(1))
+
+    if keys is not None:
+        cand = sorted({index[(t, u)] for t, us in keys.items() for u in us if (t, u) in index})
+    else:
+        cand = sorted(scalar)
+    # Per value: the candidate referenced columns it holds, and -1 for totals.
+    if cand:
+        holds = F.filter(F.array(*[F.when(bit(c) == 1, F.lit(c)) for c in cand]),
+                         lambda x: x.isNotNull())
+    else:
+        holds = F.array().cast("array<int>")
+    rows = masks.select("*", F.explode(F.concat(F.array(F.lit(-1)), holds)).alias("j"))
+    sums = rows.groupBy("j").agg(*[F.sum(bit(i)).alias(f"s{i}") for i in range(n)])
+    counts = (sums.select("j", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(f"s{i}").alias("n")) for i in range(n)])).alias("c"))
+        .select("j", "c.i", "c.n").where(F.col("n") > 0))
+    tables = [t for t, _ in columns]
+    cinfo = spark.createDataFrame([(i, t, f) for i, (t, f) in enumerate(columns)],
+                                  "i int, table string, field string")
+    totals = counts.where(F.col("j") == -1).select("i", F.col("n").alias("distinct_values"))
+    if keys is not None:
+        refs = spark.createDataFrame([(c,) for c in cand], "j int")
+    else:
+        # Unique iff its distinct values cover every row (A3's nulls rule).
+        by_table: dict[str, list[str]] = {}
+        for i in sorted(scalar):
+            by_table.setdefault(columns[i][0], []).append(columns[i][1])
+        stats = union_all([_range_stats(collections[t], t, cs) for t, cs in by_table.items()])
+        allowed = F.lit(0) if nulls == "ignore" else F.lit(1)
+        refs = (stats.join(cinfo, (stats["table_name"] == cinfo["table"])
+                           & (stats["column_name"] == cinfo["field"]))
+                .join(totals, "i")
+                .where(((F.col("n") - F.col("n_nonnull")) <= allowed)
+                       & (F.col("distinct_values") + (F.col("n") - F.col("n_nonnull")) == F.col("n")))
+                .select(F.col("i").alias("j")))
+        ids = [i for i, (t, f) in enumerate(columns) if f == id_column and i in scalar]
+        if ids:
+            refs = refs.unionByName(spark.createDataFrame([(i,) for i in ids], "j int")).distinct()
+    pairs = counts.where(F.col("j") >= 0).join(refs, "j", "left_semi")
+    ti = F.array(*[F.lit(t) for t in tables])
+    fi = F.array(*[F.lit(f) for _, f in columns])
+    at = lambda arr, x: F.element_at(arr, x + 1)
+    return (pairs.join(totals, "i")
+            .where(at(ti, F.col("i")) != at(ti, F.col("j")))
+            .select(at(ti, F.col("i")).alias("from_table"), at(fi, F.col("i")).alias("from_field"),
+                    at(ti, F.col("j")).alias("to_table"), at(fi, F.col("j")).alias("to_field"),
+                    F.col("n").alias("matched_values"), "distinct_values",
+                    (F.col("n") / F.col("distinct_values")).alias("coverage")))
 
 
 def assign_foreign_keys(matches: DataFrame) -> DataFrame:
