@@ -24,6 +24,7 @@ ROOT, ONE_TO_ONE, ONE_TO_MANY = "root", "1_1", "1_n"
 
 FIELD_SCHEMA = ("table_name string, path string, relation string, parent string, "
                 "field_name string, field_type string, nullable boolean")
+PROFILE_SCHEMA = FIELD_SCHEMA + ", n_rows bigint, n_null bigint, len_min bigint, len_max bigint"
 
 
 @dataclass
@@ -200,6 +201,8 @@ def field_profile(df: DataFrame, name: str, id_column: str = "_id") -> DataFrame
             F.col(f"__a{i + 1}").alias("len_min"), F.col(f"__a{i + 2}").alias("len_max"))
             for t, f, ti, i in meta]
         parts.append(one.select(F.explode(F.array(*structs)).alias("r")).select("r.*"))
+    if not parts:
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     return union_all(parts)
 
 

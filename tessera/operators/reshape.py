@@ -112,6 +112,8 @@ def documents_to_tables(df: DataFrame, name: str, key: str | None = None,
     lazy projection/explode of the same scan; nothing is materialised.
     """
     df = collapse_ids(df)
+    if not df.columns:
+        return {name: df}
     if key is None:
         key = "_id" if "_id" in df.columns else df.columns[0]
     out: dict[str, DataFrame] = {}

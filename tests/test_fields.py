@@ -53,3 +53,15 @@ def test_schema_json_has_name_first(spark):
     text = FL.schema_json(df, "book").collect()[0].schema_json
     doc = json.loads(text)
     assert list(doc)[0] == "name" and doc["name"] == "book" and doc["type"] == "struct"
+
+
+def test_empty_collections(spark):
+    from pyspark.sql import types as T
+    from tessera.operators import reshape as R
+    from tessera.plans.profiling import profile_documents
+    empty = spark.createDataFrame([], T.StructType([]))
+    assert FL.field_profile(empty, "book").count() == 0
+    assert list(R.documents_to_tables(empty, "book")) == ["book"]
+    pks = {r.table_name: r.primary_key for r in
+           profile_documents({"book": empty, "type": empty}).primary_keys.collect()}
+    assert pks == {"book": "_id", "type": "_id"}
