@@ -174,6 +174,10 @@ def sample_values(collections: Mapping[str, DataFrame], keys: Mapping[str, list[
                       .select("to_table", "to_pos", "v.to_field", "v.u_rank", "doc",
                               "v.family", "v.value")
                       .where(F.col("value").isNotNull()))
+    if not frames:
+        return next(iter(collections.values())).sparkSession.createDataFrame(
+            [], "to_table string, to_pos int, to_field string, u_rank int, doc int, "
+                "family string, value string")
     return union_all(frames)
 
 
