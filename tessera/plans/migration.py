@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tessera.operators import relations as RL
 from tessera.operators.common import union_all
 from tessera.operators.reshape import documents_to_tables, rename_cascade, table_to_documents
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources import jdbc as JD
 from tessera.sources.sinks import write_documents
 
@@ -76,7 +77,7 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
                       renames: Mapping[str, Mapping[str, str]] | None = None,
                       primary_keys: Mapping[str, str] | None = None,
                       edges: Iterable[tuple[str, str, str, str]] = (),
-                      strict: bool = True) -> dict[str, DataFrame]:
+                      strict: bool = True, materialize: bool = False) -> dict[str, DataFrame]:
     """M2: split a collection into tables (N2-N6, ObjectIds as text), apply
     the user's renames to tables, keys and links (F6/F7), check every link
     on the data (R8) and write the tables (S8 with S14/F12, or files).
@@ -84,7 +85,16 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
     ``edges`` are ``(from_table, from_field, to_table, to_field)`` under the
     old names. With ``strict`` a link with orphans raises before anything
     is written. Returns the written tables (lazy) by name.
+
+    Every table (and the link check) reads the documents again. For a plain
+    columnar scan that is cheap - each table reads only its own columns. When
+    the documents come out of costly upstream work (joins, parsing),
+    ``materialize=True`` writes them once with ``checkpoint()`` into the
+    shared ``spark.checkpoint.dir`` and cuts the lineage there.
     """
+    if materialize:
+        ensure_checkpoint_dir(docs.sparkSession)
+        docs = docs.checkpoint(eager=True)
     tabs = documents_to_tables(docs, name, key, tables)
     spark = docs.sparkSession
     e_df = spark.createDataFrame(list(edges) or [],

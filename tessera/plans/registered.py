@@ -712,9 +712,10 @@ FROM {_LINES_OF_ORDERS}""")
 def q_migrate_documents(spark, sf_dir):
     docs = D.with_object_id(order_docs(spark, sf_dir), "o_orderkey")
     out = scratch_path(spark, "docs-to-tables")
+    # The documents come out of a join and a grouping: materialize them once.
     MG.migrate_documents(docs, "orders", MG.PathTarget(out), primary_keys={"orders": "_id"},
                          edges=[("lines", "_id", "orders", "_id")],
-                         renames={"lines": {"l_tax": "tax"}})
+                         renames={"lines": {"l_tax": "tax"}}, materialize=True)
     return spark.read.parquet(f"{out}/lines")
 
 
