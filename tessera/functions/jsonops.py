@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera import fixed as FX
 from tessera.operators.common import qcol
 
 # A JSON string literal, matched possessively so long strings cannot make
@@ -166,8 +167,8 @@ def variant_text(v: Column) -> Column:
     arrays as ``array`` (the reference's type names), other scalars as JSON."""
     kind = F.schema_of_variant(v)
     return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(kind.startswith("OBJECT"), F.lit("struct"))
-            .when(kind.startswith("ARRAY"), F.lit("array"))
+            .when(kind.startswith("OBJECT"), F.lit(FX.STRUCT_TYPE_NAME))
+            .when(kind.startswith("ARRAY"), F.lit(FX.ARRAY_TYPE_NAME))
             .when(kind == "STRING", F.variant_get(v, "$", "string"))
             .otherwise(F.to_json(v)))
 

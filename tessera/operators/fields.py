@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera import fixed as FX
 from tessera.operators.common import is_object_id, qcol, union_all
 
-ROOT, ONE_TO_ONE, ONE_TO_MANY = "root", "1_1", "1_n"
+ROOT, ONE_TO_ONE, ONE_TO_MANY = "root", FX.RELATION_ONE_TO_ONE, FX.RELATION_ONE_TO_MANY
 
 FIELD_SCHEMA = ("table_name string, path string, relation string, parent string, "
                 "field_name string, field_type string, nullable boolean")

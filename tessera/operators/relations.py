@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera import fixed as FX
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
 from tessera.operators.profile import _range_stats, unique_columns_of
 from tessera.sources.documents import spread
 
-ID = "_id"
+ID = FX.ID_FIELD
 ID_RANK = 1_000_000
 
 MATCH_SCHEMA = ("from_table string, from_field string, to_table string, to_field string, "
@@ -147,7 +148,7 @@ def u_rank(df: DataFrame, column: str, id_column: str = ID) -> int:
 
 
 def sample_values(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]],
-                  order_by: Mapping[str, str] | None = None, n: int = 10,
+                  order_by: Mapping[str, str] | None = None, n: int = FX.SAMPLE_DOCUMENTS,
                   mode: str = "text", id_column: str = ID) -> DataFrame:
     """The referenced side of R1-R4: for every collection, the values of its
     unique columns in its first ``n`` documents (S12):
@@ -207,7 +208,8 @@ def _could_match(df: DataFrame, values: list[str], mode: str, arrays: bool) -> C
 
 
 def match_sample(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]] | None = None,
-                 order_by: Mapping[str, str] | None = None, n: int = 10, mode: str = "text",
+                 order_by: Mapping[str, str] | None = None, n: int = FX.SAMPLE_DOCUMENTS,
+                 mode: str = "text",
                  arrays: bool = True, id_column: str = ID) -> DataFrame:
     """Every (searched column S.c, sampled unique column C.u, sampled
     document) where the document's value of ``u`` occurs in ``S.c`` (as a

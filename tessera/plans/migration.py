@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import fixed as FX
 from tessera.operators import relations as RL
 from tessera.operators.common import union_all
 from tessera.operators.reshape import documents_to_tables, rename_cascade, table_to_documents
@@ -27,8 +28,8 @@ class JdbcTarget:
     url: str
     properties: Mapping[str, str] | None = None
     text_type: str = "VARCHAR(32672)"
-    key_type: str = "VARCHAR(255)"
-    batchsize: int = 1000
+    key_type: str = FX.KEY_COLUMN_TYPE
+    batchsize: int = FX.INSERT_BATCH_ROWS
     num_partitions: int | None = None
     add_foreign_keys: bool = True
     schema: str | None = None        # existing schema to write into

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera import fixed as FX
 from tessera.operators import fields as FL
 from tessera.operators import relations as RL
 from tessera.operators.common import union_all
@@ -37,7 +38,7 @@ class Profile:
         return report_json(self.tables())
 
 
-def profile_documents(collections: Mapping[str, DataFrame], n_samples: int = 10,
+def profile_documents(collections: Mapping[str, DataFrame], n_samples: int = FX.SAMPLE_DOCUMENTS,
                       order_by: Mapping[str, str] | None = None, mode: str = "text",
                       reset_pk: bool = True, overrides: Mapping[str, str] | None = None,
                       with_stats: bool = False, id_column: str = RL.ID) -> Profile:
@@ -91,7 +92,8 @@ def tables_report(fields: DataFrame) -> DataFrame:
             .agg(F.collect_list(item).alias("fields")))
 
 
-def report_json(tables: DataFrame, status: str = "200", message: str = "Success") -> DataFrame:
+def report_json(tables: DataFrame, status: str = FX.REPORT_STATUS,
+                message: str = FX.REPORT_MESSAGE) -> DataFrame:
     """The whole report as one JSON text ``{status, message, tables: [...]}``.
     One row; its size is bounded by the number of tables and fields."""
     return tables.agg(F.to_json(F.struct(

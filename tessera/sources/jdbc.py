@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera import fixed as FX
 from tessera.operators.common import qcol
 
 
@@ -192,7 +193,7 @@ def sql_type(dt: T.DataType, text_type: str = "VARCHAR(32672)") -> str:
 
 def target_column_types(df: DataFrame, primary_key: str | None = None,
                         fk_columns: Iterable[str] = (), text_type: str = "VARCHAR(32672)",
-                        key_type: str = "VARCHAR(255)",
+                        key_type: str = FX.KEY_COLUMN_TYPE,
                         object_ids: Iterable[str] = ()) -> dict[str, str]:
     """the SQL type of every column of a target table.
 
@@ -251,7 +252,7 @@ def to_writable(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, url: str, table: str, primary_key: str | Iterable[str] | None = None,
                 column_types: Mapping[str, str] | None = None, create: bool = True,
-                batchsize: int = 1000, num_partitions: int | None = None,
+                batchsize: int = FX.INSERT_BATCH_ROWS, num_partitions: int | None = None,
                 properties: Mapping[str, str] | None = None, isolation: str = "READ_COMMITTED",
                 schema: str | None = None) -> None:
     """S8 (+S14, F12): create the table with its primary key, then insert
