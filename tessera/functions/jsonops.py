@@ -70,24 +70,37 @@ def max_depth(df: DataFrame, col: str) -> int:
     return int(row["m"] or 0)
 
 
-def _children(v: Column, order: Column, key: Column) -> Column:
+def _children(v: Column, order: Column, key: Column, done: Column, emit=None) -> Column:
     """One walk step for a node: its fields (objects), its elements (arrays)
-    or itself (leaves). Each entry is ``struct<k, v, o, leaf>``; ``o`` is the
-    path of positions, which keeps document order."""
+    or itself (leaves, and nodes already ``done``). Each entry is
+    ``struct<k, v, o, leaf, done>``; ``o`` is the path of positions, which
+    keeps document order. With ``emit(k, v)``, a container that satisfies
+    it is also kept itself, marked ``done`` so it is not walked again."""
     as_obj = F.try_variant_get(v, "$", "map<string,variant>")
     as_arr = F.try_variant_get(v, "$", "array<variant>")
+    no = F.lit(False)
     obj = F.transform(F.map_entries(as_obj), lambda e, i: F.struct(
         e["key"].alias("k"), e["value"].alias("v"),
-        F.concat(order, F.array(i)).alias("o"), F.lit(False).alias("leaf")))
+        F.concat(order, F.array(i)).alias("o"), no.alias("leaf"), no.alias("done")))
     arr = F.transform(as_arr, lambda x, i: F.struct(
         F.lit(None).cast("string").alias("k"), x.alias("v"),
-        F.concat(order, F.array(i)).alias("o"), F.lit(False).alias("leaf")))
-    me = F.array(F.struct(key.alias("k"), v.alias("v"), order.alias("o"), F.lit(True).alias("leaf")))
-    return F.when(as_obj.isNotNull(), obj).when(as_arr.isNotNull(), arr).otherwise(me)
+        F.concat(order, F.array(i)).alias("o"), no.alias("leaf"), no.alias("done")))
+    me = F.array(F.struct(key.alias("k"), v.alias("v"), order.alias("o"), F.lit(True).alias("leaf"),
+                          F.lit(True).alias("done")))
+    if emit is not None:
+        keep_me = F.when(emit(key, v), me).otherwise(F.array().cast(me_type()))
+        obj, arr = F.concat(obj, keep_me), F.concat(arr, keep_me)
+    return (F.when(done, me).when(as_obj.isNotNull(), obj).when(as_arr.isNotNull(), arr)
+            .otherwise(me))
+
+
+def me_type() -> str:
+    return "array<struct<k:string,v:variant,o:array<int>,leaf:boolean,done:boolean>>"
 
 
 def json_nodes(df: DataFrame, col: str, keep: Iterable[str] = (), depth: int | None = None,
-               root: Column | None = None, leaf_filter=None, marker: bool = False) -> DataFrame:
+               root: Column | None = None, leaf_filter=None, marker: bool = False,
+               emit_containers=None) -> DataFrame:
     """Every leaf of every document: ``<keep...>, k, v, o`` where ``k`` is the
     field name (NULL for array elements and the root), ``v`` the leaf as
     variant and ``o`` its position path (document order).
@@ -96,7 +109,8 @@ def json_nodes(df: DataFrame, col: str, keep: Iterable[str] = (), depth: int | N
     as they are found, so they are not carried through deeper levels. With
     ``marker`` every document also yields one row with ``mk = true`` (and
     NULL ``v``), so callers can keep documents that have no matching leaf
-    without a second pass over the input.
+    without a second pass over the input. ``emit_containers(k, v)`` also
+    returns the objects and arrays it accepts, next to their contents.
     """
     keep = list(keep)
     if depth is None:
@@ -104,20 +118,23 @@ def json_nodes(df: DataFrame, col: str, keep: Iterable[str] = (), depth: int | N
     v = root if root is not None else F.parse_json(json_text(df, col))
     ks = [qcol(k) for k in keep]
     start = F.struct(F.lit(None).cast("string").alias("k"), v.alias("v"),
-                     F.array().cast("array<int>").alias("o"), F.lit(False).alias("mk"))
+                     F.array().cast("array<int>").alias("o"), F.lit(False).alias("mk"),
+                     F.lit(False).alias("done"))
     if marker:
         mark = F.struct(F.lit(None).cast("string").alias("k"), F.lit(None).cast("variant").alias("v"),
-                        F.array().cast("array<int>").alias("o"), F.lit(True).alias("mk"))
+                        F.array().cast("array<int>").alias("o"), F.lit(True).alias("mk"),
+                        F.lit(True).alias("done"))
         cur = df.select(*ks, F.explode(F.array(start, mark)).alias("s")).select(*ks, "s.*")
     else:
         cur = df.select(*ks, start.alias("s")).select(*ks, "s.*")
     for _ in range(depth):
-        cur = (cur.select(*ks, "mk", F.explode(_children(F.col("v"), F.col("o"), F.col("k"))).alias("n"))
-               .select(*ks, "n.k", "n.v", "n.o", "mk", "n.leaf"))
+        kids = _children(F.col("v"), F.col("o"), F.col("k"), F.col("done"), emit_containers)
+        cur = (cur.select(*ks, "mk", F.explode(kids).alias("n"))
+               .select(*ks, "n.k", "n.v", "n.o", "mk", "n.leaf", "n.done"))
         if leaf_filter is not None:
             cur = cur.where(~F.col("leaf") | F.col("mk") | leaf_filter(F.col("k"), F.col("v")))
         cur = cur.drop("leaf")
-    out = cur.where(F.col("v").isNotNull() | F.col("mk"))
+    out = cur.where(F.col("v").isNotNull() | F.col("mk")).drop("done")
     if leaf_filter is not None:
         out = out.where(F.col("mk") | leaf_filter(F.col("k"), F.col("v")))
     if not marker:
@@ -182,8 +199,10 @@ def json_field(col: Column, path: str) -> Column:
 def json_children(df: DataFrame, col: str, array_key: str, index: int, member: str,
                   keep: Iterable[str] = (), depth: int | None = None) -> DataFrame:
     """All values of field ``member`` at any depth under
-    ``array_key[index]``, in document order, as text; NULL when fewer than
-    two. ``<keep...>, member_values`` with one row per document.
+    ``array_key[index]``, in document order, as text (objects and arrays
+    as ``struct`` / ``array``, and their own ``member`` fields are found too);
+    NULL when fewer than two. ``<keep...>, member_values`` with one row per
+    document.
 
     The regrouping per document shuffles on the ``keep`` columns, which must
     identify a document; a document contributes only its own values.
@@ -192,8 +211,9 @@ def json_children(df: DataFrame, col: str, array_key: str, index: int, member: s
     sub = F.try_variant_get(F.parse_json(json_text(df, col)), f"$.{array_key}[{index}]", "variant")
     if depth is None:
         depth = max_depth(df, col)
-    nodes = json_nodes(df, col, keep, depth, root=sub,
-                       leaf_filter=lambda k, v: k == F.lit(member), marker=True)
+    is_member = lambda k, v: k == F.lit(member)
+    nodes = json_nodes(df, col, keep, depth, root=sub, leaf_filter=is_member, marker=True,
+                       emit_containers=is_member)
     hit = F.when(~F.col("mk"), F.struct("o", variant_text(F.col("v")).alias("t")))
     grouped = nodes.groupBy(*[qcol(k) for k in keep]).agg(
         F.transform(F.array_sort(F.collect_list(hit)), lambda h: h["t"]).alias("member_values"))

@@ -38,3 +38,10 @@ def test_typed_documents_use_schema_depth(spark):
     df = spark.createDataFrame([(1, ("x", [("y",)]))], "id int, doc struct<a:string, l:array<struct<a:string>>>")
     assert J.max_depth(df, "doc") == 3
     assert sorted(r.value for r in J.json_find(df, "doc", "a", ["id"]).collect()) == ["x", "y"]
+
+
+def test_children_include_container_members(spark):
+    df = spark.createDataFrame([(1, '{"l":[{"a":{"a":"x"},"b":[{"a":[1]}]}]}')], "id int, j string")
+    got = J.json_children(df, "j", "l", 0, "a", ["id"]).first().member_values
+    # a (object) then its a ("x"), then b[0].a (array), in document order
+    assert got == ["struct", "x", "array"]
