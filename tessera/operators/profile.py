@@ -271,12 +271,16 @@ def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
 
 
 def unique_columns_of(tables: dict[str, DataFrame], nulls: str = "ignore", prune: bool = True,
-                      id_column: str = "_id", **kw) -> DataFrame:
+                      id_column: str = "_id", only: dict[str, list[str]] | None = None,
+                      **kw) -> DataFrame:
     """A3 over several tables: one pruning job for all of them, then one
-    job with the exact distinct counts of the remaining columns."""
+    job with the exact distinct counts of the remaining columns. ``only``
+    limits the columns tested per table."""
     cols = {}
     for name, df in tables.items():
-        cols[name] = [c for c in key_eligible_columns(df) if c != id_column]
+        allowed = None if only is None else set(only.get(name, []))
+        cols[name] = [c for c in key_eligible_columns(df)
+                      if c != id_column and (allowed is None or c in allowed)]
     if prune:
         cand = exact_candidates_of({n: (tables[n], cols[n]) for n in tables}, nulls)
     else:

@@ -125,12 +125,18 @@ def p_type() -> str:
 
 
 def unique_key_lists(collections: Mapping[str, DataFrame], nulls: str = "ignore",
-                     id_column: str = ID) -> dict[str, list[str]]:
+                     id_column: str = ID, mode: str | None = None) -> dict[str, list[str]]:
     """A3 for each collection, returned as small lists in schema order (one
-    entry per unique column: bounded by the schema width, not the data)."""
+    entry per unique column: bounded by the schema width, not the data).
+    With ``mode`` only columns that can be compared in that mode are tested
+    (in ``text`` mode no numeric column is ever distinct-counted)."""
+    only = None
+    if mode is not None:
+        only = {n: [f.name for f in df.schema.fields if _family(f.dataType, mode) is not None]
+                for n, df in collections.items()}
     out: dict[str, list[str]] = {n: [] for n in collections}
-    for r in unique_columns_of(dict(collections), nulls=nulls, id_column=id_column).select(
-            "table_name", "column_name").collect():
+    for r in unique_columns_of(dict(collections), nulls=nulls, id_column=id_column,
+                               only=only).select("table_name", "column_name").collect():
         out[r["table_name"]].append(r["column_name"])
     for name, df in collections.items():
         order = {c: i for i, c in enumerate(df.columns)}
@@ -226,7 +232,7 @@ def match_sample(collections: Mapping[str, DataFrame], keys: Mapping[str, list[s
     candidate rows are exploded, and nothing large is shuffled.
     """
     if keys is None:
-        keys = unique_key_lists(collections, id_column=id_column)
+        keys = unique_key_lists(collections, id_column=id_column, mode=mode)
     spark = next(iter(collections.values())).sparkSession
     sample_rows = sample_values(collections, keys, order_by, n, mode, id_column).collect()
     samples = spark.createDataFrame(

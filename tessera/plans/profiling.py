@@ -49,7 +49,8 @@ def profile_documents(collections: Mapping[str, DataFrame], n_samples: int = FX.
     ``with_stats`` the field rows also carry N1's counts and lengths.
     """
     cols = {n: collapse_ids(df) for n, df in collections.items()}
-    unique = RL.unique_key_lists(cols, id_column=id_column)
+    # Keys of the report are the columns matching can use (A3 on those).
+    unique = RL.unique_key_lists(cols, id_column=id_column, mode=mode)
     matches = RL.match_sample(cols, unique, order_by, n_samples, mode, id_column=id_column)
     fks = RL.assign_foreign_keys(matches)
     pks = RL.assign_primary_keys(matches, list(cols), reset_pk=reset_pk, overrides=overrides,
