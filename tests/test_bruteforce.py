@@ -74,3 +74,59 @@ def test_inclusion_matches_python(spark):
         want[("b", "code_ref", "a", "code")] = (len(d_txt & ref_txt), len(d_txt))
     # b's columns are not unique, so nothing points into b.
     assert got == want
+
+
+NESTED = ("_id string, name string, addr struct<city:string, zip:int>, "
+          "items array<struct<sku:string, qty:int, tags:array<string>>>, scores array<int>")
+
+
+def _rand_doc(rng, i):
+    addr = None if rng.random() < 0.3 else (rng.choice(["A", "B", None]), rng.randint(1, 9))
+    items = None if rng.random() < 0.2 else [
+        (rng.choice(["s1", "s2", None]), rng.randint(0, 5),
+         None if rng.random() < 0.3 else [rng.choice(["x", "y"]) for _ in range(rng.randint(0, 3))])
+        for _ in range(rng.randint(0, 3))]
+    scores = None if rng.random() < 0.2 else [rng.randint(0, 3) for _ in range(rng.randint(0, 4))]
+    return (f"d{i}", rng.choice(["n", None]), addr, items, scores)
+
+
+def test_documents_to_tables_match_python(spark):
+    from tessera.operators import reshape as R
+    rng = random.Random(3)
+    docs = [_rand_doc(rng, i) for i in range(200)]
+    df = spark.createDataFrame(docs, NESTED)
+    tabs = R.documents_to_tables(df, "d")
+    assert set(tabs) == {"d", "addr", "items", "tags", "scores"}
+    rows = lambda t: sorted(tuple(r) for r in tabs[t].collect())
+    assert rows("d") == sorted((d[0], d[1]) for d in docs)
+    assert rows("addr") == sorted((d[0],) + tuple(d[2]) for d in docs if d[2] is not None)
+    assert rows("items") == sorted((d[0], p, it[0], it[1]) for d in docs
+                                   for p, it in enumerate(d[3] or []))
+    assert rows("tags") == sorted((d[0], p, q, tag) for d in docs for p, it in enumerate(d[3] or [])
+                                  for q, tag in enumerate(it[2] or []))
+    assert rows("scores") == sorted((d[0], p, v) for d in docs for p, v in enumerate(d[4] or []))
+
+
+def test_field_profile_matches_python(spark):
+    from tessera.operators import fields as FL
+    rng = random.Random(4)
+    docs = [_rand_doc(rng, i) for i in range(200)]
+    df = spark.createDataFrame(docs, NESTED)
+    prof = {(r.table_name, r.field_name): (r.n_rows, r.n_null, r.len_min, r.len_max)
+            for r in FL.field_profile(df, "d").collect()}
+
+    def stats(vals, text):
+        lens = [len(v) for v in vals if v is not None] if text else []
+        return (len(vals), sum(v is None for v in vals),
+                min(lens) if lens else None, max(lens) if lens else None)
+
+    addrs = [d[2] for d in docs if d[2] is not None]
+    items = [it for d in docs for it in (d[3] or [])]
+    tags = [t for it in items for t in (it[2] or [])]
+    scores = [v for d in docs for v in (d[4] or [])]
+    assert prof[("d", "name")] == stats([d[1] for d in docs], True)
+    assert prof[("addr", "city")] == stats([a[0] for a in addrs], True)
+    assert prof[("addr", "zip")] == stats([a[1] for a in addrs], False)
+    assert prof[("items", "sku")] == stats([it[0] for it in items], True)
+    assert prof[("tags", "value")] == stats(tags, True)
+    assert prof[("scores", "value")] == stats(scores, False)
