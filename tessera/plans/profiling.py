@@ -41,14 +41,17 @@ class Profile:
 def profile_documents(collections: Mapping[str, DataFrame], n_samples: int = FX.SAMPLE_DOCUMENTS,
                       order_by: Mapping[str, str] | None = None, mode: str = "text",
                       reset_pk: bool = True, overrides: Mapping[str, str] | None = None,
-                      with_stats: bool = False, id_column: str = RL.ID) -> Profile:
+                      with_stats: bool = False, id_column: str = RL.ID,
+                      tables: list[str] | None = None) -> Profile:
     """M1: S1 -> N5 -> N1 -> A3 -> S12 -> R1-R4 -> R5 -> R6/R7/R10 -> N8.
 
     ``collections`` maps names to document DataFrames in the order the
-    reference would visit them (that order ranks the matches). With
-    ``with_stats`` the field rows also carry N1's counts and lengths.
+    reference would visit them (that order ranks the matches); ``tables``
+    keeps only the named ones (S13). With ``with_stats`` the field rows also
+    carry N1's counts and lengths.
     """
-    cols = {n: collapse_ids(df) for n, df in collections.items()}
+    wanted = None if tables is None else set(tables)
+    cols = {n: collapse_ids(df) for n, df in collections.items() if wanted is None or n in wanted}
     # Keys of the report are the columns matching can use (A3 on those).
     unique = RL.unique_key_lists(cols, id_column=id_column, mode=mode)
     matches = RL.match_sample(cols, unique, order_by, n_samples, mode, id_column=id_column)

@@ -73,3 +73,9 @@ def test_count_orphans_equals_anti_join_rows(spark, tables):
     hot = spark.range(1000).select(F.lit(7).alias("k"))
     par = spark.createDataFrame([(1,), (2,)], "k int")
     assert RL.count_orphans(hot, par, "k", "k").first().n_orphans == 1000
+
+
+def test_profile_table_subset(spark):
+    prof = profile_documents(mentor_classes_students(spark), tables=["mentor", "classes"])
+    assert {tuple(r) for r in prof.edges.collect()} == {("classes", "mentor", "mentor", "_id")}
+    assert {r.table_name for r in prof.primary_keys.collect()} == {"mentor", "classes"}
