@@ -172,7 +172,7 @@ def approx_candidates(df: DataFrame, columns: list[str], nulls: str = "ignore",
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
 
 
-def _range_stats(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+def range_stats(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """``table, column_name, n, n_nonnull, lo, hi`` for each column, from one
     global aggregate (lo/hi only for integer, date and boolean columns)."""
     aggs = [F.count(F.lit(1)).alias("__n")]
@@ -207,7 +207,7 @@ def exact_candidates_of(tables: dict[str, tuple[DataFrame, list[str]]],
     range holds fewer values than there are rows (pigeonhole). Typical
     foreign keys are dropped here, before their costly distinct count. The
     result has one row per column (bounded by the schema)."""
-    parts = [_range_stats(df, t, cols) for t, (df, cols) in tables.items() if cols]
+    parts = [range_stats(df, t, cols) for t, (df, cols) in tables.items() if cols]
     keep: dict[str, list[str]] = {t: [] for t in tables}
     if not parts:
         return keep

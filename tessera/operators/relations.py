@@ -6,9 +6,10 @@ other collection in nested loops. Here both sides become long-form
 ``(table, field, family, value)`` rows and meet in one equi-join:
 
 * sample mode (R1-R4): the referenced side is at most ``n_samples x
-  unique columns x collections`` rows, a bound fixed by the schema, so it is
-  broadcast and the searched side is never shuffled; matches are folded by
-  a partial aggregate before the only shuffle;
+  unique columns x collections`` rows, a bound fixed by the schema. It is
+  pushed into each searched scan as an ``IN`` filter and broadcast to the
+  join, so the searched side is never shuffled; matches are folded by a
+  partial aggregate before the only (small) shuffle;
 * inclusion mode: values are grouped once on ``(family, value)`` into a
   bitmask of the columns holding each (a plain aggregate folded map-side,
   so hot values collapse inside each task); a second, small aggregation
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from tessera import fixed as FX
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
-from tessera.operators.profile import _range_stats, unique_columns_of
+from tessera.operators.profile import range_stats, unique_columns_of
 from tessera.sources.documents import spread
 
 ID = FX.ID_FIELD
@@ -353,7 +354,7 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
         by_table: dict[str, list[str]] = {}
         for i in sorted(scalar):
             by_table.setdefault(columns[i][0], []).append(columns[i][1])
-        stats = union_all([_range_stats(collections[t], t, cs) for t, cs in by_table.items()])
+        stats = union_all([range_stats(collections[t], t, cs) for t, cs in by_table.items()])
         allowed = F.lit(0) if nulls == "ignore" else F.lit(1)
         refs = (stats.join(cinfo, (stats["table_name"] == cinfo["table"])
                            & (stats["column_name"] == cinfo["field"]))
