@@ -2,10 +2,9 @@
 JSON output (S10).
 
 The walk over the schema runs on the driver and touches metadata only.
-The statistics are Spark aggregates: all tables that live in the same row
-set (the root and its embedded structs) share one pass; each level of
-arrays adds one pass over the exploded elements. Every pass is a global
-aggregate with partial aggregation per task, so nothing but one row per
+The statistics of every table come from one scan and one global aggregate
+with partial aggregation per task (array tables through higher-order
+functions over the arrays, never an explode), so nothing but one row per
 task crosses the shuffle.
 """
 
@@ -35,6 +34,8 @@ class Leaf:
     nullable: bool
     expr: Column
     is_text: bool
+    rel: tuple[str, ...] = ()   # field names from the row (or array element)
+    oid: bool = False           # an ObjectId: read its ``oid``
 
 
 @dataclass
@@ -46,6 +47,7 @@ class TableSpec:
     frame: tuple[str, ...]          # array paths exploded to reach the rows
     present: list[Column]           # embedded structs that must be non-NULL
     fields: list[Leaf] = field(default_factory=list)
+    present_rel: list[tuple[str, ...]] = field(default_factory=list)
 
 
 def type_name(dt: T.DataType) -> str:
@@ -75,18 +77,22 @@ def walk(schema: T.StructType, root_name: str, id_column: str = "_id") -> list[T
         used.add(n)
         return n
 
-    def visit(st: T.StructType, spec: TableSpec, base: Column | None, path: str):
+    def visit(st: T.StructType, spec: TableSpec, base: Column | None, path: str,
+              base_rel: tuple[str, ...] = ()):
         tables.append(spec)
         for f in st.fields:
             col = qcol(f.name) if base is None else base.getField(f.name)
+            rel = base_rel + (f.name,)
             fpath = f.name if not path else f"{path}.{f.name}"
             dt = f.dataType
             if is_object_id(dt):
-                spec.fields.append(Leaf(f.name, "objectid", f.nullable, col.getField("oid"), True))
+                spec.fields.append(Leaf(f.name, "objectid", f.nullable, col.getField("oid"), True,
+                                        rel, True))
             elif isinstance(dt, T.StructType) and f.name != id_column:
                 child = TableSpec(new_name(f.name, fpath), fpath, ONE_TO_ONE, spec.name,
-                                  spec.frame, spec.present + [col])
-                visit(dt, child, col, fpath)
+                                  spec.frame, spec.present + [col], [],
+                                  spec.present_rel + [rel])
+                visit(dt, child, col, fpath, rel)
             elif isinstance(dt, (T.ArrayType, T.MapType)):
                 frame = spec.frame + (fpath,)
                 child = TableSpec(new_name(f.name, fpath), fpath, ONE_TO_MANY, spec.name, frame, [])
@@ -94,19 +100,20 @@ def walk(schema: T.StructType, root_name: str, id_column: str = "_id") -> list[T
                 if isinstance(dt, T.MapType):
                     tables.append(child)
                     child.fields.append(Leaf("key", type_name(dt.keyType), False,
-                                             elem.getField("key"), _texty(dt.keyType)))
+                                             elem.getField("key"), _texty(dt.keyType), ("key",)))
                     child.fields.append(Leaf("value", type_name(dt.valueType), dt.valueContainsNull,
-                                             elem.getField("value"), _texty(dt.valueType)))
+                                             elem.getField("value"), _texty(dt.valueType),
+                                             ("value",)))
                 elif isinstance(dt.elementType, T.StructType) and not is_object_id(dt.elementType):
-                    visit(dt.elementType, child, elem, fpath)
+                    visit(dt.elementType, child, elem, fpath, ())
                 else:
                     tables.append(child)
                     et = dt.elementType
                     child.fields.append(Leaf("value", type_name(et), dt.containsNull,
                                              elem.getField("oid") if is_object_id(et) else elem,
-                                             _texty(et)))
+                                             _texty(et), (), is_object_id(et)))
             else:
-                spec.fields.append(Leaf(f.name, type_name(dt), f.nullable, col, _texty(dt)))
+                spec.fields.append(Leaf(f.name, type_name(dt), f.nullable, col, _texty(dt), rel))
 
     root = TableSpec(new_name(root_name, root_name), "", ROOT, None, (), [])
     visit(schema, root, None, "")
@@ -125,41 +132,63 @@ def schema_fields(df: DataFrame, name: str, id_column: str = "_id") -> DataFrame
     return df.sparkSession.createDataFrame(rows, FIELD_SCHEMA)
 
 
-def _frame_df(df: DataFrame, frame: tuple[str, ...]) -> DataFrame:
-    """The row set of a table: the documents, or the elements reached by
-    exploding each array path of ``frame`` in turn (narrow, no shuffle)."""
-    cur = df
+def _at(base: Column | None, rel: tuple[str, ...], oid: bool = False) -> Column:
+    """``base.a.b`` (``base`` None = the row's own columns)."""
+    c = base
+    for i, r in enumerate(rel):
+        c = qcol(r) if c is None else c.getField(r)
+    if oid:
+        c = c.getField("oid")
+    return c
+
+
+def _elements(schema: T.StructType, frame: tuple[str, ...]) -> Column:
+    """All elements reached by the array (or map) paths of ``frame``, as one
+    array per document: nested levels are flattened with ``transform`` -
+    no explode, no shuffle."""
+    elems = None
     prev = None
-    for p in frame:
-        parts = p.split(".")
+    for k, p in enumerate(frame):
+        is_map = _is_map_path(schema, frame[:k + 1])
         if prev is None:
-            src = qcol(parts[0])
-            for q in parts[1:]:
-                src = src.getField(q)
+            src = _at(None, tuple(p.split(".")))
+            elems = F.map_entries(src) if is_map else src
         else:
-            rel = p[len(prev) + 1:].split(".")
-            src = F.col("__e")
-            for q in rel:
-                src = src.getField(q)
-        cur = cur.select(F.explode(src).alias("__e"))
+            rel = tuple(p[len(prev) + 1:].split("."))
+            step = (lambda x, rel=rel: F.map_entries(_at(x, rel))) if is_map else \
+                (lambda x, rel=rel: _at(x, rel))
+            # flatten() is NULL if any inner array is: drop NULL ones first.
+            elems = F.flatten(F.filter(F.transform(elems, _one_arg(step)),
+                                       lambda a: a.isNotNull()))
         prev = p
-    return cur
+    return elems
+
+
+def _one_arg(fn):
+    return lambda x: fn(x)
+
+
+# One-argument closures: PySpark passes the element index to a lambda that
+# takes a second (even defaulted) parameter.
+def _present_of(rels: tuple[tuple[str, ...], ...]):
+    def present(x: Column) -> Column:
+        c = F.lit(True)
+        for p in rels:
+            c = c & _at(x, p).isNotNull()
+        return c
+    return present
+
 
+def _null_of(f: Leaf):
+    return lambda x: _at(x, f.rel, f.oid).isNull()
 
-def _map_entries_frame(df: DataFrame, frame: tuple[str, ...], is_map: bool) -> DataFrame:
-    if not is_map:
-        return _frame_df(df, frame)
-    cur = _frame_df(df, frame[:-1]) if len(frame) > 1 else df
-    last = frame[-1]
-    if len(frame) == 1:
-        src = qcol(last.split(".")[0])
-        for q in last.split(".")[1:]:
-            src = src.getField(q)
-    else:
-        src = F.col("__e")
-        for q in last[len(frame[-2]) + 1:].split("."):
-            src = src.getField(q)
-    return cur.select(F.explode(F.map_entries(src)).alias("__e"))
+
+def _length_of(f: Leaf):
+    return lambda x: F.length(_at(x, f.rel, f.oid))
+
+
+def _size0(arr: Column) -> Column:
+    return F.coalesce(F.size(arr), F.lit(0)).cast("bigint")
 
 
 def field_profile(df: DataFrame, name: str, id_column: str = "_id") -> DataFrame:
@@ -168,43 +197,60 @@ def field_profile(df: DataFrame, name: str, id_column: str = "_id") -> DataFrame
 
     ``table_name, path, relation, parent, field_name, field_type, nullable,
     n_rows, n_null, len_min, len_max`` (lengths for text fields only).
+
+    One scan and one global aggregate for all tables: root and embedded
+    struct fields are plain conditional aggregates; the rows of an array
+    table are the array's elements (nested arrays flattened), counted and
+    measured with ``size`` / ``filter`` / ``transform`` / ``array_min`` /
+    ``array_max`` inside the same aggregate, so no array is exploded.
     """
     tables = walk(df.schema, name, id_column)
-    by_frame: dict[tuple[str, ...], list[TableSpec]] = {}
-    for t in tables:
-        by_frame.setdefault(t.frame, []).append(t)
-    parts = []
-    for frame, specs in by_frame.items():
-        is_map = bool(frame) and _is_map_path(df.schema, frame)
-        rows_df = _map_entries_frame(df, frame, is_map)
-        aggs, meta = [], []
-        for ti, t in enumerate(specs):
+    aggs, meta = [], []
+    for ti, t in enumerate(tables):
+        if not t.fields:
+            continue
+        if not t.frame:
             cond = F.lit(True)
-            for p in t.present:
-                cond = cond & p.isNotNull()
+            for p in t.present_rel:
+                cond = cond & _at(None, p).isNotNull()
             aggs.append(F.count(F.when(cond, 1)).alias(f"__r{ti}"))
             for f in t.fields:
                 i = len(aggs)
-                aggs.append(F.count(F.when(cond & f.expr.isNull(), 1)).alias(f"__a{i}"))
-                ln = F.length(f.expr) if f.is_text else F.lit(None).cast("int")
-                aggs.append(F.min(F.when(cond, ln)).cast("bigint").alias(f"__a{i + 1}"))
-                aggs.append(F.max(F.when(cond, ln)).cast("bigint").alias(f"__a{i + 2}"))
+                v = _at(None, f.rel, f.oid)
+                ln = F.length(v) if f.is_text else F.lit(None).cast("int")
+                aggs += [F.count(F.when(cond & v.isNull(), 1)).alias(f"__a{i}"),
+                         F.min(F.when(cond, ln)).cast("bigint").alias(f"__a{i + 1}"),
+                         F.max(F.when(cond, ln)).cast("bigint").alias(f"__a{i + 2}")]
                 meta.append((t, f, ti, i))
-        if not meta:
             continue
-        one = rows_df.agg(*aggs)
-        structs = [F.struct(
-            F.lit(t.name).alias("table_name"), F.lit(t.path).alias("path"),
-            F.lit(t.relation).alias("relation"), F.lit(t.parent).cast("string").alias("parent"),
-            F.lit(f.name).alias("field_name"), F.lit(f.type).alias("field_type"),
-            F.lit(f.nullable).alias("nullable"),
-            F.col(f"__r{ti}").alias("n_rows"), F.col(f"__a{i}").alias("n_null"),
-            F.col(f"__a{i + 1}").alias("len_min"), F.col(f"__a{i + 2}").alias("len_max"))
-            for t, f, ti, i in meta]
-        parts.append(one.select(F.explode(F.array(*structs)).alias("r")).select("r.*"))
-    if not parts:
+        elems = _elements(df.schema, t.frame)
+        if t.present_rel:
+            elems = F.filter(elems, _present_of(tuple(t.present_rel)))
+        aggs.append(F.sum(_size0(elems)).alias(f"__r{ti}"))
+        for f in t.fields:
+            i = len(aggs)
+            nulls = F.sum(_size0(F.filter(elems, _null_of(f))))
+            if f.is_text:
+                lens = F.transform(elems, _length_of(f))
+                lo, hi = F.min(F.array_min(lens)), F.max(F.array_max(lens))
+            else:
+                lo = hi = F.lit(None).cast("int")
+            aggs += [nulls.alias(f"__a{i}"), lo.cast("bigint").alias(f"__a{i + 1}"),
+                     hi.cast("bigint").alias(f"__a{i + 2}")]
+            meta.append((t, f, ti, i))
+    if not meta:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
-    return union_all(parts)
+    one = df.agg(*aggs)
+    structs = [F.struct(
+        F.lit(t.name).alias("table_name"), F.lit(t.path).alias("path"),
+        F.lit(t.relation).alias("relation"), F.lit(t.parent).cast("string").alias("parent"),
+        F.lit(f.name).alias("field_name"), F.lit(f.type).alias("field_type"),
+        F.lit(f.nullable).alias("nullable"),
+        F.coalesce(F.col(f"__r{ti}"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce(F.col(f"__a{i}"), F.lit(0)).cast("bigint").alias("n_null"),
+        F.col(f"__a{i + 1}").alias("len_min"), F.col(f"__a{i + 2}").alias("len_max"))
+        for t, f, ti, i in meta]
+    return one.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
 def _is_map_path(schema: T.StructType, frame: tuple[str, ...]) -> bool:
