@@ -112,16 +112,7 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
             df.write.format(target.fmt).mode(target.mode).save(f"{target.path.rstrip('/')}/{t}")
         return tabs
     if isinstance(target, CatalogTarget):
-        db = JD.create_target_database(spark, target.database, target.location)
-        for t, df in tabs.items():
-            w = df.writeTo(f"`{db}`.`{t}`").using(target.fmt)
-            pk = (pks or {}).get(t)
-            if pk:
-                w = w.tableProperty("primary_key", pk)
-            for ft, ff, tt, tf in links:
-                if ft == t:
-                    w = w.tableProperty(f"foreign_key.{ff}", f"{tt}.{tf}")
-            w.create()
+        db = write_catalog_tables(tabs, target, pks, links)
         return {t: spark.table(f"`{db}`.`{t}`") for t in tabs}
     schema = target.schema
     if target.new_schema:
@@ -143,6 +134,27 @@ def migrate_documents(docs: DataFrame, name: str, target: JdbcTarget | PathTarge
     return tabs
 
 
+def write_catalog_tables(tables: Mapping[str, DataFrame], target: CatalogTarget,
+                         primary_keys: Mapping[str, str] | None = None,
+                         links: Iterable[tuple[str, str, str, str]] = ()) -> str:
+    """S8/S14 for Spark catalogs: create a fresh database (S11) and every
+    table in it with ``writeTo().create()``, keeping the primary key and the
+    links as table properties. Returns the database name."""
+    spark = next(iter(tables.values())).sparkSession
+    db = JD.create_target_database(spark, target.database, target.location)
+    links = list(links)
+    for t, df in tables.items():
+        w = df.writeTo(f"`{db}`.`{t}`").using(target.fmt)
+        pk = (primary_keys or {}).get(t)
+        if pk:
+            w = w.tableProperty("primary_key", pk)
+        for ft, ff, tt, tf in links:
+            if ft == t:
+                w = w.tableProperty(f"foreign_key.{ff}", f"{tt}.{tf}")
+        w.create()
+    return db
+
+
 def migrate_tables(sources: Mapping[str, DataFrame], path: str, fmt: str = "json",
                    mode: str = "errorifexists", as_json_text: bool = False) -> dict[str, str]:
     """M4: every table becomes a collection of flat documents (N7 + S9)

@@ -755,3 +755,29 @@ def q_split_map(spark, sf_dir):
     ev = _tables(spark, sf_dir, ["events"])["events"]
     m = ev.select("event_id", F.from_json("props", "map<string,int>").alias("props"))
     return R.split_array(m, "props", "event_id")
+
+
+
+# --- M3 over a Spark catalog --------------------------------------------------
+
+@register("profile_tables", """
+SELECT DISTINCT c.table_name, CAST(c.ordinal_position AS INTEGER) AS position,
+       c.column_name AS field_name,
+       CASE c.data_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS field_type,
+       '1' AS nullable,
+       CASE c.table_name WHEN 'region' THEN ['r_regionkey'] ELSE ['n_nationkey'] END AS primary_key,
+       CASE c.table_name WHEN 'region' THEN 'r_regionkey' ELSE 'n_nationkey' END AS primary_key_last,
+       CASE WHEN c.column_name = 'n_regionkey' THEN 'region' END AS ref_table,
+       CASE WHEN c.column_name = 'n_regionkey' THEN 'r_regionkey' END AS ref_field
+FROM information_schema.columns c WHERE c.table_name IN ('region', 'nation')""")
+def q_profile_tables(spark, sf_dir):
+    # The tables are written into a fresh catalog database stored under the
+    # shared checkpoint folder, with their key and link, then profiled from
+    # catalog metadata alone (M3).
+    t = _tables(spark, sf_dir, ["region", "nation"])
+    db = MG.write_catalog_tables(
+        t, MG.CatalogTarget("tessera_m3", location=scratch_path(spark, "m3-db")),
+        {"region": "r_regionkey", "nation": "n_nationkey"},
+        [("nation", "n_regionkey", "region", "r_regionkey")])
+    return PR.profile_catalog_tables(spark, db)
