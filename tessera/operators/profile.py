@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.common import chunks, is_array, is_groupable, qcol, union_all
+from tessera import fixed as FX
+from tessera.operators.common import chunks, is_array, is_groupable, path_col, qcol, union_all
+from tessera.sources.documents import sample_rows
 
 NULL_RULES = ("ignore", "group")
 
@@ -399,10 +401,9 @@ def length_stats(df: DataFrame, table_name: str, include_double: bool = True) ->
         "table_name", "r.column_name", "r.len_min", "r.len_max")
 
 
-def sample_values(df: DataFrame, path: str, order_by: str, n: int = 10) -> DataFrame:
+def sample_values(df: DataFrame, path: str, order_by: str,
+                  n: int = FX.SAMPLE_DOCUMENTS) -> DataFrame:
     """Text of ``path`` for the first ``n`` documents under ``order_by``:
     ``<order_by>, value``. A top-k (S12), not a sort of the whole input."""
-    from tessera.sources.documents import sample_rows
-    from tessera.operators.common import path_col
     return (sample_rows(df, n, order_by)
             .select(qcol(order_by), path_col(path).cast("string").alias("value")))
