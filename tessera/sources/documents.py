@@ -20,8 +20,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     than there are cores (a file with one row group is one task however
     large the work after it). Scans that already have enough splits - any
     large input - are returned unchanged, so this never adds a shuffle at
-    scale. Filters and column pruning still reach the scan below it."""
+    scale; so are inputs whose plan already has an exchange. Filters and
+    column pruning still reach the scan below it."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        # Planning only. An input that already shuffles (or broadcasts) is
+        # spread by that shuffle; asking it for its partitions would run it.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
+    except Exception:  # noqa: BLE001 - no plan access: leave the input alone
+        return df
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
