@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import fixed as FX
-from tessera.operators.common import is_object_id, qcol, union_all
+from tessera.operators.common import is_object_id, qcol
 
 ROOT, ONE_TO_ONE, ONE_TO_MANY = "root", FX.RELATION_ONE_TO_ONE, FX.RELATION_ONE_TO_MANY
 
