@@ -62,6 +62,10 @@ def orphan_counts(tables: Mapping[str, DataFrame], edges: Iterable[tuple[str, st
     n_orphans`` (child rows whose key has no parent)."""
     parts = []
     for ft, ff, tt, tf in edges:
+        for t, f in ((ft, ff), (tt, tf)):
+            if t not in tables or f not in tables[t].columns:
+                raise ValueError(f"link end {t}.{f} is not a column of the split tables "
+                                 f"{sorted(tables)}")
         orph = RL.count_orphans(tables[ft], tables[tt], ff, tf)
         parts.append(orph.select(
             F.lit(ft).alias("from_table"), F.lit(ff).alias("from_field"),

@@ -99,3 +99,9 @@ def test_catalog_round_trip_keeps_keys_and_links(spark, tables):
     assert prof[("orders", "_id")].primary_key_last == "_id"
     assert (prof[("lines", "_id")].ref_table, prof[("lines", "_id")].ref_field) == ("orders", "_id")
     assert prof[("lines", "l_tax")].field_type == "double"
+
+
+def test_unknown_link_end_is_reported(spark, derby):
+    docs = spark.createDataFrame([("a", [(1,)])], "_id string, items array<struct<x:int>>")
+    with pytest.raises(ValueError, match="not a column"):
+        MG.migrate_documents(docs, "d", MG.JdbcTarget(derby), edges=[("items", "x", "other", "_id")])
