@@ -9,8 +9,8 @@ other machine has to reach it.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,15 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     the same shared folder, so they survive executor loss.
     """
     base = ensure_checkpoint_dir(spark)
-    sub = f"{name}-{os.getpid()}-{next(_counter)}"
-    return base.rstrip("/") + "/tessera-tables/" + sub
+    return f"{base.rstrip('/')}/tessera-tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_counter = _count()
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application wrote with ``scratch_path``. For
+    the end of a job: results that still read them must be stored first."""
+    base = ensure_checkpoint_dir(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{base.rstrip('/')}/tessera-tables/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
