@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import crc_of_id, table
+from tessera.llm.ctw import lm_scores
 from tessera.llm.exact import exact_groups
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
@@ -36,10 +37,18 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.coalesce(crc_of_id() % 10 == 0, F.lit(False))
+    return (lm_scores(docs.withColumn("train", ~held_out)).withColumn("held_out", ~F.col("train"))
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_pack": op9_pack,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {
