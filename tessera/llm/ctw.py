@@ -197,8 +197,8 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
                       F.coalesce(F.sum((F.col("n") > 0).cast("long")), F.lit(0)).alias("types")).first()
     under = total["tokens"] + 0.1 * (total["types"] + 1)
-    values = (words.select("shard", "key", F.log10((F.col("n") + 0.1) / under).alias("value"), (F.col("n") > 0).alias("seen"))
-              .unionByName(gram_values(counts.where("key >= 0"), max(12, corpus.shards)).withColumn("seen", F.lit(True))))
-    return (corpus.scores(values)
+    values = (words.select("shard", "key", F.col("n").cast("double").alias("value"))
+              .unionByName(gram_values(counts.where("key >= 0"), max(12, corpus.shards))))
+    return (corpus.scores(values, lambda n: np.log10((n + 0.1) / under))
             .select("doc_id", "train", "n_tokens", "n_known", F.lit(total["tokens"]).cast("long").alias("train_tokens"),
                     F.col("word_score").alias("base_score"), F.col("gram_score").alias("score")))

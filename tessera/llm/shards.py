@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import KeyTable, SpanHash, byte_grams, map_arrow, slices, written
+from tessera.llm.common import BLOCK_BYTES, KeyTable, SpanHash, byte_grams, map_arrow, slices, written
 
 ORDER = 7
 PAD = b"\n" * (ORDER - 1)
@@ -112,22 +112,26 @@ class Positions:
         return self._sums(values, at[:-1], at[1:])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """Slices of rows with equal chunk."""
-    held: list[pa.RecordBatch] = []
-    now = None
-    for batch in batches:
-        for part in slices(batch, "body"):
-            ids = part.column("chunk").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and now != int(ids[a]):
-                    yield now, held
-                    held = []
-                now = int(ids[a])
-                held.append(part.slice(a, b - a))
-    if held:
-        yield now, held
+_codec = pa.Codec("zstd", compression_level=1)
+
+
+def squeezed(data: bytes) -> bytes:
+    return _codec.compress(data, asbytes=True)
+
+
+def expanded(data: bytes, size: int) -> bytes:
+    return _codec.decompress(data, size, asbytes=True)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as their differences, byte plane by byte plane, compressed."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    return squeezed(np.ascontiguousarray(steps.view(np.uint8).reshape(len(values), -1).T).tobytes())
+
+
+def unpacked(data: bytes, dtype: type, n: int) -> np.ndarray:
+    planes = np.frombuffer(expanded(data, n * np.dtype(dtype).itemsize), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(-1, n).T).view(dtype).ravel(), dtype=dtype)
 
 
 def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +143,55 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
+class Chunk:
+    """Some texts: one stored row."""
+
+    SCHEMA = ("chunk long, row array<long>, doc_id array<long>, train array<boolean>, size array<long>, "
+              "bytes long, body binary")
+
+    def __init__(self, stored: dict, order: int, with_words: bool) -> None:
+        self.id, self.order, self.with_words = stored["chunk"], order, with_words
+        self.rows = {c: stored[c] for c in ("row", "doc_id", "train")}
+        self.train = np.array(stored["train"], bool)
+        self.ends = np.cumsum(np.array(stored["size"], np.int64))
+        self.body = expanded(stored["body"], stored["bytes"])
+
+    @staticmethod
+    def store(chunk: int, rows: list[tuple]) -> dict:
+        row, doc, train, pieces = zip(*rows, strict=True)
+        body = b"".join(pieces)
+        return {"chunk": [chunk], "row": [row], "doc_id": [doc], "train": [train], "size": [[len(p) for p in pieces]],
+                "bytes": [len(body)], "body": [squeezed(body)]}
+
+    def parts(self) -> Iterator[tuple[np.ndarray, Positions]]:
+        """Positions of about ``BLOCK_BYTES`` at a time, with their pieces."""
+        starts = np.concatenate(([0], self.ends[:-1]))
+        at = 0
+        while at < len(self.ends):
+            end = max(at + 1, int(np.searchsorted(self.ends, starts[at] + BLOCK_BYTES, side="right")))
+            yield np.arange(at, end), Positions([self.body[a:b] for a, b in zip(starts[at:end].tolist(), self.ends[at:end].tolist(), strict=True)],
+                                                self.order, self.with_words)
+            at = end
+
+    def keys(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys by (shard, key), their shards, how often they train."""
+        keys, counts = [], []
+        for pieces, own in self.parts():
+            trains = [(own.grams, np.repeat(self.train[pieces], own.last - own.first), own.own)]
+            if self.with_words:
+                trains.append((own.words, np.repeat(self.train[pieces], own.counts), None))
+            for found, train, mask in trains:
+                found = found if mask is None else found[mask]
+                for some, weight in ((found[train], 1), (found[~train], 0)):
+                    key, n = np.unique(some, return_counts=True)
+                    keys.append(key)
+                    counts.append(n * weight)
+        key, n = added(keys, counts)
+        place = shard_of(key, shards)
+        by = np.argsort(place, kind="stable")
+        return key[by], place[by], n[by]
+
+
 class Corpus:
     """Texts stored in chunks: (doc_id, text binary, train boolean) rows, cut
     into words by ``words``, for grams of ``order`` bytes."""
@@ -146,115 +199,111 @@ class Corpus:
     def __init__(self, docs: DataFrame, words: Callable[[bytes], list[bytes]], order: int, with_words: bool,
                  chunk_bytes: int = CHUNK_BYTES) -> None:
         self.order, self.with_words = order, with_words
-        self.pieces = self._store(docs, words, chunk_bytes)
-        total = self.pieces.agg(F.sum(F.octet_length("body")).alias("n")).first()["n"] or 0
+        self.chunks = self._store(docs, words, chunk_bytes)
+        total = self.chunks.agg(F.sum("bytes").alias("n")).first()["n"] or 0
         self.shards = max(1, -(-total // chunk_bytes))
-        self.asked = self._ask()
 
     def _store(self, docs, words, chunk_bytes) -> DataFrame:
         pad = self.order - 1
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            base = TaskContext.get().partitionId() << 40
-            chunk, row, filled = base, base, 0
+            chunk = row = TaskContext.get().partitionId() << 40
+            held: list[tuple] = []
+            filled = 0
             for batch in batches:
                 for part in slices(batch, "text"):
-                    out: dict[str, list] = {k: [] for k in ("chunk", "row", "doc_id", "train", "body")}
                     for doc, text, train in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "train")), strict=True):
                         for piece in _cut(b"\n" * pad + b" ".join(words(text)) + b"\n", pad, chunk_bytes):
-                            if filled and filled + len(piece) > chunk_bytes:
-                                chunk, filled = chunk + 1, 0
+                            if held and filled + len(piece) > chunk_bytes:
+                                yield Chunk.store(chunk, held)
+                                chunk, held, filled = chunk + 1, [], 0
+                            held.append((row, doc, bool(train), piece))
                             filled += len(piece)
-                            for name, v in zip(out, (chunk, row, doc, train, piece), strict=True):
-                                out[name].append(v)
                         row += 1
-                    yield out
+            if held:
+                yield Chunk.store(chunk, held)
 
-        return written(map_arrow(docs, run, "chunk long, row long, doc_id long, train boolean, body binary"), "pieces")
+        return written(map_arrow(docs, run, Chunk.SCHEMA), "chunks")
 
-    def _ask(self) -> DataFrame:
-        """chunk, shard, keys (sorted), counts (occurrences that train)."""
+    def _asked(self) -> DataFrame:
+        """chunk, shard, n, keys, counts (occurrences that train)."""
         order, with_words, shards = self.order, self.with_words, self.shards
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            for chunk, parts in _runs(batches):
-                keys, counts = [], []
-                for part in parts:
-                    train = part.column("train").to_pylist()
-                    bodies = part.column("body").to_pylist()
-                    for flag in (True, False):
-                        some = [b for b, t in zip(bodies, train, strict=True) if bool(t) == flag]
-                        if some:
-                            own = Positions(some, order, with_words)
-                            for found in [own.grams[own.own], *([own.words] if with_words else [])]:
-                                key, n = np.unique(found, return_counts=True)
-                                keys.append(key)
-                                counts.append(n if flag else np.zeros_like(n))
-                key, n = added(keys, counts)
-                place = shard_of(key, shards)
-                by = np.argsort(place, kind="stable")
-                key, n, place = key[by], n[by].astype(np.int32), place[by]
-                cuts = np.flatnonzero(np.diff(place)) + 1
-                yield {"chunk": [chunk] * (len(cuts) + 1), "shard": place[np.concatenate(([0], cuts))],
-                       "keys": [x.tobytes() for x in np.split(key, cuts)],
-                       "counts": [x.tobytes() for x in np.split(n, cuts)]}
-
-        return written(map_arrow(self.pieces, run, "chunk long, shard int, keys binary, counts binary"), "asked")
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    chunk = Chunk(batch.slice(i, 1).to_pylist()[0], order, with_words)
+                    key, place, n = chunk.keys(shards)
+                    cuts = np.flatnonzero(np.diff(place)) + 1
+                    lists = np.split(key, cuts)
+                    yield {"chunk": [chunk.id] * len(lists), "shard": place[np.concatenate(([0], cuts))],
+                           "n": [len(x) for x in lists], "keys": [packed(x) for x in lists],
+                           "counts": [packed(x.astype(np.int32)) for x in np.split(n, cuts)]}
+
+        return map_arrow(self.chunks, run, "chunk long, shard int, n int, keys binary, counts binary")
 
     def counts(self) -> DataFrame:
         """Every key once: shard, key, n (0 for keys that never train)."""
         def run(rows: pa.Table) -> pa.Table:
-            key, n = added([np.frombuffer(b, np.int64) for b in rows.column("keys").to_pylist()],
-                           [np.frombuffer(b, np.int32).astype(np.int64) for b in rows.column("counts").to_pylist()])
+            keys, counts = [], []
+            for n, key, count in zip(*(rows.column(c).to_pylist() for c in ("n", "keys", "counts")), strict=True):
+                keys.append(unpacked(key, np.int64, n))
+                counts.append(unpacked(count, np.int32, n).astype(np.int64))
+            key, n = added(keys, counts)
             return pa.table({"shard": pa.array(np.full(len(key), rows.column("shard")[0].as_py()), pa.int32()), "key": key, "n": n})
 
-        return written(self.asked.groupBy("shard").applyInArrow(run, "shard int, key long, n long"), "counts")
+        return written(self._asked().groupBy("shard").applyInArrow(run, "shard int, key long, n long"), "counts")
 
-    def scores(self, values: DataFrame) -> DataFrame:
+    def scores(self, values: DataFrame, word_value: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
         """Per input row: row, doc_id, train, n_bytes, gram_score and, with
         words, n_tokens, n_known, word_score. ``values`` has, for every key,
-        shard, key, value, seen."""
-        order, with_words = self.order, self.with_words
+        shard, key and value: of a gram its score, of a word its count, which
+        ``word_value`` turns into a score."""
+        order, with_words, shards = self.order, self.with_words, self.shards
 
         def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
             key = known.column("key").to_numpy()
             by = np.argsort(key)
             key, value = key[by], known.column("value").to_numpy()[by]
-            seen = known.column("seen").to_numpy(zero_copy_only=False)[by]
-            found = [np.searchsorted(key, np.frombuffer(b, np.int64)) for b in asked.column("keys").to_pylist()]
-            return pa.table({"chunk": asked.column("chunk"), "keys": asked.column("keys"),
-                             "values": pa.array([value[f].astype(np.float64).tobytes() for f in found], pa.binary()),
-                             "seen": pa.array([np.packbits(seen[f]).tobytes() for f in found], pa.binary())})
-
-        answers = (self.asked.select("chunk", "shard", "keys").groupBy("shard").cogroup(values.groupBy("shard"))
-                   .applyInArrow(answer, "chunk long, keys binary, values binary, seen binary"))
+            counts, scores = [], []
+            for n, b in zip(asked.column("n").to_pylist(), asked.column("keys").to_pylist(), strict=True):
+                wanted = unpacked(b, np.int64, n)
+                found = value[np.searchsorted(key, wanted)]
+                counts.append(squeezed(found[wanted < 0].astype(np.int64).tobytes()))
+                scores.append(found[wanted >= 0].astype(np.float32).tobytes())
+            return pa.table({"chunk": asked.column("chunk"), "shard": asked.column("shard"),
+                             "counts": pa.array(counts, pa.binary()), "scores": pa.array(scores, pa.binary())})
+
+        answers = (self._asked().drop("counts").groupBy("shard").cogroup(values.groupBy("shard"))
+                   .applyInArrow(answer, "chunk long, shard int, counts binary, scores binary"))
         schema = ("row long, doc_id long, train boolean, n_bytes long, gram_score double, "
                   "n_tokens long, n_known long, word_score double")
         target = to_arrow_schema(T.StructType.fromDDL(schema))
 
         def score(left: pa.Table, right: pa.Table) -> pa.Table:
-            lists = [np.frombuffer(b, np.int64) for b in right.column("keys").to_pylist()]
-            table = KeyTable(np.concatenate(lists) if lists else np.zeros(0, np.int64))
-            value = np.concatenate([np.frombuffer(b, np.float64) for b in right.column("values").to_pylist()])
-            seen = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(k))
-                                   for b, k in zip(right.column("seen").to_pylist(), lists, strict=True)])
+            chunk = Chunk(left.to_pylist()[0], order, with_words)
+            key, place, _ = chunk.keys(shards)
+            value = np.zeros(len(key))
+            for row in right.to_pylist():
+                low, high = np.searchsorted(place, (row["shard"], row["shard"] + 1))
+                words = int(np.searchsorted(key[low:high], 0))
+                value[low:low + words] = np.frombuffer(expanded(row["counts"], 8 * words), np.int64)
+                value[low + words:high] = np.frombuffer(row["scores"], np.float32)
+            table = KeyTable(key)
             parts = []
-            for batch in left.to_batches():
-                for rows in slices(batch, "body"):
-                    own = Positions(rows.column("body").to_pylist(), order, with_words)
-                    columns = {c: rows.column(c) for c in ("row", "doc_id", "train")}
-                    columns["n_bytes"] = own.last - own.first
-                    columns["gram_score"] = own.gram_sums(np.where(own.own, value[table.find(own.grams)], 0.0))
-                    at = table.find(own.words) if with_words else np.zeros(0, np.int64)
-                    columns["n_tokens"] = own.counts if with_words else [0] * rows.num_rows
-                    columns["n_known"] = own.word_sums(seen[at].astype(float)).astype(np.int64) if with_words else [0] * rows.num_rows
-                    columns["word_score"] = own.word_sums(value[at]) if with_words else [0.0] * rows.num_rows
-                    parts.append(pa.RecordBatch.from_arrays([
-                        c if isinstance(c, pa.Array) else pa.array(c, f.type)
-                        for f, c in ((f, columns[f.name]) for f in target)], schema=target))
+            for pieces, own in chunk.parts():
+                columns = {c: [v[i] for i in pieces] for c, v in chunk.rows.items()}
+                columns["n_bytes"] = own.last - own.first
+                columns["gram_score"] = own.gram_sums(np.where(own.own, value[table.find(own.grams)], 0.0))
+                none = np.zeros(len(pieces))
+                counts = value[table.find(own.words)] if with_words else none
+                columns["n_tokens"] = np.array(own.counts) if with_words else none.astype(np.int64)
+                columns["n_known"] = (own.word_sums((counts > 0).astype(float)) if with_words else none).astype(np.int64)
+                columns["word_score"] = own.word_sums(word_value(counts)) if with_words else none
+                parts.append(pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in target], schema=target))
             return pa.Table.from_batches(parts, target)
 
-        scored = self.pieces.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
+        scored = self.chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
         return scored.groupBy("row").agg(
             F.min("doc_id").alias("doc_id"), F.min("train").alias("train"),
             *[F.sum(c).alias(c) for c in ("n_bytes", "gram_score", "n_tokens", "n_known", "word_score")])
