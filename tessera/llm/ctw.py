@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, text_bytes, written
+from tessera.llm.common import LOWER, written
 from tessera.llm.shards import Corpus
 
 #: Longest context, in bytes, and the shortest one whose subtree is one group.
@@ -190,8 +190,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     """Scores of (doc_id, text, train): doc_id, train, n_tokens, n_known,
     train_tokens, base_score (a unigram model of words), score (log10
     probability of the text under the tree)."""
-    corpus = Corpus(docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"), "train"),
-                    lower_words, DEPTH + 1, with_words=True)
+    corpus = Corpus(docs.select("doc_id", "text", "train"), lower_words, DEPTH + 1, with_words=True)
     counts = corpus.counts()
     words = counts.where("key < 0")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),

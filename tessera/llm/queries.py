@@ -13,6 +13,7 @@ from tessera.llm.ctw import lm_scores
 from tessera.llm.exact import exact_groups
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
+from tessera.llm.quality import judged
 
 #: Weights by order of the sources, repeating. Fixed values.
 SOURCE_WEIGHTS = [3.0, 1.0, 2.0]
@@ -25,6 +26,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+                  table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")).drop("mark")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -45,6 +51,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_pack": op9_pack,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm.common import BLOCK_BYTES, KeyTable, SpanHash, byte_grams, map_arrow, slices, written
+from tessera.llm.common import BLOCK_BYTES, KeyTable, SpanHash, byte_grams, map_arrow, slices, text_bytes, written
 
 ORDER = 7
 PAD = b"\n" * (ORDER - 1)
@@ -112,7 +112,7 @@ class Positions:
         return self._sums(values, at[:-1], at[1:])
 
 
-_codec = pa.Codec("zstd", compression_level=1)
+_codec = pa.Codec("zstd", compression_level=3)
 
 
 def squeezed(data: bytes) -> bytes:
@@ -143,24 +143,29 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
+#: What a chunk knows of each piece besides its text.
+CARRIED = ("row", "doc_id", "mark", "tag", "train")
+
+
 class Chunk:
     """Some texts: one stored row."""
 
-    SCHEMA = ("chunk long, row array<long>, doc_id array<long>, train array<boolean>, size array<long>, "
+    SCHEMA = ("chunk long, row array<long>, doc_id array<long>, mark array<long>, tag array<string>, train array<boolean>, size array<long>, "
               "bytes long, body binary")
 
     def __init__(self, stored: dict, order: int, with_words: bool) -> None:
         self.id, self.order, self.with_words = stored["chunk"], order, with_words
-        self.rows = {c: stored[c] for c in ("row", "doc_id", "train")}
+        self.rows = {c: stored[c] for c in CARRIED}
         self.train = np.array(stored["train"], bool)
         self.ends = np.cumsum(np.array(stored["size"], np.int64))
         self.body = expanded(stored["body"], stored["bytes"])
 
     @staticmethod
     def store(chunk: int, rows: list[tuple]) -> dict:
-        row, doc, train, pieces = zip(*rows, strict=True)
+        *carried, pieces = zip(*rows, strict=True)
         body = b"".join(pieces)
-        return {"chunk": [chunk], "row": [row], "doc_id": [doc], "train": [train], "size": [[len(p) for p in pieces]],
+        return {"chunk": [chunk]} | {c: [v] for c, v in zip(CARRIED, carried, strict=True)} | {
+                "size": [[len(p) for p in pieces]],
                 "bytes": [len(body)], "body": [squeezed(body)]}
 
     def parts(self) -> Iterator[tuple[np.ndarray, Positions]]:
@@ -193,12 +198,16 @@ class Chunk:
 
 
 class Corpus:
-    """Texts stored in chunks: (doc_id, text binary, train boolean) rows, cut
-    into words by ``words``, for grams of ``order`` bytes."""
+    """Texts stored in chunks, cut into words by ``words``, for grams of
+    ``order`` bytes. Rows have doc_id, text and train (whether the text counts
+    in the statistics), and may have tag, a string that is carried along."""
 
     def __init__(self, docs: DataFrame, words: Callable[[bytes], list[bytes]], order: int, with_words: bool,
                  chunk_bytes: int = CHUNK_BYTES) -> None:
         self.order, self.with_words = order, with_words
+        if "tag" not in docs.columns:
+            docs = docs.withColumn("tag", F.lit(None).cast("string"))
+        docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "tag", "train", text_bytes().alias("text"))
         self.chunks = self._store(docs, words, chunk_bytes)
         total = self.chunks.agg(F.sum("bytes").alias("n")).first()["n"] or 0
         self.shards = max(1, -(-total // chunk_bytes))
@@ -212,12 +221,12 @@ class Corpus:
             filled = 0
             for batch in batches:
                 for part in slices(batch, "text"):
-                    for doc, text, train in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "train")), strict=True):
+                    for doc, mark, tag, train, text in zip(*(part.column(c).to_pylist() for c in (*CARRIED[1:], "text")), strict=True):
                         for piece in _cut(b"\n" * pad + b" ".join(words(text)) + b"\n", pad, chunk_bytes):
                             if held and filled + len(piece) > chunk_bytes:
                                 yield Chunk.store(chunk, held)
                                 chunk, held, filled = chunk + 1, [], 0
-                            held.append((row, doc, bool(train), piece))
+                            held.append((row, doc, mark, tag, bool(train), piece))
                             filled += len(piece)
                         row += 1
             if held:
@@ -255,7 +264,7 @@ class Corpus:
         return written(self._asked().groupBy("shard").applyInArrow(run, "shard int, key long, n long"), "counts")
 
     def scores(self, values: DataFrame, word_value: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-        """Per input row: row, doc_id, train, n_bytes, gram_score and, with
+        """Per input row: row, doc_id, mark (xxhash64 of the text), tag, train, n_bytes, gram_score and, with
         words, n_tokens, n_known, word_score. ``values`` has, for every key,
         shard, key and value: of a gram its score, of a word its count, which
         ``word_value`` turns into a score."""
@@ -276,7 +285,7 @@ class Corpus:
 
         answers = (self._asked().drop("counts").groupBy("shard").cogroup(values.groupBy("shard"))
                    .applyInArrow(answer, "chunk long, shard int, counts binary, scores binary"))
-        schema = ("row long, doc_id long, train boolean, n_bytes long, gram_score double, "
+        schema = ("row long, doc_id long, mark long, tag string, train boolean, n_bytes long, gram_score double, "
                   "n_tokens long, n_known long, word_score double")
         target = to_arrow_schema(T.StructType.fromDDL(schema))
 
@@ -305,5 +314,5 @@ class Corpus:
 
         scored = self.chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
         return scored.groupBy("row").agg(
-            F.min("doc_id").alias("doc_id"), F.min("train").alias("train"),
+            *[F.min(c).alias(c) for c in CARRIED[1:]],
             *[F.sum(c).alias(c) for c in ("n_bytes", "gram_score", "n_tokens", "n_known", "word_score")])
