@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import langid, rules, urls, warc
 from tessera.llm.common import crc_of_id, table
 from tessera.llm.ctw import lm_scores
 from tessera.llm.exact import exact_groups
@@ -18,6 +19,9 @@ from tessera.llm.quality import judged
 #: Weights by order of the sources, repeating. Fixed values.
 SOURCE_WEIGHTS = [3.0, 1.0, 2.0]
 
+#: Rules for urls. Fixed values.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
 
 def tokenizer_path() -> str:
     """The public vocabulary used for packing, installed on every machine."""
@@ -26,6 +30,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn(
+        "held_out", F.coalesce(crc_of_id() % 4 == 2, F.lit(False)))
+    model = langid.train(docs.where(~F.col("held_out")))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' urls end in the id of the document they show, whose quality
+    label is the label of the url."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    shown = pages.select("page_id", F.regexp_extract(urls.path_of(), r"/(\d{1,18})(?:\.\w+)?/?$", 1).try_cast("long").alias("doc_id"))
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    return urls.judge(pages, URL_RULES, shown.join(labels, "doc_id").select("page_id", (F.col("quality") == 0).alias("bad")))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+                        table(spark, sf_dir, "labels", "doc_id", "quality")).drop("mark")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
                   table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")).drop("mark")
@@ -35,6 +60,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"), SOURCE_WEIGHTS).drop("row_id", "copies")
 
@@ -51,14 +81,25 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
+    "op2_url_filter": op2_url_filter,
+    "op4_quality_rules": op4_quality_rules,
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_warc": op7_warc,
     "op8_mix_sources": op8_mix_sources,
     "op9_pack": op9_pack,
     "op10_lm_score": op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+             g AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest,
+                          max(page_id) OVER (PARTITION BY b) AS best FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes < 1000 OR best = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND best <> page_id THEN best END AS refers_to FROM g""",
     "op6_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
              g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
