@@ -13,6 +13,7 @@ from tessera.llm.common import crc_of_id, table
 from tessera.llm.ctw import lm_scores
 from tessera.llm.exact import exact_groups
 from tessera.llm.mixing import mix
+from tessera.llm.neardup import near_duplicates
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import judged
 
@@ -46,6 +47,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, shown.join(labels, "doc_id").select("page_id", (F.col("quality") == 0).alias("bad")))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("mark")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
                         table(spark, sf_dir, "labels", "doc_id", "quality")).drop("mark")
@@ -83,6 +88,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_url_filter": op2_url_filter,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,

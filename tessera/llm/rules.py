@@ -11,7 +11,9 @@ the number of strata and rules (Bonferroni; within a rule the fixed order
 needs no further correction). So with probability 1 - ``DELTA`` no rule in any
 stratum rejects more than ``ALPHA`` of the good documents. Of the certified
 cutoffs the loosest that catches nearly all that the tightest catches is used.
-A stratum with too few labels to certify a cutoff has none.
+All documents together are one more stratum, whose cutoffs hold where a
+language has too few labels to certify one; where that has too few, there is
+none.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language is a stratum; documents without a label never count; a share
@@ -34,7 +36,7 @@ from tessera.llm.common import map_arrow, slices, text_bytes, written
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 NOT_LETTERS = bytes(b for b in range(256) if not (65 <= b <= 90 or 97 <= b <= 122))
-ALPHA, DELTA = 0.005, 0.05
+ALPHA, DELTA = 0.02, 0.05
 #: Candidate cutoffs of every share, loosest first.
 CUTOFFS = [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02, 0.01]
 RULES = {
@@ -119,11 +121,12 @@ def certified(n: int, good: list[int], bad: list[int], alpha: float, level: floa
 
 
 def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Per lang (rows with counts and good): one cutoff column per rule, null
-    where none is certified. One row per language is gathered by a task."""
+    """Per lang (rows with counts and good), and with ``every`` true for all:
+    one cutoff column per rule, null where none is certified."""
     over = [F.sum((share(r) > c).cast("long") * (F.col("good") if good else ~F.col("good")).cast("long")).alias(f"{r}_{int(good)}_{i}")
             for r in RULES for good in (True, False) for i, c in enumerate(CUTOFFS)]
-    table = labelled.groupBy("lang").agg(F.sum(F.col("good").cast("long")).alias("n"), *over)
+    each = labelled.withColumn("every", F.explode(F.array(F.lit(False), F.lit(True))))
+    table = each.groupBy("every", F.when(~F.col("every"), F.col("lang")).alias("lang")).agg(F.sum(F.col("good").cast("long")).alias("n"), *over)
     strata = max(1, table.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -131,9 +134,9 @@ def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) ->
             rows = batch.to_pylist()
             pick = [{r: certified(row["n"], *([row[f"{r}_{g}_{i}"] for i in range(len(CUTOFFS))] for g in (1, 0)),
                                   alpha, delta / (strata * len(RULES))) for r in RULES} for row in rows]
-            yield {"lang": [row["lang"] for row in rows]} | {r: [p[r] for p in pick] for r in RULES}
+            yield {c: [row[c] for row in rows] for c in ("lang", "every")} | {r: [p[r] for p in pick] for r in RULES}
 
-    return map_arrow(table, run, "lang string, " + ", ".join(f"{r} double" for r in RULES))
+    return map_arrow(table, run, "lang string, every boolean, " + ", ".join(f"{r} double" for r in RULES))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -143,8 +146,9 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
     cut = written(cutoffs(rows.join(known, "doc_id")), "cutoffs")
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    of = cut.select(F.col("lang").alias("of"), *[F.col(r).alias(f"{r}_cut") for r in RULES])
-    failed = F.array_compact(F.array(*[F.when(share(r) > F.col(f"{r}_cut"), F.lit(r)) for r in RULES]))
+    every = (cut.where("every").first() or {r: None for r in RULES})
+    of = cut.where("not every").select(F.col("lang").alias("of"), *[F.col(r).alias(f"{r}_cut") for r in RULES])
+    failed = F.array_compact(F.array(*[F.when(share(r) > F.coalesce(F.col(f"{r}_cut"), F.lit(every[r])), F.lit(r)) for r in RULES]))
     return (rows.join(of, F.col("lang").eqNullSafe(F.col("of")), "left")
             .withColumn("base_failed", base).withColumn("rules", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.size("rules") == 0))
