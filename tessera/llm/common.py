@@ -44,6 +44,13 @@ def crc_of_id(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
 
+def numbered(docs: DataFrame, name: str = "row_id") -> DataFrame:
+    """Adds a number to each row of a scan of stored files. Another scan of
+    the same files gives the same numbers: splits are planned from the files
+    alone, and a task repeated elsewhere reads its split in the same order."""
+    return docs.withColumn(name, F.monotonically_increasing_id())
+
+
 def text_bytes(text: str = "text") -> Column:
     """UTF-8 bytes of a text; a null text counts as empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_arrow, slices, text_bytes, written
+from tessera.llm.common import map_arrow, numbered, slices, text_bytes, written
 
 COMBINE_BYTES = 16 << 20
 TABLE_BYTES = 48 << 20
@@ -88,32 +88,33 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     content, the group's smallest id and its size."""
     task, seen = TaskContext.get().partitionId() << 40, 0
 
-    def flush(table, rows):
+    def flush(table, rows):  # rows: (doc, row_id, group)
         nonlocal seen
         best: dict[int, tuple[int, int]] = {}
         sizes = [0] * len(table.contents)
-        for i, (doc, group) in enumerate(rows):
+        for i, (doc, _, group) in enumerate(rows):
             sizes[group] += 1
             key = (LAST if doc is None else doc, i)
             if group not in best or key < best[group]:
                 best[group] = key
         chosen = {i for _, i in best.values()}
         yield {
-            "doc_id": [doc for doc, _ in rows],
-            "text_sha256": [table.digests[g].hex() for _, g in rows],
-            "local": [task + seen + g for _, g in rows],
+            "doc_id": [doc for doc, _, _ in rows],
+            "row_id": [row for _, row, _ in rows],
+            "text_sha256": [table.digests[g].hex() for *_, g in rows],
+            "local": [task + seen + g for *_, g in rows],
             "first": [i in chosen for i in range(len(rows))],
-            "content": [table.contents[g] if i in chosen else None for i, (_, g) in enumerate(rows)],
-            "size": [sizes[g] if i in chosen else None for i, (_, g) in enumerate(rows)],
+            "content": [table.contents[g] if i in chosen else None for i, (*_, g) in enumerate(rows)],
+            "size": [sizes[g] if i in chosen else None for i, (*_, g) in enumerate(rows)],
         }
         seen += len(table.contents)
 
     table, rows = ContentTable(), []
     for batch in batches:
         for part in slices(batch, "text"):
-            for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+            for doc, row, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "row_id", "text")), strict=True):
                 content = normalise(text)
-                rows.append((doc, table.place(hashlib.sha256(content).digest(), content)))
+                rows.append((doc, row, table.place(hashlib.sha256(content).digest(), content)))
             if table.bytes > COMBINE_BYTES or len(rows) > 200_000:
                 yield from flush(table, rows)
                 table, rows = ContentTable(), []
@@ -202,15 +203,16 @@ def _settle(limit: int):
 
 
 def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """One row per document: doc_id, keep_id (the id of the row that stays),
-    group_size, kept, text_sha256 (of the normalised text)."""
+    """Per (doc_id, text) row: doc_id, row_id (see ``numbered``), keep_id (the
+    id of the row that stays), group_size, kept, text_sha256 (of the
+    normalised text)."""
     rows = written(map_arrow(
-        docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")), _combine,
-        "doc_id long, text_sha256 string, local long, first boolean, content binary, size long"), "exact")
+        numbered(docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))), _combine,
+        "doc_id long, row_id long, text_sha256 string, local long, first boolean, content binary, size long"), "exact")
     settled = map_arrow(
         rows.where(F.col("first")).select("doc_id", "text_sha256", "local", "content", "size")
         .repartition("text_sha256"),
         _settle(table_bytes), "local long, keep_id long, group_size long, wins boolean")
-    return (rows.select("doc_id", "text_sha256", "local", "first").join(settled, "local")
-            .select("doc_id", "keep_id", "group_size",
+    return (rows.select("doc_id", "row_id", "text_sha256", "local", "first").join(settled, "local")
+            .select("doc_id", "row_id", "keep_id", "group_size",
                     (F.col("first") & F.col("wins")).alias("kept"), "text_sha256"))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import written
+from tessera.llm.common import numbered, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 FAN = 64
@@ -100,11 +100,10 @@ def _pivot(units: str, seed: int | str) -> str:
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
-    """One row per document (doc_id, text, source): row_id (the row's
-    ``monotonically_increasing_id``), doc_id, size, source_size, target,
+    """One row per document (doc_id, text, source): row_id (see ``numbered``), doc_id, size, source_size, target,
     copies, taken."""
-    sizes = written(docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long"),
-                                "source", word_count().alias("size")), "mix-sizes")
+    sizes = written(numbered(docs.select("doc_id", "source", "text")).select(
+        "row_id", F.col("doc_id").cast("long"), "source", word_count().alias("size")), "mix-sizes")
     targets = source_targets(sizes, weights, share, most)
     # A source may hold a third of all rows: its rows are dealt over salts.
     salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
@@ -159,6 +158,6 @@ def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, m
     """The documents of a mix: each row as often as it was taken. ``docs``
     must be a scan of stored files (its rows are numbered twice)."""
     taken = mix(docs, weights, share, most, seed).where("copies > 0").select(F.col("row_id").alias("_row"), F.col("copies").alias("_copies"))
-    return (docs.withColumn("_row", F.monotonically_increasing_id()).join(taken, "_row")
+    return (numbered(docs, "_row").join(taken, "_row")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
             .drop("_row", "_copies", "_copy"))

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, SpanHash, map_arrow, mix64, slices, text_bytes, written
+from tessera.llm.common import LOWER, SpanHash, map_arrow, mix64, numbered, slices, text_bytes, written
 
 WORDS = 5
 BANDS, ROWS = 24, 6
@@ -117,20 +117,19 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """row_id, doc_id, mark (xxhash64 of the text), n_shingles, node (hash of
+    """row_id, doc_id, n_shingles, node (hash of
     the set; null if it is empty), registers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingles(part.column("text").to_pylist())
-                yield {c: part.column(c) for c in ("row_id", "doc_id", "mark")} | {
+                yield {c: part.column(c) for c in ("row_id", "doc_id")} | {
                     "n_shingles": [len(s) for s in sets],
                     "node": [node_of(s) if len(s) else None for s in sets],
                     "registers": [sketch(s).tobytes() if len(s) else None for s in sets]}
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long"),
-                       F.xxhash64("text").alias("mark"), text_bytes().alias("text"))
-    return map_arrow(rows, run, "row_id long, doc_id long, mark long, n_shingles long, node long, registers binary")
+    rows = numbered(docs.select("doc_id", "text")).select("row_id", F.col("doc_id").cast("long"), text_bytes().alias("text"))
+    return map_arrow(rows, run, "row_id long, doc_id long, n_shingles long, node long, registers binary")
 
 
 def node_of(hashes: np.ndarray) -> int:
@@ -203,13 +202,14 @@ def _links(nodes: DataFrame, sets: DataFrame, members: DataFrame, percent: int)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """Per (doc_id, text) row: doc_id, mark (xxhash64 of the text),
-    n_shingles, component_id, kept. Linked are sets with
-    100 * shared >= percent * union."""
+    """Per (doc_id, text) row: doc_id, row_id (see ``numbered``), n_shingles,
+    component_id, kept, and first (true for one row of each component). Linked
+    are sets with 100 * shared >= percent * union."""
     rows = written(sketches(docs), "sketches")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id"))
     nodes = written(rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_id").alias("row_id"),
-        F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "nodes")
+        least.alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"))
+        .withColumn("row_id", F.col("least.row_id")), "nodes")
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
@@ -227,12 +227,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             for part in slices(batch, "text"):
                 yield {"node": part.column("node"), "shingles": [s.view(np.int64) for s in shingles(part.column("text").to_pylist())]}
 
-    texts = docs.select(F.monotonically_increasing_id().alias("row_id"), text_bytes().alias("text")).join(wanted, "row_id")
+    texts = numbered(docs.select(text_bytes().alias("text"))).join(wanted, "row_id")
     sets = written(map_arrow(texts.select("node", "text"), full, "node long, shingles array<long>"), "sets")
     roots = _links(nodes, sets, members, percent)
-    rooted = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of = rooted.join(smallest, "root").select("node", "component_id")
+    rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("of"))
+    of = rooted.join(smallest, "root").select("node", "of")
+    alone = F.col("node").isNull()
     return (rows.drop("registers").join(of, "node", "left")
-            .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-            .select("doc_id", "mark", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+            .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("of.doc_id")))
+            .select("doc_id", "row_id", "n_shingles", "component_id",
+                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+                    (alone | (F.col("row_id") == F.col("of.row_id"))).alias("first")))

@@ -48,21 +48,21 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("mark")
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_id", "first")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
-                        table(spark, sf_dir, "labels", "doc_id", "quality")).drop("mark")
+                        table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
-                  table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")).drop("mark")
+                  table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")).drop("row_id")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return exact_groups(table(spark, sf_dir, "documents", "doc_id", "text")).drop("row_id")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,15 +83,15 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, mark (xxhash64 of the text), lang and the counts."""
+    """doc_id, lang and the counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for part in slices(batch, "text"):
                 counts = [_count(t) for t in part.column("text").to_pylist()]
-                yield {c: part.column(c) for c in ("doc_id", "mark", "lang")} | dict(zip(COUNTS, zip(*counts, strict=True), strict=True))
+                yield {c: part.column(c) for c in ("doc_id", "lang")} | dict(zip(COUNTS, zip(*counts, strict=True), strict=True))
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "lang", text_bytes().alias("text")), run,
-                     "doc_id long, mark long, lang string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "lang", text_bytes().alias("text")), run,
+                     "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def share(rule: str) -> Column:
@@ -152,4 +152,4 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return (rows.join(of, F.col("lang").eqNullSafe(F.col("of")), "left")
             .withColumn("base_failed", base).withColumn("rules", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.size("rules") == 0))
-            .select("doc_id", "mark", *COUNTS[:5], "base_failed", "kept", "rules"))
+            .select("doc_id", *COUNTS[:5], "base_failed", "kept", "rules"))

@@ -144,13 +144,13 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
 
 
 #: What a chunk knows of each piece besides its text.
-CARRIED = ("row", "doc_id", "mark", "tag", "train")
+CARRIED = ("row", "doc_id", "row_id", "tag", "train")
 
 
 class Chunk:
     """Some texts: one stored row."""
 
-    SCHEMA = ("chunk long, row array<long>, doc_id array<long>, mark array<long>, tag array<string>, train array<boolean>, size array<long>, "
+    SCHEMA = ("chunk long, row array<long>, doc_id array<long>, row_id array<long>, tag array<string>, train array<boolean>, size array<long>, "
               "bytes long, body binary")
 
     def __init__(self, stored: dict, order: int, with_words: bool) -> None:
@@ -200,14 +200,17 @@ class Chunk:
 class Corpus:
     """Texts stored in chunks, cut into words by ``words``, for grams of
     ``order`` bytes. Rows have doc_id, text and train (whether the text counts
-    in the statistics), and may have tag, a string that is carried along."""
+    in the statistics), and may have tag, a string, and row_id, a number, that
+    are carried along."""
 
     def __init__(self, docs: DataFrame, words: Callable[[bytes], list[bytes]], order: int, with_words: bool,
                  chunk_bytes: int = CHUNK_BYTES) -> None:
         self.order, self.with_words = order, with_words
         if "tag" not in docs.columns:
             docs = docs.withColumn("tag", F.lit(None).cast("string"))
-        docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "tag", "train", text_bytes().alias("text"))
+        if "row_id" not in docs.columns:
+            docs = docs.withColumn("row_id", F.lit(None).cast("long"))
+        docs = docs.select(F.col("doc_id").cast("long"), "row_id", "tag", "train", text_bytes().alias("text"))
         self.chunks = self._store(docs, words, chunk_bytes)
         total = self.chunks.agg(F.sum("bytes").alias("n")).first()["n"] or 0
         self.shards = max(1, -(-total // chunk_bytes))
@@ -221,12 +224,12 @@ class Corpus:
             filled = 0
             for batch in batches:
                 for part in slices(batch, "text"):
-                    for doc, mark, tag, train, text in zip(*(part.column(c).to_pylist() for c in (*CARRIED[1:], "text")), strict=True):
+                    for doc, row_id, tag, train, text in zip(*(part.column(c).to_pylist() for c in (*CARRIED[1:], "text")), strict=True):
                         for piece in _cut(b"\n" * pad + b" ".join(words(text)) + b"\n", pad, chunk_bytes):
                             if held and filled + len(piece) > chunk_bytes:
                                 yield Chunk.store(chunk, held)
                                 chunk, held, filled = chunk + 1, [], 0
-                            held.append((row, doc, mark, tag, bool(train), piece))
+                            held.append((row, doc, row_id, tag, bool(train), piece))
                             filled += len(piece)
                         row += 1
             if held:
@@ -264,7 +267,7 @@ class Corpus:
         return written(self._asked().groupBy("shard").applyInArrow(run, "shard int, key long, n long"), "counts")
 
     def scores(self, values: DataFrame, word_value: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-        """Per input row: row, doc_id, mark (xxhash64 of the text), tag, train, n_bytes, gram_score and, with
+        """Per input row: row, doc_id, row_id, tag, train, n_bytes, gram_score and, with
         words, n_tokens, n_known, word_score. ``values`` has, for every key,
         shard, key and value: of a gram its score, of a word its count, which
         ``word_value`` turns into a score."""
@@ -285,7 +288,7 @@ class Corpus:
 
         answers = (self._asked().drop("counts").groupBy("shard").cogroup(values.groupBy("shard"))
                    .applyInArrow(answer, "chunk long, shard int, counts binary, scores binary"))
-        schema = ("row long, doc_id long, mark long, tag string, train boolean, n_bytes long, gram_score double, "
+        schema = ("row long, doc_id long, row_id long, tag string, train boolean, n_bytes long, gram_score double, "
                   "n_tokens long, n_known long, word_score double")
         target = to_arrow_schema(T.StructType.fromDDL(schema))
 

@@ -32,7 +32,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import map_arrow, slices, text_bytes, written
+from tessera.llm.common import map_arrow, numbered, slices, text_bytes, written
 from tessera.session import scratch_path
 
 SMALLEST = 1000
@@ -88,7 +88,8 @@ def parse(data: bytes) -> dict:
 
 def typed(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
     """Pages with ``refers_to`` and ``revisit``, by equal payloads."""
-    rows = pages.select(F.monotonically_increasing_id().alias("row_id"), F.col("page_id").cast("long"), "url", text_bytes("html").alias("payload"))
+    rows = numbered(pages.select("page_id", "url", "html")).select(
+        "row_id", F.col("page_id").cast("long"), "url", text_bytes("html").alias("payload"))
     ids = written(rows.where(F.octet_length("payload") >= smallest)
                   .select("row_id", "page_id", F.sha2("payload", 256).alias("content"), F.octet_length("payload").alias("size")), "payload-ids")
     groups = (ids.groupBy("content", "size").agg(F.max(F.struct("page_id", "row_id")).alias("best"), F.count("*").alias("n"))
