@@ -11,12 +11,13 @@ registers that are larger, smaller and equal gives an estimate of the
 similarity; pairs far below the threshold go, and the others are confirmed on
 their full sets.
 
-Documents with the same set are one node. Buckets are settled in rounds and
-without listing all pairs in them: in each round every member meets a few
-centers of its bucket, unless it is already in their component, and centers
-are then done with. A bucket that holds one component is settled, and rounds
-go on until all are. A member thus meets every other member or is in its
-component, whatever the size of the bucket.
+Documents with the same set are one node. Buckets are settled without listing
+the pairs in them. First every member meets one center of its bucket, which
+joins groups of copies whatever their size. Where a bucket then still holds
+several components, their members' sketches are compared in blocks of at most
+about ``BLOCK`` against ``BLOCK`` members, and only pairs of different
+components with a near enough estimate come out. Every member thus meets every
+other one of its bucket or is in its component.
 
 Defined results: a text without a word (null, empty) has an empty set, is
 linked with nothing and is kept; a text of fewer words is one shingle;
@@ -44,9 +45,9 @@ WORDS = 5
 BANDS, ROWS = 24, 6
 BASE, RATE = 1.001, 20.0
 LIMIT = 2**16 - 1
-#: Estimates this far below the threshold are over six standard errors off.
-SLACK = 0.2
-CENTERS = 8
+#: Estimates this far below the threshold are over four standard errors off.
+SLACK = 0.13
+BLOCK = 1024
 
 _random = np.random.default_rng(20240607)
 FACTORS = _random.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -154,51 +155,84 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _likely(percent: int):
+    """Pairs (a, b) of different components whose estimate is near enough,
+    from rows sorted by (bucket, low, high): the pair of blocks they are in."""
+    least = percent / 100 - SLACK
+
+    def pairs(rows: dict[str, np.ndarray]) -> tuple[list, list]:
+        registers, node, root, size, block = (rows[c] for c in ("registers", "node", "root", "n", "block"))
+        left, right = [], []
+        inside = (block == block[0]).all()
+        for i in range(len(node)):
+            others = slice(i + 1, None)
+            near = (registers[others] == registers[i]).sum(axis=1) >= (least - 0.02) * registers.shape[1]
+            near &= (root[others] != root[i]) & (inside | (block[others] != block[i]))
+            near &= 100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])
+            at = np.flatnonzero(near) + i + 1
+            if len(at):
+                good = at[estimate(registers[at], np.broadcast_to(registers[i], registers[at].shape),
+                                   size[at].astype(float), np.full(len(at), float(size[i]))) >= least]
+                left.extend(np.minimum(node[good], node[i]).tolist())
+                right.extend(np.maximum(node[good], node[i]).tolist())
+        return left, right
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        names = ("bucket", "low", "high", "node", "root", "n", "block")
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            now = {c: batch.column(c).to_numpy() for c in names}
+            now["registers"] = np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(batch.num_rows, -1)
+            if held is not None:
+                now = {c: np.concatenate((held[c], now[c])) for c in now}
+            new = np.zeros(len(now["node"]), bool)
+            for c in names[:3]:
+                new[1:] |= now[c][1:] != now[c][:-1]
+            cuts = [0, *np.flatnonzero(new).tolist()]
+            out: tuple[list, list] = ([], [])
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                for into, found in zip(out, pairs({c: v[x:y] for c, v in now.items()}), strict=True):
+                    into.extend(found)
+            held = {c: v[cuts[-1]:] for c, v in now.items()}
+            yield {"a": out[0], "b": out[1]}
+        if held is not None:
+            found = pairs(held)
+            yield {"a": found[0], "b": found[1]}
+
+    return run
+
+
 def _links(nodes: DataFrame, sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Component roots (node, root) of all nodes that have a link."""
-    spark = nodes.sparkSession
-    known = nodes.select("node", "n_shingles", "registers")
+    known = written(nodes.select("node", F.col("n_shingles").alias("n"), "registers")
+                    .join(members.select("node").distinct(), "node"), "known")
 
-    def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                sides = [np.frombuffer(b"".join(part.column(c).to_pylist()), "<u2").reshape(part.num_rows, -1) for c in ("ra", "rb")]
-                sizes = [part.column(c).to_numpy().astype(float) for c in ("na", "nb")]
-                keep = pa.array(estimate(*sides, *sizes) >= percent / 100 - SLACK)
-                kept = part.filter(keep)
-                yield {c: kept.column(c) for c in ("a", "b", "na", "nb")}
-
-    roots = spark.createDataFrame([], "node long, root long")
-    links = spark.createDataFrame([], "a long, b long")
-    tested = links
-    centers = 1
-    while True:
-        rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        one = [F.min(F.when(F.pmod(F.xxhash64("node"), F.lit(centers)) == i, F.struct("node", "root"))) for i in range(centers)]
-        open_ = (rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                            F.array_compact(F.array(*one)).alias("centers"))
-                 .where("low != high").select("bucket", "centers"))
-        met = written(rows.join(open_, "bucket"), "buckets")
-        members = met.where(~F.exists("centers", lambda c: c["node"] == F.col("node"))).select("bucket", "node")
-        pairs = (met.select("node", "root", F.explode("centers").alias("c")).where("c.root != root")
-                 .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-                 .join(tested, ["a", "b"], "left_anti"))
-        sized = (pairs.join(known.toDF("a", "na", "ra"), "a").join(known.toDF("b", "nb", "rb"), "b")
-                 .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)"))
-        likely = map_arrow(sized, plausible, "a long, b long, na long, nb long")
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) confirmed on their full sets."""
         shared = F.size(F.array_intersect("sa", "sb"))
-        checked = written(
-            likely.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-            .select("a", "b", (100 * shared >= percent * (F.col("na") + F.col("nb") - shared)).alias("linked")), "checked")
-        if met.isEmpty():
-            return roots
-        new = checked.where("linked").select("a", "b")
-        tested = tested.union(checked.select("a", "b"))
-        if not new.isEmpty():
-            links = links.union(new)
-            roots = components(links)
-        centers = CENTERS
+        return written(pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+                       .where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b"), "links")
+
+    # First every member meets one center of its bucket.
+    centers = members.groupBy("bucket").agg(F.min("node").alias("center"))
+    sizes = known.select("node", "n")
+    first = (members.join(centers, "bucket").where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+             .join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+             .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b"))
+    links = linked(first)
+    roots = components(links)
+    # Then, where a bucket still holds several components, those meet.
+    rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = (rows.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("members"))
+             .where("least != most").select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
+    met = (rows.join(open_, "bucket").join(known, "node")
+           .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+           .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                   "node", "root", "n", "block", "registers"))
+    pairs = map_arrow(met.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high"),
+                      _likely(percent), "a long, b long").distinct()
+    return components(links.union(linked(pairs)))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
