@@ -14,10 +14,11 @@ their full sets.
 Documents with the same set are one node. Buckets are settled without listing
 the pairs in them. First every member meets one center of its bucket, which
 joins groups of copies whatever their size. Where a bucket then still holds
-several components, their members' sketches are compared in blocks of at most
-about ``BLOCK`` against ``BLOCK`` members, and only pairs of different
-components with a near enough estimate come out. Every member thus meets every
-other one of its bucket or is in its component.
+several components, their members' sketches are compared in blocks of about
+``BLOCK`` against ``BLOCK`` members; pairs of different components with a near
+enough estimate are confirmed there and join their components, so fewer links
+come out than members went in. Every member thus meets every other one of its
+bucket or is in its component.
 
 Defined results: a text without a word (null, empty) has an empty set, is
 linked with nothing and is kept; a text of fewer words is one shingle;
@@ -47,7 +48,7 @@ BASE, RATE = 1.001, 20.0
 LIMIT = 2**16 - 1
 #: Estimates this far below the threshold are over four standard errors off.
 SLACK = 0.13
-BLOCK = 1024
+BLOCK = 512
 
 _random = np.random.default_rng(20240607)
 FACTORS = _random.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -155,49 +156,71 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _likely(percent: int):
-    """Pairs (a, b) of different components whose estimate is near enough,
-    from rows sorted by (bucket, low, high): the pair of blocks they are in."""
+def _settled(percent: int):
+    """Links (a, b) between components, from rows sorted by (bucket, low,
+    high), the pair of blocks they are in: at most one less than the rows."""
     least = percent / 100 - SLACK
 
-    def pairs(rows: dict[str, np.ndarray]) -> tuple[list, list]:
-        registers, node, root, size, block = (rows[c] for c in ("registers", "node", "root", "n", "block"))
-        left, right = [], []
+    def shared(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+        every = np.concatenate(others)
+        at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+        starts = np.cumsum([0] + [len(o) for o in others[:-1]])
+        return np.add.reduceat((own[at] == every).astype(np.int64), starts)
+
+    def links(node, root, band, block, registers, sets) -> list[tuple[int, int]]:
+        size = np.array([len(s) for s in sets])
+        group = np.unique(root, return_inverse=True)[1]
         inside = (block == block[0]).all()
-        for i in range(len(node)):
+        out = []
+        for i in range(len(node) - 1):
             others = slice(i + 1, None)
-            near = (registers[others] == registers[i]).sum(axis=1) >= (least - 0.02) * registers.shape[1]
-            near &= (root[others] != root[i]) & (inside | (block[others] != block[i]))
+            same = registers[others] == registers[i]
+            near = same.sum(axis=1) >= (least - 0.02) * registers.shape[1]
+            near &= (group[others] != group[i]) & (inside | (block[others] != block[i]))
             near &= 100 * np.minimum(size[others], size[i]) >= percent * np.maximum(size[others], size[i])
-            at = np.flatnonzero(near) + i + 1
-            if len(at):
-                good = at[estimate(registers[at], np.broadcast_to(registers[i], registers[at].shape),
-                                   size[at].astype(float), np.full(len(at), float(size[i]))) >= least]
-                left.extend(np.minimum(node[good], node[i]).tolist())
-                right.extend(np.maximum(node[good], node[i]).tolist())
-        return left, right
+            at = np.flatnonzero(near)
+            # A pair is confirmed in the first of the buckets it shares.
+            at = at[same[at].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[i]] + i + 1
+            if not len(at):
+                continue
+            at = at[estimate(registers[at], np.broadcast_to(registers[i], registers[at].shape),
+                             size[at].astype(float), np.full(len(at), float(size[i]))) >= least]
+            for some in range(0, len(at), 64):
+                left = [j for j in at[some:some + 64].tolist() if group[j] != group[i]]
+                if not left:
+                    continue
+                both = shared(sets[i], [sets[j] for j in left])
+                for j, n in zip(left, both.tolist(), strict=True):
+                    if group[j] != group[i] and 100 * n >= percent * (size[i] + size[j] - n):
+                        out.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+                        group[group == group[j]] = group[i]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        names = ("bucket", "low", "high", "node", "root", "n", "block")
-        held: dict[str, np.ndarray] | None = None
+        keys, names = ("bucket", "low", "high"), ("node", "root", "band", "block", "registers", "shingles")
+        held: list[tuple] = []
+        now = None
+
+        def found() -> dict:
+            node, root, band, block, registers, sets = zip(*held, strict=True)
+            out = links(np.array(node), np.array(root), np.array(band), np.array(block),
+                        np.frombuffer(b"".join(registers), "<u2").reshape(len(node), -1), sets)
+            return {"a": [a for a, _ in out], "b": [b for _, b in out]}
+
         for batch in batches:
-            now = {c: batch.column(c).to_numpy() for c in names}
-            now["registers"] = np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(batch.num_rows, -1)
-            if held is not None:
-                now = {c: np.concatenate((held[c], now[c])) for c in now}
-            new = np.zeros(len(now["node"]), bool)
-            for c in names[:3]:
-                new[1:] |= now[c][1:] != now[c][:-1]
-            cuts = [0, *np.flatnonzero(new).tolist()]
-            out: tuple[list, list] = ([], [])
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                for into, found in zip(out, pairs({c: v[x:y] for c, v in now.items()}), strict=True):
-                    into.extend(found)
-            held = {c: v[cuts[-1]:] for c, v in now.items()}
-            yield {"a": out[0], "b": out[1]}
-        if held is not None:
-            found = pairs(held)
-            yield {"a": found[0], "b": found[1]}
+            sets = batch.column("shingles")
+            if not batch.num_rows:
+                continue
+            flat, ends = sets.flatten().to_numpy(), np.cumsum(sets.value_lengths().to_numpy())
+            columns = [batch.column(c).to_pylist() for c in (*keys, *names[:-1])]
+            for *row, values in zip(*columns, np.split(flat, ends[:-1]), strict=True):
+                if row[:3] != now and held:
+                    yield found()
+                    held = []
+                now = row[:3]
+                held.append((*row[3:], values))
+        if held:
+            yield found()
 
     return run
 
@@ -225,14 +248,14 @@ def _links(nodes: DataFrame, sets: DataFrame, members: DataFrame, percent: int)
     rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = (rows.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("members"))
              .where("least != most").select("bucket", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")))
-    met = (rows.join(open_, "bucket").join(known, "node")
+    met = (rows.join(open_, "bucket").join(known, "node").join(sets, "node")
            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
            .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                   "node", "root", "n", "block", "registers"))
-    pairs = map_arrow(met.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high"),
-                      _likely(percent), "a long, b long").distinct()
-    return components(links.union(linked(pairs)))
+                   "node", "root", "band", "block", "registers", "shingles"))
+    found = map_arrow(met.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high"),
+                      _settled(percent), "a long, b long")
+    return components(links.union(found))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -251,15 +274,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             yield {"node": batch.column("node"), "buckets": list(buckets(registers))}
 
     every = map_arrow(nodes.select("node", "registers"), banded, "node long, buckets array<long>").select(
-        "node", F.explode("buckets").alias("bucket"))
+        "node", F.posexplode("buckets").alias("band", "bucket"))
     several = every.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("bucket")
-    members = written(every.join(several, "bucket").select("bucket", "node"), "members")
+    members = written(every.join(several, "bucket").select("bucket", "band", "node"), "members")
     wanted = members.select("node").distinct().join(nodes.select("node", "row_id"), "node").select("row_id", "node")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             for part in slices(batch, "text"):
-                yield {"node": part.column("node"), "shingles": [s.view(np.int64) for s in shingles(part.column("text").to_pylist())]}
+                yield {"node": part.column("node"), "shingles": [np.sort(s.view(np.int64)) for s in shingles(part.column("text").to_pylist())]}
 
     texts = numbered(docs.select(text_bytes().alias("text"))).join(wanted, "row_id")
     sets = written(map_arrow(texts.select("node", "text"), full, "node long, shingles array<long>"), "sets")
