@@ -157,7 +157,7 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
 def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
     """The documents of a mix: each row as often as it was taken. ``docs``
     must be a scan of stored files (its rows are numbered twice)."""
-    taken = mix(docs, weights, share, most, seed).where("copies > 0").select(F.col("row_id").alias("_row"), F.col("copies").alias("_copies"))
-    return (numbered(docs, "_row").join(taken, "_row")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-            .drop("_row", "_copies", "_copy"))
+    taken = mix(docs, weights, share, most, seed).where("copies > 0").select(F.col("row_id").alias("corpus_row"), F.col("copies").alias("corpus_copies"))
+    return (numbered(docs, "corpus_row").join(taken, "corpus_row")
+            .withColumn("corpus_copy", F.explode(F.sequence(F.lit(1), F.col("corpus_copies"))))
+            .drop("corpus_row", "corpus_copies", "corpus_copy"))
