@@ -170,12 +170,17 @@ def json_strings(df: DataFrame, col: str, keep: Iterable[str] = (),
                     F.variant_get("v", "$", "string").alias("value")))
 
 
+def json_path(key: str) -> str:
+    """The path of a top-level field, whatever characters its name has."""
+    return "$['" + key.replace("'", "\\'") + "']"
+
+
 def json_count(col: Column, array_key: str, member: str) -> Column:
     """How many elements of the top-level array ``array_key`` have a field
     ``member`` (a JSON null counts, a missing field does not); 0 when the
     array is absent. ``col`` is JSON text."""
-    arr = F.try_variant_get(F.parse_json(col), f"$.{array_key}", "array<variant>")
-    has = F.filter(arr, lambda x: F.try_variant_get(x, f"$.{member}", "variant").isNotNull())
+    arr = F.try_variant_get(F.parse_json(col), json_path(array_key), "array<variant>")
+    has = F.filter(arr, lambda x: F.try_variant_get(x, json_path(member), "variant").isNotNull())
     return F.coalesce(F.size(has), F.lit(0))
 
 
@@ -208,7 +213,7 @@ def json_children(df: DataFrame, col: str, array_key: str, index: int, member: s
     identify a document; a document contributes only its own values.
     """
     keep = list(keep)
-    sub = F.try_variant_get(F.parse_json(json_text(df, col)), f"$.{array_key}[{index}]", "variant")
+    sub = F.try_variant_get(F.parse_json(json_text(df, col)), f"{json_path(array_key)}[{index}]", "variant")
     if depth is None:
         depth = max_depth(df, col)
     is_member = lambda k, v: k == F.lit(member)
@@ -228,7 +233,7 @@ def json_array_rows(df: DataFrame, col: str, path: str, element_schema: T.DataTy
     ``element_schema`` and its fields spread into columns."""
     keep = list(keep)
     if isinstance(element_schema, str):
-        element_schema = T._parse_datatype_string(element_schema)
+        element_schema = T.DataType.fromDDL(element_schema)
     arr = F.from_json(F.get_json_object(json_text(df, col), path), T.ArrayType(element_schema))
     out = df.select(*[qcol(k) for k in keep], F.explode(arr).alias("__e"))
     if isinstance(element_schema, T.StructType):

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,13 +31,12 @@ from tessera import fixed as FX
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
 from tessera.operators.profile import range_stats, unique_columns_of
-from tessera.sources.documents import spread
 
 ID = FX.ID_FIELD
 ID_RANK = 1_000_000
 
 MATCH_SCHEMA = ("from_table string, from_field string, to_table string, to_field string, "
-                "doc int, from_pos int, to_pos int, u_rank int")
+                "doc string, from_pos int, to_pos int, u_rank int")
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -154,13 +153,22 @@ def u_rank(df: DataFrame, column: str, id_column: str = ID) -> int:
     return -df.columns.index(column)
 
 
+def order_text(column: Column, data_type: T.DataType) -> Column:
+    """Text that sorts as the values of an order key do: numbers are moved
+    above zero and padded."""
+    if isinstance(data_type, T.NumericType):
+        wide = column.cast("decimal(38,9)") + F.lit("1" + "0" * 28).cast("decimal(38,9)")
+        return F.lpad(wide.cast("string"), 40, "0")
+    return column.cast("string")
+
+
 def sample_values(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]],
-                  order_by: Mapping[str, str] | None = None, n: int = FX.SAMPLE_DOCUMENTS,
+                  order_by: Mapping[str, str] | None = None, n: int | None = None,
                   mode: str = "text", id_column: str = ID) -> DataFrame:
     """The referenced side of R1-R4: for every collection, the values of its
-    unique columns in its first ``n`` documents (S12):
-    ``to_table, to_pos, to_field, u_rank, doc, family, value``.
-    At most ``n x unique columns`` rows per collection."""
+    unique columns in all documents, or in the first ``n`` (S12) if asked for:
+    ``to_table, to_pos, to_field, u_rank, doc, family, value``. ``doc`` is the
+    document's order key as sortable text."""
     frames = []
     for pos, (name, df) in enumerate(collections.items()):
         us = [u for u in keys.get(name, []) if _family(df.schema[u].dataType, mode) is not None]
@@ -169,97 +177,58 @@ def sample_values(collections: Mapping[str, DataFrame], keys: Mapping[str, list[
         # Natural order in a document store is insertion order, which
         # ObjectId ids follow; default to the id, else the first column.
         key = (order_by or {}).get(name) or (id_column if id_column in df.columns else df.columns[0])
-        top = df.orderBy(qcol(key).asc_nulls_last()).limit(n)
-        top = top.withColumn("__doc", F.row_number().over(Window.orderBy(qcol(key).asc_nulls_last())) - 1)
+        top = df if n is None else df.orderBy(qcol(key).asc_nulls_last()).limit(n)
         vals = F.array(*[F.struct(F.lit(u).alias("to_field"),
                                   F.lit(u_rank(df, u, id_column)).alias("u_rank"),
                                   F.lit(_family(df.schema[u].dataType, mode)).alias("family"),
                                   _text(qcol(u), df.schema[u].dataType).alias("value"))
                          for u in us])
         frames.append(top.select(F.lit(name).alias("to_table"), F.lit(pos).alias("to_pos"),
-                                 F.col("__doc").cast("int").alias("doc"),
+                                 order_text(qcol(key), df.schema[key].dataType).alias("doc"),
                                  F.explode(vals).alias("v"))
                       .select("to_table", "to_pos", "v.to_field", "v.u_rank", "doc",
                               "v.family", "v.value")
                       .where(F.col("value").isNotNull()))
     if not frames:
         return next(iter(collections.values())).sparkSession.createDataFrame(
-            [], "to_table string, to_pos int, to_field string, u_rank int, doc int, "
+            [], "to_table string, to_pos int, to_field string, u_rank int, doc string, "
                 "family string, value string")
     return union_all(frames)
 
 
-# Above this many distinct sampled values the IN-list pushdown is skipped
-# (the join alone stays exact); the sample is bounded by n x unique columns.
-MAX_PUSHDOWN_VALUES = 10_000
-
-
-def _could_match(df: DataFrame, values: list[str], mode: str, arrays: bool) -> Column | None:
-    """A row filter that keeps every row with at least one comparable value
-    among ``values``: ``col IN (...)`` per text column (pushed into the
-    Parquet/ORC scan, where row groups whose statistics or dictionaries
-    exclude all values are skipped), ``exists`` for text arrays."""
-    preds = []
-    for f in df.schema.fields:
-        dt, c = f.dataType, qcol(f.name)
-        if _family(dt, mode) == "text":
-            preds.append(_text(c, dt).isin(values))
-        elif arrays and isinstance(dt, T.ArrayType) and _family(dt.elementType, mode) == "text":
-            preds.append(F.exists(array_text(c, dt), lambda x: x.isin(values)))
-    if not preds:
-        return None
-    out = preds[0]
-    for p in preds[1:]:
-        out = out | p
-    return out
-
-
 def match_sample(collections: Mapping[str, DataFrame], keys: Mapping[str, list[str]] | None = None,
-                 order_by: Mapping[str, str] | None = None, n: int = FX.SAMPLE_DOCUMENTS,
+                 order_by: Mapping[str, str] | None = None, n: int | None = None,
                  mode: str = "text",
                  arrays: bool = True, id_column: str = ID) -> DataFrame:
-    """Every (searched column S.c, sampled unique column C.u, sampled
-    document) where the document's value of ``u`` occurs in ``S.c`` (as a
-    scalar, R1/R4, or as an array element, R2/R3), S != C.
-
-    Columns ``MATCH_SCHEMA``; ``doc`` is the sample position, ``from_pos`` and
-    ``to_pos`` the collection positions and ``u_rank`` the unique column's
-    loop rank, which R5/R6 use to pick the last match.
-
-    The sampled values (at most ``n x unique columns x collections`` rows, a
-    bound set by the schema) are fetched once; they become an ``IN`` filter
-    pushed into every searched scan and the broadcast side of one hash join,
-    so the searched collections are read with row-group skipping, only
-    candidate rows are exploded, and nothing large is shuffled.
+    """Every (searched column S.c, unique column C.u, document) where
+    the document's value of ``u`` occurs in ``S.c`` (as a scalar, R1/R4, or as
+    an array element, R2/R3), S != C. All documents of C take part; ``n``
+    takes only the first ones, as the reference does.
+
+    Columns ``MATCH_SCHEMA``; ``doc`` is the document's order key as sortable
+    text, ``from_pos`` and ``to_pos`` the collection positions and ``u_rank``
+    the unique column's loop rank, which R5/R6 use to pick the last match.
+
+    The searched values are reduced to distinct ones per column first (partly
+    in each task, so a hot value is a row per task), and meet the unique
+    values, each once per column, in an equi-join on the value. Spark
+    broadcasts the referenced side only if its measured size allows it.
     """
     if keys is None:
         keys = unique_key_lists(collections, id_column=id_column, mode=mode)
     spark = next(iter(collections.values())).sparkSession
-    sample_rows = sample_values(collections, keys, order_by, n, mode, id_column).collect()
-    samples = spark.createDataFrame(
-        sample_rows, "to_table string, to_pos int, to_field string, u_rank int, doc int, "
-                     "family string, value string")
-    values = sorted({r["value"] for r in sample_rows})
-    searched_parts = []
-    for pos, (name, df) in enumerate(collections.items()):
-        if len(values) <= MAX_PUSHDOWN_VALUES:
-            pred = _could_match(df, values, mode, arrays)
-            if pred is None:
-                continue
-            df = df.where(pred)
-        # Explode work per row is several times the scan; spread narrow scans.
-        searched_parts.append(long_values(spread(df), name, pos, mode, arrays))
-    if not searched_parts or not sample_rows:
+    samples = sample_values(collections, keys, order_by, n, mode, id_column)
+    parts = [long_values(df, name, pos, mode, arrays) for pos, (name, df) in enumerate(collections.items())]
+    if not parts:
         return spark.createDataFrame([], MATCH_SCHEMA)
-    searched = union_all(searched_parts)
+    searched = union_all(parts).select("table", "t_pos", "field", "family", "value").distinct()
     joined = searched.join(
-        F.broadcast(samples),
+        samples,
         (searched["family"] == samples["family"]) & (searched["value"] == samples["value"])
         & (searched["table"] != samples["to_table"]))
-    return (joined.select(F.col("table").alias("from_table"), F.col("field").alias("from_field"),
-                          "to_table", "to_field", "doc",
-                          F.col("t_pos").alias("from_pos"), "to_pos", "u_rank")
-            .distinct())
+    return joined.select(F.col("table").alias("from_table"), F.col("field").alias("from_field"),
+                         "to_table", "to_field", "doc",
+                         F.col("t_pos").alias("from_pos"), "to_pos", "u_rank")
 
 
 def match_summary(matches: DataFrame) -> DataFrame:
@@ -316,7 +285,7 @@ def match_inclusion(collections: Mapping[str, DataFrame], keys: Mapping[str, lis
         return spark.createDataFrame([], out_schema)
     n = len(columns)
     words = (n + _BITS - 1) // _BITS
-    vals = union_all([long_values(spread(df), name, pos, "inclusion", arrays, index)
+    vals = union_all([long_values(df, name, pos, "inclusion", arrays, index)
                       for pos, (name, df) in enumerate(collections.items())]
                      ).select("family", "value", "ival", "ci")
     aggs = [F.expr(f"bit_or(CASE WHEN floor(ci / {_BITS}) = {w} "
@@ -422,6 +391,19 @@ def assign_primary_keys(matches: DataFrame, tables: list[str],
     return pks
 
 
+def same_key(child: Column, child_type: T.DataType, parent: Column, parent_type: T.DataType) -> Column:
+    """Whether two keys are equal: numbers of any type by value (in a type
+    that holds both), equal types as they are, all else as text."""
+    if child_type == parent_type:
+        return child == parent
+    if isinstance(child_type, T.NumericType) and isinstance(parent_type, T.NumericType):
+        if any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in (child_type, parent_type)):
+            return child.cast("double") == parent.cast("double")
+        scale = max(getattr(t, "scale", 0) for t in (child_type, parent_type))
+        return child.cast(f"decimal(38,{scale})") == parent.cast(f"decimal(38,{scale})")
+    return child.cast("string") == parent.cast("string")
+
+
 def count_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str] | str,
                   parent_cols: list[str] | str) -> DataFrame:
     """R8 as one number, ``n_orphans``: child rows whose non-NULL key has no
@@ -437,11 +419,9 @@ def count_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str] | s
     per_key = child.where(notnull).groupBy(*[qcol(a).alias(f"__c{i}") for i, a in enumerate(cc)]).agg(
         F.count(F.lit(1)).alias("__n"))
     keys = parent.select(*[qcol(b).alias(f"__k{i}") for i, b in enumerate(pc)]).distinct()
-    same = [child.schema[a].dataType == parent.schema[b].dataType for a, b in zip(cc, pc)]
     cond = None
-    for i, ok in enumerate(same):
-        l, r = per_key[f"__c{i}"], keys[f"__k{i}"]
-        c = (l == r) if ok else (l.cast("string") == r.cast("string"))
+    for i, (a, b) in enumerate(zip(cc, pc)):
+        c = same_key(per_key[f"__c{i}"], child.schema[a].dataType, keys[f"__k{i}"], parent.schema[b].dataType)
         cond = c if cond is None else cond & c
     return (per_key.join(keys, cond, "left_anti")
             .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_orphans")))
@@ -456,19 +436,16 @@ def link_edges(foreign_keys: DataFrame) -> DataFrame:
 def check_foreign_keys(child: DataFrame, parent: DataFrame, child_cols: list[str] | str,
                        parent_cols: list[str] | str) -> DataFrame:
     """The child rows whose (non-NULL) key has no parent row - the rows a
-    ``FOREIGN KEY`` constraint would reject. A left anti join: Spark
-    shuffles both sides on the key (or broadcasts a parent its size rules
-    allow); AQE splits a skewed key's partition.
+    ``FOREIGN KEY`` constraint would reject. A left anti join with the
+    parent's distinct keys: Spark shuffles both sides on the key, or
+    broadcasts the keys if its size rules allow it.
     """
     cc = [child_cols] if isinstance(child_cols, str) else list(child_cols)
     pc = [parent_cols] if isinstance(parent_cols, str) else list(parent_cols)
-    # Keys of different types are compared as text (ANSI casts would fail).
-    same = [child.schema[a].dataType == parent.schema[b].dataType for a, b in zip(cc, pc)]
-    p = parent.select(*[(qcol(b) if ok else qcol(b).cast("string")).alias(f"__p{i}")
-                        for i, (b, ok) in enumerate(zip(pc, same))])
+    p = parent.select(*[qcol(b).alias(f"__p{i}") for i, b in enumerate(pc)]).distinct()
     cond = None
-    for i, (a, ok) in enumerate(zip(cc, same)):
-        c = (child[a] if ok else child[a].cast("string")) == p[f"__p{i}"]
+    for i, (a, b) in enumerate(zip(cc, pc)):
+        c = same_key(qcol(a), child.schema[a].dataType, F.col(f"__p{i}"), parent.schema[b].dataType)
         cond = c if cond is None else cond & c
     notnull = None
     for a in cc:

@@ -38,7 +38,7 @@ class Profile:
         return report_json(self.tables())
 
 
-def profile_documents(collections: Mapping[str, DataFrame], n_samples: int = FX.SAMPLE_DOCUMENTS,
+def profile_documents(collections: Mapping[str, DataFrame], n_samples: int | None = None,
                       order_by: Mapping[str, str] | None = None, mode: str = "text",
                       reset_pk: bool = True, overrides: Mapping[str, str] | None = None,
                       with_stats: bool = False, id_column: str = RL.ID,

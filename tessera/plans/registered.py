@@ -347,9 +347,9 @@ def array_collections(spark, sf_dir) -> dict[str, DataFrame]:
     }
 
 
-def _match_ctes(spec, n=10) -> str:
+def _match_ctes(spec, n=None) -> str:
     """DuckDB CTEs ``vals``, ``uniq``, ``samples`` and ``matches`` for the
-    sample-mode matching of ``spec`` (text rule)."""
+    matching of ``spec`` (text rule), over all or the first ``n`` documents."""
     ctes = [f"{t}_c AS ({sql})" for t, sql, _ in spec]
     vals, uniq, samples = [], [], []
     for tp, (t, _, cols) in enumerate(spec):
@@ -364,7 +364,7 @@ def _match_ctes(spec, n=10) -> str:
         key = cols[0][0]
         texts = [(cp, c) for cp, (c, kind) in enumerate(cols) if kind == "text"]
         top = (f"(SELECT *, row_number() OVER (ORDER BY {key}) - 1 AS doc FROM {t}_c "
-               f"ORDER BY {key} LIMIT {n})")
+               f"ORDER BY {key}{f' LIMIT {n}' if n else ''})")
         for cp, c in texts:
             samples.append(
                 f"SELECT '{t}' AS to_table, {tp} AS to_pos, CAST(doc AS INTEGER) AS doc, "
@@ -377,14 +377,14 @@ def _match_ctes(spec, n=10) -> str:
                 "s.to_field, s.doc, v.t_pos AS from_pos, s.to_pos, s.u_rank FROM vals v "
                 "JOIN samples s ON v.v = s.value AND v.t <> s.to_table WHERE v.v IS NOT NULL)")
     ctes.append("fks AS (SELECT from_table, from_field, "
-                "arg_max(to_table, CAST(to_pos AS BIGINT) * 1000000000 + doc * 1000000 + u_rank + 500000) AS to_table, "
-                "arg_max(to_field, CAST(to_pos AS BIGINT) * 1000000000 + doc * 1000000 + u_rank + 500000) AS to_field "
+                "arg_max(to_table, CAST(to_pos AS BIGINT) * 1000000000000000 + CAST(doc AS BIGINT) * 1000 + u_rank + 500) AS to_table, "
+                "arg_max(to_field, CAST(to_pos AS BIGINT) * 1000000000000000 + CAST(doc AS BIGINT) * 1000 + u_rank + 500) AS to_field "
                 "FROM matches GROUP BY from_table, from_field)")
     return "WITH " + ",\n".join(ctes)
 
 
-def _summary_sql(spec):
-    return (_match_ctes(spec) + "\nSELECT from_table, from_field, to_table, to_field, "
+def _summary_sql(spec, n=None):
+    return (_match_ctes(spec, n) + "\nSELECT from_table, from_field, to_table, to_field, "
             "count(DISTINCT doc) AS matched_samples FROM matches "
             "GROUP BY from_table, from_field, to_table, to_field")
 
@@ -394,8 +394,8 @@ def _pks_cte(spec) -> str:
     return f""",
 tabs AS ({names}),
 chosen AS (SELECT to_table AS table_name,
-                  arg_max(to_field, CAST(doc AS BIGINT) * 1000000000 + from_pos * 1000000
-                                    + u_rank + 500000) AS pk
+                  arg_max(to_field, CAST(doc AS BIGINT) * 1000000 + from_pos * 1000
+                                    + u_rank + 500) AS pk
            FROM matches GROUP BY to_table),
 pks AS (SELECT t.table_name,
                CASE WHEN coalesce(c.pk, '_id') IN (SELECT to_field FROM fks) THEN '_id'
@@ -407,8 +407,13 @@ def _pk_sql(spec):
     return _match_ctes(spec) + _pks_cte(spec) + "\nSELECT table_name, primary_key FROM pks"
 
 
-@register("match_scalar_sample", _summary_sql(LINK_SPEC))
+@register("match_scalar_sample", _summary_sql(LINK_SPEC, 10))
 def q_match_scalar_sample(spark, sf_dir):
+    return RL.match_summary(RL.match_sample(link_collections(spark, sf_dir), n=10))
+
+
+@register("match_scalar", _summary_sql(LINK_SPEC))
+def q_match_scalar(spark, sf_dir):
     return RL.match_summary(RL.match_sample(link_collections(spark, sf_dir)))
 
 

@@ -45,3 +45,10 @@ def test_children_include_container_members(spark):
     got = J.json_children(df, "j", "l", 0, "a", ["id"]).first().member_values
     # a (object) then its a ("x"), then b[0].a (array), in document order
     assert got == ["struct", "x", "array"]
+
+
+def test_json_count_of_keys_with_dots(spark):
+    from pyspark.sql import functions as F
+    from tessera.functions.jsonops import json_count
+    df = spark.createDataFrame([('{"a.b": [{"x.y": 1}, {"z": 2}]}',)], "j string")
+    assert df.select(json_count(F.col("j"), "a.b", "x.y")).first()[0] == 1

@@ -79,3 +79,20 @@ def test_profile_table_subset(spark):
     prof = profile_documents(mentor_classes_students(spark), tables=["mentor", "classes"])
     assert {tuple(r) for r in prof.edges.collect()} == {("classes", "mentor", "mentor", "_id")}
     assert {r.table_name for r in prof.primary_keys.collect()} == {"mentor", "classes"}
+
+
+def test_every_document_can_be_referenced(spark):
+    from pyspark.sql import functions as F
+    a = spark.range(100).select(F.format_string("k%02d", "id").alias("u"))
+    b = spark.range(50, 100).select(F.lit("x").alias("pad"), F.format_string("k%02d", "id").alias("fk"))
+    got = RL.assign_foreign_keys(RL.match_sample({"A": a, "B": b}, {"A": ["u"]})).collect()
+    assert [tuple(r) for r in got] == [("B", "fk", "A", "u")]
+    assert RL.match_sample({"A": a, "B": b}, {"A": ["u"]}, n=10).count() == 0
+
+
+def test_orphans_compare_numbers_by_value(spark):
+    child = spark.createDataFrame([(5,), (6,), (None,)], "`k.k` int")
+    for kind, orphans in (("double", [6]), ("decimal(10,2)", [6]), ("bigint", [6]), ("string", [6])):
+        parent = spark.createDataFrame([("5",), ("5",)], "p string").selectExpr(f"cast(p as {kind}) AS p")
+        assert [r[0] for r in RL.check_foreign_keys(child, parent, "k.k", "p").collect()] == orphans
+        assert RL.count_orphans(child, parent, "k.k", "p").first()[0] == 1
