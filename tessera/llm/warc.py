@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import re
 import uuid
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ from tessera.session import scratch_path
 SMALLEST = 1000
 ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 4 << 20
+#: Compressed bytes that a task reads of the archives.
+TASK_BYTES = 64 << 20
 GAP_BYTES = 64 << 10
 INDEX = ("archive string, offset long, length long, url string, payload_digest string, page_id long, "
          "record_type string")
@@ -133,10 +136,11 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     return written(map_arrow(pages.select("page_id", "url", "payload", "refers_to", "revisit"), run, INDEX), "warc-index")
 
 
-def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: int = GAP_BYTES, payloads: bool = True) -> DataFrame:
-    """The records of (selected) index rows, by coalesced range reads:
-    page_id, url, record_type, refers_to, payload_bytes, payload_digest,
-    payload (null for revisits, or if not asked for)."""
+def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: int = GAP_BYTES, payloads: bool = True,
+                 task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The records of (selected) index rows, by coalesced range reads, some
+    ``task_bytes`` a task: page_id, url, record_type, refers_to, payload_bytes,
+    payload_digest, payload (null for revisits, or if not asked for)."""
     by = Window.partitionBy("archive").orderBy("offset")
     end = F.col("offset") + F.col("length")
     new = ((F.col("offset") - F.lag(end).over(by) > gap_bytes)
@@ -146,6 +150,11 @@ def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: in
               .groupBy("archive", "range").agg(F.min("offset").alias("start"), F.max(end).alias("stop"),
                                                F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("records")))
 
+    # The index is small against what it points to: tasks by the bytes they will read.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, math.ceil(total / task_bytes))
+    ranges = ranges.repartition(tasks, "archive", "range")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
         for batch in batches:
