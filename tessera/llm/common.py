@@ -7,6 +7,7 @@ exactly how ``bytes.split()`` cuts a UTF-8 text.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go when the job that wrote them has ended, not
+    when the driver happens to collect its garbage. Only for steps whose
+    results are stored or collected."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A given table, with only ``columns``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)

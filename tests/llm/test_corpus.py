@@ -260,6 +260,22 @@ def test_quality_held_out(spark):
     assert n[1, True] >= 0.97 * (n[1, True] + n.get((1, False), 0))
 
 
+def test_quality_sees_four_bytes_of_context(spark):
+    """Junk that differs from trusted text only in what follows four bytes."""
+    rng = random.Random(3)
+
+    def text(words):
+        return " ".join(rng.choice(words) for _ in range(120))
+
+    good, bad = ([f"{c}bcd{last[c in 'ahij']}" for c in "ahijfklm"] for last in ("ge", "eg"))
+    rows = [(i, text(good if i < 400 else bad), "en") for i in range(440)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "test-context")
+    labels = spark.createDataFrame([(i, int(i < 400), 0) for i in range(440)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in judged(docs, labels).where("kept").collect()}
+    assert not kept & set(range(400, 440))
+    assert len(kept) >= 390
+
+
 def test_lm_scores(docs, empty):
     rows = lm_scores(docs.selectExpr("*", "coalesce(doc_id % 2 = 0, true) AS train")).collect()
     data = [(r.doc_id, r.doc_id is None or r.doc_id % 2 == 0, [w.encode().lower() for w in WORD.findall(r.text or "")] + ["END"])
