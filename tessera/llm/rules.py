@@ -11,9 +11,11 @@ the number of strata and rules (Bonferroni; within a rule the fixed order
 needs no further correction). So with probability 1 - ``DELTA`` no rule in any
 stratum rejects more than ``ALPHA`` of the good documents. Of the certified
 cutoffs the loosest that catches nearly all that the tightest catches is used.
-All documents together are one more stratum, whose cutoffs hold where a
-language has too few labels to certify one; where that has too few, there is
-none.
+All documents together are one more stratum. Where a language's labels certify
+cutoffs but none of them catches a bad document, the cutoff of all documents
+holds, or the tightest certified there if that is looser. Where a language has
+too few labels to certify a cutoff, or its good documents exceed even the
+loosest too often, the rule has none, whatever holds for all documents.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language is a stratum; documents without a label never count; a share
@@ -107,14 +109,18 @@ def few_by_chance(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * sum(math.exp(x - top) for x in logs))
 
 
+def n_passed(n: int, good: list[int], alpha: float, level: float) -> int:
+    """How many candidates, from the loosest on, can be certified."""
+    for i, k in enumerate(good):
+        if k > alpha * n or few_by_chance(k, n, alpha) > level:
+            return i
+    return len(good)
+
+
 def certified(n: int, good: list[int], bad: list[int], alpha: float, level: float) -> float | None:
     """The cutoff to use, given how many good and bad documents each candidate
     rejects; None if not even the loosest can be certified."""
-    passed = 0
-    for k in good:
-        if k > alpha * n or few_by_chance(k, n, alpha) > level:
-            break
-        passed += 1
+    passed = n_passed(n, good, alpha, level)
     if not passed or not bad[passed - 1]:
         return None
     return next(c for c, b in zip(CUTOFFS, bad) if b >= ENOUGH * bad[passed - 1])
@@ -122,7 +128,8 @@ def certified(n: int, good: list[int], bad: list[int], alpha: float, level: floa
 
 def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Per lang (rows with counts and good), and with ``every`` true for all:
-    one cutoff column per rule, null where none is certified."""
+    one cutoff column per rule, null where none is certified or those that are
+    catch nothing, and one of the tightest that is certified (``_tightest``)."""
     over = [F.sum((share(r) > c).cast("long") * (F.col("good") if good else ~F.col("good")).cast("long")).alias(f"{r}_{int(good)}_{i}")
             for r in RULES for good in (True, False) for i, c in enumerate(CUTOFFS)]
     each = labelled.withColumn("every", F.explode(F.array(F.lit(False), F.lit(True))))
@@ -132,11 +139,19 @@ def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
             rows = batch.to_pylist()
-            pick = [{r: certified(row["n"], *([row[f"{r}_{g}_{i}"] for i in range(len(CUTOFFS))] for g in (1, 0)),
-                                  alpha, delta / (strata * len(RULES))) for r in RULES} for row in rows]
-            yield {c: [row[c] for row in rows] for c in ("lang", "every")} | {r: [p[r] for p in pick] for r in RULES}
+            pick = []
+            for row in rows:
+                level, cut = delta / (strata * len(RULES)), {}
+                for r in RULES:
+                    good, bad = ([row[f"{r}_{g}_{i}"] for i in range(len(CUTOFFS))] for g in (1, 0))
+                    passed = n_passed(row["n"], good, alpha, level)
+                    cut[r] = certified(row["n"], good, bad, alpha, level)
+                    cut[f"{r}_tightest"] = CUTOFFS[passed - 1] if passed else None
+                pick.append(cut)
+            yield {c: [row[c] for row in rows] for c in ("lang", "every")} | {c: [p[c] for p in pick] for c in columns}
 
-    return map_arrow(table, run, "lang string, every boolean, " + ", ".join(f"{r} double" for r in RULES))
+    columns = [f"{r}{end}" for r in RULES for end in ("", "_tightest")]
+    return map_arrow(table, run, "lang string, every boolean, " + ", ".join(f"{c} double" for c in columns))
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -147,8 +162,11 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     cut = written(cutoffs(rows.join(known, "doc_id")), "cutoffs")
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     every = (cut.where("every").first() or {r: None for r in RULES})
-    of = cut.where("not every").select(F.col("lang").alias("of"), *[F.col(r).alias(f"{r}_cut") for r in RULES])
-    failed = F.array_compact(F.array(*[F.when(share(r) > F.coalesce(F.col(f"{r}_cut"), F.lit(every[r])), F.lit(r)) for r in RULES]))
+    # Where the stratum's own cutoffs catch nothing, that of all, if certified there too.
+    limit = {r: F.coalesce(F.col(r), F.when(F.col(f"{r}_tightest").isNotNull() & F.lit(every[r] is not None),
+                                            F.greatest(F.col(f"{r}_tightest"), F.lit(every[r]).cast("double")))) for r in RULES}
+    of = cut.where("not every").select(F.col("lang").alias("of"), *[limit[r].alias(f"{r}_cut") for r in RULES])
+    failed = F.array_compact(F.array(*[F.when(share(r) > F.col(f"{r}_cut"), F.lit(r)) for r in RULES]))
     return (rows.join(of, F.col("lang").eqNullSafe(F.col("of")), "left")
             .withColumn("base_failed", base).withColumn("rules", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.size("rules") == 0))

@@ -244,6 +244,22 @@ def test_certified_cutoffs_are_exact():
     assert rules.certified(1000, [500] * len(none), all_, 0.02, 0.002) is None
 
 
+def test_rules_spare_a_language_that_fails_them(spark):
+    """Capitals: junk in en; normal in 30 % of the good texts of a minority,
+    and in a language without labels."""
+    plain, loud = "some plain words in a text of ten or more words", "SOME LOUD WORDS IN A TEXT OF TEN OR MORE WORDS"
+    rows = [(i, loud if i % 20 == 0 else plain, "en") for i in range(9000)]
+    rows += [(10_000 + i, loud if i % 10 < 3 else plain, "xx") for i in range(450)]
+    rows += [(20_000 + i, loud if i % 10 < 3 else plain, "yy") for i in range(50)]
+    rows += [(30_000 + i, loud if i % 500 == 0 else plain, "zz") for i in range(3000)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "test-strata")
+    labels = spark.createDataFrame([(i, int(lang != "en" or text == plain)) for i, text, lang in rows if lang != "yy"], "doc_id long, quality int")
+    got = rules.judged(docs, labels).join(docs, "doc_id")
+    lost = {r.lang: r["count"] for r in got.where("not kept").groupBy("lang").count().collect()}
+    # zz certifies the cutoff but has no labelled junk: it takes that of all.
+    assert lost == {"en": 450, "zz": 6}
+
+
 def test_quality(docs, labels, empty):
     rows = judged(docs, labels).collect()
     assert len(rows) == docs.count()
