@@ -26,6 +26,8 @@ from tessera.llm.quality import judged
 #: SQL cannot express the classifier, the sketches, the draws or the packing.
 ORACLE_SQL = None
 _ROW = "corpus_row"
+#: Similarity, in percent, from which texts are near copies; op3 has its own.
+NEAR = 80
 
 
 def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -43,7 +45,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _only(docs, near_duplicates(docs).where("first"))
+    return _only(docs, near_duplicates(docs, percent=NEAR).where("first"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

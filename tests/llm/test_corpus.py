@@ -414,6 +414,21 @@ def test_pipeline_stages(spark, docs, empty, tmp_path):
         assert (now.count() > 0) == (start is docs)
 
 
+def test_pipeline_drops_copies_from_80_percent_on(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        copy = list(words)
+        for at in range(20, 300, 50):
+            copy[at] = "changed"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    shingled = [{tuple(t.split()[i:i + 5]) for i in range(296)} for _, t in rows[:2]]
+    assert 0.8 < len(shingled[0] & shingled[1]) / len(shingled[0] | shingled[1]) < 0.85
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string"), "test-80")
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()) == list(range(0, 80, 2))
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
