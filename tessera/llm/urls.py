@@ -2,14 +2,16 @@
 
 A url that a rule fits takes the rule's verdict. The others are judged by
 templates: the paths of each host form a tree, level by level. At a node, a
-segment that fewer than ``min_share`` of the node's urls take is variable and
-becomes the wildcard ``*``; segments whose share of bad labels does not differ
-from that of the rest of the node by more than ``z`` standard errors are alike
-and merge into the wildcard too. A template with enough bad labels, smoothed
-toward the share of all labels, is rejected: its urls are blocked.
+segment stays as it is if its share of bad labels differs from that of the rest
+of the node: by a likelihood-ratio test at ``Z`` standard errors, corrected for
+the number of segments tested at the node (those with ``MIN_LABELS`` labels or
+more). All others, however many urls they have, become the wildcard ``*``. A
+template with enough bad labels, smoothed toward the share of all labels, is
+rejected: its urls are blocked.
 
-The tree grows by aggregations and joins on (host, template, segment). Levels
-beyond ``LEVELS`` end in ``**``.
+The tree grows by aggregations and joins on (host, template, segment), at most
+``LEVELS`` deep; below that, and below a node whose labels are all alike or too
+few, all is wildcards.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, and no rule fits it; without labels everything else is allowed; a null
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 
 LEVELS = 4
-MIN_SHARE = 0.02
+MIN_LABELS = 3
 Z = 3.0
+#: Levels that are added to the urls in one plan.
+AT_ONCE = 8
 #: Pseudo-labels toward the share of bad labels everywhere.
 SMOOTH = 8.0
 PURITY = 0.5
@@ -54,26 +58,40 @@ def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def _grown(rows: DataFrame, level: int) -> DataFrame:
-    """Adds the segment of one level to each row's template."""
-    done = F.size("segments") < level
-    rows = rows.withColumn("segment", F.when(done, None).otherwise(F.try_element_at("segments", F.lit(level))))
-    nodes = (rows.where("segment is not null").groupBy("host", "template", "segment")
-             .agg(F.count("*").alias("n"), F.count("bad").alias("m"), F.sum(F.col("bad").cast("long")).alias("b"))
-             .withColumn("b", F.coalesce("b", F.lit(0))))
-    parents = nodes.groupBy("host", "template").agg(F.sum("n").alias("pn"), F.sum("m").alias("pm"), F.sum("b").alias("pb"))
-    rest_m, rest_b = F.col("pm") - F.col("m"), F.col("pb") - F.col("b")
-    share = F.col("pb") / F.col("pm")
-    error = F.sqrt(share * (1 - share) * (1 / F.col("m") + 1 / rest_m))
-    differs = (F.col("m") > 0) & (rest_m > 0) & (F.abs(F.col("b") / F.col("m") - rest_b / rest_m) > Z * error)
-    literal = ((nodes.join(parents, ["host", "template"])
-                .where((F.col("n") >= MIN_SHARE * F.col("pn")) & differs)).select("host", "template", "segment", F.lit(True).alias("literal")))
-    kept = rows.join(literal, ["host", "template", "segment"], "left")
+def _extended(rows: DataFrame, literal: DataFrame) -> DataFrame:
+    """Adds ``segment`` (null where the path has ended) to the templates."""
+    kept = rows.join(literal.withColumn("literal", F.lit(True)), ["host", "template", "segment"], "left")
     part = F.when(F.col("literal"), F.col("segment")).otherwise(F.lit("*"))
     return (kept.withColumn("template", F.when(F.col("segment").isNull(), F.col("template"))
                             .otherwise(F.concat("template", F.lit("/"), part))).drop("segment", "literal"))
 
 
+def _literals(labelled: DataFrame) -> list[DataFrame]:
+    """For each level the segments (host, template, segment) that stay, from
+    rows with host, segments and bad."""
+    out: list[DataFrame] = []
+    rows = labelled.withColumn("template", F.lit(""))
+    while True:
+        rows = (rows.where(F.size("segments") > len(out))
+                .withColumn("segment", F.element_at("segments", len(out) + 1)))
+        nodes = written(rows.groupBy("host", "template", "segment")
+                        .agg(F.count("*").alias("m"), F.sum(F.col("bad").cast("long")).alias("b")), "nodes")
+        mixed = written(nodes.groupBy("host", "template")
+                        .agg(F.sum("m").alias("pm"), F.sum("b").alias("pb"), F.sum((F.col("m") >= MIN_LABELS).cast("long")).alias("tests"))
+                        .where((F.col("pb") > 0) & (F.col("pb") < F.col("pm")) & (F.col("pm") > MIN_LABELS)), "mixed")
+        if len(out) == LEVELS or mixed.isEmpty():
+            return out
+        m, b, pm, pb = (F.col(c).cast("double") for c in ("m", "b", "pm", "pb"))
+
+        def part(seen: Column, rows: Column, share: Column) -> Column:
+            return F.when(seen > 0, seen * F.log(seen / (rows * share))).otherwise(0.0)
+
+        ratio = 2 * (part(b, m, pb / pm) + part(m - b, m, 1 - pb / pm) + part(pb - b, pm - m, pb / pm) + part(pm - m - pb + b, pm - m, 1 - pb / pm))
+        out.append(written(nodes.where(F.col("m") >= MIN_LABELS).join(mixed, ["host", "template"])
+                           .where((m < pm) & (ratio > Z * Z + 2 * F.log(F.col("tests")))).select("host", "template", "segment"), "literals"))
+        rows = written(_extended(rows.join(mixed.select("host", "template"), ["host", "template"], "left_semi"), out[-1]), "labelled")
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None = None) -> DataFrame:
     """Per (page_id, url) row: page_id, host, path, rule, verdict, template,
     purity (smoothed share of good labels). ``labels`` has page_id and bad."""
@@ -86,10 +104,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | No
         rows = rows.join(labels.where("page_id is not null").groupBy("page_id").agg(F.max("bad").alias("bad")), "page_id", "left")
     rows = written(rows.withColumn("segments", F.array_remove(F.split("path", "/"), "")).withColumn("template", F.lit("")), "urls")
     known = rows.agg(F.avg(F.col("bad").cast("double")).alias("share")).first()["share"] or 0.0
-    for level in range(1, LEVELS + 1):
-        rows = _grown(rows, level)
-    rows = written(rows.withColumn("template", F.when(F.size("segments") > LEVELS, F.concat("template", F.lit("/**")))
-                                   .otherwise(F.col("template"))), "templates")
+    literals = _literals(rows.where("bad is not null").select("host", "segments", "bad"))
+    for level, literal in enumerate(literals, start=1):
+        rows = _extended(rows.withColumn("segment", F.try_element_at("segments", F.lit(level))), literal)
+        if level % AT_ONCE == 0:
+            rows = written(rows, "grown")
+    rest = F.greatest(F.size("segments") - len(literals), F.lit(0))
+    rows = written(rows.withColumn("template", F.concat("template", F.repeat(F.lit("/*"), rest))), "templates")
     purity = (rows.groupBy("host", "template").agg(F.count("bad").alias("m"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("b"))
               .select("host", "template", (1 - (F.col("b") + SMOOTH * known) / (F.col("m") + SMOOTH)).alias("purity")))
     method = F.when(F.col("purity") < PURITY, F.lit("block")).otherwise(F.lit("allow"))

@@ -377,6 +377,15 @@ def test_url_templates_reject_bad_branches(spark):
     assert got == {("/ads/*", "block"), ("/news/*", "allow")}
 
 
+def test_url_templates_keep_small_bad_sections_of_large_hosts(spark):
+    """A section of 1 % of a host."""
+    rows = [(i, f"http://h/{'s%d' % (i % 100)}/{i}.html", i % 100 == 7) for i in range(9000)]
+    known = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = urls.judge(known.drop("bad"), [], known.where("page_id % 3 = 0").select("page_id", "bad"))
+    assert {(r.host, r.template) for r in got.where("verdict = 'block'").collect()} == {("h", "/s7/*")}
+    assert got.join(known, "page_id").where("bad != (verdict = 'block')").count() == 0
+
+
 def test_warc(spark):
     big = "ü" * 600
     rows = [(1, "http://a/", big), (2, None, big), (3, "http://b/\r\n%", None), (3, "http://b/", "small"), (4, "u", "small"),
