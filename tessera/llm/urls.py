@@ -9,9 +9,9 @@ more). All others, however many urls they have, become the wildcard ``*``. A
 template with enough bad labels, smoothed toward the share of all labels, is
 rejected: its urls are blocked.
 
-The tree grows by aggregations and joins on (host, template, segment), at most
-``LEVELS`` deep; below that, and below a node whose labels are all alike or too
-few, all is wildcards.
+The tree grows by aggregations and joins on (host, template, segment), down to
+the last segment of any node whose labels still differ; below a node whose
+labels are all alike or too few nothing can split, so all is wildcards there.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, and no rule fits it; without labels everything else is allowed; a null
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import written
 
-LEVELS = 4
 MIN_LABELS = 3
 Z = 3.0
 #: Levels that are added to the urls in one plan.
@@ -79,7 +78,7 @@ def _literals(labelled: DataFrame) -> list[DataFrame]:
         mixed = written(nodes.groupBy("host", "template")
                         .agg(F.sum("m").alias("pm"), F.sum("b").alias("pb"), F.sum((F.col("m") >= MIN_LABELS).cast("long")).alias("tests"))
                         .where((F.col("pb") > 0) & (F.col("pb") < F.col("pm")) & (F.col("pm") > MIN_LABELS)), "mixed")
-        if len(out) == LEVELS or mixed.isEmpty():
+        if mixed.isEmpty():
             return out
         m, b, pm, pb = (F.col(c).cast("double") for c in ("m", "b", "pm", "pb"))
 

@@ -378,11 +378,12 @@ def test_url_templates_reject_bad_branches(spark):
 
 
 def test_url_templates_keep_small_bad_sections_of_large_hosts(spark):
-    """A section of 1 % of a host."""
+    """A section of 1 % of a host, and a branch at the fifth segment."""
     rows = [(i, f"http://h/{'s%d' % (i % 100)}/{i}.html", i % 100 == 7) for i in range(9000)]
+    rows += [(10_000 + i, f"http://deep/en/2023/05/12/{'sponsored' if i % 5 == 0 else 'news'}/{i}.html", i % 5 == 0) for i in range(500)]
     known = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
     got = urls.judge(known.drop("bad"), [], known.where("page_id % 3 = 0").select("page_id", "bad"))
-    assert {(r.host, r.template) for r in got.where("verdict = 'block'").collect()} == {("h", "/s7/*")}
+    assert {(r.host, r.template) for r in got.where("verdict = 'block'").collect()} == {("h", "/s7/*"), ("deep", "/*/*/*/*/sponsored/*")}
     assert got.join(known, "page_id").where("bad != (verdict = 'block')").count() == 0
 
 
