@@ -3,7 +3,9 @@ long-form unions."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
+from itertools import chain, count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,3 +56,19 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 def chunks(items: list, size: int) -> list[list]:
     return [items[i:i + size] for i in range(0, len(items), size)] or [[]]
+
+
+def table_namer() -> Callable[[str, str], str]:
+    """Names for the tables of one collection: the field's name; if that is
+    taken its whole path, and if that is taken too the path with the first
+    free number."""
+    used: set[str] = set()
+
+    def name(n: str, path: str) -> str:
+        whole = path.replace(".", "_")
+        tries = chain([n, whole], (f"{whole}_{i}" for i in count(2)))
+        t = next(x for x in tries if x not in used)
+        used.add(t)
+        return t
+
+    return name

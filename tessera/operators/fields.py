@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import fixed as FX
-from tessera.operators.common import is_object_id, qcol
+from tessera.operators.common import is_object_id, qcol, table_namer
 
 ROOT, ONE_TO_ONE, ONE_TO_MANY = "root", FX.RELATION_ONE_TO_ONE, FX.RELATION_ONE_TO_MANY
 
@@ -67,15 +67,10 @@ def walk(schema: T.StructType, root_name: str, id_column: str = "_id") -> list[T
     * an array of structs becomes a 1_n child table; an array of scalars a
       1_n child with one ``value`` field; a map a 1_n child ``key, value``.
     Child tables recurse to any depth. When a name is taken, the child is
-    named after its whole path (``lines_tags``).
+    named after its whole path (``lines_tags``), numbered if that is taken.
     """
     tables: list[TableSpec] = []
-    used: set[str] = set()
-
-    def new_name(name: str, path: str) -> str:
-        n = name if name not in used else path.replace(".", "_")
-        used.add(n)
-        return n
+    new_name = table_namer()
 
     def visit(st: T.StructType, spec: TableSpec, base: Column | None, path: str,
               base_rel: tuple[str, ...] = ()):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.values import collapse_ids_expr
-from tessera.operators.common import is_object_id, path_col, qcol
+from tessera.operators.common import is_object_id, path_col, qcol, table_namer
 
 
 def collapse_ids(df: DataFrame) -> DataFrame:
@@ -117,12 +117,7 @@ def documents_to_tables(df: DataFrame, name: str, key: str | None = None,
     if key is None:
         key = "_id" if "_id" in df.columns else df.columns[0]
     out: dict[str, DataFrame] = {}
-    used: set[str] = set()
-
-    def tname(n: str, path: str) -> str:
-        t = n if n not in used else path.replace(".", "_")
-        used.add(t)
-        return t
+    tname = table_namer()
 
     def visit(cur: DataFrame, tbl: str, keys: list[str], path: str):
         scalars, structs, arrays = [], [], []
@@ -135,6 +130,8 @@ def documents_to_tables(df: DataFrame, name: str, key: str | None = None,
                 arrays.append(f)
             else:
                 scalars.append(f.name)
+        if tbl in out:
+            raise ValueError(f"two tables named {tbl}")
         out[tbl] = cur.select(*[qcol(k) for k in keys], *[qcol(s) for s in scalars])
         for f in structs:
             child = tname(f.name, f"{path}.{f.name}" if path else f.name)
@@ -147,8 +144,7 @@ def documents_to_tables(df: DataFrame, name: str, key: str | None = None,
             kk = [k if k in sub.columns else f"parent_{k}" for k in keys] + [f"{f.name}_pos"]
             visit(sub, child, kk, f"{path}.{f.name}" if path else f.name)
 
-    used.add(name)
-    visit(df, name, [key], "")
+    visit(df, tname(name, name), [key], "")
     if tables is not None:
         wanted = set(tables)
         out = {k: v for k, v in out.items() if k in wanted}

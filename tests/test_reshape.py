@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from conftest import bag
 from tessera.functions import values as V
+from tessera.operators import fields
 from tessera.operators import reshape as R
 from tessera.sources import derived as D
 
@@ -77,3 +78,15 @@ def test_value_functions(spark):
                     V.array_text(F.col("n"), df.schema["n"].dataType).alias("e")).first()
     assert row.t == ["x", "y"] and row.d == [1, 3] and row.e == []
     assert V.nested_path("a", "", "b") == "a.b"
+
+
+def test_documents_to_tables_keeps_every_table_when_names_clash(spark):
+    df = spark.sql("""SELECT 1 AS _id, array(named_struct('a', 1), named_struct('a', 2)) AS orders,
+                      named_struct('y', 1, 'tags', array('p', 'q', 'r')) AS profile, array('s') AS tags,
+                      named_struct('z', 5) AS profile_tags""")
+    out = R.documents_to_tables(df, "orders")
+    assert len(out) == 6
+    assert out["orders"].columns == ["_id"] and out["orders_2"].count() == 2
+    assert sorted(t.count() for t in out.values()) == [1, 1, 1, 1, 2, 3]
+    specs = fields.walk(df.schema, "orders")
+    assert len({t.name for t in specs}) == len(specs) == 6
