@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, rules, urls, warc
+from tessera.llm.alignment import aligned_documents
 from tessera.llm.common import crc_of_id, table
 from tessera.llm.ctw import lm_scores
+from tessera.llm.decontam import contaminated
 from tessera.llm.exact import exact_groups
 from tessera.llm.mixing import mix
 from tessera.llm.neardup import near_duplicates
 from tessera.llm.packing import pack_documents
+from tessera.llm.periods import periodic_runs
 from tessera.llm.quality import judged
 
 #: Weights by order of the sources, repeating. Fixed values.
@@ -24,11 +27,12 @@ SOURCE_WEIGHTS = [3.0, 1.0, 2.0]
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
-def tokenizer_path() -> str:
-    """The public vocabulary used for packing, installed on every machine."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public vocabulary (the default is used for packing), installed on
+    every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +89,41 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Makes the tail of every tenth document (by the crc32 of its id)
+    periodic: from word a on, with period p."""
+    crc = crc_of_id()
+    words = docs.withColumn("h", crc).withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    planned = (words.withColumn("a", F.when(n > 0, g % n).cast("int"))
+               .withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int")))
+    tail = F.transform(F.sequence(F.col("a"), n - 1), lambda i: F.col("w")[F.col("a") + (i - F.col("a")) % F.col("p")])
+    return planned.withColumn("text", F.when(F.col("a").isNotNull(), F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " "))
+                              .otherwise(F.col("text"))).select("doc_id", "text")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents", "doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))), 1)
+    size = -F.col("best.less")
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), size.alias("length"),
+        F.col("best.period").alias("period"), F.floor(1000 * size / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_url_filter": op2_url_filter,
@@ -96,6 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_pack": op9_pack,
     "op10_lm_score": op10_lm_score,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_contamination": op13_contamination,
 }
 
 ORACLES: dict[str, str] = {
