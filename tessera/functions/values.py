@@ -50,7 +50,7 @@ def collapse_ids_expr(col: Column, dtype: T.DataType) -> tuple[Column, bool]:
 
     Returns the new expression and whether anything changed. Structs are
     rebuilt only when they hold an ObjectId somewhere; a NULL struct stays
-    NULL.
+    NULL. Keys and values of maps are rewritten too.
     """
     if is_object_id(dtype):
         return col.getField("oid"), True
@@ -68,4 +68,11 @@ def collapse_ids_expr(col: Column, dtype: T.DataType) -> tuple[Column, bool]:
         if not changed:
             return col, False
         return F.transform(col, lambda x: collapse_ids_expr(x, dtype.elementType)[0]), True
+    if isinstance(dtype, T.MapType):
+        in_keys, in_values = (collapse_ids_expr(F.lit(None).cast(t), t)[1] for t in (dtype.keyType, dtype.valueType))
+        if in_values:
+            col = F.transform_values(col, lambda _, v: collapse_ids_expr(v, dtype.valueType)[0])
+        if in_keys:
+            col = F.transform_keys(col, lambda k, _: collapse_ids_expr(k, dtype.keyType)[0])
+        return col, in_keys or in_values
     return col, False

@@ -58,17 +58,17 @@ def chunks(items: list, size: int) -> list[list]:
     return [items[i:i + size] for i in range(0, len(items), size)] or [[]]
 
 
-def table_namer() -> Callable[[str, str], str]:
-    """Names for the tables of one collection: the field's name; if that is
-    taken its whole path, and if that is taken too the path with the first
-    free number."""
+def table_namer() -> Callable[..., str]:
+    """Names for tables: the field's name; if that is taken its whole path
+    (or the next of several paths), and if that is taken too the last path
+    with the first free number."""
     used: set[str] = set()
 
-    def name(n: str, path: str) -> str:
-        whole = path.replace(".", "_")
-        tries = chain([n, whole], (f"{whole}_{i}" for i in count(2)))
-        t = next(x for x in tries if x not in used)
-        used.add(t)
+    def name(n: str, *paths: str) -> str:
+        whole = [p.replace(".", "_") for p in paths]
+        tries = chain([n], whole, (f"{whole[-1]}_{i}" for i in count(2)))
+        t = next(x for x in tries if x.casefold() not in used)
+        used.add(t.casefold())
         return t
 
     return name

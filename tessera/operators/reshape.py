@@ -7,8 +7,10 @@ operations that run inside whole-stage code generation, with no shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
+from itertools import chain, count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,28 +44,64 @@ def root_table(df: DataFrame, order: Iterable[str] | None = None) -> DataFrame:
     return out
 
 
-def _key_cols(df: DataFrame, key: str | list[str] | None, avoid: set[str]) -> list:
-    keys = [] if key is None else ([key] if isinstance(key, str) else list(key))
+def _key_columns(df: DataFrame, key: str | Iterable[str] | None, taken: set[str]) -> list[tuple[str, Column]]:
+    """The parent's key for a child table: the names it gets there and its
+    columns. A name that is ``taken`` (case ignored) is prefixed ``parent_``
+    until it is free; names given are added to ``taken``."""
     out = []
-    for k in keys:
-        dt = df.schema[k].dataType if k in df.columns else None
-        c = qcol(k).getField("oid") if dt is not None and is_object_id(dt) else path_col(k)
-        name = k.replace(".", "_")
-        out.append(c.alias(name if name not in avoid else f"parent_{name}"))
+    for k in [] if key is None else [key] if isinstance(key, str) else key:
+        own = k in df.columns
+        c = qcol(k) if own else path_col(k)
+        if own and is_object_id(df.schema[k].dataType):
+            c = c.getField("oid")
+        name = k if own else k.replace(".", "_")
+        while name.casefold() in taken:
+            name = f"parent_{name}"
+        taken.add(name.casefold())
+        out.append((name, c.alias(name)))
     return out
 
 
+def _struct_rows(df: DataFrame, field: str, key: str | Iterable[str] | None) -> tuple[DataFrame, list[str]]:
+    """N2, and the names of the key columns it wrote."""
+    dt = df.schema[field].dataType
+    if not isinstance(dt, T.StructType):
+        raise TypeError(f"{field} is not a struct")
+    keys = _key_columns(df, key, {f.name.casefold() for f in dt.fields})
+    rows = (df.where(qcol(field).isNotNull())
+            .select(*[c for _, c in keys], *[qcol(field).getField(f.name).alias(f.name) for f in dt.fields]))
+    return rows, [n for n, _ in keys]
+
+
+def _array_rows(df: DataFrame, field: str, key: str | Iterable[str] | None) -> tuple[DataFrame, list[str], str]:
+    """N3, the names of the parent key columns it wrote and that of the
+    position."""
+    dt = df.schema[field].dataType
+    source = qcol(field)
+    if isinstance(dt, T.MapType):
+        source, elements = F.map_entries(source), {"key": "key", "value": "value"}
+    elif not isinstance(dt, T.ArrayType):
+        raise TypeError(f"{field} is not an array or map")
+    elif is_object_id(dt.elementType):
+        elements = {"value": "oid"}
+    elif isinstance(dt.elementType, T.StructType):
+        elements = {f.name: f.name for f in dt.elementType.fields}
+    else:
+        elements = {"value": None}
+    taken = {n.casefold() for n in elements}
+    keys = _key_columns(df, key, taken)
+    position = next(n for n in chain([f"{field}_pos"], (f"{field}_pos_{i}" for i in count(2))) if n.casefold() not in taken)
+    element = next(n for n in chain(["element"], (f"element_{i}" for i in count(2))) if n.casefold() not in taken | {position.casefold()})
+    rows = df.select(*[c for _, c in keys], F.posexplode(source).alias(position, element))
+    fields = [(qcol(element) if sub is None else qcol(element).getField(sub)).alias(n) for n, sub in elements.items()]
+    return rows.select(*[qcol(n) for n, _ in keys], qcol(position), *fields), [n for n, _ in keys], position
+
+
 def split_struct(df: DataFrame, field: str, key: str | list[str] | None = "_id") -> DataFrame:
     """An embedded struct as its own table, one row per document that
     has it (1_1): ``<key>, <struct fields>``. A key name that clashes with a
     struct field is prefixed ``parent_``."""
-    dt = df.schema[field].dataType
-    if not isinstance(dt, T.StructType):
-        raise TypeError(f"{field} is not a struct")
-    subs = {f.name for f in dt.fields}
-    return (df.where(qcol(field).isNotNull())
-            .select(*_key_cols(df, key, subs),
-                    *[qcol(field).getField(f.name).alias(f.name) for f in dt.fields]))
+    return _struct_rows(df, field, key)[0]
 
 
 def split_array(df: DataFrame, field: str, key: str | list[str] | None = "_id",
@@ -72,83 +110,87 @@ def split_array(df: DataFrame, field: str, key: str | list[str] | None = "_id",
 
     Columns: the parent ``key`` (unless ``parent_key=False``, the reference's
     shape, which loses it), ``<field>_pos`` (0-based, unless
-    ``position=False``) and the element's fields, or one ``value`` column for
-    arrays of scalars, or ``key, value`` for maps. Documents whose array is
-    NULL or empty produce no row.
+    ``position=False``; numbered if an element has a field of that name) and
+    the element's fields, or one ``value`` column for arrays of scalars, or
+    ``key, value`` for maps. Documents whose array is NULL or empty produce no
+    row.
     """
-    dt = df.schema[field].dataType
-    pos_name = f"{field}_pos"
-    if isinstance(dt, T.MapType):
-        elem_cols = ["key", "value"]
-        exploded = df.select(*(_key_cols(df, key, set(elem_cols)) if parent_key else []),
-                             F.posexplode(F.map_entries(qcol(field))).alias(pos_name, "__e"))
-        cols = [F.col("__e.key").alias("key"), F.col("__e.value").alias("value")]
-    elif isinstance(dt, T.ArrayType):
-        et = dt.elementType
-        if isinstance(et, T.StructType) and not is_object_id(et):
-            elem_cols = [f.name for f in et.fields]
-            cols = [F.col("__e").getField(n).alias(n) for n in elem_cols]
-        else:
-            elem_cols = ["value"]
-            v = F.col("__e").getField("oid") if is_object_id(et) else F.col("__e")
-            cols = [v.alias("value")]
-        exploded = df.select(*(_key_cols(df, key, set(elem_cols)) if parent_key else []),
-                             F.posexplode(qcol(field)).alias(pos_name, "__e"))
-    else:
-        raise TypeError(f"{field} is not an array or map")
-    keep = [c for c in exploded.columns if c not in ("__e", pos_name)]
-    return exploded.select(*[qcol(c) for c in keep],
-                           *([qcol(pos_name)] if position else []), *cols)
+    rows, _, place = _array_rows(df, field, key if parent_key else None)
+    return rows if position else rows.drop(place)
+
+
+@dataclass(frozen=True)
+class SplitTable:
+    """One table of a collection. ``keys`` tell its rows apart; ``link`` pairs
+    its columns with those of ``parent`` that they repeat."""
+    name: str
+    df: DataFrame
+    path: str
+    relation: str
+    keys: tuple[str, ...]
+    parent: str | None = None
+    link: tuple[tuple[str, str], ...] = ()
+
+
+def split_collections(collections: Mapping[str, DataFrame], keys: Mapping[str, str | Iterable[str] | None] | None = None) -> list[SplitTable]:
+    """N6 for several collections: the tables of each, parents first, under
+    names that are different over all of them. Collections keep their names;
+    a child is named after its field, else after its path, else (of several
+    collections) after collection and path, else with a number.
+
+    Each split hands on the names of the key columns it wrote, so a child at
+    any depth carries the whole key of its parent row: the document's key (one
+    or more columns) and the positions of the arrays on the way."""
+    name_of = table_namer()
+    roots = {name: name_of(name, name) for name in collections}
+    out: list[SplitTable] = []
+
+    def visit(cur: DataFrame, table: SplitTable, collection: str) -> None:
+        inner = [f for f in cur.schema.fields if f.name not in table.keys
+                 and isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) and f.name != "_id"]
+        nested = {f.name for f in inner}
+        out.append(replace(table, df=cur.select(*[qcol(k) for k in table.keys], *[
+            qcol(c) for c in cur.columns if c not in nested and c not in table.keys])))
+        for f in sorted(inner, key=lambda f: not isinstance(f.dataType, T.StructType)):
+            path = f"{table.path}.{f.name}" if table.path else f.name
+            if isinstance(f.dataType, T.StructType):
+                rows, written = _struct_rows(cur, f.name, table.keys)
+                own, relation = tuple(written), "1_1"
+            else:
+                rows, written, position = _array_rows(cur, f.name, table.keys)
+                own, relation = (*written, position), "1_n"
+            whole = [path] if len(collections) == 1 else [path, f"{collection}.{path}"]
+            child = SplitTable(name_of(f.name, *whole), rows, path, relation, own, table.name,
+                               tuple(zip(written, table.keys, strict=True)))
+            visit(rows, child, collection)
+
+    for name, df in collections.items():
+        df = collapse_ids(df)
+        if not df.columns:
+            out.append(SplitTable(roots[name], df, "", "root", ()))
+            continue
+        key = (keys or {}).get(name)
+        if key is None:
+            key = "_id" if "_id" in df.columns else df.columns[0]
+        own = _key_columns(df, key, set())
+        outside = [(n, c) for n, c in own if n not in df.columns]
+        visit(df.select("*", *[c for _, c in outside]), SplitTable(roots[name], df, "", "root", tuple(n for n, _ in own)), name)
+    return out
 
 
-def documents_to_tables(df: DataFrame, name: str, key: str | None = None,
+def documents_to_tables(df: DataFrame, name: str, key: str | Iterable[str] | None = None,
                         tables: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """A collection as relational tables: ``{name: root}`` plus one table
     per embedded struct / array at any depth (N5 collapses ObjectIds first).
 
     Children carry the key of their parent and, below arrays, the positions
     of every array on the way, so each child row points at exactly one
-    parent row. ``tables`` keeps only the named tables (S13). Each table is a
-    lazy projection/explode of the same scan; nothing is materialised.
+    parent row. ``key`` may be several columns, or nested paths. ``tables``
+    keeps only the named tables (S13). Each table is a lazy projection/explode
+    of the same scan; nothing is materialised.
     """
-    df = collapse_ids(df)
-    if not df.columns:
-        return {name: df}
-    if key is None:
-        key = "_id" if "_id" in df.columns else df.columns[0]
-    out: dict[str, DataFrame] = {}
-    tname = table_namer()
-
-    def visit(cur: DataFrame, tbl: str, keys: list[str], path: str):
-        scalars, structs, arrays = [], [], []
-        for f in cur.schema.fields:
-            if f.name in keys:
-                continue
-            if isinstance(f.dataType, T.StructType) and f.name != "_id":
-                structs.append(f)
-            elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
-                arrays.append(f)
-            else:
-                scalars.append(f.name)
-        if tbl in out:
-            raise ValueError(f"two tables named {tbl}")
-        out[tbl] = cur.select(*[qcol(k) for k in keys], *[qcol(s) for s in scalars])
-        for f in structs:
-            child = tname(f.name, f"{path}.{f.name}" if path else f.name)
-            sub = split_struct(cur, f.name, keys)
-            visit(sub, child, [k if k in sub.columns else f"parent_{k}" for k in keys],
-                  f"{path}.{f.name}" if path else f.name)
-        for f in arrays:
-            child = tname(f.name, f"{path}.{f.name}" if path else f.name)
-            sub = split_array(cur, f.name, keys)
-            kk = [k if k in sub.columns else f"parent_{k}" for k in keys] + [f"{f.name}_pos"]
-            visit(sub, child, kk, f"{path}.{f.name}" if path else f.name)
-
-    visit(df, tname(name, name), [key], "")
-    if tables is not None:
-        wanted = set(tables)
-        out = {k: v for k, v in out.items() if k in wanted}
-    return out
+    wanted = None if tables is None else set(tables)
+    return {t.name: t.df for t in split_collections({name: df}, {name: key}) if wanted is None or t.name in wanted}
 
 
 def table_to_documents(df: DataFrame, as_json: bool = False) -> DataFrame:

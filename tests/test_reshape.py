@@ -90,3 +90,56 @@ def test_documents_to_tables_keeps_every_table_when_names_clash(spark):
     assert sorted(t.count() for t in out.values()) == [1, 1, 1, 1, 2, 3]
     specs = fields.walk(df.schema, "orders")
     assert len({t.name for t in specs}) == len(specs) == 6
+
+
+def test_probe_a_element_ids_do_not_hide_the_document_key(spark):
+    df = spark.createDataFrame([("d1", [("x", ["p", "q"])]), ("d2", [("x", ["p"])])],
+                               "_id string, subs array<struct<_id:string, tags:array<string>>>")
+    out = R.documents_to_tables(df, "docs")
+    assert out["subs"].columns == ["parent__id", "subs_pos", "_id"]
+    assert bag(out["tags"]) == [("d1", 0, 0, "p"), ("d1", 0, 1, "q"), ("d2", 0, 0, "p")]
+
+
+def test_probe_b_nested_arrays_of_one_name(spark):
+    df = spark.createDataFrame([(1, [([7, 8],), ([9],)])], "_id int, a array<struct<a:array<int>>>")
+    split = R.split_collections({"docs": df})
+    assert [t.name for t in split] == ["docs", "a", "a_a"]
+    assert split[2].keys == ("_id", "a_pos", "a_pos_2") and split[2].link == (("_id", "_id"), ("a_pos", "a_pos"))
+    assert bag(split[2].df) == [(1, 0, 0, 7), (1, 0, 1, 8), (1, 1, 0, 9)]
+
+
+def test_probe_c_ids_in_maps(spark):
+    df = spark.sql("SELECT 1 AS _id, map('a', named_struct('oid', 'x1'), 'b', named_struct('oid', 'x2')) AS m, "
+                   "map(named_struct('oid', 'k'), 1) AS n")
+    assert R.collapse_ids(df).schema.simpleString() == "struct<_id:int,m:map<string,string>,n:map<string,int>>"
+    out = R.documents_to_tables(df, "docs")
+    assert bag(out["m"]) == [(1, 0, "a", "x1"), (1, 1, "b", "x2")] and bag(out["n"]) == [(1, 0, "k", 1)]
+
+
+def test_composite_and_nested_keys_reach_every_level(spark):
+    df = spark.createDataFrame([(1, "x", ("k1",), [([("deep",)],)])],
+                               "a int, b string, s struct<id:string>, rows array<struct<cells:array<struct<b:string>>>>")
+    split = {t.name: t for t in R.split_collections({"docs": df}, {"docs": ["a", "b", "s.id"]})}
+    assert split["docs"].df.columns == ["a", "b", "s_id"]
+    assert split["s"].df.columns == ["a", "b", "s_id", "id"]
+    assert split["cells"].df.columns == ["a", "parent_b", "s_id", "rows_pos", "cells_pos", "b"]
+    assert split["cells"].link == (("a", "a"), ("parent_b", "b"), ("s_id", "s_id"), ("rows_pos", "rows_pos"))
+    assert bag(split["cells"].df) == [(1, "x", "k1", 0, 0, "deep")]
+
+
+def test_every_child_row_has_one_parent_row(spark):
+    df = spark.createDataFrame([(i, [(j, [(j, [k]) for k in range(j)]) for j in range(3)]) for i in range(4)],
+                               "_id int, l array<struct<_id:int, l:array<struct<l_pos:int, l:array<int>>>>>")
+    split = {t.name: t for t in R.split_collections({"docs": df})}
+    assert [len(t.keys) for t in split.values()] == [1, 2, 3, 4]
+    for t in split.values():
+        assert t.df.select(*t.keys).distinct().count() == t.df.count()
+        if t.parent:
+            parent = split[t.parent].df.select(*[F.col(p).alias(c) for c, p in t.link])
+            assert t.df.join(parent, [c for c, _ in t.link]).count() == t.df.count()
+
+
+def test_tables_of_two_collections_have_different_names(spark):
+    a = spark.sql("SELECT 1 AS _id, array(1) AS tags, named_struct('x', 1) AS b")
+    b = spark.sql("SELECT 1 AS _id, array(1) AS tags")
+    assert [t.name for t in R.split_collections({"a": a, "b": b})] == ["a", "a_b", "tags", "b", "b_tags"]
