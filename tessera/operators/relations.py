@@ -21,7 +21,8 @@ other collection in nested loops. Here both sides become long-form
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from tessera import fixed as FX
 from tessera.functions.values import array_text
 from tessera.operators.common import is_object_id, qcol, union_all
 from tessera.operators.profile import range_stats, unique_columns_of
+from tessera.session import stored
 
 ID = FX.ID_FIELD
 ID_RANK = 1_000_000
@@ -427,28 +429,173 @@ def count_orphans(child: DataFrame, parent: DataFrame, child_cols: list[str] | s
             .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_orphans")))
 
 
+@dataclass(frozen=True)
+class Link:
+    """A foreign key: columns of one table that name rows of another."""
+    from_table: str
+    from_fields: tuple[str, ...]
+    to_table: str
+    to_fields: tuple[str, ...]
+
+    @staticmethod
+    def of(link: Link | Sequence) -> Link:
+        """From ``(from_table, from_field, to_table, to_field)``, where a
+        composite key has a list of fields."""
+        if isinstance(link, Link):
+            return link
+        ft, ff, tt, tf = link
+        ff, tf = ((x,) if isinstance(x, str) else tuple(x) for x in (ff, tf))
+        if len(ff) != len(tf) or not ff:
+            raise ValueError(f"link {ft}{ff} -> {tt}{tf}: both ends need the same number of fields")
+        return Link(ft, ff, tt, tf)
+
+    def checked(self, tables: Mapping[str, DataFrame]) -> Link:
+        for t, fields in ((self.from_table, self.from_fields), (self.to_table, self.to_fields)):
+            for f in fields:
+                if t not in tables or f not in tables[t].columns:
+                    raise ValueError(f"link end {t}.{f} is not a column of the tables {sorted(tables)}")
+        return self
+
+
+def common_type(a: T.DataType, b: T.DataType) -> str | None:
+    """The type in which ``same_key`` compares; None if they are equal."""
+    if a == b:
+        return None
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        if any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in (a, b)):
+            return "double"
+        return f"decimal(38,{max(getattr(t, 'scale', 0) for t in (a, b))})"
+    return "string"
+
+
+def _key_text(df: DataFrame, fields: Sequence[str], types: Sequence[str | None]) -> Column:
+    """One text per key, equal where the keys are; NULL where a field is."""
+    parts, given = [], F.lit(True)
+    for name, as_type in zip(fields, types, strict=True):
+        c, dt = qcol(name), df.schema[name].dataType
+        given = given & c.isNotNull()
+        c = c if as_type is None else c.cast(as_type)
+        if as_type == "double" or (as_type is None and isinstance(dt, (T.DoubleType, T.FloatType))):
+            c = c + F.lit(0.0).cast(as_type or dt)  # one zero
+        elif as_type is None and isinstance(dt, T.TimestampType):
+            c = F.unix_micros(c)
+        elif as_type is None and isinstance(dt, T.BinaryType):
+            c = F.hex(c)
+        elif as_type is None and isinstance(dt, (T.StructType, T.ArrayType)):
+            c = F.to_json(c, {"ignoreNullFields": "false"})
+        parts.append(c.cast("string"))
+    return F.when(given, parts[0] if len(parts) == 1 else F.to_json(F.array(*parts)))
+
+
+def check_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str | Sequence[str]]) -> DataFrame:
+    """S6 on the rows: per table with a declared key, ``table_name,
+    primary_key, n_rows, n_null`` (rows with a NULL in the key), ``n_keys``
+    and ``n_duplicates`` (rows beyond the first of their key). One
+    aggregation per table, partly in each task."""
+    out = []
+    for name, key in keys.items():
+        fields = [key] if isinstance(key, str) else list(key)
+        given = F.lit(True)
+        for i in range(len(fields)):
+            given = given & F.col(f"k{i}").isNotNull()
+        per_key = tables[name].groupBy(*[qcol(f).alias(f"k{i}") for i, f in enumerate(fields)]).agg(F.count(F.lit(1)).alias("n"))
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+        out.append(per_key.agg(total(F.col("n")).alias("n_rows"), total(F.when(~given, F.col("n"))).alias("n_null"),
+                               total(F.when(given, 1)).alias("n_keys"), total(F.when(given, F.col("n") - 1)).alias("n_duplicates"))
+                   .select(F.lit(name).alias("table_name"), F.array(*[F.lit(f) for f in fields]).alias("primary_key"),
+                           "n_rows", "n_null", "n_keys", "n_duplicates"))
+    if not out:
+        raise ValueError("no key to check")
+    return union_all(out)
+
+
+def check_links(tables: Mapping[str, DataFrame], links: Iterable[Link | Sequence]) -> DataFrame:
+    """S7/R8 on the rows, for all links in one job: ``from_table, from_fields,
+    to_table, to_fields, n_rows, n_null`` (child rows, and those with a NULL
+    in the key), ``n_orphans`` and ``n_orphan_keys`` (rows and keys without a
+    parent) and ``n_parent_duplicates`` (parent rows beyond the first of their
+    key).
+
+    Each table is scanned once: a child row yields its key for every link of
+    the table, a parent row for every link to it. Keys are counted in each
+    task before they are shuffled, so a hot key is a row per task; only
+    distinct keys meet in the one join. Keys compare as ``same_key`` does.
+    """
+    links = [Link.of(x).checked(tables) for x in links]
+    spark = next(iter(tables.values())).sparkSession
+    schema = "link int, target int, from_table string, from_fields array<string>, to_table string, to_fields array<string>"
+    children: dict[str, list] = {}
+    parents: dict[str, dict[tuple, int]] = {}
+    rows, n_targets = [], 0
+    for i, k in enumerate(links):
+        types = tuple(common_type(tables[k.from_table].schema[a].dataType, tables[k.to_table].schema[b].dataType)
+                      for a, b in zip(k.from_fields, k.to_fields, strict=True))
+        known = parents.setdefault(k.to_table, {})
+        if (k.to_fields, types) not in known:
+            known[k.to_fields, types] = n_targets
+            n_targets += 1
+        target = known[k.to_fields, types]
+        children.setdefault(k.from_table, []).append((i, target, k.from_fields, types))
+        rows.append((i, target, k.from_table, list(k.from_fields), k.to_table, list(k.to_fields)))
+    named = spark.createDataFrame(rows, schema)
+    out = ["from_table", "from_fields", "to_table", "to_fields"]
+    sums = ["n_rows", "n_null", "n_orphans", "n_orphan_keys", "n_parent_duplicates"]
+    if not links:
+        return named.select(*out, *[F.lit(0).cast("long").alias(c) for c in sums])
+    child_keys = union_all([
+        tables[t].select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("link"), F.lit(g).alias("target"), _key_text(tables[t], fields, types).alias("key"))
+            for i, g, fields, types in some])).alias("x")).select("x.*") for t, some in children.items()
+    ]).groupBy("link", "target", "key").agg(F.count(F.lit(1)).alias("n"))
+    parent_keys = union_all([
+        tables[t].select(F.explode(F.array(*[
+            F.struct(F.lit(g).alias("target"), _key_text(tables[t], fields, types).alias("key"))
+            for (fields, types), g in some.items()])).alias("x")).select("x.*") for t, some in parents.items()
+    ]).where(F.col("key").isNotNull()).groupBy("target", "key").agg(F.count(F.lit(1)).alias("m"))
+    lost = F.col("key").isNotNull() & F.col("m").isNull()
+    per_link = child_keys.join(parent_keys, ["target", "key"], "left").groupBy("link").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("key").isNull(), F.col("n"))).alias("n_null"),
+        F.sum(F.when(lost, F.col("n"))).alias("n_orphans"), F.sum(F.when(lost, 1)).alias("n_orphan_keys"))
+    per_target = parent_keys.groupBy("target").agg(F.sum(F.col("m") - 1).alias("n_parent_duplicates"))
+    return (named.join(per_link, "link", "left").join(per_target, "target", "left")
+            .select(*out, *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in sums]))
+
+
 def link_edges(foreign_keys: DataFrame) -> DataFrame:
     """One schema-graph link per foreign key: ``from, fromPort, to, toPort``."""
     return foreign_keys.select(F.col("from_table").alias("from"), F.col("from_field").alias("fromPort"),
                                F.col("to_table").alias("to"), F.col("to_field").alias("toPort"))
 
 
+#: Orphan keys up to this many are sent to every task.
+BROADCAST_KEYS = 1_000_000
+
+
 def check_foreign_keys(child: DataFrame, parent: DataFrame, child_cols: list[str] | str,
-                       parent_cols: list[str] | str) -> DataFrame:
+                       parent_cols: list[str] | str, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
     """The child rows whose (non-NULL) key has no parent row - the rows a
-    ``FOREIGN KEY`` constraint would reject. A left anti join with the
-    parent's distinct keys: Spark shuffles both sides on the key, or
-    broadcasts the keys if its size rules allow it.
+    ``FOREIGN KEY`` constraint would reject.
+
+    The orphan keys come first, from the distinct keys of both sides, stored
+    and counted. Then the child rows that hold one are picked: up to
+    ``broadcast_keys`` keys go to every task and no child row moves; beyond
+    that a semi join shuffles rows, whose hot keys Spark may split.
     """
     cc = [child_cols] if isinstance(child_cols, str) else list(child_cols)
     pc = [parent_cols] if isinstance(parent_cols, str) else list(parent_cols)
-    p = parent.select(*[qcol(b).alias(f"__p{i}") for i, b in enumerate(pc)]).distinct()
-    cond = None
-    for i, (a, b) in enumerate(zip(cc, pc)):
-        c = same_key(qcol(a), child.schema[a].dataType, F.col(f"__p{i}"), parent.schema[b].dataType)
-        cond = c if cond is None else cond & c
-    notnull = None
+    names = [f"__c{i}" for i in range(len(cc))]
+    notnull = F.lit(True)
     for a in cc:
-        c = qcol(a).isNotNull()
-        notnull = c if notnull is None else notnull & c
-    return child.where(notnull).join(p, cond, "left_anti")
+        notnull = notnull & qcol(a).isNotNull()
+    keys = child.where(notnull).select(*[qcol(a).alias(n) for a, n in zip(cc, names, strict=True)]).distinct()
+    p = parent.select(*[qcol(b).alias(f"__p{i}") for i, b in enumerate(pc)]).distinct()
+    cond = F.lit(True)
+    for i, (a, b) in enumerate(zip(cc, pc, strict=True)):
+        cond = cond & same_key(F.col(names[i]), child.schema[a].dataType, F.col(f"__p{i}"), parent.schema[b].dataType)
+    orphans = stored(keys.join(p, cond, "left_anti"), "orphan-keys")
+    if orphans.count() <= broadcast_keys:
+        orphans = F.broadcast(orphans)
+    same = F.lit(True)
+    for a, n in zip(cc, names, strict=True):
+        same = same & (qcol(a) == F.col(n))
+    return child.join(orphans, same, "left_semi")

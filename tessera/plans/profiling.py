@@ -8,7 +8,8 @@ stays a lazy DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,10 +59,13 @@ def profile_documents(collections: Mapping[str, DataFrame], n_samples: int | Non
     fks = RL.assign_foreign_keys(matches)
     pks = RL.assign_primary_keys(matches, list(cols), reset_pk=reset_pk, overrides=overrides,
                                  foreign_keys=fks, id_column=id_column)
-    if with_stats:
-        flds = union_all([FL.field_profile(df, n, id_column) for n, df in cols.items()])
-    else:
-        flds = union_all([FL.schema_fields(df, n, id_column) for n, df in cols.items()])
+    profile = FL.field_profile if with_stats else FL.schema_fields
+    flds = union_all([profile(df, n, id_column).withColumn("collection", F.lit(n)) for n, df in cols.items()])
+    spark = flds.sparkSession
+    places = spark.createDataFrame(
+        [(n, t.name, f.name, i) for n, df in cols.items() for t in FL.walk(df.schema, n, id_column) for i, f in enumerate(t.fields)],
+        "collection string, table_name string, field_name string, position int")
+    flds = flds.join(F.broadcast(places), ["collection", "table_name", "field_name"])
     # Links and keys belong to the collections' root tables only, as in the
     # reference; embedded tables keep the default key.
     root = F.col("relation") == F.lit(FL.ROOT)
@@ -91,9 +95,13 @@ def tables_report(fields: DataFrame) -> DataFrame:
         F.struct(lo.alias("min"), hi.alias("max")).alias("length"),
         F.struct(F.coalesce("ref_table", F.lit("")).alias("tableName"),
                  F.coalesce("ref_field", F.lit("")).alias("fieldName")).alias("relationship"))
-    return (fields.groupBy(F.col("table_name").alias("name"), F.col("primary_key").alias("primaryKey"),
-                           "path", "relation")
-            .agg(F.collect_list(item).alias("fields")))
+    # Fields stay in schema order; tables of one name and different
+    # collections stay apart.
+    keys = [F.col(c) for c in ("collection", "path", "relation") if c in fields.columns]
+    place = F.col("position") if "position" in fields.columns else F.lit(0)
+    return (fields.groupBy(F.col("table_name").alias("name"), F.col("primary_key").alias("primaryKey"), *keys)
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("position"), item.alias("item")))),
+                             lambda x: x["item"]).alias("fields")))
 
 
 def report_json(tables: DataFrame, status: str = FX.REPORT_STATUS,
@@ -106,43 +114,95 @@ def report_json(tables: DataFrame, status: str = FX.REPORT_STATUS,
     )).alias("report"))
 
 
+KEY_COUNTS = ["n_rows", "key_nulls", "key_duplicates"]
+LINK_COUNTS = ["ref_nulls", "ref_orphans", "ref_duplicates"]
+
+
+def declared_profile(columns: DataFrame, keys: Mapping[str, Sequence[str]], links: Iterable[RL.Link | Sequence],
+                     tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The columns of some tables (``table_name, field_name, ...``) with the
+    key and the links declared for them: ``primary_key`` (all its fields),
+    ``primary_key_last`` (the reference's value), ``ref_table``, ``ref_field``;
+    one row per column and link it takes part in.
+
+    With ``tables`` the declarations are verified on the rows (A3, R8), in one
+    aggregation per table with a key and one join of all links' distinct keys:
+    ``n_rows, key_nulls, key_duplicates`` of the declared key, and per link
+    ``ref_nulls``, ``ref_orphans`` (child rows without a parent) and
+    ``ref_duplicates`` (parent rows beyond the first of their key).
+    """
+    spark = columns.sparkSession
+    links = [RL.Link.of(k) for k in links]
+    pk = spark.createDataFrame([(t, list(k)) for t, k in keys.items()], "table_name string, primary_key array<string>")
+    ends = "from_table string, from_fields array<string>, to_table string, to_fields array<string>"
+    declared = spark.createDataFrame([(k.from_table, list(k.from_fields), k.to_table, list(k.to_fields)) for k in links], ends)
+    if tables is not None:
+        if keys:
+            counts = RL.check_keys(tables, keys)
+            pk = pk.join(counts.select("table_name", "n_rows", F.col("n_null").alias("key_nulls"), F.col("n_duplicates").alias("key_duplicates")), "table_name")
+        if links:
+            counts = RL.check_links(tables, links)
+            declared = declared.join(counts.select(
+                "from_table", "from_fields", "to_table", "to_fields", F.col("n_null").alias("ref_nulls"),
+                F.col("n_orphans").alias("ref_orphans"), F.col("n_parent_duplicates").alias("ref_duplicates")),
+                ["from_table", "from_fields", "to_table", "to_fields"])
+        for name, added in (("pk", KEY_COUNTS), ("declared", LINK_COUNTS)):
+            df = pk if name == "pk" else declared
+            for c in added:
+                if c not in df.columns:
+                    df = df.withColumn(c, F.lit(None).cast("long"))
+            pk, declared = (df, declared) if name == "pk" else (pk, df)
+    pair = F.explode(F.arrays_zip("from_fields", "to_fields")).alias("f")
+    per_field = declared.select("*", pair).select(
+        F.col("from_table").alias("table_name"), F.col("f.from_fields").alias("field_name"), F.col("to_table").alias("ref_table"),
+        F.col("f.to_fields").alias("ref_field"), *[c for c in LINK_COUNTS if tables is not None])
+    return (columns.join(pk, "table_name", "left").join(per_field, ["table_name", "field_name"], "left")
+            .select(*columns.columns, "primary_key", F.try_element_at("primary_key", F.lit(-1)).alias("primary_key_last"), "ref_table", "ref_field",
+                    *[c for c in KEY_COUNTS + LINK_COUNTS if tables is not None]))
+
+
 def profile_tables(spark: SparkSession, url: str, tables: list[str] | None = None,
-                   schema: str | None = None, properties: Mapping[str, str] | None = None) -> DataFrame:
+                   schema: str | None = None, properties: Mapping[str, str] | None = None,
+                   verify: bool = False) -> DataFrame:
     """M3: S4 -> S13 -> S5/S6/S7: one row per column of the chosen tables of a
-    JDBC database with its declared key and link:
+    JDBC database with its declared key and links:
     ``table_name, position, field_name, field_type, size, nullable,
     primary_key, primary_key_last, ref_table, ref_field``. Catalog metadata
-    only; no table row is read."""
+    only, unless ``verify`` asks for the counts of ``declared_profile``; links
+    to tables that are not chosen are then not verified.
+    """
     names = tables or [r["table_name"] for r in JD.list_tables(spark, url, schema, properties).collect()]
-    cols = JD.table_columns(spark, url, names, schema, properties)
-    pks = JD.declared_primary_keys(spark, url, names, schema, properties)
-    fks = JD.declared_foreign_keys(spark, url, names, schema, properties)
-    out = (cols.join(pks, "table_name", "left")
-           .join(fks, (cols["table_name"] == fks["from_table"]) & (cols["field_name"] == fks["from_field"]),
-                 "left"))
-    return out.select("table_name", "position", "field_name", "field_type", "size", "nullable",
-                      "primary_key", F.col("last_key").alias("primary_key_last"),
-                      F.col("to_table").alias("ref_table"), F.col("to_field").alias("ref_field"))
+    columns = JD.table_columns(spark, url, names, schema, properties)
+    keys = {r["table_name"]: r["primary_key"] for r in JD.declared_primary_keys(spark, url, names, schema, properties).collect()}
+    links = JD.declared_links(spark, url, names, schema, properties)
+    if not verify:
+        return declared_profile(columns, keys, links)
+    frames = {t: JD.read_table(spark, url, t, schema=schema, properties=properties) for t in names}
+    return declared_profile(columns, keys, [k for k in links if k[2] in frames], frames)
 
 
 def profile_catalog_tables(spark: SparkSession, database: str,
-                           tables: list[str] | None = None) -> DataFrame:
+                           tables: list[str] | None = None, verify: bool = False) -> DataFrame:
     """M3 for a Spark-catalog database: one row per column with its key and
-    link, as ``profile_tables`` gives for JDBC. Keys and links come from
-    the ``primary_key`` / ``foreign_key.<field>`` table properties that
-    ``CatalogTarget`` writes. Catalog metadata only; no row is read."""
+    links, as ``profile_tables`` gives for JDBC. Keys and links come from
+    the ``primary_key`` / ``foreign_key.<fields>`` table properties that
+    ``CatalogTarget`` writes; ``verify`` checks them on the rows."""
     names = tables or [t.name for t in spark.catalog.listTables(database)]
-    rows = []
+    rows, keys, links, frames = [], {}, [], {}
     for t in names:
-        props = {r["key"]: r["value"] for r in
-                 spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{t}`").collect()}
-        pk = props.get("primary_key")
-        for i, f in enumerate(spark.table(f"`{database}`.`{t}`").schema.fields):
-            ref = props.get(f"foreign_key.{f.name}")
-            rt, rf = ref.split(".", 1) if ref else (None, None)
-            rows.append((t, i + 1, f.name, f.dataType.simpleString(), "1" if f.nullable else "0",
-                         [pk] if pk else None, pk, rt, rf))
-    return spark.createDataFrame(
-        rows, "table_name string, position int, field_name string, field_type string, "
-              "nullable string, primary_key array<string>, primary_key_last string, "
-              "ref_table string, ref_field string")
+        frames[t] = spark.table(f"`{database}`.`{t}`")
+        for r in spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{t}`").collect():
+            if r["key"] == "primary_key":
+                keys[t] = _fields(r["value"])
+            elif r["key"].startswith("foreign_key."):
+                to, fields = r["value"].split(".", 1)
+                links.append((t, _fields(r["key"].removeprefix("foreign_key.")), to, _fields(fields)))
+        rows += [(t, i + 1, f.name, f.dataType.simpleString(), "1" if f.nullable else "0") for i, f in enumerate(frames[t].schema.fields)]
+    columns = spark.createDataFrame(rows, "table_name string, position int, field_name string, field_type string, nullable string")
+    if not verify:
+        return declared_profile(columns, keys, links)
+    return declared_profile(columns, keys, [k for k in links if k[2] in frames], frames)
+
+
+def _fields(declared: str) -> list[str]:
+    return json.loads(declared) if declared.startswith("[") else [declared]

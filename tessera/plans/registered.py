@@ -763,26 +763,125 @@ def q_split_map(spark, sf_dir):
 
 
 
-# --- M3 over a Spark catalog --------------------------------------------------
-
-@register("profile_tables", """
-SELECT DISTINCT c.table_name, CAST(c.ordinal_position AS INTEGER) AS position,
-       c.column_name AS field_name,
-       CASE c.data_type WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint'
-            WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' END AS field_type,
-       '1' AS nullable,
-       CASE c.table_name WHEN 'region' THEN ['r_regionkey'] ELSE ['n_nationkey'] END AS primary_key,
-       CASE c.table_name WHEN 'region' THEN 'r_regionkey' ELSE 'n_nationkey' END AS primary_key_last,
-       CASE WHEN c.column_name = 'n_regionkey' THEN 'region' END AS ref_table,
-       CASE WHEN c.column_name = 'n_regionkey' THEN 'r_regionkey' END AS ref_field
-FROM information_schema.columns c WHERE c.table_name IN ('region', 'nation')""")
+# --- N6: three levels of nesting, every table --------------------------------------
+
+_ORDERS_OF_CUSTOMERS = ("(SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS orders_pos "
+                        "FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer))")
+
+
+@register("documents_to_tables", f"""
+WITH o AS {_ORDERS_OF_CUSTOMERS},
+l AS (SELECT l.*, o.o_custkey, o.orders_pos,
+             row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(D.LINE_FIELDS)}) - 1 AS lines_pos
+      FROM lineitem l JOIN o ON l.l_orderkey = o.o_orderkey)
+SELECT 'customer' AS table_name, c_custkey, CAST(NULL AS INTEGER) AS orders_pos, CAST(NULL AS INTEGER) AS lines_pos,
+       CAST(c_nationkey AS BIGINT) AS number, c_mktsegment AS text, c_acctbal AS amount FROM customer
+UNION ALL SELECT 'orders', o_custkey, CAST(orders_pos AS INTEGER), NULL, o_orderkey, o_orderpriority, o_totalprice FROM o
+UNION ALL SELECT 'lines', o_custkey, CAST(orders_pos AS INTEGER), CAST(lines_pos AS INTEGER), l_partkey, l_returnflag, l_extendedprice FROM l""")
+def q_documents_to_tables(spark, sf_dir):
+    # Every table of customer -> order -> line documents, each row with the
+    # whole key of its document and the positions above it.
+    t = _tables(spark, sf_dir, ["customer", "orders", "lineitem"])
+    split = R.documents_to_tables(D.customer_order_documents(t["customer"], t["orders"], t["lineitem"]), "customer", "c_custkey")
+    shown = {"customer": ["c_nationkey", "c_mktsegment", "c_acctbal"], "orders": ["o_orderkey", "o_orderpriority", "o_totalprice"],
+             "lines": ["l_partkey", "l_returnflag", "l_extendedprice"]}
+    return _long_form(split, ["c_custkey", "orders_pos", "lines_pos"], shown, "c_custkey bigint, orders_pos int, lines_pos int")
+
+
+def _long_form(tables: dict[str, DataFrame], keys: list[str], shown: dict[str, list[str]], key_types: str) -> DataFrame:
+    """All tables below each other: table_name, the keys (NULL where a table
+    has none) and one number, text and amount of each."""
+    types = dict(x.split() for x in key_types.split(", "))
+    return union_all([df.select(
+        F.lit(t).alias("table_name"), *[(F.col(k) if k in df.columns else F.lit(None)).cast(types[k]).alias(k) for k in keys],
+        F.col(shown[t][0]).cast("bigint").alias("number"), F.col(shown[t][1]).alias("text"), F.col(shown[t][2]).alias("amount"))
+        for t, df in tables.items()])
+
+
+# --- M2 over several linked collections -----------------------------------------------
+
+@register("migrate_collections", f"""
+SELECT 'customers' AS table_name, c_custkey AS id, CAST(NULL AS INTEGER) AS lines_pos, CAST(c_nationkey AS BIGINT) AS number,
+       CAST(NULL AS VARCHAR) AS text, CAST(NULL AS DOUBLE) AS amount FROM customer
+UNION ALL SELECT 'profile', c_custkey, NULL, CAST(NULL AS BIGINT), c_name, c_acctbal FROM customer
+UNION ALL SELECT 'orders', o_orderkey, NULL, o_custkey, o_orderstatus, o_totalprice FROM orders
+UNION ALL SELECT 'lines', l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(D.LINE_FIELDS)}) - 1 AS INTEGER),
+       l_partkey, l_returnflag, l_extendedprice FROM {_LINES_OF_ORDERS}""")
+def q_migrate_collections(spark, sf_dir):
+    # Customers and orders with their lines, two collections linked by the
+    # customer's key, into one folder: root and child tables of both.
+    t = _tables(spark, sf_dir, ["customer", "orders", "lineitem"])
+    out = scratch_path(spark, "linked-collections")
+    done = MG.migrate_collections(
+        {"orders": D.order_documents(t["orders"], t["lineitem"]), "customers": D.customer_documents(t["customer"])}, MG.PathTarget(out),
+        keys={"orders": "o_orderkey", "customers": "c_custkey"}, edges=[("orders", "o_custkey", "customers", "c_custkey")],
+        renames={"orders": {"o_orderkey": "id", "o_custkey": "customer"}, "customers": {"c_custkey": "id"}, "lines": {"o_orderkey": "id"}, "profile": {"c_custkey": "id"}},
+        orders={"orders": ["o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"]}, embedded_links=True, materialize=True)
+    back = {name: spark.read.parquet(f"{out}/{name}") for name in done}
+    none = F.lit(None)
+    back["customers"] = back["customers"].select("id", "c_nationkey", none.cast("string").alias("none"), none.cast("double").alias("nothing"))
+    back["profile"] = back["profile"].select("id", none.cast("bigint").alias("none"), "c_name", "c_acctbal")
+    shown = {"customers": ["c_nationkey", "none", "nothing"], "profile": ["none", "c_name", "c_acctbal"],
+             "orders": ["customer", "o_orderstatus", "o_totalprice"], "lines": ["l_partkey", "l_returnflag", "l_extendedprice"]}
+    return _long_form(back, ["id", "lines_pos"], shown, "id bigint, lines_pos int")
+
+
+# --- R8: orphan rows of a large child ------------------------------------------------------
+
+@register("orphan_lines", """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_extendedprice FROM lineitem l
+WHERE l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> 'F')""")
+def q_orphan_lines(spark, sf_dir):
+    # Lines whose order is not among those that are still open.
+    t = _tables(spark, sf_dir, ["orders", "lineitem"])
+    open_orders = t["orders"].where("o_orderstatus <> 'F'")
+    return RL.check_foreign_keys(t["lineitem"], open_orders, "l_orderkey", "o_orderkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
+# --- M3 over a Spark catalog, verified on the rows ----------------------------------------
+
+M3_TABLES = {"customer": TABLE_COLUMNS["customer"], "orders": TABLE_COLUMNS["orders"], "lineitem": TABLE_COLUMNS["lineitem"], "open_orders": TABLE_COLUMNS["orders"]}
+M3_KEYS = {"customer": ("c_custkey",), "orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_linenumber"), "open_orders": ("o_orderpriority", "o_custkey")}
+M3_LINKS = [("orders", ("o_custkey",), "customer", ("c_custkey",)), ("lineitem", ("l_orderkey",), "open_orders", ("o_orderkey",)),
+            ("orders", ("o_orderkey", "o_orderstatus"), "open_orders", ("o_orderkey", "o_orderstatus"))]
+_OPEN_ORDERS_SQL = "(SELECT * FROM orders WHERE o_orderstatus <> 'F')"
+
+
+def _m3_sql() -> str:
+    source = lambda t: _OPEN_ORDERS_SQL if t == "open_orders" else t
+    rows, ctes = [], []
+    for t, cols in M3_TABLES.items():
+        key = ", ".join(M3_KEYS[t])
+        ctes.append(f"key_{t} AS (SELECT count(*) AS n_rows, count(*) FILTER ({' OR '.join(f'{c} IS NULL' for c in M3_KEYS[t])}) AS key_nulls, "
+                    f"count(*) - count(DISTINCT ({key})) AS key_duplicates FROM {source(t)})")
+    for i, (ft, ff, tt, tf) in enumerate(M3_LINKS):
+        same = " AND ".join(f"c.{a} = p.{b}" for a, b in zip(ff, tf, strict=True))
+        ctes.append(f"link_{i} AS (SELECT count(*) FILTER ({' OR '.join(f'c.{a} IS NULL' for a in ff)}) AS ref_nulls, "
+                    f"count(*) FILTER ({' AND '.join(f'c.{a} IS NOT NULL' for a in ff)} AND p.{tf[0]} IS NULL) AS ref_orphans, "
+                    f"(SELECT count(*) - count(DISTINCT ({', '.join(tf)})) FROM {source(tt)}) AS ref_duplicates "
+                    f"FROM {source(ft)} c LEFT JOIN (SELECT DISTINCT {', '.join(tf)} FROM {source(tt)}) p ON {same})")
+    for t, cols in M3_TABLES.items():
+        for c in cols:
+            links = [(f"link_{i}", tt, tf[ff.index(c)]) for i, (ft, ff, tt, tf) in enumerate(M3_LINKS) if ft == t and c in ff] or [(None, None, None)]
+            for link, tt, tf in links:
+                key = "[" + ", ".join(f"'{k}'" for k in M3_KEYS[t]) + "]"
+                counts = ", ".join((f"{link}.{x}" if link else "CAST(NULL AS BIGINT)") + f" AS {x}" for x in ("ref_nulls", "ref_orphans", "ref_duplicates"))
+                rows.append(f"SELECT '{t}' AS table_name, CAST({cols.index(c) + 1} AS INTEGER) AS position, '{c}' AS field_name, "
+                            f"CASE (SELECT any_value(data_type) FROM information_schema.columns WHERE table_name = '{'orders' if t == 'open_orders' else t}' AND column_name = '{c}') "
+                            "WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS field_type, "
+                            f"'1' AS nullable, {key} AS primary_key, '{M3_KEYS[t][-1]}' AS primary_key_last, "
+                            f"{f"'{tt}'" if tt else 'CAST(NULL AS VARCHAR)'} AS ref_table, {f"'{tf}'" if tf else 'CAST(NULL AS VARCHAR)'} AS ref_field, "
+                            f"key_{t}.n_rows, key_{t}.key_nulls, key_{t}.key_duplicates, {counts} FROM key_{t}" + (f", {link}" if link else ""))
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(rows)
+
+
+@register("profile_tables", _m3_sql())
 def q_profile_tables(spark, sf_dir):
-    # The tables are written into a fresh catalog database stored under the
-    # shared checkpoint folder, with their key and link, then profiled from
-    # catalog metadata alone (M3).
-    t = _tables(spark, sf_dir, ["region", "nation"])
-    db = MG.write_catalog_tables(
-        t, MG.CatalogTarget("tessera_m3", location=scratch_path(spark, "m3-db")),
-        {"region": "r_regionkey", "nation": "n_nationkey"},
-        [("nation", "n_regionkey", "region", "r_regionkey")])
-    return PR.profile_catalog_tables(spark, db)
+    # Tables in a fresh catalog database under the shared checkpoint folder,
+    # with keys and links declared, composite ones too, of which some do not
+    # hold: the profile says on how many rows.
+    t = _tables(spark, sf_dir, ["customer", "orders", "lineitem"])
+    t["open_orders"] = t["orders"].where("o_orderstatus <> 'F'")
+    db = MG.write_catalog_tables({n: t[n] for n in M3_TABLES}, MG.CatalogTarget("tessera_m3", location=scratch_path(spark, "m3-db")), M3_KEYS, M3_LINKS)
+    return PR.profile_catalog_tables(spark, db, list(M3_TABLES), verify=True)

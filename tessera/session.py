@@ -12,7 +12,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
@@ -76,6 +76,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tessera-tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and read it back: cuts the lineage
+    and fixes a result that several jobs read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the tables this application wrote with ``scratch_path``. For
     the end of a job: results that still read them must be stored first."""

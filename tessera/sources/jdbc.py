@@ -10,7 +10,9 @@ those statements carry names, never rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import datetime
+import math
+from collections.abc import Callable, Iterable, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,16 +23,47 @@ from tessera import fixed as FX
 from tessera.operators.common import qcol
 
 
+Quote = Callable[[str], str]
+
+
 def quote(name: str) -> str:
     """ANSI identifier quoting (keeps the case of names)."""
     return '"' + name.replace('"', '""') + '"'
 
 
-def qualified(table: str, schema: str | None = None) -> str:
+def qualified(table: str, schema: str | None = None, quote: Quote = quote) -> str:
     """``"schema"."table"`` (or just ``"table"``)."""
     return f"{quote(schema)}.{quote(table)}" if schema else quote(table)
 
 
+def _dialect(spark: SparkSession, url: str):
+    return spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+
+
+def quoter(spark: SparkSession, url: str) -> Quote:
+    """How the database behind ``url`` quotes identifiers, by Spark's dialect
+    for it; no connection is made."""
+    dialect = _dialect(spark, url)
+    return lambda name: dialect.quoteIdentifier(name)
+
+
+def type_namer(spark: SparkSession, url: str) -> Callable[[T.DataType], str]:
+    """The column type of the database behind ``url`` for a Spark type, by
+    Spark's dialect for it (nested types as text)."""
+    jvm, dialect = spark.sparkContext._jvm, _dialect(spark, url)
+
+    def name(dt: T.DataType) -> str:
+        if isinstance(dt, (T.StructType, T.ArrayType, T.MapType)):
+            dt = T.StringType()
+        own = jvm.org.apache.spark.sql.types.DataType.fromJson(dt.json())
+        for found in (dialect.getJDBCType(own), jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.getCommonJDBCType(own)):
+            if found.isDefined():
+                return found.get().databaseTypeDefinition()
+        raise ValueError(f"no column type for {dt.simpleString()} at {url.split(':')[1]}")
+
+    return name
+
+
 @contextmanager
 def connection(spark: SparkSession, url: str, properties: Mapping[str, str] | None = None):
     """A driver-side JDBC connection for metadata and DDL only."""
@@ -61,31 +94,44 @@ def execute_ddl(spark: SparkSession, url: str, statements: Iterable[str],
 # --- reads (S3) -------------------------------------------------------------------
 
 def read_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
-               num_partitions: int | None = None, lower_bound: int | None = None,
-               upper_bound: int | None = None, properties: Mapping[str, str] | None = None,
+               num_partitions: int | None = None, lower_bound: int | str | None = None,
+               upper_bound: int | str | None = None, properties: Mapping[str, str] | None = None,
                quoted: bool = True, fetchsize: int = 10000, schema: str | None = None) -> DataFrame:
     """S3: a whole table as a DataFrame.
 
     With ``partition_column`` the read is split into ``num_partitions``
-    range queries run by the executors in parallel; missing bounds are
-    fetched with one ``min/max`` query (a single row). Without it the table
+    range queries run by the executors in parallel; missing bounds (of
+    numbers, dates or times) are fetched with one ``min/max`` query (a single
+    row). Without it the table
     is read by one task, which only suits small tables.
     """
     props = dict(properties or {})
     props.setdefault("fetchsize", str(fetchsize))
-    name = qualified(table, schema) if quoted else table
+    q = quoter(spark, url)
+    name = qualified(table, schema, q) if quoted else table
     if partition_column is None:
         return spark.read.jdbc(url, name, properties=props)
-    pc = quote(partition_column) if quoted else partition_column
+    pc = q(partition_column) if quoted else partition_column
     if lower_bound is None or upper_bound is None:
         b = (spark.read.format("jdbc").option("url", url)
              .option("query", f"SELECT MIN({pc}) AS lo, MAX({pc}) AS hi FROM {name}")
              .options(**props).load().first())
-        lower_bound = int(b[0]) if b[0] is not None else 0
-        upper_bound = int(b[1]) if b[1] is not None else 0
+        if b[0] is None or b[1] is None:  # no value to split by
+            return spark.read.jdbc(url, name, properties=props)
+        lower_bound, upper_bound = (_bound(b[0], 0) if lower_bound is None else lower_bound,
+                                    _bound(b[1], 1) if upper_bound is None else upper_bound)
     n = num_partitions or spark.sparkContext.defaultParallelism
-    return spark.read.jdbc(url, name, column=pc, lowerBound=lower_bound,
-                           upperBound=upper_bound + 1, numPartitions=n, properties=props)
+    return (spark.read.format("jdbc").options(**props)
+            .options(url=url, dbtable=name, partitionColumn=pc, lowerBound=str(lower_bound),
+                     upperBound=str(upper_bound), numPartitions=str(n)).load())
+
+
+def _bound(value, past: int) -> int | str:
+    """A bound as the JDBC source takes it: numbers whole, dates and times as
+    text. Bounds only shape the ranges; rows beyond them are read too."""
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        return str(value)
+    return math.floor(value) + past
 
 
 def read_query(spark: SparkSession, url: str, query: str,
@@ -104,14 +150,23 @@ def _rows(rs, cols):
     return out
 
 
+def _pattern(name: str, escape: str) -> str:
+    """A table name as a metadata pattern that fits it alone."""
+    for c in (escape, "_", "%"):
+        if c:
+            name = name.replace(c, escape + c)
+    return name
+
+
 def list_tables(spark: SparkSession, url: str, schema: str | None = None,
                 properties: Mapping[str, str] | None = None) -> DataFrame:
-    """``table_name`` of every base table."""
+    """``table_name`` of every base table of the connected database (the
+    connection's catalog), in ``schema`` if given."""
     sc = spark.sparkContext
     kinds = sc._gateway.new_array(sc._jvm.java.lang.String, 1)
     kinds[0] = "TABLE"
     with connection(spark, url, properties) as conn:
-        rs = conn.getMetaData().getTables(None, schema, "%", kinds)
+        rs = conn.getMetaData().getTables(conn.getCatalog(), schema, "%", kinds)
         rows = _rows(rs, [("TABLE_NAME", "s")])
     return spark.createDataFrame(rows, "table_name string")
 
@@ -121,12 +176,15 @@ def table_columns(spark: SparkSession, url: str, tables: Iterable[str] | None =
     """``table_name, position, field_name, field_type, size, nullable``;
     ``nullable`` is the JDBC code as text (0 no, 1 yes, 2 unknown), as the
     reference reports it."""
-    wanted = None if tables is None else set(tables)
     with connection(spark, url, properties) as conn:
-        rs = conn.getMetaData().getColumns(None, schema, "%", "%")
-        rows = _rows(rs, [("TABLE_NAME", "s"), ("ORDINAL_POSITION", "i"), ("COLUMN_NAME", "s"),
-                          ("TYPE_NAME", "s"), ("COLUMN_SIZE", "i"), ("NULLABLE", "s")])
-    rows = [r for r in rows if wanted is None or r[0] in wanted]
+        tables = None if tables is None else list(tables)
+        md = conn.getMetaData()
+        names = [_pattern(t, md.getSearchStringEscape()) for t in tables] if tables is not None else ["%"]
+        found = [r for name in names for r in _rows(md.getColumns(conn.getCatalog(), schema, name, "%"), [
+            ("TABLE_NAME", "s"), ("ORDINAL_POSITION", "i"), ("COLUMN_NAME", "s"),
+            ("TYPE_NAME", "s"), ("COLUMN_SIZE", "i"), ("NULLABLE", "s")])]
+    wanted = None if tables is None else set(tables)  # some drivers have no escape
+    rows = list(dict.fromkeys(r for r in found if wanted is None or r[0] in wanted))
     return spark.createDataFrame(
         rows, "table_name string, position int, field_name string, field_type string, "
               "size int, nullable string")
@@ -142,7 +200,7 @@ def declared_primary_keys(spark: SparkSession, url: str, tables: Iterable[str],
     with connection(spark, url, properties) as conn:
         md = conn.getMetaData()
         for t in tables:
-            rows += _rows(md.getPrimaryKeys(None, schema, t),
+            rows += _rows(md.getPrimaryKeys(conn.getCatalog(), schema, t),
                           [("TABLE_NAME", "s"), ("COLUMN_NAME", "s"), ("KEY_SEQ", "i")])
     df = spark.createDataFrame(rows, "table_name string, column_name string, key_seq int")
     return (df.groupBy("table_name")
@@ -151,24 +209,49 @@ def declared_primary_keys(spark: SparkSession, url: str, tables: Iterable[str],
             .select("table_name", "primary_key", F.element_at("primary_key", -1).alias("last_key")))
 
 
-def declared_foreign_keys(spark: SparkSession, url: str, tables: Iterable[str],
-                          schema: str | None = None,
-                          properties: Mapping[str, str] | None = None) -> DataFrame:
-    """``from_table, from_field, to_table, to_field`` of declared keys."""
-    rows = []
+def declared_links(spark: SparkSession, url: str, tables: Iterable[str], schema: str | None = None,
+                   properties: Mapping[str, str] | None = None) -> list[tuple[str, tuple[str, ...], str, tuple[str, ...]]]:
+    """The declared foreign keys, each with all its fields in order:
+    ``(from_table, from_fields, to_table, to_fields)``."""
+    out = []
     with connection(spark, url, properties) as conn:
         md = conn.getMetaData()
         for t in tables:
-            rows += _rows(md.getImportedKeys(None, schema, t),
-                          [("FKTABLE_NAME", "s"), ("FKCOLUMN_NAME", "s"),
-                           ("PKTABLE_NAME", "s"), ("PKCOLUMN_NAME", "s")])
+            rows = _rows(md.getImportedKeys(conn.getCatalog(), schema, t),
+                         [("KEY_SEQ", "i"), ("FK_NAME", "s"), ("FKTABLE_NAME", "s"), ("FKCOLUMN_NAME", "s"),
+                          ("PKTABLE_NAME", "s"), ("PKCOLUMN_NAME", "s")])
+            keys: list[list[tuple]] = []
+            for seq, name, *ends in rows:  # by key, then by field
+                same = [k for k in keys if name is not None and k[0][1] == name and k[0][4] == ends[2]]
+                if same and seq > 1:
+                    same[0].append((seq, name, *ends))
+                elif seq > 1 and name is None and keys:
+                    keys[-1].append((seq, name, *ends))
+                else:
+                    keys.append([(seq, name, *ends)])
+            for k in keys:
+                k.sort()
+                out.append((k[0][2], tuple(x[3] for x in k), k[0][4], tuple(x[5] for x in k)))
+    return out
+
+
+def declared_foreign_keys(spark: SparkSession, url: str, tables: Iterable[str],
+                          schema: str | None = None,
+                          properties: Mapping[str, str] | None = None) -> DataFrame:
+    """``from_table, from_field, to_table, to_field`` of declared keys,
+    one row per field."""
+    rows = [(ft, a, tt, b) for ft, ff, tt, tf in declared_links(spark, url, tables, schema, properties) for a, b in zip(ff, tf, strict=True)]
     return spark.createDataFrame(
         rows, "from_table string, from_field string, to_table string, to_field string")
 
 
 # --- writes (S8, S11, S14, F12) ---------------------------------------------------
 
-def sql_type(dt: T.DataType, text_type: str = "VARCHAR(32672)") -> str:
+#: A type for texts of any length.
+TEXT_TYPE = "CLOB"
+
+
+def sql_type(dt: T.DataType, text_type: str = TEXT_TYPE) -> str:
     """A portable SQL type for a Spark type (nested types as text)."""
     if isinstance(dt, T.StringType):
         return text_type
@@ -191,10 +274,11 @@ def sql_type(dt: T.DataType, text_type: str = "VARCHAR(32672)") -> str:
     return text_type
 
 
-def target_column_types(df: DataFrame, primary_key: str | None = None,
-                        fk_columns: Iterable[str] = (), text_type: str = "VARCHAR(32672)",
+def target_column_types(df: DataFrame, primary_key: str | Iterable[str] | None = None,
+                        fk_columns: Iterable[str] = (), text_type: str = TEXT_TYPE,
                         key_type: str = FX.KEY_COLUMN_TYPE,
-                        object_ids: Iterable[str] = ()) -> dict[str, str]:
+                        object_ids: Iterable[str] = (),
+                        type_of: Callable[[T.DataType], str] | None = None) -> dict[str, str]:
     """the SQL type of every column of a target table.
 
     ObjectId columns (``object_ids``, text after N5) -> ``key_type``;
@@ -205,38 +289,45 @@ def target_column_types(df: DataFrame, primary_key: str | None = None,
     all tables, and a string primary key becomes ``key_type`` instead of
     the invalid type name ``string``.
     """
-    fks = set(fk_columns)
+    fks = set(fk_columns) | set([primary_key] if isinstance(primary_key, str) else primary_key or ())
     oids = set(object_ids)
     out = {}
     for f in df.schema.fields:
         texty = isinstance(f.dataType, (T.StringType, T.StructType, T.ArrayType, T.MapType))
         if f.name in oids:
             out[f.name] = key_type
-        elif texty and (f.name == primary_key or f.name in fks):
+        elif texty and f.name in fks:
             out[f.name] = key_type
         elif texty:
             out[f.name] = text_type
         else:
-            out[f.name] = sql_type(f.dataType, text_type)
+            out[f.name] = type_of(f.dataType) if type_of else sql_type(f.dataType, text_type)
     return out
 
 
 def create_table_sql(table: str, columns: Mapping[str, str], primary_key: str | Iterable[str] | None = None,
-                     not_null: Iterable[str] = (), schema: str | None = None) -> str:
+                     not_null: Iterable[str] = (), schema: str | None = None, quote: Quote = quote) -> str:
     """``CREATE TABLE t (col type, ..., PRIMARY KEY (...))``."""
     pk = [primary_key] if isinstance(primary_key, str) else list(primary_key or [])
     nn = set(not_null) | set(pk)
     cols = [f"{quote(c)} {t}{' NOT NULL' if c in nn else ''}" for c, t in columns.items()]
     if pk:
         cols.append(f"PRIMARY KEY ({', '.join(quote(c) for c in pk)})")
-    return f"CREATE TABLE {qualified(table, schema)} ({', '.join(cols)})"
+    return f"CREATE TABLE {qualified(table, schema, quote)} ({', '.join(cols)})"
 
 
-def foreign_key_sql(from_table: str, from_field: str, to_table: str, to_field: str,
-                    schema: str | None = None) -> str:
+def foreign_key_sql(from_table: str, from_field: str | Iterable[str], to_table: str, to_field: str | Iterable[str],
+                    schema: str | None = None, quote: Quote = quote) -> str:
     """R8 as DDL: ``ALTER TABLE ... ADD FOREIGN KEY ... REFERENCES ...``."""
-    return (f"ALTER TABLE {qualified(from_table, schema)} ADD FOREIGN KEY ({quote(from_field)}) "
-            f"REFERENCES {qualified(to_table, schema)} ({quote(to_field)})")
+    ends = [", ".join(quote(x) for x in ([f] if isinstance(f, str) else f)) for f in (from_field, to_field)]
+    return (f"ALTER TABLE {qualified(from_table, schema, quote)} ADD FOREIGN KEY ({ends[0]}) "
+            f"REFERENCES {qualified(to_table, schema, quote)} ({ends[1]})")
+
+
+def unique_sql(table: str, fields: Iterable[str], schema: str | None = None, quote: Quote = quote) -> str:
+    """``ALTER TABLE ... ADD UNIQUE (...)``: what a foreign key may refer to
+    besides a primary key."""
+    return f"ALTER TABLE {qualified(table, schema, quote)} ADD UNIQUE ({', '.join(quote(f) for f in fields)})"
 
 
 def to_writable(df: DataFrame) -> DataFrame:
@@ -262,16 +353,17 @@ def write_table(df: DataFrame, url: str, table: str, primary_key: str | Iterable
     shuffle). A failing statement raises instead of being swallowed.
     """
     out = to_writable(df)
+    q, type_of = quoter(df.sparkSession, url), type_namer(df.sparkSession, url)
     if create:
-        types = dict(column_types or target_column_types(out, primary_key if isinstance(primary_key, str) else None))
-        execute_ddl(df.sparkSession, url, [create_table_sql(table, types, primary_key, schema=schema)],
+        types = dict(column_types or target_column_types(out, primary_key, text_type=type_of(T.StringType()), type_of=type_of))
+        execute_ddl(df.sparkSession, url, [create_table_sql(table, types, primary_key, schema=schema, quote=q)],
                     properties)
     if num_partitions is not None and out.rdd.getNumPartitions() > num_partitions:
         out = out.coalesce(num_partitions)
     props = dict(properties or {})
     props["batchsize"] = str(batchsize)
     props["isolationLevel"] = isolation
-    out.write.jdbc(url, qualified(table, schema), mode="append", properties=props)
+    out.write.jdbc(url, qualified(table, schema, q), mode="append", properties=props)
 
 
 def free_database_name(spark: SparkSession, base: str) -> str:
@@ -315,5 +407,5 @@ def create_schema(spark: SparkSession, url: str, base: str, keyword: str = "SCHE
     """Create a fresh schema (``keyword="DATABASE"`` for MySQL) and
     return its name."""
     name = free_schema_name(spark, url, base, properties)
-    execute_ddl(spark, url, [f"CREATE {keyword} {quote(name)}"], properties)
+    execute_ddl(spark, url, [f"CREATE {keyword} {quoter(spark, url)(name)}"], properties)
     return name
