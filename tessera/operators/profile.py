@@ -9,7 +9,9 @@ costs one row per task before the shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,18 +59,63 @@ def _as_exprs(df: DataFrame, columns) -> dict[str, Column]:
     return {c: qcol(c) for c in columns}
 
 
-# Below this estimated size one pass for all columns beats one stage per
-# column: per-stage overhead dominates the per-row hashing.
-SMALL_TABLE_BYTES = 1 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (what it uses for broadcast
-    decisions); None when it is not available."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_SLOTS = "l bigint, d double, s string"
+
+
+def _slots(c: Column, dt: T.DataType) -> Column | None:
+    """A value as one of a number, a float or a text, equal where the values
+    are; None for types (structs, arrays, ...) that no slot holds exactly."""
+    slot, value = None, c
+    if isinstance(dt, _WHOLE):
+        slot = "l"
+    elif isinstance(dt, T.BooleanType):
+        slot, value = "l", c.cast("int")
+    elif isinstance(dt, T.DateType):
+        slot, value = "l", F.unix_date(c)
+    elif isinstance(dt, T.TimestampType):
+        slot, value = "l", F.unix_micros(c)
+    elif isinstance(dt, (T.FloatType, T.DoubleType)):
+        slot, value = "d", c.cast("double") + F.lit(0.0)  # one zero
+    elif isinstance(dt, T.StringType):
+        slot = "s"
+    elif isinstance(dt, (T.DecimalType, T.TimestampNTZType)):
+        slot, value = "s", c.cast("string")
+    elif isinstance(dt, T.BinaryType):
+        slot, value = "s", F.hex(c)
+    if slot is None:
         return None
+    return F.struct(*[(value if n == slot else F.lit(None)).cast(t).alias(n) for n, t in (x.split() for x in _SLOTS.split(", "))])
+
+
+def is_columnar(df: DataFrame) -> bool:
+    """Whether ``df`` reads columnar files and only picks rows and columns of
+    them, so that a scan reads no more than the columns it is asked for."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    steps = [line.lstrip(" +-:").split(" ", 1) for line in plan.splitlines() if line.strip()]
+    return all(x[0] in ("Project", "Filter") or (x[0] == "Relation" and x[-1].rstrip().endswith(("parquet", "orc"))) for x in steps)
+
+
+def _long_counts(tables: dict[str, tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """``t, column_name, n_rows, n_distinct, n_null`` of columns that have
+    slots, one scan per table and one exchange of values for all tables: each
+    row yields ``(column, value)`` pairs, which are counted per value in each
+    task, then per value, then per column."""
+    named, frames = [], []
+    for t, (df, exprs) in tables.items():
+        types = df.select(*[e.alias(f"c{i}") for i, e in enumerate(exprs.values())]).schema
+        pairs = []
+        for (name, e), f in zip(exprs.items(), types.fields, strict=True):
+            pairs.append(F.struct(F.lit(len(named)).alias("ci"), _slots(e, f.dataType).alias("v")))
+            named.append((len(named), t, name))
+        frames.append(df.select(F.explode(F.array(*pairs)).alias("x")).select("x.ci", "x.v.*"))
+    spark = frames[0].sparkSession
+    given = F.col("l").isNotNull() | F.col("d").isNotNull() | F.col("s").isNotNull()
+    counts = (union_all(frames).groupBy("ci", "l", "d", "s").agg(F.count(F.lit(1)).alias("n"))
+              .groupBy("ci").agg(F.sum("n").alias("n_rows"), F.count(F.when(given, 1)).alias("n_distinct"),
+                                 F.sum(F.when(~given, F.col("n"))).alias("n_null")))
+    return (spark.createDataFrame(named, "ci int, t string, column_name string").join(counts, "ci", "left")
+            .select("t", "column_name", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_rows", "n_distinct", "n_null")]))
 
 
 def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] | None = None,
@@ -80,27 +127,33 @@ def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] |
     caller apply either null rule. ``columns`` may map output names to
     expressions (nested paths).
 
-    ``strategy="per_column"`` (default) gives every column its own
-    single-distinct aggregate and unions them: each branch scans only its
-    column (Parquet/ORC column pruning) and hashes one narrow key, and the
-    branches run as parallel stages of one job. ``"expand"`` computes all
-    columns in one pass per ``batch`` columns (Spark's Expand rewrite of
-    several ``count(DISTINCT)``): one scan instead of one per column, which
-    suits row-format sources (JSON, JDBC) where every scan reads everything.
-    ``"auto"`` (default) uses ``expand`` for inputs estimated below
-    ``SMALL_TABLE_BYTES`` and ``per_column`` otherwise, so at scale every
-    table takes the per-column path.
+    ``strategy="per_column"`` gives every column its own single-distinct
+    aggregate and unions them: each branch scans only its column (Parquet/ORC
+    column pruning) and hashes one narrow key, and the branches run as
+    parallel stages of one job. ``"long"`` scans once: rows become (column,
+    value) pairs, counted per value in each task; it suits sources where every
+    scan reads or computes everything (JSON, JDBC, joins, groupings).
+    ``"expand"`` leaves all columns of a ``batch`` to one aggregate with
+    several ``count(DISTINCT)``. ``"auto"`` (default) is ``per_column`` for
+    columnar files and ``long`` for any other source; columns of nested types
+    are always counted per column.
     """
     exprs = _as_exprs(df, columns)
     names = list(exprs)
     if not names:
         raise ValueError("no column to count")
     if strategy == "auto":
-        size = estimated_bytes(df)
-        strategy = "expand" if size is not None and size < SMALL_TABLE_BYTES else "per_column"
-    if strategy == "per_column":
-        parts = []
-        for name in names:
+        strategy = "per_column" if is_columnar(df) else "long"
+    own = names
+    parts = []
+    if strategy == "long":
+        types = df.select(*[exprs[n].alias(f"c{i}") for i, n in enumerate(names)]).schema
+        slotted = [n for n, f in zip(names, types.fields, strict=True) if _slots(F.lit(None), f.dataType) is not None]
+        own = [n for n in names if n not in slotted]
+        if slotted:
+            parts.append(_long_counts({"": (df, {n: exprs[n] for n in slotted})}).drop("t"))
+    if strategy in ("per_column", "long"):
+        for name in own:
             e = exprs[name]
             parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"),
                                 F.count_distinct(e).alias("n_distinct"),
@@ -108,7 +161,6 @@ def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] |
                          .select(F.lit(name).alias("column_name"), "n_rows", "n_distinct", "n_null"))
         out = union_all(parts)
     elif strategy == "expand":
-        parts = []
         for group in chunks(names, batch):
             aggs = [F.count(F.lit(1)).alias("__n")]
             for i, name in enumerate(group):
@@ -125,7 +177,7 @@ def distinct_counts(df: DataFrame, columns: Iterable[str] | dict[str, Column] |
                          .select("r.column_name", "n_rows", "r.n_distinct", "r.n_null"))
         out = union_all(parts)
     else:
-        raise ValueError("strategy must be 'per_column' or 'expand'")
+        raise ValueError("strategy must be 'auto', 'per_column', 'long' or 'expand'")
     if table_name is not None:
         out = out.select(F.lit(table_name).alias("table_name"), *out.columns)
     return out
@@ -141,34 +193,102 @@ def _unique_test(nulls: str) -> Column:
     return (F.col("n_distinct") + F.when(F.col("n_null") > 0, 1).otherwise(0)) == F.col("n_rows")
 
 
-def approx_candidates(df: DataFrame, columns: list[str], nulls: str = "ignore",
-                      rsd: float = 0.01) -> list[str]:
-    """Rule columns out with one HyperLogLog pass before the exact count.
+#: Slices of values in which repetition is looked for, one after the other:
+#: what repeats often is found in a small one.
+SLICES = (64, 8)
 
-    A column is dropped only when its estimate is far below the row count
-    (more than 10x the relative standard deviation) or it holds NULLs the
-    rule cannot accept; borderline columns always go to the exact test.
-    The action returns one row whose size is bounded by the column count.
-    """
-    if not columns:
-        return []
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(columns):
-        aggs.append(F.approx_count_distinct(qcol(c), rsd).alias(f"__a{i}"))
-        aggs.append(F.sum(F.when(qcol(c).isNull(), 1).otherwise(0)).alias(f"__z{i}"))
-    row = df.agg(*aggs).first()
-    n = row["__n"]
-    keep = []
-    for i, c in enumerate(columns):
-        nulls_seen = row[f"__z{i}"] or 0
-        if nulls == "ignore" and nulls_seen > 0:
-            continue
-        if nulls == "group" and nulls_seen > 1:
-            continue
-        if row[f"__a{i}"] < n * (1.0 - 10 * rsd):
+
+def _value_text(df: DataFrame, column: str) -> Column:
+    """A value's text, equal where the values are."""
+    dt = df.schema[column].dataType
+    slots = _slots(qcol(column), dt)
+    if slots is None:
+        return F.when(qcol(column).isNotNull(), F.to_json(F.struct(qcol(column)), {"ignoreNullFields": "false"}))
+    return F.coalesce(slots["l"].cast("string"), slots["d"].cast("string"), slots["s"])
+
+
+def _repeating(tables: dict[str, DataFrame], sets: list[tuple[str, tuple[str, ...]]], of: int) -> set[int]:
+    """Which column sets (as places in ``sets``; the first column of each is
+    the one to slice by) hold a combination twice in one slice of ``of``: the
+    rows where the first column's hash falls into it. Rows with the same
+    combination are in the same slice, so one found twice is a proof, and with
+    one slice of one the answer is exact. Combinations with a NULL are not
+    looked at. Each table is scanned once; only the slices are shuffled."""
+    frames = []
+    for t, df in tables.items():
+        own = [(i, cols) for i, (name, cols) in enumerate(sets) if name == t]
+        if not own:
             continue
-        keep.append(c)
-    return keep
+        used = list(dict.fromkeys(c for _, cols in own for c in cols))
+        texts = df.select(F.array(*[_value_text(df, c) for c in used]).alias("texts"))
+        by_first: dict[str, list] = {}
+        for i, cols in own:
+            by_first.setdefault(cols[0], []).append(F.struct(F.lit(i).alias("i"), F.array(*[F.lit(used.index(c)) for c in cols]).alias("at")))
+        wanted = [F.when(F.pmod(F.xxhash64(F.col("texts")[used.index(c)]), F.lit(of)) == 0, F.array(*some)) for c, some in by_first.items()]
+        picked = (texts.select("texts", F.explode(F.flatten(F.array_compact(F.array(*wanted)))).alias("x"))
+                  .select("x.i", F.transform("x.at", lambda j: F.col("texts")[j]).alias("v")))
+        frames.append(picked.where(~F.exists("v", lambda x: x.isNull())))
+    if not frames:
+        return set()
+    twice = union_all(frames).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i").distinct()
+    return {r["i"] for r in twice.collect()}
+
+
+def sliced_candidates(df: DataFrame, columns: list[str], of: int = SLICES[0]) -> list[str]:
+    """Rule columns out before the exact count: those with a value that occurs
+    twice in one slice of their values. Nothing is dropped on an estimate."""
+    gone = _repeating({"t": df}, [("t", (c,)) for c in columns], of)
+    return [c for i, c in enumerate(columns) if i not in gone]
+
+
+def unique_column_sets(tables: dict[str, DataFrame], max_size: int = 2, slices: Iterable[int] = SLICES) -> DataFrame:
+    """A3 for combinations: ``table_name, columns, n_rows`` of every smallest
+    set of up to ``max_size`` columns whose values, taken together, differ in
+    all rows (composite key candidates). Columns are in schema order; a set
+    that contains another one found is left out; a column with a NULL is in no
+    set (rule ``ignore``).
+
+    Level by level, all tables together. From the distinct counts of the
+    columns, a set is a candidate if no smaller unique set lies in it and the
+    product of its columns' counts reaches the row count. Candidates that
+    repeat within a slice of the values of their most varied column are
+    dropped, first in a small slice, then in a larger one; the rest, near
+    keys, are tested on all rows. A table whose rows repeat over all its
+    columns has no set, and is left after level one. The number of candidates
+    grows with the columns to the power of ``max_size``, not with the data.
+    """
+    counts: dict[str, dict[str, int]] = {t: {} for t in tables}
+    n_rows: dict[str, int] = {}
+    for r in union_all([distinct_counts(df, table_name=t) for t, df in tables.items()]).collect():
+        n_rows[r["table_name"]] = r["n_rows"]
+        if r["n_null"] == 0:
+            counts[r["table_name"]][r["column_name"]] = r["n_distinct"]
+    found: dict[str, list[tuple[str, ...]]] = {}
+    left: dict[str, list[str]] = {}
+    for t, df in tables.items():
+        own = [c for c in df.columns if c in counts[t]]
+        found[t] = [(c,) for c in own if counts[t][c] == n_rows[t]]
+        left[t] = [c for c in own if 1 < counts[t][c] < n_rows[t]]
+
+    def varied(t: str, cols: Iterable[str]) -> tuple[str, ...]:
+        return tuple(sorted(cols, key=lambda c: -counts[t][c]))
+
+    slices = list(slices)
+    if max_size > 1 and slices:
+        whole = [(t, varied(t, cols)) for t, cols in left.items() if len(cols) > 1]
+        same = {whole[i][0] for i in _repeating(tables, whole, slices[0])}
+        left = {t: cols for t, cols in left.items() if t not in same}
+    for size in range(2, max_size + 1):
+        sets = [(t, some) for t, cols in left.items() for some in combinations(cols, size)
+                if math.prod(counts[t][c] for c in some) >= n_rows[t] and not any(set(u) <= set(some) for u in found[t])]
+        for of in [*slices, 1]:
+            gone = _repeating(tables, [(t, varied(t, some)) for t, some in sets], of)
+            sets = [x for i, x in enumerate(sets) if i not in gone]
+        for t, some in sets:
+            found[t].append(some)
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([(t, list(s), n_rows[t]) for t, some in found.items() for s in some],
+                                 "table_name string, columns array<string>, n_rows bigint")
 
 
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
@@ -244,9 +364,10 @@ def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
     the reference does for ``_id``; its ``n_distinct`` is then NULL.
     ``prune`` (default) first drops, exactly, the columns that cannot be
     unique by their NULL count or value range (``exact_candidates``).
-    ``prefilter=True`` adds one HyperLogLog pass that skips the exact count
-    for columns that clearly repeat; it pays off on wide tables with many
-    high-cardinality non-key columns, not on narrow ones.
+    ``prefilter=True`` adds one pass that skips the exact count for columns
+    with a value that occurs twice in a slice of their values; it pays off on
+    wide tables with many high-cardinality non-key columns, not on narrow
+    ones.
     """
     _unique_test(nulls)
     cand = list(columns) if columns is not None else key_eligible_columns(df)
@@ -255,7 +376,7 @@ def unique_columns(df: DataFrame, table_name: str, nulls: str = "ignore",
     if prune:
         cand = exact_candidates(df, cand, nulls)
     if prefilter:
-        cand = approx_candidates(df, cand, nulls)
+        cand = sliced_candidates(df, cand)
     spark = df.sparkSession
     schema = "table_name string, column_name string, n_rows bigint, n_distinct bigint"
     parts = []

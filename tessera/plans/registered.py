@@ -8,6 +8,7 @@ from them) and returns a DataFrame whose column names equal the oracle's.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,6 +120,21 @@ def q_unique_columns(spark, sf_dir):
     return P.unique_columns_of(_tables(spark, sf_dir, KEY_TABLES))
 
 
+def _column_sets_sql(size: int) -> str:
+    """Every set of up to ``size`` columns whose combinations are as many as
+    the rows, without those that contain another one."""
+    rows = [f"SELECT '{t}' AS table_name, {list(some)} AS columns, count(*) AS n_rows, count(DISTINCT ({', '.join(some)})) AS n_distinct FROM {t}"
+            for t in KEY_TABLES for k in range(1, size + 1) for some in combinations(TABLE_COLUMNS[t], k)]
+    return ("WITH counted AS (" + "\nUNION ALL ".join(rows) + "), sets AS (SELECT * FROM counted WHERE n_rows = n_distinct)\n"
+            "SELECT table_name, columns, n_rows FROM sets a WHERE NOT EXISTS (SELECT 1 FROM sets b WHERE b.table_name = a.table_name "
+            "AND len(b.columns) < len(a.columns) AND list_has_all(a.columns, b.columns))")
+
+
+@register("unique_column_sets", _column_sets_sql(2))
+def q_unique_column_sets(spark, sf_dir):
+    return P.unique_column_sets({n: S.spread(t) for n, t in _tables(spark, sf_dir, KEY_TABLES).items()}, max_size=2)
+
+
 _NULLED_ORDERS_SQL = ("(SELECT *, nullif(o_orderkey, 0) AS o_orderkey_n, "
                       "nullif(nullif(o_orderkey, 0), 1) AS o_orderkey_nn FROM orders)")
 _NULLED_COLS = TABLE_COLUMNS["orders"] + ["o_orderkey_n", "o_orderkey_nn"]

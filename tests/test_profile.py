@@ -87,3 +87,47 @@ def test_row_counts(spark, tables):
     got = {r.table_name: r.n_rows for r in P.row_counts(tables).collect()}
     assert got["lineitem"] == tables["lineitem"].count()
     assert got["region"] == 5
+
+
+def test_smallest_unique_column_sets_match_a_full_search(spark):
+    from itertools import combinations
+    import random
+    rng = random.Random(4)
+    rows = [(rng.randint(0, 6), rng.choice("abcd"), rng.choice([0.0, -0.0, 1.5]), i // 3, rng.choice([None, 1]), 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d long, e int, f int")
+    rows = [(a, b, c + 0.0, d, e, f) for a, b, c, d, e, f in rows]
+    expected = set()
+    for k in range(1, 6):
+        for some in combinations(range(6), k):
+            if 4 not in some and len({tuple(r[i] for i in some) for r in rows}) == len(rows) and not any(set(u) <= set(some) for u in expected):
+                expected.add(some)
+    twice = df.unionByName(df)
+    got = {t: set() for t in ("t", "twice", "empty")}
+    for r in P.unique_column_sets({"t": df, "twice": twice}, max_size=5, slices=[2]).collect():
+        got[r.table_name].add(tuple("abcdef".index(c) for c in r.columns))
+    assert got["t"] == expected and not got["twice"]
+    assert P.unique_column_sets({"t": df}, max_size=5, slices=[]).count() == len(expected)
+
+
+def test_distinct_counts_by_every_strategy(spark):
+    df = spark.sql("""SELECT id % 3 AS i, cast(id % 4 AS string) AS s, if(id % 2 = 0, 0.0D, -0.0D) AS z, date_add(DATE'2020-01-01', cast(id % 5 AS int)) AS d,
+        timestamp_micros(id % 6) AS t, cast(id % 7 AS decimal(9,2)) AS n, cast(cast(id % 8 AS string) AS binary) AS b, id % 2 = 0 AS f,
+        nullif(id % 9, 0) AS g, named_struct('x', id % 10) AS st, cast(NULL AS int) AS nothing, cast('NaN' AS double) AS nan FROM range(1000)""")
+    by = {s: sorted(map(tuple, P.distinct_counts(df, strategy=s).collect())) for s in ("per_column", "long", "expand", "auto")}
+    assert by["per_column"] == by["long"] == by["expand"] == by["auto"]
+    assert P.distinct_counts(df.where("false"), strategy="long").where("n_rows + n_distinct + n_null > 0").count() == 0
+
+
+def test_one_scan_of_a_row_source(spark, tables, tmp_path):
+    tables["orders"].write.json(str(tmp_path / "o"))
+    source = spark.read.json(str(tmp_path / "o"))
+    assert not P.is_columnar(source) and P.is_columnar(tables["orders"].where("o_orderkey > 3").select("o_custkey"))
+    assert not P.is_columnar(tables["orders"].groupBy("o_custkey").count())
+    plan = P.distinct_counts(source)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_nothing_is_dropped_on_an_estimate(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 4999).alias("almost"), (F.col("id") % 5).alias("few"))
+    assert P.sliced_candidates(df, ["id", "almost", "few"], 1) == ["id"]
+    assert "id" in P.sliced_candidates(df, ["id", "almost", "few"])
