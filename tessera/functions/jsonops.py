@@ -1,19 +1,24 @@
 """JSON functions (J1-J6) over a JSON text column (or a struct column, which
-is turned into JSON text first), built on Spark's ``variant`` type.
-
-The recursive searches (J1, J2, J5) walk the JSON tree level by level with
-``explode``: each level replaces every object by its fields and every array
-by its elements, and passes leaves through unchanged. The number of levels
-is the deepest bracket nesting in the data, found first with one cheap
-aggregate over the text, so no document is cut short and the walk is a
-fixed, narrow plan (no shuffle, one scan of the input).
+is turned into JSON text first).
+
+The searches (J1, J2, J5) cut a document's text into tokens. In JSON a string
+before a colon is a field name and the token after the colon begins its value,
+at whatever depth; so the fields of a document, in its own order and with
+repeated names, are the neighbours of its colons. That needs no depth known
+beforehand, no pass over the data while the plan is built, and no shuffle: a
+document's hits are found in its own row.
+
+A text that is not JSON is a reject. The searches stop on one, unless the
+caller hands them an ``Observation``: then they leave it out and count it
+(``n_documents``, ``n_rejects``), and ``json_rejects`` returns the rejects
+themselves. A document with repeated names is not one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +30,10 @@ from tessera.operators.common import qcol
 _STRING_LITERAL = r'"(?:[^"\\]++|\\.)*+"'
 
 
+#: Strings, brackets, commas and colons, and everything between them.
+_TOKEN = _STRING_LITERAL + r"|[{}\[\]:,]|[^\s{}\[\]:,\"]++"
+
+
 def json_text(df: DataFrame, col: str) -> Column:
     """The column as JSON text (structs, maps and arrays go through to_json)."""
     dt = df.schema[col].dataType
@@ -70,104 +79,73 @@ def max_depth(df: DataFrame, col: str) -> int:
     return int(row["m"] or 0)
 
 
-def _children(v: Column, order: Column, key: Column, done: Column, emit=None) -> Column:
-    """One walk step for a node: its fields (objects), its elements (arrays)
-    or itself (leaves, and nodes already ``done``). Each entry is
-    ``struct<k, v, o, leaf, done>``; ``o`` is the path of positions, which
-    keeps document order. With ``emit(k, v)``, a container that satisfies
-    it is also kept itself, marked ``done`` so it is not walked again."""
-    as_obj = F.try_variant_get(v, "$", "map<string,variant>")
-    as_arr = F.try_variant_get(v, "$", "array<variant>")
-    no = F.lit(False)
-    obj = F.transform(F.map_entries(as_obj), lambda e, i: F.struct(
-        e["key"].alias("k"), e["value"].alias("v"),
-        F.concat(order, F.array(i)).alias("o"), no.alias("leaf"), no.alias("done")))
-    arr = F.transform(as_arr, lambda x, i: F.struct(
-        F.lit(None).cast("string").alias("k"), x.alias("v"),
-        F.concat(order, F.array(i)).alias("o"), no.alias("leaf"), no.alias("done")))
-    me = F.array(F.struct(key.alias("k"), v.alias("v"), order.alias("o"), F.lit(True).alias("leaf"),
-                          F.lit(True).alias("done")))
-    if emit is not None:
-        keep_me = F.when(emit(key, v), me).otherwise(F.array().cast(me_type()))
-        obj, arr = F.concat(obj, keep_me), F.concat(arr, keep_me)
-    return (F.when(done, me).when(as_obj.isNotNull(), obj).when(as_arr.isNotNull(), arr)
-            .otherwise(me))
-
-
-def me_type() -> str:
-    return "array<struct<k:string,v:variant,o:array<int>,leaf:boolean,done:boolean>>"
-
-
-def json_nodes(df: DataFrame, col: str, keep: Iterable[str] = (), depth: int | None = None,
-               root: Column | None = None, leaf_filter=None, marker: bool = False,
-               emit_containers=None) -> DataFrame:
-    """Every leaf of every document: ``<keep...>, k, v, o`` where ``k`` is the
-    field name (NULL for array elements and the root), ``v`` the leaf as
-    variant and ``o`` its position path (document order).
-
-    ``leaf_filter(k, v)`` (a Column predicate) drops unwanted leaves as soon
-    as they are found, so they are not carried through deeper levels. With
-    ``marker`` every document also yields one row with ``mk = true`` (and
-    NULL ``v``), so callers can keep documents that have no matching leaf
-    without a second pass over the input. ``emit_containers(k, v)`` also
-    returns the objects and arrays it accepts, next to their contents.
-    """
-    keep = list(keep)
-    if depth is None:
-        depth = max_depth(df, col)
-    v = root if root is not None else F.parse_json(json_text(df, col))
-    ks = [qcol(k) for k in keep]
-    start = F.struct(F.lit(None).cast("string").alias("k"), v.alias("v"),
-                     F.array().cast("array<int>").alias("o"), F.lit(False).alias("mk"),
-                     F.lit(False).alias("done"))
-    if marker:
-        mark = F.struct(F.lit(None).cast("string").alias("k"), F.lit(None).cast("variant").alias("v"),
-                        F.array().cast("array<int>").alias("o"), F.lit(True).alias("mk"),
-                        F.lit(True).alias("done"))
-        cur = df.select(*ks, F.explode(F.array(start, mark)).alias("s")).select(*ks, "s.*")
-    else:
-        cur = df.select(*ks, start.alias("s")).select(*ks, "s.*")
-    for _ in range(depth):
-        kids = _children(F.col("v"), F.col("o"), F.col("k"), F.col("done"), emit_containers)
-        cur = (cur.select(*ks, "mk", F.explode(kids).alias("n"))
-               .select(*ks, "n.k", "n.v", "n.o", "mk", "n.leaf", "n.done"))
-        if leaf_filter is not None:
-            cur = cur.where(~F.col("leaf") | F.col("mk") | leaf_filter(F.col("k"), F.col("v")))
-        cur = cur.drop("leaf")
-    out = cur.where(F.col("v").isNotNull() | F.col("mk")).drop("done")
-    if leaf_filter is not None:
-        out = out.where(F.col("mk") | leaf_filter(F.col("k"), F.col("v")))
-    if not marker:
-        out = out.drop("mk")
-    return out
-
-
-def _is_string(v: Column) -> Column:
-    return F.schema_of_variant(v) == F.lit("STRING")
+def json_valid(text: Column) -> Column:
+    """Whether a text is JSON (field names may repeat); NULL for NULL."""
+    return F.when(text.isNotNull(), F.get_json_object(text, "$").isNotNull())
+
+
+def json_rejects(df: DataFrame, col: str, keep: Iterable[str] = ()) -> DataFrame:
+    """The rows whose text is not JSON: ``<keep...>, text``."""
+    text = json_text(df, col)
+    return df.where(~json_valid(text)).select(*[qcol(k) for k in keep], text.alias("text"))
+
+
+def _string(token: Column) -> Column:
+    """The text that a string token stands for."""
+    plain = F.substr(token, F.lit(2), F.length(token) - 2)
+    escaped = F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")[0]
+    return F.when(F.instr(token, "\\") > 0, escaped).otherwise(plain)
+
+
+def _documents(df: DataFrame, col: str, keep: list[str], rejects: Observation | None) -> DataFrame:
+    """``<keep...>, __text``: the documents' JSON text, rewritten by the
+    parser in the documents' own order."""
+    text = json_text(df, col)
+    out = df.select(*[qcol(k) for k in keep], text.alias("__raw"), F.get_json_object(text, "$").alias("__text"))
+    bad = F.col("__raw").isNotNull() & F.col("__text").isNull()
+    if rejects is None:
+        stop = F.raise_error(F.concat(F.lit("not JSON: "), F.substr("__raw", F.lit(1), F.lit(200)))).cast("string")
+        return out.withColumn("__text", F.when(bad, stop).otherwise(F.col("__text")))
+    return out.observe(rejects, F.count(F.lit(1)).alias("n_documents"), F.count_if(bad).alias("n_rejects")).where(~bad)
+
+
+def _fields(docs: DataFrame, keep: list[str], text: Column) -> DataFrame:
+    """``<keep...>, __fields``: every field of a document at any depth, as
+    ``struct<k: name token, v: first token of the value>`` in document order."""
+    tokens = docs.select(*[qcol(k) for k in keep], F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)).alias("__tokens"))
+    at = lambda i, n: F.get("__tokens", i + n)
+    pairs = F.transform("__tokens", lambda t, i: F.when(at(i, 1) == ":", F.struct(t.alias("k"), at(i, 2).alias("v"))))
+    return tokens.select(*[qcol(k) for k in keep], F.array_compact(pairs).alias("__fields"))
+
+
+def _text_of(docs: DataFrame) -> Column:
+    """The text of documents that are objects or arrays."""
+    return F.when(~F.ltrim("__raw").startswith('"'), F.col("__text"))
 
 
 def json_find(df: DataFrame, col: str, key: str, keep: Iterable[str] = (),
-              depth: int | None = None) -> DataFrame:
+              rejects: Observation | None = None) -> DataFrame:
     """Every string value stored under object field ``key`` at any depth:
     ``<keep...>, value`` (one row per occurrence, in document order within a
     document). Values of other types and array elements are skipped."""
     keep = list(keep)
-    nodes = json_nodes(df, col, keep, depth,
-                       leaf_filter=lambda k, v: (k == F.lit(key)) & _is_string(v))
-    return (nodes
-            .select(*[qcol(k) for k in keep], F.variant_get("v", "$", "string").alias("value")))
+    docs = _documents(df, col, keep, rejects)
+    fields = _fields(docs, keep, _text_of(docs))
+    hits = F.filter("__fields", lambda f: f["v"].startswith('"') & (_string(f["k"]) == F.lit(key)))
+    return (fields.select(*[qcol(k) for k in keep], F.explode(hits).alias("__hit"))
+            .select(*[qcol(k) for k in keep], _string(F.col("__hit.v")).alias("value")))
 
 
 def json_strings(df: DataFrame, col: str, keep: Iterable[str] = (),
-                 depth: int | None = None) -> DataFrame:
-    """Every string value of an object field at any depth:
-    ``<keep...>, key, value``."""
+                 rejects: Observation | None = None) -> DataFrame:
+    """Every string value of an object field at any depth, in document
+    order: ``<keep...>, key, value``."""
     keep = list(keep)
-    nodes = json_nodes(df, col, keep, depth,
-                       leaf_filter=lambda k, v: k.isNotNull() & _is_string(v))
-    return (nodes
-            .select(*[qcol(k) for k in keep], F.col("k").alias("key"),
-                    F.variant_get("v", "$", "string").alias("value")))
+    docs = _documents(df, col, keep, rejects)
+    fields = _fields(docs, keep, _text_of(docs))
+    hits = F.filter("__fields", lambda f: f["v"].startswith('"'))
+    return (fields.select(*[qcol(k) for k in keep], F.explode(hits).alias("__hit"))
+            .select(*[qcol(k) for k in keep], _string(F.col("__hit.k")).alias("key"), _string(F.col("__hit.v")).alias("value")))
 
 
 def json_path(key: str) -> str:
@@ -178,10 +156,13 @@ def json_path(key: str) -> str:
 def json_count(col: Column, array_key: str, member: str) -> Column:
     """How many elements of the top-level array ``array_key`` have a field
     ``member`` (a JSON null counts, a missing field does not); 0 when the
-    array is absent. ``col`` is JSON text."""
-    arr = F.try_variant_get(F.parse_json(col), json_path(array_key), "array<variant>")
-    has = F.filter(arr, lambda x: F.try_variant_get(x, json_path(member), "variant").isNotNull())
-    return F.coalesce(F.size(has), F.lit(0))
+    array is absent, NULL for a text that is not JSON (see ``json_rejects``).
+    ``col`` is JSON text."""
+    array = F.get_json_object(col, json_path(array_key))
+    # A string element comes without its quotes: it is not in the array so.
+    has = F.filter(F.from_json(array, "array<string>"),
+                   lambda x: F.array_contains(F.json_object_keys(x), member) & (F.instr(array, x) > 0))
+    return F.when(F.get_json_object(col, "$").isNotNull(), F.coalesce(F.size(has), F.lit(0))).when(col.isNull(), 0)
 
 
 def variant_text(v: Column) -> Column:
@@ -197,34 +178,31 @@ def variant_text(v: Column) -> Column:
 
 def json_field(col: Column, path: str) -> Column:
     """The text of the value at a JSON path such as ``$.lines[0].l_tax``
-    (composites collapse to ``struct`` / ``array``); NULL when missing."""
-    return variant_text(F.try_variant_get(F.parse_json(col), path, "variant"))
+    (composites collapse to ``struct`` / ``array``); NULL when missing, and
+    for a text that is not JSON. Where names repeat the first counts."""
+    v, text = F.try_parse_json(col), F.get_json_object(col, path)
+    named = F.when(text.startswith("{"), FX.STRUCT_TYPE_NAME).when(text.startswith("["), FX.ARRAY_TYPE_NAME).otherwise(text)
+    return F.when(v.isNotNull(), variant_text(F.try_variant_get(v, path, "variant"))).otherwise(named)
 
 
 def json_children(df: DataFrame, col: str, array_key: str, index: int, member: str,
-                  keep: Iterable[str] = (), depth: int | None = None) -> DataFrame:
+                  keep: Iterable[str] = (), rejects: Observation | None = None) -> DataFrame:
     """All values of field ``member`` at any depth under
     ``array_key[index]``, in document order, as text (objects and arrays
     as ``struct`` / ``array``, and their own ``member`` fields are found too);
     NULL when fewer than two. ``<keep...>, member_values`` with one row per
-    document.
-
-    The regrouping per document shuffles on the ``keep`` columns, which must
-    identify a document; a document contributes only its own values.
-    """
+    document, made within its own row."""
     keep = list(keep)
-    sub = F.try_variant_get(F.parse_json(json_text(df, col)), f"{json_path(array_key)}[{index}]", "variant")
-    if depth is None:
-        depth = max_depth(df, col)
-    is_member = lambda k, v: k == F.lit(member)
-    nodes = json_nodes(df, col, keep, depth, root=sub, leaf_filter=is_member, marker=True,
-                       emit_containers=is_member)
-    hit = F.when(~F.col("mk"), F.struct("o", variant_text(F.col("v")).alias("t")))
-    grouped = nodes.groupBy(*[qcol(k) for k in keep]).agg(
-        F.transform(F.array_sort(F.collect_list(hit)), lambda h: h["t"]).alias("member_values"))
-    return grouped.select(*[qcol(k) for k in keep],
-                          F.when(F.size("member_values") >= 2, F.col("member_values"))
-                          .alias("member_values"))
+    docs = _documents(df, col, keep, rejects)
+    whole = F.get_json_object("__text", json_path(array_key))
+    element = F.get_json_object("__text", f"{json_path(array_key)}[{index}]")
+    # A string element comes without its quotes: it is not in the array so.
+    fields = _fields(docs, keep, F.when(F.instr(whole, element) > 0, element))
+    value = lambda v: (F.when(v.startswith('"'), _string(v)).when(v == "{", FX.STRUCT_TYPE_NAME)
+                       .when(v == "[", FX.ARRAY_TYPE_NAME).otherwise(F.to_json(F.try_parse_json(v))))
+    found = F.transform(F.filter("__fields", lambda f: _string(f["k"]) == F.lit(member)), lambda f: value(f["v"]))
+    return (fields.select(*[qcol(k) for k in keep], found.alias("member_values"))
+            .withColumn("member_values", F.when(F.size("member_values") >= 2, F.col("member_values"))))
 
 
 def json_array_rows(df: DataFrame, col: str, path: str, element_schema: T.DataType | str,

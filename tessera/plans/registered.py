@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import jsonops as J
@@ -572,6 +572,25 @@ def q_json_strings(spark, sf_dir):
     return J.json_strings(customer_json(spark, sf_dir), "json", keep=["c_custkey"])
 
 
+@register("json_rejects", """
+SELECT p.page_id, CASE WHEN p.page_id % 3 = 0 THEN 'reject' ELSE 'found' END AS kind, CASE WHEN p.page_id % 3 = 0 THEN left(x.t, length(x.t) - 1) ELSE p.url END AS text
+FROM pages p, (SELECT page_id, '{"id":' || page_id || ',"at":{"url":"' || url || '","id":' || page_id || '}}' AS t FROM pages) x WHERE x.page_id = p.page_id
+UNION ALL SELECT page_id, 'found', 'again' FROM pages WHERE page_id % 3 = 1""")
+def q_json_rejects(spark, sf_dir):
+    # Pages as JSON text: every third is cut off, every third names a field
+    # twice, which is legal.
+    pages = _tables(spark, sf_dir, ["pages"])["pages"]
+    head = F.concat(F.lit('{"id":'), "page_id", F.lit(',"at":{"url":"'), "url", F.lit('"'))
+    tail = F.concat(F.lit(',"id":'), "page_id", F.lit("}}"))
+    again = F.when(F.col("page_id") % 3 == 1, F.lit(',"url":"again"')).otherwise("")
+    text = F.concat(head, again, tail)
+    docs = pages.select("page_id", text.alias("t")).select(
+        "page_id", F.when(F.col("page_id") % 3 == 0, F.expr("left(t, length(t) - 1)")).otherwise(F.col("t")).alias("json"))
+    found = J.json_find(docs, "json", "url", ["page_id"], Observation())
+    return (found.select("page_id", F.lit("found").alias("kind"), F.col("value").alias("text"))
+            .unionByName(J.json_rejects(docs, "json", ["page_id"]).select("page_id", F.lit("reject").alias("kind"), "text")))
+
+
 @register("json_count", """
 SELECT o.o_orderkey, count(l.l_orderkey) AS n_lines
 FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey""")
