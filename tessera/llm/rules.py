@@ -2,20 +2,23 @@
 
 Each document has counts (words, symbols, repeated lines and words) and from
 them shares, one per rule. A rule rejects a document whose share exceeds the
-rule's cutoff in the document's stratum, its language. Cutoffs are certified
-on labelled holdouts: for each stratum and rule, candidates are tested from
-the loosest to the tightest, each with the exact binomial probability of as
-few rejected good documents as were seen, were the true rate ``ALPHA`` per
-rule; testing stops at the first that fails its level, ``DELTA`` divided by
-the number of strata and rules (Bonferroni; within a rule the fixed order
-needs no further correction). So with probability 1 - ``DELTA`` no rule in any
-stratum rejects more than ``ALPHA`` of the good documents. Of the certified
-cutoffs the loosest that catches nearly all that the tightest catches is used.
+rule's cutoff in the document's stratum, its language. What is certified, on
+labelled holdouts, is a set of rules at one cutoff, with all it rejects: for
+each stratum and each of the 31 sets, cutoffs are tested from the loosest to
+the tightest, each with the exact binomial probability of as few rejected good
+documents as were seen, were the true rate ``ALPHA``; testing stops at the
+first that fails its level, ``DELTA`` divided by the number of strata and sets
+(Bonferroni; within a set the fixed order needs no further correction). So
+with probability 1 - ``DELTA`` the rules used in a stratum together reject no
+more than ``ALPHA`` of its good documents, in every stratum at once. A trial is
+a labelled text: rows of one id count once, and so do equal texts, good only if
+all their labels say so. Of the certified sets the one that catches the most
+bad documents is used, at the loosest cutoff that catches nearly as many.
 All documents together are one more stratum. Where a language's labels certify
-cutoffs but none of them catches a bad document, the cutoff of all documents
-holds, or the tightest certified there if that is looser. Where a language has
-too few labels to certify a cutoff, or its good documents exceed even the
-loosest too often, the rule has none, whatever holds for all documents.
+cutoffs but none of them catches a bad document, the set of all documents
+holds, at its cutoff or the tightest certified there if that is looser. Where a
+language has too few labels to certify a cutoff, or its good documents exceed
+even the loosest too often, there is none, whatever holds for all documents.
 
 Defined results: a null or empty text has no words and fails the base rules; a
 null language is a stratum; documents without a label never count; a share
@@ -48,6 +51,8 @@ RULES = {
     "runs": "n_run_words / n_words",
     "capitals": "n_capitals / n_letters",
 }
+#: Every set of rules, as bits of their places in RULES.
+SETS = range(1, 2 ** len(RULES))
 #: Share of what the tightest certified cutoff catches that is enough.
 ENOUGH = 0.99
 
@@ -126,32 +131,52 @@ def certified(n: int, good: list[int], bad: list[int], alpha: float, level: floa
     return next(c for c, b in zip(CUTOFFS, bad) if b >= ENOUGH * bad[passed - 1])
 
 
-def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Per lang (rows with counts and good), and with ``every`` true for all:
-    one cutoff column per rule, null where none is certified or those that are
-    catch nothing, and one of the tightest that is certified (``_tightest``)."""
-    over = [F.sum((share(r) > c).cast("long") * (F.col("good") if good else ~F.col("good")).cast("long")).alias(f"{r}_{int(good)}_{i}")
-            for r in RULES for good in (True, False) for i, c in enumerate(CUTOFFS)]
-    each = labelled.withColumn("every", F.explode(F.array(F.lit(False), F.lit(True))))
-    table = each.groupBy("every", F.when(~F.col("every"), F.col("lang")).alias("lang")).agg(F.sum(F.col("good").cast("long")).alias("n"), *over)
-    strata = max(1, table.count())
+def members(of: int) -> list[str]:
+    return [r for i, r in enumerate(RULES) if of >> i & 1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            pick = []
-            for row in rows:
-                level, cut = delta / (strata * len(RULES)), {}
-                for r in RULES:
-                    good, bad = ([row[f"{r}_{g}_{i}"] for i in range(len(CUTOFFS))] for g in (1, 0))
-                    passed = n_passed(row["n"], good, alpha, level)
-                    cut[r] = certified(row["n"], good, bad, alpha, level)
-                    cut[f"{r}_tightest"] = CUTOFFS[passed - 1] if passed else None
-                pick.append(cut)
-            yield {c: [row[c] for row in rows] for c in ("lang", "every")} | {c: [p[c] for p in pick] for c in columns}
-
-    columns = [f"{r}{end}" for r in RULES for end in ("", "_tightest")]
-    return map_arrow(table, run, "lang string, every boolean, " + ", ".join(f"{c} double" for c in columns))
+
+def trials(labelled: DataFrame) -> DataFrame:
+    """One trial per stratum and labelled document (rows with good): for each
+    rule the first cutoff, by place, that any row of the document exceeds.
+    Strata are the values of lang, and with ``every`` true all documents."""
+    step = [sum((share(r) <= c).cast("int") for c in CUTOFFS).alias(r) for r in RULES]
+    strata = labelled.select("doc_id", "lang", "good", *step).withColumn("every", F.explode(F.array(F.lit(False), F.lit(True))))
+    return (strata.groupBy("every", F.when(~F.col("every"), F.col("lang")).alias("lang"), "doc_id")
+            .agg(F.min("good").alias("good"), *[F.min(r).alias(r) for r in RULES]))
+
+
+def cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """Per lang, and with ``every`` true for all: the set of rules to use (0
+    for none), its cutoff, and for each set the tightest certified cutoff
+    (``tightest``; null where none is)."""
+    documents = written(trials(labelled), "trials")
+    strata = max(1, documents.select("every", "lang").distinct().count())
+    level = delta / (strata * len(SETS))
+    first = F.explode(F.array(*[F.struct(F.lit(s).alias("rules"), F.array_min(F.array(*members(s))).alias("step")) for s in SETS])).alias("x")
+    table = (documents.select("every", "lang", "good", first).groupBy("every", "lang", "x.rules", "x.step")
+             .agg(F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")))
+
+    def pick(rows: pa.Table) -> pa.Table:
+        counts = np.zeros((2, len(SETS) + 1, len(CUTOFFS) + 1), np.int64)
+        rules, step = (rows.column(c).to_numpy() for c in ("rules", "step"))
+        for i, side in enumerate(("good", "bad")):
+            counts[i, rules, step] = rows.column(side).to_numpy()
+        n, rejected = int(counts[0, 1].sum()), counts.cumsum(axis=2)[:, :, :-1]
+        best, used, cut, tightest = (0,), 0, None, [None]
+        for s in SETS:
+            good, bad = (x[s].tolist() for x in rejected)
+            passed = n_passed(n, good, alpha, level)
+            tightest.append(CUTOFFS[passed - 1] if passed else None)
+            own = certified(n, good, bad, alpha, level)
+            if own is not None:
+                at = CUTOFFS.index(own)
+                rank = (bad[at], -good[at], -len(members(s)), -s)
+                if rank > best:
+                    best, used, cut = rank, s, own
+        return pa.table({"every": rows.column("every")[:1], "lang": rows.column("lang")[:1], "rules": pa.array([used], pa.int32()),
+                         "cutoff": pa.array([cut], pa.float64()), "tightest": pa.array([tightest], pa.list_(pa.float64()))})
+
+    return table.groupBy("every", "lang").applyInArrow(pick, "every boolean, lang string, rules int, cutoff double, tightest array<double>")
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -161,13 +186,17 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
     cut = written(cutoffs(rows.join(known, "doc_id")), "cutoffs")
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    every = (cut.where("every").first() or {r: None for r in RULES})
-    # Where the stratum's own cutoffs catch nothing, that of all, if certified there too.
-    limit = {r: F.coalesce(F.col(r), F.when(F.col(f"{r}_tightest").isNotNull() & F.lit(every[r] is not None),
-                                            F.greatest(F.col(f"{r}_tightest"), F.lit(every[r]).cast("double")))) for r in RULES}
-    of = cut.where("not every").select(F.col("lang").alias("of"), *[limit[r].alias(f"{r}_cut") for r in RULES])
-    failed = F.array_compact(F.array(*[F.when(share(r) > F.col(f"{r}_cut"), F.lit(r)) for r in RULES]))
+    every = cut.where("every").first()
+    # Where the stratum's own sets catch nothing, that of all, if certified there too.
+    shared, loosest = (every["rules"], every["cutoff"]) if every else (0, None)
+    there = F.get("tightest", F.lit(shared))
+    of = cut.where("not every").select(
+        F.col("lang").alias("of"),
+        F.when(F.col("rules") > 0, F.col("rules")).when(there.isNotNull(), F.lit(shared)).otherwise(0).alias("used"),
+        F.when(F.col("rules") > 0, F.col("cutoff")).otherwise(F.greatest(there, F.lit(loosest).cast("double"))).alias("cutoff"))
+    failed = F.array_compact(F.array(*[F.when(F.col("used").bitwiseAND(1 << i).cast("boolean") & (share(r) > F.col("cutoff")), F.lit(r))
+                                       for i, r in enumerate(RULES)]))
     return (rows.join(of, F.col("lang").eqNullSafe(F.col("of")), "left")
-            .withColumn("base_failed", base).withColumn("rules", failed)
+            .withColumn("base_failed", base).withColumn("rules", F.coalesce(failed, F.array().cast("array<string>")))
             .withColumn("kept", ~F.col("base_failed") & (F.size("rules") == 0))
             .select("doc_id", *COUNTS[:5], "base_failed", "kept", "rules"))
