@@ -17,80 +17,104 @@ never dropped; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.alignment import byte_characters
 from tessera.llm.common import map_arrow, slices, text_bytes, written
 
-#: Words of these characters are cut as the tokenizer cuts them; others go
-#: through its whole pipeline. Fixed values, from the tokenizer's file.
+#: How the tokenizer's file cuts words, and the same for words of plain
+#: characters, lower-cased. Fixed values.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 WORD_END = "</w>"
-CACHE_WORDS = 600_000
+#: Words remembered; as many of the time before are still looked up.
+CACHE_WORDS = 300_000
+SHOWN = {b: c for c, b in byte_characters().items()}
 RANK_GROUP = 256
 
 
 class WordTokens:
     """Token ids of texts, word by word with a bounded cache.
 
-    The tokenizer drops white space and never merges across it, so a text's
-    ids are those of its words in a row. New words are cut into parts, and
-    distinct parts are encoded together, each ending in a word-end token."""
+    A tokenizer that drops white space and never merges across it gives a text
+    the ids of its words in a row; a file that is not known to be of this kind
+    is refused. Words of plain characters are cut into parts here, and parts
+    not yet known are encoded together, each ending in a word-end token; other
+    words, and those that hold a special token, go through the tokenizer
+    whole."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        cuts = [c.get("pattern", {}).get("Regex") for c in (file.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+        bytewise = any(c.get("type") == "ByteLevel" and not c.get("add_prefix_space") for c in (file.get("pre_tokenizer") or {}).get("pretokenizers", []))
+        if file["model"].get("end_of_word_suffix") != WORD_END or CUT not in cuts or not bytewise:
+            raise ValueError(f"{path}: not a vocabulary of words with ends, cut as expected")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends[i] = token.endswith(WORD_END)
+        special = [re.escape(t["content"].lower()) for t in file.get("added_tokens", [])]
+        self.special = re.compile("|".join(special) or "(?!)")
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[bytes]) -> None:
-        cut, whole = {}, []
-        for word in words:
-            text = word.decode()
-            if PLAIN.fullmatch(text):
-                cut[word] = PARTS.findall(text.lower())
-            else:
-                whole.append((word, text))
-        parts = list({p for c in cut.values() for p in c})
-        known: dict[str, bytes] = {}
-        for at in range(0, len(parts), 256):
-            some = parts[at:at + 256]
-            ids = np.array(self._encode([" ".join(some)])[0], dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some):
-                known.update(zip(some, (x.tobytes() for x in np.split(ids, ends[:-1])), strict=True))
-            else:
-                known.update(zip(some, (np.array(x, "<u4").tobytes() for x in self._encode(some)), strict=True))
-        for word, pieces in cut.items():
-            self.words[word] = b"".join([known[p] for p in pieces])
-        for (word, _), ids in zip(whole, self._encode([t for _, t in whole]), strict=True):
-            self.words[word] = np.array(ids, "<u4").tobytes()
+    def _learn_parts(self, parts: set[str]) -> None:
+        """The model takes a part as the characters that stand for its bytes."""
+        tokenize, known = self.tokenizer.model.tokenize, self.parts
+        for part in parts.difference(known):
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(SHOWN)
+            known[part] = array("I", [t.id for t in tokenize(shown)]).tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        if not words:
+            return
+        texts = b"\n".join(words).decode().split("\n")
+        low = "\n".join(texts).lower().split("\n")
+        letters = [x.isascii() and x.isalpha() for x in low]
+        single = list(compress(low, letters))
+        self._learn_parts(set(single))
+        self.words.update(zip(compress(words, letters), map(self.parts.__getitem__, single), strict=True))
+        cut, at, whole = [], [], []
+        for i, (text, plain) in enumerate(zip(texts, letters, strict=True)):
+            if not plain:
+                if PLAIN.fullmatch(text) and not ("<" in text and self.special.search(text.lower())):
+                    cut.append(PARTS.findall(text.lower()))
+                    at.append(i)
+                else:
+                    whole.append(i)
+        self._learn_parts(set().union(*cut))
+        get = self.parts.__getitem__
+        self.words.update((words[i], get(c[0]) + get(c[1]) if len(c) == 2 else b"".join(map(get, c))) for i, c in zip(at, cut, strict=True))
+        for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+            self.words[words[i]] = np.array(ids, "<u4").tobytes()
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [t.split() for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words = {}
+            self.words, self.older, self.parts = {}, self.words, {}
         new = set().union(*split).difference(self.words)
         if new:
-            self._learn(new)
+            again = new.intersection(self.older)
+            self.words.update(zip(again, map(self.older.__getitem__, again), strict=True))
+            self._learn(list(new - again))
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

@@ -281,3 +281,21 @@ def test_suffix_order_and_search():
         for window, i, j in zip(([1, 2], [3], None, [2, 2]), low.tolist(), high.tolist(), strict=True):
             at = sorted(index.locate(np.arange(i, j)).tolist())
             assert at == ([k for k in range(len(row)) if row[k:k + len(window)] == window] if window else [])
+
+
+def test_packing_ids_are_the_tokenizers(spark):
+    from tokenizers import Tokenizer
+
+    from tessera.llm.packing import WordTokens, pieces
+    path = queries.tokenizer_path()
+    own, whole = WordTokens(path), Tokenizer.from_file(path)
+    rng = random.Random(0)
+    parts = ["x", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", " ", "'s", "é", "1", "2", "日", "!", "<", ".\n", "İ", "ª", "ß", "Ω", "'RE", "ÿ", "À", "\x1c", "\x85", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    texts += ["one x <|endoftext|> y", ("long " + "wörd" * 9 + " ") * 60_000]
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.ids([t.encode() for t in texts])]
+    assert got == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    rows = pieces(spark.createDataFrame([(1, texts[-1])], "doc_id long, text string"), path).collect()
+    assert sum(r.length for r in rows) == len(got[-1]) + 1 and max(r.length for r in rows) == 4096
+    with pytest.raises(ValueError, match="not a vocabulary"):
+        WordTokens(queries.tokenizer_path("byte_bpe_50k.json"))
