@@ -69,6 +69,15 @@ def numbered(docs: DataFrame, name: str = "row_id") -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, with underscores after it until no column has that name,
+    case ignored."""
+    taken = {c.casefold() for c in columns}
+    while base.casefold() in taken:
+        base += "_"
+    return base
+
+
 def text_bytes(text: str = "text") -> Column:
     """UTF-8 bytes of a text; a null text counts as empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

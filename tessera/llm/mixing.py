@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import numbered, written
+from tessera.llm.common import free_name, numbered, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 FAN = 64
@@ -119,9 +119,10 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
     out = (due.where(~F.col("open")).withColumn("up", F.lit(0))
            .select("row_id", "doc_id", "size", *constants, "up"))
     largest = due.where("open").agg(F.max("n").alias("n")).first()["n"] or 0
-    h = F.xxhash64(F.lit(seed), "doc_id", "size")
+    # By row: rows without an id, or with one id, are dealt like any others.
+    h = F.xxhash64(F.lit(seed), "doc_id", "size", "row_id")
     fields = F.struct((-F.col("size")).alias("k"), h.alias("h"), "row_id", "doc_id", "size", "p").alias("unit")
-    waits = F.pmod(F.xxhash64(F.lit(seed), "size", "doc_id"), F.ceil(F.col("n") / LADDER)) == 0
+    waits = F.pmod(F.xxhash64(F.lit(seed), "size", "doc_id", "row_id"), F.ceil(F.col("n") / LADDER)) == 0
     ladder = due.where(F.col("open") & waits).select(*constants, fields)
     units = (due.where(F.col("open") & ~waits)
              .withColumn("block", F.pmod(h, F.ceil(F.col("n") / FAN))).select(*constants, "block", fields))
@@ -157,7 +158,8 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
 def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: int = 0) -> DataFrame:
     """The documents of a mix: each row as often as it was taken. ``docs``
     must be a scan of stored files (its rows are numbered twice)."""
-    taken = mix(docs, weights, share, most, seed).where("copies > 0").select(F.col("row_id").alias("corpus_row"), F.col("copies").alias("corpus_copies"))
-    return (numbered(docs, "corpus_row").join(taken, "corpus_row")
-            .withColumn("corpus_copy", F.explode(F.sequence(F.lit(1), F.col("corpus_copies"))))
-            .drop("corpus_row", "corpus_copies", "corpus_copy"))
+    row, copies, copy = (free_name(docs.columns, f"corpus_{x}") for x in ("row", "copies", "copy"))
+    taken = mix(docs, weights, share, most, seed).where("copies > 0").select(F.col("row_id").alias(row), F.col("copies").alias(copies))
+    return (numbered(docs, row).join(taken, row)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
+            .drop(row, copies, copy))
