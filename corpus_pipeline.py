@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import queries
-from tessera.llm.common import numbered, table, written
+from tessera.llm.common import free_name, numbered, table, written
 from tessera.llm.exact import exact_groups
 from tessera.llm.mixing import mixed_documents
 from tessera.llm.neardup import near_duplicates
@@ -25,14 +25,14 @@ from tessera.llm.quality import judged
 
 #: SQL cannot express the classifier, the sketches, the draws or the packing.
 ORACLE_SQL = None
-_ROW = "corpus_row"
 #: Similarity, in percent, from which texts are near copies; op3 has its own.
 NEAR = 80
 
 
 def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The rows of a stored table whose numbers are in ``rows`` (row_id)."""
-    return numbered(docs, _ROW).join(rows.select(rows["row_id"].alias(_ROW)), _ROW, "left_semi").drop(_ROW)
+    row = free_name(docs.columns, "corpus_row")
+    return numbered(docs, row).join(rows.select(rows["row_id"].alias(row)), row, "left_semi").drop(row)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
