@@ -5,11 +5,9 @@ The reference compares sampled key values with every document of every
 other collection in nested loops. Here both sides become long-form
 ``(table, field, family, value)`` rows and meet in one equi-join:
 
-* sample mode (R1-R4): the referenced side is at most ``n_samples x
-  unique columns x collections`` rows, a bound fixed by the schema. It is
-  pushed into each searched scan as an ``IN`` filter and broadcast to the
-  join, so the searched side is never shuffled; matches are folded by a
-  partial aggregate before the only (small) shuffle;
+* match mode (R1-R4): the searched values, distinct per column and partly so
+  in each task, meet the values of the unique columns in one equi-join;
+  matches are folded by a partial aggregate before the last shuffle;
 * inclusion mode: values are grouped once on ``(family, value)`` into a
   bitmask of the columns holding each (a plain aggregate folded map-side,
   so hot values collapse inside each task); a second, small aggregation
