@@ -101,7 +101,8 @@ def _judged(docs: DataFrame, labels: DataFrame, sample: int, quantile: float) ->
     marked = numbered(docs.select("doc_id", "text", "lang")).join(F.broadcast(chosen), "doc_id", "left")
     corpus = Corpus(marked.select("doc_id", "row_id", "text", F.col("lang").alias("tag"), F.coalesce("chosen", F.lit(False)).alias("train")),
                     marked_words, ORDER, with_words=False)
-    scores = corpus.scores(kneser_ney(corpus.counts(), ORDER))
+    # Stored, so that the joins' shuffle files are gone when the answers go out.
+    scores = corpus.scores(written(kneser_ney(corpus.counts(), ORDER), "kn-values"))
     scores = written(scores.select("doc_id", "row_id", F.col("tag").alias("lang"), "n_bytes", (-F.col("gram_score")).alias("bits")), "scores")
     held = (scores.join(good.where("holdout").select("doc_id"), "doc_id", "left_semi")
             .withColumn("each", F.col("bits") / F.col("n_bytes")))

@@ -3,18 +3,26 @@
 The tables of an n-gram model grow with the corpus, so they are neither
 collected nor broadcast. The texts are stored in chunks of bounded bytes. Each
 chunk asks once for each of its distinct keys, in one row per shard of the key
-space; a shard, which gathers as much as a chunk holds because there are as
-many shards as chunks, adds the counts up. The model turns counts into values;
-each shard answers the rows it was asked; and the answers go back to their
-chunk, where they are looked up for every position.
+space, and each shard adds the counts up. The model turns counts into values;
+each shard answers the rows it was asked, one by one; and the answers go back
+to their chunk, where they are looked up for every position.
+
+There are as many shards as chunks, but not more than the session has shuffle
+partitions, so rows grow with the text and not with its square. A shard is one
+task of any size: sums beyond ``HELD_KEYS`` keys become sorted runs in files of
+the task, merged range by range, and values are looked up in a file.
 
 A text is stored as its words, one space between them and one end byte, after
 ``order - 1`` end bytes of context. Texts beyond a chunk are cut between
-words, each piece with its left context. Words are known by 64-bit hashes.
+words, each piece with its left context; a word beyond a chunk is cut too where
+words are not looked up, and is a piece of its own where they are. Words are
+known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,25 +35,25 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tessera.llm.common import BLOCK_BYTES, KeyTable, SpanHash, byte_grams, map_arrow, slices, text_bytes, written
 
-ORDER = 7
-PAD = b"\n" * (ORDER - 1)
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 16 << 20
+#: Keys whose sums a task holds in memory.
+HELD_KEYS = 4 << 20
 SPACE, END = 32, 10
 #: Word keys are negative, gram keys are not.
 WORD_BIT = np.int64(-(2**63))
 
 
-def _cut(body: bytes, pad: int, limit: int) -> Iterator[bytes]:
+def _cut(body: bytes, pad: int, limit: int, whole_words: bool) -> Iterator[bytes]:
     """Pieces of a text after ``pad`` bytes, cut after spaces, with context."""
     at = pad
     while len(body) - at > limit:
-        space = body.rfind(b" ", at, at + limit)
-        if space < 0:
-            space = body.find(b" ", at)
-        if space < 0:
+        end = body.rfind(b" ", at, at + limit) + 1
+        if not end:
+            end = body.find(b" ", at) + 1 if whole_words else at + limit
+        if not end:
             break
-        yield body[at - pad:space + 1]
-        at = space + 1
+        yield body[at - pad:end]
+        at = end
     yield body[at - pad:]
 
 
@@ -143,6 +151,51 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, compressed."""
+    return squeezed(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+
+
+def from_planes(data: bytes, dtype: type, n: int) -> np.ndarray:
+    rows = np.frombuffer(expanded(data, n * np.dtype(dtype).itemsize), np.uint8).reshape(np.dtype(dtype).itemsize, n)
+    return np.ascontiguousarray(rows.T).view(dtype).ravel()
+
+
+class Tally:
+    """Sums of counts by key. Beyond ``held`` keys the sums go to ``folder`` as
+    sorted runs."""
+
+    def __init__(self, folder: str, held: int = HELD_KEYS) -> None:
+        self.folder, self.limit = folder, max(2, held)
+        self.keys: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.counts: list[np.ndarray] = [np.zeros(0, np.int64)]
+        self.held, self.runs = 0, 0
+
+    def add(self, key: np.ndarray, n: np.ndarray) -> None:
+        self.keys.append(key)
+        self.counts.append(n)
+        self.held += len(key)
+        if self.held > self.limit:
+            key, n = added(self.keys, self.counts)
+            if len(key) > self.limit // 2:
+                np.save(os.path.join(self.folder, f"key-{self.runs}.npy"), key)
+                np.save(os.path.join(self.folder, f"n-{self.runs}.npy"), n)
+                self.runs += 1
+                key, n = key[:0], n[:0]
+            self.keys, self.counts, self.held = [key], [n], len(key)
+
+    def sums(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys in order with their sums, range by range."""
+        runs = [[np.load(os.path.join(self.folder, f"{what}-{i}.npy"), mmap_mode="r") for what in ("key", "n")] for i in range(self.runs)]
+        runs.append(list(added(self.keys, self.counts)))
+        step = max(1, self.limit // len(runs))
+        cuts = np.unique(np.concatenate([key[step::step] for key, _ in runs]))
+        ends = [np.concatenate(([0], np.searchsorted(key, cuts), [len(key)])) for key, _ in runs]
+        for i in range(len(cuts) + 1):
+            parts = [(key[end[i]:end[i + 1]], n[end[i]:end[i + 1]]) for (key, n), end in zip(runs, ends, strict=True)]
+            yield added(*map(list, zip(*parts, strict=True)))
+
+
 #: What a chunk knows of each piece besides its text.
 CARRIED = ("row", "doc_id", "row_id", "tag", "train")
 
@@ -204,8 +257,8 @@ class Corpus:
     are carried along."""
 
     def __init__(self, docs: DataFrame, words: Callable[[bytes], list[bytes]], order: int, with_words: bool,
-                 chunk_bytes: int = CHUNK_BYTES) -> None:
-        self.order, self.with_words = order, with_words
+                 chunk_bytes: int = CHUNK_BYTES, held_keys: int = HELD_KEYS) -> None:
+        self.order, self.with_words, self.held_keys = order, with_words, held_keys
         if "tag" not in docs.columns:
             docs = docs.withColumn("tag", F.lit(None).cast("string"))
         if "row_id" not in docs.columns:
@@ -213,10 +266,11 @@ class Corpus:
         docs = docs.select(F.col("doc_id").cast("long"), "row_id", "tag", "train", text_bytes().alias("text"))
         self.chunks = self._store(docs, words, chunk_bytes)
         total = self.chunks.agg(F.sum("bytes").alias("n")).first()["n"] or 0
-        self.shards = max(1, -(-total // chunk_bytes))
+        most = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.shards = max(1, min(most, -(-total // chunk_bytes)))
 
     def _store(self, docs, words, chunk_bytes) -> DataFrame:
-        pad = self.order - 1
+        pad, whole_words = self.order - 1, self.with_words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             chunk = row = TaskContext.get().partitionId() << 40
@@ -225,7 +279,7 @@ class Corpus:
             for batch in batches:
                 for part in slices(batch, "text"):
                     for doc, row_id, tag, train, text in zip(*(part.column(c).to_pylist() for c in (*CARRIED[1:], "text")), strict=True):
-                        for piece in _cut(b"\n" * pad + b" ".join(words(text)) + b"\n", pad, chunk_bytes):
+                        for piece in _cut(b"\n" * pad + b" ".join(words(text)) + b"\n", pad, chunk_bytes, whole_words):
                             if held and filled + len(piece) > chunk_bytes:
                                 yield Chunk.store(chunk, held)
                                 chunk, held, filled = chunk + 1, [], 0
@@ -256,15 +310,18 @@ class Corpus:
 
     def counts(self) -> DataFrame:
         """Every key once: shard, key, n (0 for keys that never train)."""
-        def run(rows: pa.Table) -> pa.Table:
-            keys, counts = [], []
-            for n, key, count in zip(*(rows.column(c).to_pylist() for c in ("n", "keys", "counts")), strict=True):
-                keys.append(unpacked(key, np.int64, n))
-                counts.append(unpacked(count, np.int32, n).astype(np.int64))
-            key, n = added(keys, counts)
-            return pa.table({"shard": pa.array(np.full(len(key), rows.column("shard")[0].as_py()), pa.int32()), "key": key, "n": n})
+        held = self.held_keys
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            with tempfile.TemporaryDirectory() as folder:
+                tally, shard = Tally(folder, held), None
+                for batch in batches:
+                    for shard, n, key, count in zip(*(batch.column(c).to_pylist() for c in ("shard", "n", "keys", "counts")), strict=True):
+                        tally.add(unpacked(key, np.int64, n), unpacked(count, np.int32, n).astype(np.int64))
+                for key, n in tally.sums():
+                    yield {"shard": np.full(len(key), shard if len(key) else 0, np.int32), "key": key, "n": n}
 
-        return written(self._asked().groupBy("shard").applyInArrow(run, "shard int, key long, n long"), "counts")
+        return written(map_arrow(self._asked().repartitionById(self.shards, "shard"), run, "shard int, key long, n long"), "counts")
 
     def scores(self, values: DataFrame, word_value: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
         """Per input row: row, doc_id, row_id, tag, train, n_bytes, gram_score and, with
@@ -273,21 +330,34 @@ class Corpus:
         ``word_value`` turns into a score."""
         order, with_words, shards = self.order, self.with_words, self.shards
 
-        def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-            key = known.column("key").to_numpy()
-            by = np.argsort(key)
-            key, value = key[by], known.column("value").to_numpy()[by]
-            counts, scores = [], []
-            for n, b in zip(asked.column("n").to_pylist(), asked.column("keys").to_pylist(), strict=True):
-                wanted = unpacked(b, np.int64, n)
-                found = value[np.searchsorted(key, wanted)]
-                counts.append(squeezed(found[wanted < 0].astype(np.int64).tobytes()))
-                scores.append(found[wanted >= 0].astype(np.float32).tobytes())
-            return pa.table({"chunk": asked.column("chunk"), "shard": asked.column("shard"),
-                             "counts": pa.array(counts, pa.binary()), "scores": pa.array(scores, pa.binary())})
-
-        answers = (self._asked().drop("counts").groupBy("shard").cogroup(values.groupBy("shard"))
-                   .applyInArrow(answer, "chunk long, shard int, counts binary, scores binary"))
+        def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            """The values come first, in order of their keys."""
+            with tempfile.TemporaryDirectory() as folder:
+                paths = [os.path.join(folder, name) for name in ("key", "value")]
+                with open(paths[0], "wb") as keys, open(paths[1], "wb") as numbers:
+                    key, value = np.zeros(0, np.int64), np.zeros(0)
+                    for batch in batches:
+                        n_values = batch.column("chunk").null_count
+                        if n_values:
+                            keys.write(batch.column("key")[:n_values].to_numpy().tobytes())
+                            numbers.write(batch.column("value")[:n_values].to_numpy().tobytes())
+                        asked = batch.slice(n_values)
+                        if not asked.num_rows:
+                            continue
+                        if not len(key):
+                            keys.flush()
+                            numbers.flush()
+                            key, value = np.memmap(paths[0], np.int64, "r"), np.memmap(paths[1], np.float64, "r")
+                        for chunk, shard, n, b in zip(*(asked.column(c).to_pylist() for c in ("chunk", "shard", "n", "keys")), strict=True):
+                            wanted = unpacked(b, np.int64, n)
+                            found = value[np.searchsorted(key, wanted)]
+                            yield {"chunk": [chunk], "shard": [shard], "counts": [planes(found[wanted < 0].astype(np.int64))],
+                                   "scores": [planes(found[wanted >= 0].astype(np.float32))]}
+
+        asked = self._asked().select("chunk", "shard", "n", "keys")
+        both = asked.unionByName(values.select("shard", "key", F.col("value").cast("double").alias("value")), allowMissingColumns=True)
+        answers = map_arrow(both.repartitionById(shards, "shard").sortWithinPartitions("chunk", "key"), answer,
+                            "chunk long, shard int, counts binary, scores binary")
         schema = ("row long, doc_id long, row_id long, tag string, train boolean, n_bytes long, gram_score double, "
                   "n_tokens long, n_known long, word_score double")
         target = to_arrow_schema(T.StructType.fromDDL(schema))
@@ -299,8 +369,8 @@ class Corpus:
             for row in right.to_pylist():
                 low, high = np.searchsorted(place, (row["shard"], row["shard"] + 1))
                 words = int(np.searchsorted(key[low:high], 0))
-                value[low:low + words] = np.frombuffer(expanded(row["counts"], 8 * words), np.int64)
-                value[low + words:high] = np.frombuffer(row["scores"], np.float32)
+                value[low:low + words] = from_planes(row["counts"], np.int64, words)
+                value[low + words:high] = from_planes(row["scores"], np.float32, high - low - words)
             table = KeyTable(key)
             parts = []
             for pieces, own in chunk.parts():
