@@ -121,6 +121,8 @@ class Positions:
 
 
 _codec = pa.Codec("zstd", compression_level=3)
+#: Texts are written once and sent once more, so they are worth more effort.
+_text_codec = pa.Codec("zstd", compression_level=9)
 
 
 def squeezed(data: bytes) -> bytes:
@@ -219,7 +221,7 @@ class Chunk:
         body = b"".join(pieces)
         return {"chunk": [chunk]} | {c: [v] for c, v in zip(CARRIED, carried, strict=True)} | {
                 "size": [[len(p) for p in pieces]],
-                "bytes": [len(body)], "body": [squeezed(body)]}
+                "bytes": [len(body)], "body": [_text_codec.compress(body, asbytes=True)]}
 
     def parts(self) -> Iterator[tuple[np.ndarray, Positions]]:
         """Positions of about ``BLOCK_BYTES`` at a time, with their pieces."""
