@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tessera.functions import jsonops as J
 from tessera.functions import values as V
 from tessera.operators import fields as FL
+from tessera.operators import inferred as IN
 from tessera.operators import profile as P
 from tessera.operators import relations as RL
 from tessera.operators import reshape as R
@@ -649,6 +650,50 @@ def q_json_array_rows(spark, sf_dir):
     return J.json_array_rows(text, "json", "$.lines", elem, keep=["o_orderkey"])
 
 
+# --- N1, S10 from the values ---------------------------------------------------
+
+def mixed_line_json(spark, sf_dir) -> DataFrame:
+    """Every line as JSON text in which ``v`` is a number, a text, null, an
+    array, an object or missing, by the line's part."""
+    lines = _tables(spark, sf_dir, ["lineitem"])["lineitem"]
+    return lines.select(F.expr("""concat('{"id":', l_orderkey, CASE l_partkey % 6
+        WHEN 0 THEN concat(',"v":', l_suppkey) WHEN 1 THEN concat(',"v":"', l_returnflag, '"') WHEN 2 THEN ',"v":null'
+        WHEN 3 THEN concat(',"v":[', l_linenumber, ',"x",{"w":true}]')
+        WHEN 4 THEN concat(',"v":{"w":', l_suppkey, ',"z":[[1.5],[],[null]]}') ELSE '' END, '}')""").alias("json"))
+
+
+_KINDS_SQL = r"""
+WITH lines AS (
+  SELECT '{"id":' || l_orderkey || CASE l_partkey % 6
+    WHEN 0 THEN ',"v":' || l_suppkey WHEN 1 THEN ',"v":"' || l_returnflag || '"' WHEN 2 THEN ',"v":null'
+    WHEN 3 THEN ',"v":[' || l_linenumber || ',"x",{"w":true}]'
+    WHEN 4 THEN ',"v":{"w":' || l_suppkey || ',"z":[[1.5],[],[null]]}' ELSE '' END || '}' AS json FROM lineitem),
+docs AS (SELECT 'events' AS collection, props AS json FROM events WHERE props IS NOT NULL
+         UNION ALL SELECT 'lines', json FROM lines),
+nodes AS (
+  SELECT d.collection, regexp_replace(t.fullkey, '\[\d+\]', '[]', 'g') AS path,
+         CASE WHEN t.parent IS NULL THEN NULL ELSE regexp_replace(t.path, '\[\d+\]', '[]', 'g') END AS parent,
+         CASE t.type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'text' WHEN 'NULL' THEN 'null'
+                     WHEN 'BOOLEAN' THEN 'boolean' WHEN 'DOUBLE' THEN 'fraction' ELSE 'integer' END AS kind
+  FROM docs d, json_tree(d.json) t),
+kinds AS (SELECT collection, parent, path, kind, count(*) AS n FROM nodes GROUP BY ALL)
+SELECT k.collection, k.parent, k.path, sum(k.n)::BIGINT AS n_values, coalesce(sum(k.n) FILTER (k.kind = 'null'), 0)::BIGINT AS n_null,
+       CASE WHEN k.path <> k.parent || '[]' THEN (first(o.n) - sum(k.n))::BIGINT END AS n_missing,
+       string_agg(k.kind || ':' || k.n, ',' ORDER BY k.kind) AS kinds,
+       count(DISTINCT CASE k.kind WHEN 'null' THEN NULL WHEN 'fraction' THEN 'integer' ELSE k.kind END) > 1 AS conflict
+FROM kinds k LEFT JOIN kinds o ON o.collection = k.collection AND o.path = k.parent AND o.kind = 'object'
+GROUP BY k.collection, k.parent, k.path"""
+
+
+@register("json_field_profile", _KINDS_SQL)
+def q_json_field_profile(spark, sf_dir):
+    events = _tables(spark, sf_dir, ["events"])["events"]
+    parts = [IN.json_field_profile(df, col).select(F.lit(name).alias("collection"), "*")
+             for name, df, col in (("events", events, "props"), ("lines", mixed_line_json(spark, sf_dir), "json"))]
+    shown = F.transform("kinds", lambda k: F.concat_ws(":", k["kind"], k["n_values"]))
+    return union_all(parts).withColumn("kinds", F.array_join(shown, ","))
+
+
 # --- M1: profile a document database -----------------------------------------
 
 def profile_collections(spark, sf_dir) -> dict[str, DataFrame]:
