@@ -24,12 +24,15 @@ DOCUMENT, ITEM = "$", "[]"
 _SEEN = "array<struct<parent:string,path:string,kind:string>>"
 
 
+#: Kinds by the first word of a variant's type, decimals without a fraction
+#: taken as BIGINT; other numbers are fractions.
+_KINDS = {"OBJECT": OBJECT, "ARRAY": ARRAY, "STRING": TEXT, "BOOLEAN": BOOLEAN, "VOID": NULL, "BIGINT": INTEGER}
+
+
 def _kind(value: Column) -> Column:
-    name = F.schema_of_variant(value)
-    whole = name.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | name.rlike(r"^DECIMAL\(\d+,0\)$")
-    return (F.when(value.isNull(), REJECT).when(name.startswith("OBJECT"), OBJECT).when(name.startswith("ARRAY"), ARRAY)
-            .when(name == "STRING", TEXT).when(name == "BOOLEAN", BOOLEAN).when(name == "VOID", NULL)
-            .when(whole, INTEGER).otherwise(FRACTION))
+    word = F.regexp_extract(F.regexp_replace(F.schema_of_variant(value), r"^DECIMAL\(\d+,0\)", "BIGINT"), "^[A-Z]+", 0)
+    names = F.create_map(*[F.lit(x) for pair in _KINDS.items() for x in pair])
+    return F.when(value.isNull(), REJECT).otherwise(F.coalesce(F.try_element_at(names, word), F.lit(FRACTION)))
 
 
 def _step(key: Column) -> Column:

@@ -655,7 +655,7 @@ def q_json_array_rows(spark, sf_dir):
 def mixed_line_json(spark, sf_dir) -> DataFrame:
     """Every line as JSON text in which ``v`` is a number, a text, null, an
     array, an object or missing, by the line's part."""
-    lines = _tables(spark, sf_dir, ["lineitem"])["lineitem"]
+    lines = S.spread(_tables(spark, sf_dir, ["lineitem"])["lineitem"])
     return lines.select(F.expr("""concat('{"id":', l_orderkey, CASE l_partkey % 6
         WHEN 0 THEN concat(',"v":', l_suppkey) WHEN 1 THEN concat(',"v":"', l_returnflag, '"') WHEN 2 THEN ',"v":null'
         WHEN 3 THEN concat(',"v":[', l_linenumber, ',"x",{"w":true}]')
@@ -687,7 +687,7 @@ GROUP BY k.collection, k.parent, k.path"""
 
 @register("json_field_profile", _KINDS_SQL)
 def q_json_field_profile(spark, sf_dir):
-    events = _tables(spark, sf_dir, ["events"])["events"]
+    events = S.spread(_tables(spark, sf_dir, ["events"])["events"])
     parts = [IN.json_field_profile(df, col).select(F.lit(name).alias("collection"), "*")
              for name, df, col in (("events", events, "props"), ("lines", mixed_line_json(spark, sf_dir), "json"))]
     shown = F.transform("kinds", lambda k: F.concat_ws(":", k["kind"], k["n_values"]))
