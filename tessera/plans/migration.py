@@ -21,6 +21,7 @@ from tessera.operators import relations as RL
 from tessera.operators.common import qcol
 from tessera.operators.reshape import rename_columns, split_collections, table_to_documents
 from tessera.session import ensure_checkpoint_dir
+from tessera.sources import batches as BT
 from tessera.sources import jdbc as JD
 from tessera.sources.sinks import write_documents
 
@@ -37,6 +38,7 @@ class JdbcTarget:
     schema: str | None = None        # existing schema to write into
     new_schema: str | None = None    # S11: create a fresh schema named after this
     schema_keyword: str = "SCHEMA"   # "DATABASE" for MySQL
+    batch: str | None = None         # write all tables once, as this batch
 
 
 @dataclass
@@ -199,12 +201,16 @@ def migrate_collections(collections: Mapping[str, DataFrame], target: JdbcTarget
     for k in plan.links:
         linked.setdefault(k.from_table, set()).update(k.from_fields)
         linked.setdefault(k.to_table, set()).update(k.to_fields)
-    for t, df in plan.tables.items():
-        pk = plan.primary_keys.get(t)
-        types = JD.target_column_types(JD.to_writable(df), pk, linked.get(t, ()), text_type, target.key_type, type_of=type_of)
-        JD.write_table(df, target.url, t, pk, types, batchsize=target.batchsize,
-                       num_partitions=target.num_partitions, properties=target.properties,
-                       schema=schema)
+    types = {t: JD.target_column_types(JD.to_writable(df), plan.primary_keys.get(t), linked.get(t, ()), text_type,
+                                       target.key_type, type_of=type_of) for t, df in plan.tables.items()}
+    if target.batch is not None:
+        if not BT.write_tables_once(plan.tables, target.url, target.batch, plan.primary_keys, types, target.batchsize,
+                                    target.num_partitions, target.properties, schema):
+            return plan.tables
+    else:
+        for t, df in plan.tables.items():
+            JD.write_table(df, target.url, t, plan.primary_keys.get(t), types[t], batchsize=target.batchsize,
+                           num_partitions=target.num_partitions, properties=target.properties, schema=schema)
     if target.add_foreign_keys and plan.links:
         others = {(k.to_table, k.to_fields): None for k in plan.links if k.to_fields != plan.primary_keys.get(k.to_table)}
         JD.execute_ddl(spark, target.url, [
@@ -254,15 +260,20 @@ def declared(fields: str | Sequence[str]) -> str:
 
 
 def migrate_tables(sources: Mapping[str, DataFrame], path: str, fmt: str = "json",
-                   mode: str = "errorifexists", as_json_text: bool = False) -> dict[str, str]:
+                   mode: str = "errorifexists", as_json_text: bool = False, batch: str | None = None) -> dict[str, str]:
     """M4: every table becomes a collection of flat documents (N7 + S9)
     under ``<path>/<table>``. Keys and links are not carried, as in the
-    reference. ``sources`` come from S3 (``read_table``) or any reader."""
+    reference. ``sources`` come from S3 (``read_table``) or any reader. With
+    ``batch`` each collection gets the documents once, under that name, however
+    often the migration is started (``write_documents_once``)."""
     out = {}
     for t, df in sources.items():
         p = f"{path.rstrip('/')}/{t}"
-        write_documents(table_to_documents(df, as_json=as_json_text), p,
-                        fmt="text" if as_json_text else fmt, mode=mode)
+        docs, kind = table_to_documents(df, as_json=as_json_text), "text" if as_json_text else fmt
+        if batch is not None:
+            BT.write_documents_once(docs, p, batch, kind)
+        else:
+            write_documents(docs, p, fmt=kind, mode=mode)
         out[t] = p
     return out
 
