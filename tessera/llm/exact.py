@@ -9,6 +9,9 @@ Texts are equal when identical after replacing each run of space and
 2. the surviving records are shuffled by digest. A task keeps a table of
    distinct contents; once that outgrows its memory limit, the records go to
    spill files by the next digest bits, and each file is treated the same way.
+   Records of a digest that more than ``FOLD`` blocks hold are first settled in
+   salted groups of about ``FOLD``, again until no more are left, so no task
+   reads all copies of a hot text.
 
 Equality is always decided on whole contents; the digest only places records.
 
@@ -36,6 +39,9 @@ from tessera.llm.common import map_arrow, numbered, slices, text_bytes, written
 COMBINE_BYTES = 16 << 20
 TABLE_BYTES = 48 << 20
 FANOUT_BITS = 4
+FOLD = 64
+#: Hot digests up to this many are sent to every task, about 100 MB.
+SENT_DIGESTS = 1_000_000
 LAST = 1 << 63  # after every id
 
 
@@ -151,9 +157,9 @@ class _Spill:
                     return
 
 
-def grace(records: Iterable[tuple], folder: str, limit: int, level: int = 0) -> Iterator[list[tuple]]:
+def grace(records: Iterable[tuple], folder: str, limit: int, level: int = 0) -> Iterator[tuple[bytes, bytes, list[tuple]]]:
     """Groups of (digest, content, id, size, local) records with equal
-    content, each as a list of (id, size, local)."""
+    content: digest, content and a list of (id, size, local)."""
     table, members, spill = ContentTable(), [], None
     for record in records:
         if spill is None:
@@ -170,13 +176,16 @@ def grace(records: Iterable[tuple], folder: str, limit: int, level: int = 0) ->
         else:
             spill.add(record)
     if spill is None:
-        yield from members
+        yield from zip(table.digests, table.contents, members, strict=True)
     else:
         for bucket in spill.read():
             yield from grace(bucket, folder, limit, level + 1)
 
 
-def _settle(limit: int):
+def _settle(limit: int, contents: bool = False):
+    """One row per record: its local group, the local group of the record that
+    wins (head), and the smallest id and the size of its content's group;
+    winners carry the digest and the content if ``contents``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         def records():
             for batch in batches:
@@ -184,17 +193,23 @@ def _settle(limit: int):
                     for row in zip(*(part.column(c).to_pylist() for c in ("text_sha256", "content", "doc_id", "size", "local")), strict=True):
                         yield (bytes.fromhex(row[0]), *row[1:])
 
-        out: dict[str, list] = {"local": [], "keep_id": [], "group_size": [], "wins": []}
+        out: dict[str, list] = {c: [] for c in ("local", "head", "keep_id", "group_size", "text_sha256", "content")}
+        held = 0
         with tempfile.TemporaryDirectory() as folder:
-            for group in grace(records(), folder, limit):
+            for digest, content, group in grace(records(), folder, limit):
                 winner = min(group, key=lambda m: (LAST if m[0] is None else m[0], m[2]))
                 size = sum(m[1] for m in group)
                 for member in group:
+                    wins = member is winner and contents
                     out["local"].append(member[2])
+                    out["head"].append(winner[2])
                     out["keep_id"].append(winner[0])
                     out["group_size"].append(size)
-                    out["wins"].append(member is winner)
-                if len(out["local"]) >= 50_000:
+                    out["text_sha256"].append(digest.hex() if wins else None)
+                    out["content"].append(content if wins else None)
+                held += len(content) if contents else 0
+                if len(out["local"]) >= 50_000 or held > COMBINE_BYTES:
+                    held = 0
                     yield out
                     out = {k: [] for k in out}
         if out["local"]:
@@ -202,17 +217,44 @@ def _settle(limit: int):
     return run
 
 
-def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
+def _settled(records: DataFrame, limit: int, fold: int) -> DataFrame:
+    """local, keep_id, group_size, wins (whether its record stays) of the
+    records (doc_id, text_sha256, local, content, size)."""
+    shape = "local long, head long, keep_id long, group_size long, text_sha256 string, content binary"
+    folds = []
+    while True:
+        hot = written(records.groupBy("text_sha256").agg(F.count("*").alias("n")).where(F.col("n") > fold)
+                      .select("text_sha256", F.ceil(F.col("n") / fold).alias("salts")), "exact-hot")
+        many = hot.count()
+        if not many:
+            break
+        if many <= SENT_DIGESTS:
+            hot = F.broadcast(hot)
+        salted = records.join(hot, "text_sha256").withColumn("salt", F.pmod(F.xxhash64("local"), F.col("salts")))
+        folded = written(map_arrow(salted.repartition("text_sha256", "salt").select("doc_id", "text_sha256", "local", "content", "size"),
+                                   _settle(limit, contents=True), shape), "exact-fold")
+        folds.append(folded.where("local != head").select(F.col("local").alias("member"), "head"))
+        heads = folded.where("local = head").select(F.col("keep_id").alias("doc_id"), "text_sha256", "local", "content",
+                                                    F.col("group_size").alias("size"))
+        records = records.join(hot, "text_sha256", "left_anti").unionByName(heads)
+    out = (map_arrow(records.repartition("text_sha256"), _settle(limit), shape)
+           .select("local", "keep_id", "group_size", (F.col("local") == F.col("head")).alias("wins")))
+    if folds:
+        out = written(out, "exact-settled")
+    for members in reversed(folds):
+        out = out.unionByName(members.join(out, F.col("head") == F.col("local"))
+                              .select(F.col("member").alias("local"), "keep_id", "group_size", F.lit(False).alias("wins")))
+    return out
+
+
+def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold: int = FOLD) -> DataFrame:
     """Per (doc_id, text) row: doc_id, row_id (see ``numbered``), keep_id (the
     id of the row that stays), group_size, kept, text_sha256 (of the
     normalised text)."""
     rows = written(map_arrow(
         numbered(docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))), _combine,
         "doc_id long, row_id long, text_sha256 string, local long, first boolean, content binary, size long"), "exact")
-    settled = map_arrow(
-        rows.where(F.col("first")).select("doc_id", "text_sha256", "local", "content", "size")
-        .repartition("text_sha256"),
-        _settle(table_bytes), "local long, keep_id long, group_size long, wins boolean")
+    settled = _settled(rows.where(F.col("first")).select("doc_id", "text_sha256", "local", "content", "size"), table_bytes, fold)
     return (rows.select("doc_id", "row_id", "text_sha256", "local", "first").join(settled, "local")
             .select("doc_id", "row_id", "keep_id", "group_size",
                     (F.col("first") & F.col("wins")).alias("kept"), "text_sha256"))

@@ -68,10 +68,30 @@ def test_exact(docs, empty):
     assert exact_groups(empty).count() == 0
 
 
+def test_exact_folds_hot_texts(spark):
+    """A hot text in many blocks (one row each) gives the same result as one
+    that is settled at once, ids null, tied or negative."""
+    rng = random.Random(9)
+    texts = ["hot  text", "hot text", "hot\ttext", "warm", None, *(f"cold {i}" for i in range(20))]
+    rows = [(rng.choice([None, rng.randint(-9, 40)]), rng.choices(texts, [30, 30, 30, 20, 5] + [1] * 20)[0]) for _ in range(300)]
+    docs = written(spark.createDataFrame(rows, "doc_id long, text string").repartition(40), "test-hot")
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[normalise((t or "").encode())].append(i)
+    want = Counter((i, min((x for x in g if x is not None), default=None), len(g)) for g in groups.values() for i in g)
+    for fold in (2, 7, 64):
+        got = exact_groups(docs, fold=fold).collect()
+        assert Counter((r.doc_id, r.keep_id, r.group_size) for r in got) == want
+        kept = [r for r in got if r.kept]
+        assert len(kept) == len(groups) == len({r.text_sha256 for r in kept}) and all(r.doc_id == r.keep_id for r in kept)
+        assert len({r.row_id for r in got}) == len(rows)
+
+
 def test_grace_splits_equal_digests_by_content(tmp_path):
     records = [(bytes(31) + bytes([i % 3]), b"c%d" % (i % 5) * 50, i, 1, i) for i in range(60)]
     groups = list(grace(iter(records), str(tmp_path), limit=300))
-    assert sorted(len(g) for g in groups) == [4] * 15
+    assert sorted(len(g) for *_, g in groups) == [4] * 15
+    assert all(digest[-1] == m[0] % 3 and content == b"c%d" % (m[0] % 5) * 50 for digest, content, g in groups for m in g)
     assert not list(tmp_path.iterdir())
 
 
