@@ -16,7 +16,8 @@ themselves. A document with repeated names is not one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -33,6 +34,9 @@ _STRING_LITERAL = r'"(?:[^"\\]++|\\.)*+"'
 #: Strings, brackets, commas and colons, and everything between them.
 _TOKEN = _STRING_LITERAL + r"|[{}\[\]:,]|[^\s{}\[\]:,\"]++"
 
+#: The opening quote of a string value (no field name) that begins with a bracket.
+_BRACKET_STRING = r'(?<!\\)"(?=[{\[](?:[^"\\]++|\\.)*+"(?!:))'
+
 
 def json_text(df: DataFrame, col: str) -> Column:
     """The column as JSON text (structs, maps and arrays go through to_json)."""
@@ -153,16 +157,55 @@ def json_path(key: str) -> str:
     return "$['" + key.replace("'", "\\'") + "']"
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row. Named twice in one
+    expression it may be computed twice, and in a lambda once per element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _marked(text: Column) -> Column:
+    """JSON text as the parser rewrites it, with a dot before string values
+    that begin with a bracket: taken out without their quotes, they then
+    differ from objects and arrays. Field names stay as they are."""
+    return F.when(text.contains('"{') | text.contains('"['),
+                  F.regexp_replace(text, _BRACKET_STRING, '".')).otherwise(text)
+
+
 def json_count(col: Column, array_key: str, member: str) -> Column:
     """How many elements of the top-level array ``array_key`` have a field
     ``member`` (a JSON null counts, a missing field does not); 0 when the
     array is absent, NULL for a text that is not JSON (see ``json_rejects``).
-    ``col`` is JSON text."""
-    array = F.get_json_object(col, json_path(array_key))
-    # A string element comes without its quotes: it is not in the array so.
-    has = F.filter(F.from_json(array, "array<string>"),
-                   lambda x: F.array_contains(F.json_object_keys(x), member) & (F.instr(array, x) > 0))
-    return F.when(F.get_json_object(col, "$").isNotNull(), F.coalesce(F.size(has), F.lit(0))).when(col.isNull(), 0)
+    ``col`` is JSON text.
+
+    A document is rewritten once and parsed once, as an array of maps. Where
+    the name is repeated, absent or holds something else too, the array is
+    taken out by its path and its elements are looked at one by one."""
+    name, bad = json.dumps(array_key, ensure_ascii=False) + ":", array_key + "?"
+    maps = T.StructType().add(array_key, T.ArrayType(T.MapType(T.StringType(), T.StringType()))).add(bad, T.StringType())
+
+    def size(elements: Column) -> Column:
+        return F.coalesce(F.array_size(elements), F.lit(0))
+
+    def of_maps(parsed: Column, text: Column) -> Column:
+        n = size(F.filter(parsed[array_key], lambda x: F.map_contains_key(x, member)))
+        return F.when(parsed[bad].isNull(), n).otherwise(one_by_one(text))
+
+    def one_by_one(text: Column) -> Column:
+        elements = lambda array: F.from_json(F.when(array.startswith("["), array), "array<string>")
+        array = lambda marked: F.get_json_object(marked, json_path(array_key))
+        has = lambda x: x.startswith("{") & F.array_contains(F.json_object_keys(x), member)
+        return size(F.filter(_once(_once(_marked(text), array), elements), has))
+
+    def valid(raw: Column, text: Column) -> Column:
+        upto = lambda n: F.octet_length(F.substring_index(text, name, n))
+        parsed = F.from_json(text, maps, {"columnNameOfCorruptRecord": bad})
+        n = (F.when((upto(1) < F.octet_length(text)) & (upto(2) == F.octet_length(text)), _once(parsed, lambda p: of_maps(p, text)))
+             .otherwise(one_by_one(text)))
+        # A document that is a string comes without its quotes, too.
+        return F.when(text.isNotNull(), F.when(F.ltrim(raw, F.lit(" \t\r\n")).startswith("{"), n).otherwise(0))
+
+    rewritten = lambda raw: _once(F.get_json_object(raw, "$"), lambda text: valid(raw, text))
+    return _once(col, lambda raw: F.when(raw.isNull(), 0).otherwise(rewritten(raw)))
 
 
 def variant_text(v: Column) -> Column:

@@ -105,3 +105,36 @@ def test_searches_need_no_job_and_no_shuffle(spark):
     shown = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
     assert not tracker.getJobIdsForGroup("planning") and not any("Exchange" in s for s in shown)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+LOOKALIKES = [
+    (1, r'{"l":[{"m":1},"{\"m\":1}"]}', 1), (2, '{"l":["{\'m\':1}"]}', 0), (3, r'{"l":"[{\"m\":1}]"}', 0), (4, r'{"l":" [{\"m\":1}]"}', 0),
+    (5, '{"l":{"m":1}}', 0), (6, r'"{\"l\":[{\"m\":1}]}"', 0), (7, '{"l":[{"m":1}],"l":[{"m":1},{"m":2}]}', 1), (8, '[{"l":[{"m":1}]}]', 0),
+    (9, '{"l":[{"m":null},null,3,"x","",[{"m":1}],{"n":{"m":1}},{}, {"m":1,"m":2}]}', 2), (10, '{"l?":1,"l":[{"m":1}]}', 1),
+    (11, r' {"a":"x\"l\":","b":{"l":[{"m":1}]},"l":[{"m":1},"{\"m\":1}"]}', 1), (12, '{"a":1}', 0), (13, None, 0), (14, '{"l":[', None),
+]
+
+
+def test_json_count_tells_objects_from_strings(spark):
+    df = spark.createDataFrame([d[:2] for d in LOOKALIKES], "id int, j string")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            got = {r.id: r.n for r in df.select("id", J.json_count(F.col("j"), "l", "m").alias("n")).collect()}
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+        assert got == {i: n for i, _, n in LOOKALIKES}
+    named = spark.createDataFrame([(r'{"[l":[{"{m":1,"a\"{m":2},{"a\"{m":"[3"},"{\"{m\":1}"]}',)], "j string")
+    assert named.select(J.json_count(F.col("j"), "[l", "{m"), J.json_count(F.col("j"), "[l", 'a"{m')).first()[:] == (1, 2)
+
+
+def test_json_count_grows_with_the_text(spark):
+    import time
+    n = 30_000
+    element = '{"m":1,"n":"some text"}'
+    texts = [f'{{"l":[{",".join([element] * n)}]}}', f'{{"l":["x",{",".join([element] * n)}]}}']
+    df = spark.createDataFrame([(t,) for t in texts], "j string")
+    began = time.monotonic()
+    assert [r[0] for r in df.select(J.json_count(F.col("j"), "l", "m")).collect()] == [n, n]
+    # Linear: about a second. With the array read again for each element: minutes.
+    assert time.monotonic() - began < 20
